@@ -1,0 +1,3 @@
+from pinwheel.streaming.popularity import stream_popularity, stream_transactions
+
+__all__ = ["stream_popularity", "stream_transactions"]

@@ -1,0 +1,30 @@
+"""Product popularity over a stream of transaction text files.
+
+The same operators as the batch report, fed by ``readStream``: lines are parsed strictly,
+filtered, deduplicated on (product, customer_id) with ``dropDuplicates`` (streaming state
+keyed by the pair), and counted per product. The result is an updating table, so the sink
+runs in ``complete`` or ``update`` mode; the dedup state holds one entry per distinct pair,
+the same set the batch plan shuffles.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pinwheel.operators.popularity import ALL_COUNTRIES, filter_transactions
+from pinwheel.sources.text import parse_transactions
+
+
+def stream_transactions(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return parse_transactions(reader.load(path))
+
+
+def stream_popularity(tx: DataFrame, country: str = ALL_COUNTRIES) -> DataFrame:
+    """Running popularity (distinct customers per product) of a streaming transaction frame."""
+    pairs = filter_transactions(tx, country).select("product", "customer_id").dropDuplicates(
+        ["product", "customer_id"])
+    return pairs.groupBy("product").agg(F.count(F.lit(1)).alias("popularity"))

@@ -1,0 +1,24 @@
+import os
+import tempfile
+
+from pinwheel.operators import popularity as pop
+from pinwheel.sources.text import read_transactions
+from pinwheel.streaming import stream_popularity, stream_transactions
+
+
+def test_stream_matches_batch(spark):
+    folder = tempfile.mkdtemp(prefix="pinwheel-stream-")
+    batches = [["0,a,0,1.0,0,0,1,FR", "0,a,0,2.0,0,0,1,FR", "0,b,0,1.0,0,0,2,FR"],
+               ["0,a,0,1.0,0,0,3,FR", "0,b,0,-1.0,0,0,4,FR", "0,c,0,1.0,0,0,2,IT"]]
+    for i, lines in enumerate(batches):
+        with open(os.path.join(folder, f"part-{i}.txt"), "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+    query = (stream_popularity(stream_transactions(spark, folder, 1), "FR").writeStream
+             .outputMode("complete").format("memory").queryName("pop_stream")
+             .option("checkpointLocation", tempfile.mkdtemp(prefix="pinwheel-sckpt-"))
+             .trigger(availableNow=True).start())
+    query.awaitTermination(120)
+    got = {(r["product"], r["popularity"]) for r in spark.sql("SELECT * FROM pop_stream").collect()}
+    want = {(r["product"], r["popularity"]) for r in
+            pop.popularity_reduced(pop.product_customer_pairs(read_transactions(spark, folder), "FR")).collect()}
+    assert got == want == {("a", 2), ("b", 1)}
