@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pinwheel.operators import coreset, geometry, kcenter, objective
+from pinwheel.plans import iterative_sql as isql
 from pinwheel.sources import tables
 from pinwheel.sources.text import parse_points
 
@@ -296,3 +297,58 @@ ORACLES = {
                              f"ORDER BY dist DESC LIMIT {OBJ_Z + 1})",
     "objective_points": _OBJ + f"SELECT min(dist) AS objective FROM (SELECT dist FROM d ORDER BY dist DESC LIMIT {OBJ_Z + 1})",
 }
+
+
+# ---------------------------------------------------------------- oracles of the iterative operators
+
+_PART = f"CAST(((o_orderkey % {PARTS}) + {PARTS}) % {PARTS} AS INTEGER)"
+_CUST_W = ("SELECT c_custkey AS id, c_custkey AS ord, c_acctbal AS x, CAST(c_nationkey * 100 AS DOUBLE) AS y, "
+           "CAST(1 AS BIGINT) AS w FROM customer")
+_ORD_PART = (f"SELECT o_orderkey AS id, o_orderkey AS ord, o_totalprice AS x, CAST(o_custkey AS DOUBLE) AS y, "
+             f"{_PART} AS part FROM orders")
+_SCALE = f"CASE WHEN {_PART} = 0 THEN CAST(0.001 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END"
+_ORD_SKEW = (f"SELECT o_orderkey AS id, o_orderkey AS ord, o_totalprice * {_SCALE} AS x, "
+             f"CAST(o_custkey AS DOUBLE) * {_SCALE} AS y, {_PART} AS part FROM orders")
+_M = K + Z + 1
+_CORE = "SELECT id, ord, x, y, w FROM {}_coreset"
+
+
+def _kc_metrics_sql():
+    ctes = isql.greedy_ctes(_CUST_W, K, Z, 0.0, 8, "g")
+    obj = isql.objective_distinct_sql("g_pts", "g_centers", Z)
+    return ("WITH RECURSIVE " + ctes + "\n"
+            f"SELECT (SELECT count(*) FROM g_pts) AS n, CAST({K} AS BIGINT) AS k, CAST({Z} AS BIGINT) AS z, "
+            "(SELECT r0 FROM g_r0) AS initial_guess, l.r AS final_guess, CAST(l.g + 1 AS BIGINT) AS guesses, "
+            f"l.left_w AS left_weight, {obj} AS objective "
+            "FROM g_left l WHERE l.g = (SELECT g FROM g_best)")
+
+
+def _mr_chain(points: str, f: str, g: str) -> str:
+    return isql.fft_ctes(points, _M, f) + ",\n" + isql.greedy_ctes(_CORE.format(f), K, Z, 2.0, 16, g)
+
+
+def _mr_metrics_select(name: str, f: str, g: str) -> str:
+    obj = isql.objective_partitioned_sql(f"{f}_pts", f"{g}_centers", Z)
+    return (f"SELECT '{name}' AS input, (SELECT count(*) FROM {f}_pts) AS n, CAST({K} AS BIGINT) AS k, "
+            f"CAST({Z} AS BIGINT) AS z, CAST({PARTS} AS BIGINT) AS parts, (SELECT r0 FROM {g}_r0) AS initial_guess, "
+            f"l.r AS final_guess, CAST(l.g + 1 AS BIGINT) AS guesses, l.left_w AS left_weight, {obj} AS objective "
+            f"FROM {g}_left l WHERE l.g = (SELECT g FROM {g}_best)")
+
+
+ORACLES.update({
+    "fft_centers": "WITH RECURSIVE " + isql.fft_ctes(_ORD_PART, _M, "f") + "\nSELECT part, step, id FROM f_centers",
+    "coreset_weights": "WITH RECURSIVE " + isql.fft_ctes(_ORD_PART, _M, "f") + "\nSELECT part, step, w FROM f_weights",
+    "partition_coreset": "WITH RECURSIVE " + isql.fft_ctes(_ORD_PART, _M, "f")
+                         + "\nSELECT ord, part, step, id, w, x AS x0, y AS x1 FROM f_coreset",
+    "greedy_cover": "WITH RECURSIVE " + isql.greedy_ctes(_CUST_W, K, Z, 0.0, 1, "g", fixed_radius=COVER_RADIUS)
+                    + "\nSELECT step, id, x AS x0, y AS x1, ball_weight, (SELECT left_w FROM g_left) AS left_weight "
+                      "FROM g_centers",
+    "kcenter_outliers": "WITH RECURSIVE " + isql.greedy_ctes(_CUST_W, K, Z, 0.0, 8, "g")
+                        + "\nSELECT step, id, x AS x0, y AS x1 FROM g_centers",
+    "kcenter_metrics": _kc_metrics_sql(),
+    "mr_kcenter": "WITH RECURSIVE " + _mr_chain(_ORD_SKEW, "f", "g")
+                  + "\nSELECT step, id, x AS x0, y AS x1 FROM g_centers",
+    "mr_kcenter_metrics": "WITH RECURSIVE " + _mr_chain(_ORD_PART, "f1", "g1") + ",\n" + _mr_chain(_ORD_SKEW, "f2", "g2")
+                          + "\n" + _mr_metrics_select("orders", "f1", "g1") + " UNION ALL "
+                          + _mr_metrics_select("orders_skewed", "f2", "g2"),
+})
