@@ -6,8 +6,9 @@ k-center with outliers (alpha = 2) on that coreset of at most (k+z+1) * L points
 
 Execution
 - The traversal is one job per step over all groups at once: each point's distance to its
-  group's centers so far is an unrolled ``least`` over a broadcast array (at most k+z+1
-  entries per group, L groups: bounded by the parameters and checked before broadcasting),
+  group's centers so far is an unrolled ``least`` over the group's centers (at most k+z+1
+  per group, L groups: bounded by the parameters), inlined as literals when the table is
+  small and otherwise a broadcast array whose size is checked before broadcasting,
   and the farthest point per group is a ``max`` over a struct, which Catalyst aggregates
   partially in every task. No group is ever gathered into one task, so a group holding a
   third of all rows costs the same as any other.
@@ -31,6 +32,8 @@ from pinwheel.operators.objective import objective_partitioned, objective_value
 
 # Largest per-group center table (rows x dimensions) broadcast to every task.
 MAX_BROADCAST_VALUES = 5_000_000
+# Center tables up to this many values are inlined as literals (no join at all).
+LITERAL_VALUES = 4096
 
 FFT_SCHEMA = T.StructType([
     T.StructField("part", T.IntegerType()),
@@ -67,6 +70,19 @@ def _dists(coords: Column, cs: Column, count: int, d: int) -> list[Column]:
     return [euclidean(coords, F.get(cs, i).getField("coords"), d) for i in range(count)]
 
 
+def _literal_min_dist(rows: list[tuple], d: int) -> Column:
+    """``CASE part WHEN p THEN least(d(x, c) for the centers of p) END`` from collected rows."""
+    by_part: dict[int, list[list[float]]] = {}
+    for part, _step, _id, _ord, coords in rows:
+        by_part.setdefault(part, []).append(coords)
+    expr = None
+    for part, cs in by_part.items():
+        ds = [euclidean(F.col("coords"), c, d) for c in cs]
+        near = ds[0] if len(ds) == 1 else F.least(*ds)
+        expr = F.when(F.col("part") == part, near) if expr is None else expr.when(F.col("part") == part, near)
+    return expr
+
+
 def fft_centers(points: DataFrame, m: int, parts: int | None = None,
                 stats: PointStats | None = None) -> DataFrame:
     """Farthest-first traversal with ``m`` centers inside every group (C1).
@@ -84,10 +100,12 @@ def fft_centers(points: DataFrame, m: int, parts: int | None = None,
         first = pts.groupBy("part").agg(F.min(F.struct("ord", "id", "coords")).alias("c")).collect()
         rows = [(int(r["part"]), 0, r["c"]["id"], r["c"]["ord"], list(r["c"]["coords"])) for r in first]
         for step in range(1, m):
-            centers = spark.createDataFrame(rows, FFT_SCHEMA)
-            joined = _attach(pts, centers, len(rows), d)
-            ds = _dists(F.col("coords"), F.col("cs"), step, d)
-            near = ds[0] if len(ds) == 1 else F.least(*ds)
+            if len(rows) * max(d, 1) <= LITERAL_VALUES:
+                joined, near = pts, _literal_min_dist(rows, d)
+            else:
+                joined = _attach(pts, spark.createDataFrame(rows, FFT_SCHEMA), len(rows), d)
+                ds = _dists(F.col("coords"), F.col("cs"), step, d)
+                near = ds[0] if len(ds) == 1 else F.least(*ds)
             far = joined.groupBy("part").agg(
                 F.max(F.struct(near.alias("m"), (-F.col("ord")).alias("neg_ord"), "id", "coords")).alias("b")) \
                 .filter(F.col("b.m") > 0).collect()

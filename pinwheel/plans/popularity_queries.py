@@ -59,8 +59,12 @@ def q_tx_pair_count(spark, sf_dir):
     return pop.pair_count(_pairs(spark, sf_dir))
 
 
+def _kept(spark, sf_dir, country=pop.ALL_COUNTRIES):
+    return pop.filter_transactions(tables.transactions(spark, sf_dir), country).select("product", "customer_id")
+
+
 def q_popularity_grouped(spark, sf_dir):
-    return pop.popularity_grouped(_pairs(spark, sf_dir), BUCKETS)
+    return pop.popularity_grouped(_kept(spark, sf_dir), BUCKETS)
 
 
 def q_popularity_reduced(spark, sf_dir):
@@ -68,12 +72,12 @@ def q_popularity_reduced(spark, sf_dir):
 
 
 def q_popularity_top_h(spark, sf_dir):
-    return pop.top_popular(pop.popularity_grouped(_pairs(spark, sf_dir), BUCKETS), TOP_H)
+    return pop.top_popular(pop.popularity_grouped(_kept(spark, sf_dir), BUCKETS), TOP_H)
 
 
 def q_popularity_sorted(spark, sf_dir):
-    pairs = _pairs(spark, sf_dir)
-    return pop.sorted_popularities(pop.popularity_grouped(pairs, BUCKETS), pop.popularity_reduced(pairs))
+    kept = _kept(spark, sf_dir)
+    return pop.sorted_popularities(pop.popularity_grouped(kept, BUCKETS), pop.popularity_reduced(kept.distinct()))
 
 
 def q_popularity_report(spark, sf_dir):
