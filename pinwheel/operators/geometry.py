@@ -292,13 +292,24 @@ def ball_weight_sums(left: DataFrame, right: DataFrame, d: int, keys: list[str],
 HOT_CELL = 5000
 
 
-def hottest_cells(points: DataFrame, d: int, keys: list[str]) -> dict:
-    """Largest number of points in one coarse cell, per key (rows carry ``side``)."""
+def cell_load(points: DataFrame, d: int, keys: list[str]) -> dict:
+    """Per key: (points in the fullest coarse cell, estimated pair tests of a grid join).
+
+    Rows carry ``side``. The estimate is 3^g times the sum of squared cell counts, an upper
+    bound on the pairs the plain grid join would test when the neighbor cells are as full.
+    """
     g = min(d, GRID_DIMS)
     cells = [x.alias(f"_c{i}") for i, x in enumerate(_cells(F.col("coords"), F.col("side"), g))]
     counts = points.select(*keys, *cells).groupBy(*keys, *[f"_c{i}" for i in range(g)]).count()
-    rows = counts.groupBy(*keys).agg(F.max("count").alias("hot")).collect()
-    return {tuple(r[k] for k in keys): int(r["hot"]) for r in rows}
+    rows = counts.groupBy(*keys).agg(
+        F.max("count").alias("hot"),
+        F.sum(F.col("count") * F.col("count")).alias("sq")).collect()
+    return {tuple(r[k] for k in keys): (int(r["hot"]), int(r["sq"]) * 3 ** g) for r in rows}
+
+
+def hottest_cells(points: DataFrame, d: int, keys: list[str]) -> dict:
+    """Largest number of points in one coarse cell, per key (rows carry ``side``)."""
+    return {key: hot for key, (hot, _) in cell_load(points, d, keys).items()}
 
 
 def _single(points: DataFrame, radius: float, span: float, fine: int = 1) -> DataFrame:

@@ -10,12 +10,14 @@ Execution
 - Several guesses run together: points are replicated per guess ``g`` with an explode,
   every step handles all unfinished guesses in one job, and the answer is the lowest
   successful g. That turns (guesses x k) dependent jobs into about k per batch.
-- Nothing point-sized is kept between steps. The state is the chosen centers (at most k
-  per guess, bounded by the parameters), and whether a point is active is recomputed
-  from them as an inlined expression: a point is active exactly when no chosen center
-  lies within the outer radius. Each step's plan therefore reads only the (cached,
-  duplicate-merged) input, so lineage does not grow with the number of steps, and a
-  lost executor only recomputes that input.
+- Two step strategies, chosen per batch from the grid occupancy. Recompute: the state kept
+  between steps is only the chosen centers (at most k per guess), inlined as literals, and
+  each step recomputes the balls over the active points; every plan reads the cached input,
+  so lineage does not grow. Incremental (when balls are crowded): ball weights are computed
+  in full once, and each step subtracts only the weight of the points it deactivates from
+  the balls that can contain them (points within inner + outer radius of the new center);
+  the per-point state is checkpointed to the shared checkpoint folder every step, so its
+  lineage stays one step long and a lost executor only re-reads the last checkpoint.
 - The ball weights are the grid equi-join of ``geometry.ball_pairs`` over identical-point-
   merged data, with per-guess cells.
 """
@@ -29,9 +31,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pinwheel.operators.geometry import (HOT_CELL, PointStats, ball_weight_sums, cell_side, fine_steps,
-                                         hottest_cells, initial_guess, merge_duplicates, min_dist_literal,
+from pinwheel.functions.distance import euclidean
+from pinwheel.operators.geometry import (HOT_CELL, PointStats, ball_weight_sums, cell_load, cell_side,
+                                         fine_steps, initial_guess, merge_duplicates, min_dist_literal,
                                          validate_points, with_weight)
+from pinwheel.session import checkpoint_dir
 
 GUESS_BATCH = 2
 # Guesses per batch grow up to this when the input is small (point-guess rows per batch).
@@ -85,6 +89,22 @@ def radii(alpha: float, r: float) -> tuple[float, float]:
     return (1 + 2 * alpha) * r, (3 + 4 * alpha) * r
 
 
+def _per_guess(centers: dict[int, list[float]], d: int) -> Column:
+    """Distance from the row's point to the center just chosen for its guess (null if none)."""
+    expr = None
+    for g, c in centers.items():
+        dist = euclidean(F.col("coords"), c, d)
+        expr = F.when(F.col("g") == g, dist) if expr is None else expr.when(F.col("g") == g, dist)
+    return F.lit(None).cast("double") if expr is None else expr
+
+
+# Relative slack on the triangle-inequality prefilter of the incremental update.
+_REACH_SLACK = 1e-9
+# Incremental steps pay a state write per step; they are chosen when recomputing the balls
+# would test more than this many pairs per state row.
+INCREMENTAL_FACTOR = 8
+
+
 def _active_filter(centers: dict[int, list[list[float]]], d: int) -> Column:
     """True when no chosen center of the row's guess lies within its outer radius.
 
@@ -105,10 +125,17 @@ def greedy_batch(merged: DataFrame, stats: PointStats, guesses: list[tuple[int,
                  k: int, small: bool = False) -> CoverResult:
     """Run the greedy cover for several (g, inner radius, outer radius) at once.
 
-    ``merged`` has id, ord, coords, w with identical points already merged. Each step is
-    one job returning, per unfinished guess, the active weight and the heaviest ball.
+    ``merged`` has id, ord, coords, w with identical points already merged.
+
+    Ball weights are computed in full once per batch. After that a step only subtracts the
+    weight of the points it deactivates (the outer ball of the new center) from the balls
+    that contain them, which can only be balls of points within inner + outer radius of the
+    center, so each step is a scan of the state plus a local join. The state (one row per
+    guess and point: weight, active flag, ball weight) is checkpointed to the shared folder
+    every step, so its lineage stays one step long and survives lost executors.
     """
     spark = merged.sparkSession
+    checkpoint_dir(spark)
     d = stats.d
     fine = fine_steps(d)
     spec = F.explode(F.array(*[
@@ -116,34 +143,72 @@ def greedy_batch(merged: DataFrame, stats: PointStats, guesses: list[tuple[int,
                  F.lit(cell_side(rin, stats.span, fine)).alias("side"))
         for g, rin, rout in guesses])).alias("spec")
     pg = merged.select(spec, "id", "ord", "coords", "w").select("spec.*", "id", "ord", "coords", "w")
-    # Cost-based choice per batch: aggregate per fine cell only when some coarse cell is hot.
-    aggregate_cells = not small and max(hottest_cells(pg, d, ["g"]).values(), default=0) > HOT_CELL
+    # Cost-based choices per batch, from one pass over the cell occupancy: aggregate per
+    # fine cell only when some coarse cell is hot; update ball weights incrementally only
+    # when recomputing them each step would test many pairs per point.
+    load = cell_load(pg, d, ["g"]) if not small else {}
+    aggregate_cells = max((h for h, _ in load.values()), default=0) > HOT_CELL
+    incremental = sum(p for _, p in load.values()) > INCREMENTAL_FACTOR * len(guesses) * stats.n
 
     chosen: dict[int, list[tuple]] = {g: [] for g, _, _ in guesses}
     running = set(chosen)
     left: dict[int, int] = {}
-    step = 0
-    while running:
-        run_list = sorted(running)
-        xs = pg.filter(F.col("g").isin(run_list))
-        active = xs.filter(_active_filter({g: [c[3] for c in chosen[g]] for g in run_list}, d))
-        weights = active.groupBy("g").agg(F.sum("w").cast("long").alias("lw"))
-        bw = ball_weight_sums(xs, active, d, ["g"], aggregate=aggregate_cells)
-        best = bw.groupBy("g").agg(
-            F.max(F.struct("ball_weight", (-F.col("ord")).alias("neg_ord"), "id", "coords")).alias("b"))
-        rows = weights.join(best, "g", "left").collect()
+
+    def decide(rows, step):
+        """Record the step's center per guess; retire finished guesses. Returns new centers."""
         status = {r["g"]: r for r in rows}
-        for g in run_list:
+        picked: dict[int, list[float]] = {}
+        for g in sorted(running):
             r = status.get(g)
             lw = int(r["lw"]) if r is not None else 0
             b = r["b"] if r is not None else None
-            if lw == 0 or len(chosen[g]) >= k or b is None or b["ball_weight"] <= 0:
+            if lw == 0 or len(chosen[g]) >= k or b is None or b["bw"] <= 0:
                 left[g] = lw
                 running.discard(g)
                 continue
-            chosen[g].append((step, b["id"], -b["neg_ord"], [float(v) for v in b["coords"]],
-                              int(b["ball_weight"])))
-        step += 1
+            coords = [float(v) for v in b["coords"]]
+            chosen[g].append((step, b["id"], -b["neg_ord"], coords, int(b["bw"])))
+            picked[g] = coords
+        return picked
+
+    best = F.max(F.struct("bw", (-F.col("ord")).alias("neg_ord"), "id", "coords")).alias("b")
+    step = 0
+    if not incremental:
+        # Each step recomputes the balls over the active points; the state carried between
+        # steps is only the chosen centers (inlined), so every plan reads the cached input.
+        while running:
+            run_list = sorted(running)
+            xs = pg.filter(F.col("g").isin(run_list))
+            active = xs.filter(_active_filter({g: [c[3] for c in chosen[g]] for g in run_list}, d))
+            weights = active.groupBy("g").agg(F.sum("w").cast("long").alias("lw"))
+            bw = ball_weight_sums(xs, active, d, ["g"], aggregate=aggregate_cells) \
+                .withColumnRenamed("ball_weight", "bw")
+            decide(weights.join(bw.groupBy("g").agg(best), "g", "left").collect(), step)
+            step += 1
+    else:
+        full = ball_weight_sums(pg, pg, d, ["g"], aggregate=aggregate_cells).select("g", "id", "ball_weight")
+        state = pg.join(full, ["g", "id"], "left").select(
+            *pg.columns, F.lit(True).alias("act"), F.coalesce("ball_weight", F.lit(0).cast("long")).alias("bw"))
+        state = state.checkpoint(eager=True)
+        while running:
+            rows = state.groupBy("g").agg(
+                F.sum(F.when(F.col("act"), F.col("w")).otherwise(F.lit(0))).cast("long").alias("lw"), best).collect()
+            new_centers = decide(rows, step)
+            step += 1
+            if not running:
+                break
+            live = state.filter(F.col("g").isin(sorted(running)))
+            to_center = _per_guess(new_centers, d)
+            removed = live.filter(F.col("act") & (to_center <= F.col("outer")))
+            reach = (F.col("radius") + F.col("outer")) * F.lit(1.0 + _REACH_SLACK)
+            near = live.filter(to_center <= reach)
+            delta = ball_weight_sums(near, removed, d, ["g"], aggregate=aggregate_cells) \
+                .select("g", "id", F.col("ball_weight").alias("delta"))
+            state = live.join(delta, ["g", "id"], "left").select(
+                *pg.columns,
+                (F.col("act") & ~F.coalesce(to_center <= F.col("outer"), F.lit(False))).alias("act"),
+                (F.col("bw") - F.coalesce("delta", F.lit(0).cast("long"))).alias("bw"))
+            state = state.checkpoint(eager=True)
     rows = [(g, s, i, o, c, bw_) for g, cs in chosen.items() for (s, i, o, c, bw_) in cs]
     return CoverResult(spark.createDataFrame(rows, CENTER_SCHEMA), left)
 

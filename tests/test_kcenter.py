@@ -15,12 +15,15 @@ def _arrays(df):
     return pts, w, np.array([r["ord"] for r in rows]), np.array([r["id"] for r in rows])
 
 
+@pytest.mark.parametrize("incremental", [0, 10 ** 9])
 @pytest.mark.parametrize("hot", [0, 10 ** 9])
 @pytest.mark.parametrize("table,k,z,guesses,ncenters", [
     (tables.points_supplier, 4, 6, 4, 3),
     (tables.points_customer, 4, 6, 3, 4),
 ])
-def test_kcenter_matches_bruteforce(spark, table, k, z, guesses, ncenters, hot, monkeypatch):
+def test_kcenter_matches_bruteforce(spark, table, k, z, guesses, ncenters, hot, incremental, monkeypatch):
+    # hot = 0 forces fine-cell aggregation; incremental = 0 forces incremental ball updates.
+    monkeypatch.setattr(kcenter, "INCREMENTAL_FACTOR", incremental)
     monkeypatch.setattr(geometry, "HOT_CELL", hot)
     monkeypatch.setattr(kcenter, "HOT_CELL", hot)
     monkeypatch.setattr(kcenter, "SMALL_INPUT", 0)
@@ -35,7 +38,9 @@ def test_kcenter_matches_bruteforce(spark, table, k, z, guesses, ncenters, hot,
     assert len(got) <= k and res.left_weight <= z
 
 
-def test_greedy_cover_fixed_radius(spark):
+@pytest.mark.parametrize("incremental", [0, 10 ** 9])
+def test_greedy_cover_fixed_radius(spark, incremental, monkeypatch):
+    monkeypatch.setattr(kcenter, "INCREMENTAL_FACTOR", incremental)
     pts_df = tables.points_customer(spark, SF_CHECK)
     centers, left = kcenter.greedy_cover(pts_df, 400.0, 4)
     pts, w, o, ids = _arrays(pts_df)
@@ -85,7 +90,10 @@ def test_bad_arguments(spark):
         kcenter.kcenter_outliers(pts, 1, -1)
 
 
-def test_weighted_points(spark):
+@pytest.mark.parametrize("incremental", [0, 10 ** 9])
+def test_weighted_points(spark, incremental, monkeypatch):
+    monkeypatch.setattr(kcenter, "INCREMENTAL_FACTOR", incremental)
+    monkeypatch.setattr(kcenter, "SMALL_INPUT", 0)
     coords = [[0.0], [1.0], [10.0], [11.0], [30.0]]
     weights = [5, 1, 1, 1, 3]
     res = kcenter.kcenter_outliers(points_df(spark, coords, weights), 2, 1, 2.0)
