@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pinwheel.functions.distance import euclidean
+from pinwheel.functions.distance import euclidean, euclidean_sql
 from pinwheel.operators.geometry import PointStats, merge_duplicates, validate_points
 from pinwheel.operators.kcenter import KCenterResult, kcenter_outliers
 from pinwheel.operators.objective import objective_partitioned, objective_value
@@ -77,8 +77,8 @@ def _literal_min_dist(rows: list[tuple], d: int) -> Column:
         by_part.setdefault(part, []).append(coords)
     expr = None
     for part, cs in by_part.items():
-        ds = [euclidean(F.col("coords"), c, d) for c in cs]
-        near = ds[0] if len(ds) == 1 else F.least(*ds)
+        near = F.expr(euclidean_sql("coords", cs[0], d)) if len(cs) == 1 else \
+            F.expr("least(" + ", ".join(euclidean_sql("coords", c, d) for c in cs) + ")")
         expr = F.when(F.col("part") == part, near) if expr is None else expr.when(F.col("part") == part, near)
     return expr
 

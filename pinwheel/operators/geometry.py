@@ -24,7 +24,7 @@ from itertools import product as iproduct
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pinwheel.functions.distance import euclidean
+from pinwheel.functions.distance import euclidean, euclidean_sql
 
 # Bound on coordinates (rows x dimensions) of a center set inlined into expressions.
 MAX_CENTER_VALUES = 200_000
@@ -86,17 +86,18 @@ def collect_centers(centers: DataFrame, max_values: int = MAX_CENTER_VALUES) ->
     return [(r[0], r[1], [float(v) for v in r[2]]) for r in rows]
 
 
-def literal_distances(coords: Column, centers: list[tuple], d: int) -> Column:
-    """Array of distances to the literal centers, in center order (each computed once)."""
-    return F.array(*[euclidean(coords, c[2], d) for c in centers])
+def literal_distances(coords: str, centers: list[tuple], d: int) -> Column:
+    """Array of distances from array column ``coords`` to the literal centers, in center
+    order (each computed once)."""
+    return F.expr("array(" + ", ".join(euclidean_sql(coords, c[2], d) for c in centers) + ")")
 
 
-def min_dist_literal(coords: Column, centers: list[tuple], d: int) -> Column:
-    """``min_s d(x, s)`` over literal centers; null when there are none."""
+def min_dist_literal(coords: str, centers: list[tuple], d: int) -> Column:
+    """``min_s d(x, s)`` over literal centers for array column ``coords``; null when none."""
     if not centers:
         return F.lit(None).cast("double")
     if len(centers) == 1:
-        return euclidean(coords, centers[0][2], d)
+        return F.expr(euclidean_sql(coords, centers[0][2], d))
     return F.array_min(literal_distances(coords, centers, d))
 
 
@@ -112,7 +113,7 @@ def dist_to_centers(points: DataFrame, centers: DataFrame, d: int | None = None)
     """Add ``dist``: distance from each point to its nearest center (V4)."""
     d = validate_points(points).d if d is None else d
     cs = collect_centers(centers)
-    return points.withColumn("dist", min_dist_literal(F.col("coords"), cs, d))
+    return points.withColumn("dist", min_dist_literal("coords", cs, d))
 
 
 def nearest_center(points: DataFrame, centers: DataFrame, d: int | None = None) -> DataFrame:
@@ -122,7 +123,7 @@ def nearest_center(points: DataFrame, centers: DataFrame, d: int | None = None)
     if not cs:
         return points.withColumn("dist", F.lit(None).cast("double")) \
             .withColumn("center_id", F.lit(None).cast("long"))
-    with_d = points.withColumn("_dists", literal_distances(F.col("coords"), cs, d))
+    with_d = points.withColumn("_dists", literal_distances("coords", cs, d))
     best, choice = nearest_literal(F.col("_dists"), cs)
     return with_d.withColumn("dist", best).withColumn("center_id", choice).drop("_dists")
 
@@ -354,4 +355,4 @@ def heaviest_ball(weights: DataFrame, keys: list[str] | None = None) -> DataFram
 
 def ball_removal(active: DataFrame, center: list[float], radius: float, d: int) -> DataFrame:
     """Active points left after removing every point within ``radius`` of ``center`` (V8)."""
-    return active.filter(~(euclidean(F.col("coords"), center, d) <= F.lit(float(radius))))
+    return active.filter(~(F.expr(euclidean_sql("coords", center, d)) <= F.lit(float(radius))))

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pinwheel.functions.distance import euclidean
+from pinwheel.functions.distance import euclidean_sql
 from pinwheel.operators.geometry import (HOT_CELL, PointStats, ball_weight_sums, cell_load, cell_side,
                                          fine_steps, initial_guess, merge_duplicates, min_dist_literal,
                                          validate_points, with_weight)
@@ -93,7 +93,7 @@ def _per_guess(centers: dict[int, list[float]], d: int) -> Column:
     """Distance from the row's point to the center just chosen for its guess (null if none)."""
     expr = None
     for g, c in centers.items():
-        dist = euclidean(F.col("coords"), c, d)
+        dist = F.expr(euclidean_sql("coords", c, d))
         expr = F.when(F.col("g") == g, dist) if expr is None else expr.when(F.col("g") == g, dist)
     return F.lit(None).cast("double") if expr is None else expr
 
@@ -115,7 +115,7 @@ def _active_filter(centers: dict[int, list[list[float]]], d: int) -> Column:
     for g, cs in centers.items():
         if not cs:
             continue
-        near = min_dist_literal(F.col("coords"), [(None, None, c) for c in cs], d)
+        near = min_dist_literal("coords", [(None, None, c) for c in cs], d)
         cond = (F.when(F.col("g") == g, near > F.col("outer")) if cond is None
                 else cond.when(F.col("g") == g, near > F.col("outer")))
     return F.lit(True) if cond is None else cond.otherwise(F.lit(True))

@@ -29,7 +29,7 @@ def _kth_largest(values: DataFrame, z: int) -> DataFrame:
 
 
 def _distances(points: DataFrame, centers, d: int) -> DataFrame:
-    return points.select("*", min_dist_literal(F.col("coords"), centers, d).alias("dist"))
+    return points.select("*", min_dist_literal("coords", centers, d).alias("dist"))
 
 
 def _zero(points: DataFrame) -> DataFrame:
