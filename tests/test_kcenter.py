@@ -101,3 +101,30 @@ def test_weighted_points(spark, incremental, monkeypatch):
     cs, r0, rf, g = bf.kcenter(pts, np.array(weights), np.arange(5), np.arange(5), 2, 1, 2.0)
     assert [r["id"] for r in res.centers.orderBy("step").collect()] == cs
     assert (res.initial_guess, res.final_guess, res.guesses) == (r0, rf, g)
+
+
+def test_hot_spot_auto_strategy(spark, monkeypatch):
+    """A third of the points in one tight cluster: the solver picks fine-cell aggregation and
+    incremental updates by itself and still matches the sequential result."""
+    monkeypatch.setattr(geometry, "HOT_CELL", 500)
+    monkeypatch.setattr(kcenter, "HOT_CELL", 500)
+    picked = {}
+    real = kcenter.ball_weight_sums
+
+    def spy(*args, **kwargs):
+        picked.setdefault("aggregate", set()).add(kwargs.get("aggregate"))
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(kcenter, "ball_weight_sums", spy)
+    base = tables.points_customer(spark, SF_CHECK).orderBy("ord").collect()
+    rng = np.random.default_rng(11)
+    hot = np.array([5000.0, 1200.0]) + rng.normal(0, 0.5, (800, 2))
+    coords = [list(r["coords"]) for r in base] + hot.tolist()
+    df = points_df(spark, coords)
+    res = kcenter.kcenter_outliers(df, 4, 6, 0.0)
+    pts = np.array(coords)
+    n = len(coords)
+    cs, r0, rf, g = bf.kcenter(pts, np.ones(n, dtype=np.int64), np.arange(n), np.arange(n), 4, 6, 0.0)
+    assert [r["id"] for r in res.centers.orderBy("step").collect()] == cs
+    assert (res.initial_guess, res.final_guess, res.guesses) == (r0, rf, g)
+    assert True in picked["aggregate"]
