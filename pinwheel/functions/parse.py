@@ -21,15 +21,19 @@ def split_fields(value: Column | str) -> Column:
 
 
 def strict_int(token: Column) -> Column:
-    """Parse a 32-bit integer; surrounding blanks or other characters raise an error."""
-    return F.when(token.rlike(INTEGER_PATTERN), token.cast("int")).otherwise(
+    """Parse a 32-bit integer; surrounding blanks, other characters or overflow raise an
+    error (whatever the session's ANSI setting)."""
+    parsed = token.try_cast("int")
+    return F.when(token.rlike(INTEGER_PATTERN) & parsed.isNotNull(), parsed).otherwise(
         F.raise_error(F.concat(F.lit("not an integer: "), F.coalesce(token, F.lit("null")))).cast("int"))
 
 
 def strict_double(token: Column) -> Column:
-    """Parse a double; with ANSI casts on, a malformed number raises an error."""
-    return F.when(token.isNotNull(), token.cast("double")).otherwise(
-        F.raise_error(F.lit("missing number")).cast("double"))
+    """Parse a double; a missing or malformed number raises an error (whatever the
+    session's ANSI setting)."""
+    parsed = token.try_cast("double")
+    return F.when(parsed.isNotNull(), parsed).otherwise(
+        F.raise_error(F.concat(F.lit("not a number: "), F.coalesce(token, F.lit("null")))).cast("double"))
 
 
 def field(tokens: Column, index: int) -> Column:

@@ -73,3 +73,14 @@ def test_partition_independence(spark):
         results.append([tuple(r) for r in pop.top_popular(pop.popularity_grouped(pairs), 10).collect()])
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert results[0] == results[1] == results[2]
+
+
+def test_parse_errors_without_ansi(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception):
+            parse_transactions(_lines(spark, ["0,p,2,abc,4,5,6,FR"])).collect()
+        with pytest.raises(Exception):
+            parse_transactions(_lines(spark, ["0,p,2,1.0,4,5,99999999999,FR"])).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
