@@ -40,7 +40,7 @@ from pinwheel.session import checkpoint_dir
 GUESS_BATCH = 2
 # Guesses per batch grow up to this when the input is small (point-guess rows per batch).
 BATCH_ROWS = 40_000
-MAX_BATCH = 64
+MAX_BATCH = 16
 # Inputs up to this many distinct points use the plain grid join for ball weights.
 SMALL_INPUT = 1000
 MAX_GUESSES = 2200  # doubling from the smallest positive double reaches any finite distance
