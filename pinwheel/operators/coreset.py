@@ -5,7 +5,8 @@ weighs each by the number of the group's points nearest to it. Round 2 solves we
 k-center with outliers (alpha = 2) on that coreset of at most (k+z+1) * L points.
 
 Execution
-- The traversal is one job per step over all groups at once: each point's distance to its
+- The traversal is one pass over the points per step or fewer, for all groups at once
+  (certified lookahead, see ``fft_centers``): each point's distance to its
   group's centers so far is an unrolled ``least`` over the group's centers (at most k+z+1
   per group, L groups: bounded by the parameters), inlined as literals when the table is
   small and otherwise a broadcast array whose size is checked before broadcasting,
@@ -20,10 +21,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from pinwheel.functions.distance import euclidean, euclidean_sql
 from pinwheel.operators.geometry import PointStats, merge_duplicates, validate_points
@@ -83,35 +86,88 @@ def _literal_min_dist(rows: list[tuple], d: int) -> Column:
     return expr
 
 
+def _left_fold_dist(points: np.ndarray, center: np.ndarray) -> np.ndarray:
+    """Distances from candidate rows to one center, summed dimension by dimension exactly as
+    the Spark expressions do (IEEE operations in the same order give the same bits)."""
+    total = np.zeros(len(points))
+    for i in range(points.shape[1]):
+        diff = points[:, i] - center[i]
+        total = total + diff * diff
+    return np.sqrt(total)
+
+
 def fft_centers(points: DataFrame, m: int, parts: int | None = None,
-                stats: PointStats | None = None) -> DataFrame:
+                stats: PointStats | None = None, lookahead: int | None = None) -> DataFrame:
     """Farthest-first traversal with ``m`` centers inside every group (C1).
 
     Starts at the group's first point (lowest ord); each step adds the point farthest from
     the centers so far, ties to the lowest ord. A group stops early when its farthest point
     is at distance 0 (fewer than m distinct points). Output: part, step, id, ord, coords.
+
+    Each pass over the points computes every point's distance to its group's centers and
+    returns the ``lookahead`` farthest points per group (default 4m, a per-group top-n that
+    is limited inside every task before the shuffle). The first of them is the next center.
+    Later steps are taken among these candidates only while that is provably exact: the
+    chosen candidate's updated distance must exceed the smallest distance in the candidate
+    list, which bounds every point outside it. Otherwise the next pass starts. So a pass
+    yields at least one center and often several; ``lookahead=1`` gives one per pass.
     """
     spark = points.sparkSession
     pts = assign_parts(points, parts) if parts else points
     stats = stats or validate_points(pts)
     d = stats.d
+    top = max(1, lookahead if lookahead is not None else 4 * m)
     pts = pts.select("part", "id", "ord", "coords").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         first = pts.groupBy("part").agg(F.min(F.struct("ord", "id", "coords")).alias("c")).collect()
         rows = [(int(r["part"]), 0, r["c"]["id"], r["c"]["ord"], list(r["c"]["coords"])) for r in first]
-        for step in range(1, m):
+        count = {int(r["part"]): 1 for r in first}
+        done = {p for p, c in count.items() if c >= m}
+        while len(done) < len(count):
             if len(rows) * max(d, 1) <= LITERAL_VALUES:
                 joined, near = pts, _literal_min_dist(rows, d)
             else:
                 joined = _attach(pts, spark.createDataFrame(rows, FFT_SCHEMA), len(rows), d)
-                ds = _dists(F.col("coords"), F.col("cs"), step, d)
+                ds = _dists(F.col("coords"), F.col("cs"), max(count.values()), d)
                 near = ds[0] if len(ds) == 1 else F.least(*ds)
-            far = joined.groupBy("part").agg(
-                F.max(F.struct(near.alias("m"), (-F.col("ord")).alias("neg_ord"), "id", "coords")).alias("b")) \
-                .filter(F.col("b.m") > 0).collect()
-            if not far:
-                break
-            rows += [(int(r["part"]), step, r["b"]["id"], -r["b"]["neg_ord"], list(r["b"]["coords"])) for r in far]
+            live = joined.filter(~F.col("part").isin(sorted(done))) if done else joined
+            w = Window.partitionBy("part").orderBy(F.desc("m"), F.asc("ord"))
+            cands = live.select("part", "id", "ord", "coords", near.alias("m")) \
+                .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= top).collect()
+            by_part: dict[int, list] = {}
+            for r in cands:
+                by_part.setdefault(int(r["part"]), []).append(r)
+            for part, cs in by_part.items():
+                cs.sort(key=lambda r: (-r["m"], r["ord"]))
+                complete = len(cs) < top          # every point of the group is a candidate
+                bound = cs[-1]["m"]               # no point outside the list is farther
+                if cs[0]["m"] <= 0:               # farthest point at distance 0: group done
+                    done.add(part)
+                    continue
+                coords = np.array([list(r["coords"]) for r in cs], dtype=float)
+                dist = np.array([r["m"] for r in cs], dtype=float)
+                ords = np.array([r["ord"] for r in cs], dtype=np.int64)
+                taken = np.zeros(len(cs), dtype=bool)
+                j = 0                             # the true farthest point of the group
+                while True:
+                    r = cs[j]
+                    rows.append((part, count[part], r["id"], r["ord"], list(r["coords"])))
+                    count[part] += 1
+                    taken[j] = True
+                    if count[part] >= m:
+                        done.add(part)
+                        break
+                    dist = np.minimum(dist, _left_fold_dist(coords, coords[j]))
+                    dist[taken] = -1.0
+                    best = dist.max()
+                    ties = np.nonzero(dist == best)[0]
+                    j = int(ties[np.argmin(ords[ties])])  # lowest ord among the farthest
+                    if dist[j] <= 0:
+                        if complete:
+                            done.add(part)
+                        break
+                    if not (complete or dist[j] > bound):
+                        break
         return spark.createDataFrame(rows, FFT_SCHEMA)
     finally:
         pts.unpersist()

@@ -86,3 +86,18 @@ def test_objective_guards(spark):
     assert objective.objective_value(objective.objective_distinct(pts, pts, 0)) == 0.0
     with pytest.raises(Exception):
         objective.objective_value(objective.objective_points(pts, pts.limit(1), 5))
+
+
+@pytest.mark.parametrize("lookahead", [1, 3, 16, 500])
+def test_fft_lookahead_exact_with_ties(spark, lookahead):
+    pts_df = coreset.assign_parts(tables.points_part_1d(spark, SF_CHECK), 3)
+    m = 9
+    got = {}
+    for r in coreset.fft_centers(pts_df, m, lookahead=lookahead).collect():
+        got.setdefault(r["part"], []).append((r["step"], r["id"]))
+    rows = pts_df.collect()
+    for part in range(3):
+        sel = sorted([r for r in rows if r["part"] == part], key=lambda r: r["ord"])
+        pts = np.array([r["coords"] for r in sel])
+        chosen = bf.fft(pts, np.array([r["ord"] for r in sel]), m)
+        assert [i for _, i in sorted(got[part])] == [sel[c]["id"] for c in chosen]
