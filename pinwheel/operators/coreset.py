@@ -6,7 +6,7 @@ k-center with outliers (alpha = 2) on that coreset of at most (k+z+1) * L points
 
 Execution
 - The traversal is one pass over the points per step or fewer, for all groups at once
-  (certified lookahead, see ``fft_centers``): each point's distance to its
+  (certified per-cell maxima, see ``fft_centers``): each point's distance to its
   group's centers so far is an unrolled ``least`` over the group's centers (at most k+z+1
   per group, L groups: bounded by the parameters), inlined as literals when the table is
   small and otherwise a broadcast array whose size is checked before broadcasting,
@@ -26,7 +26,6 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from pinwheel.functions.distance import euclidean, euclidean_sql
 from pinwheel.operators.geometry import PointStats, merge_duplicates, validate_points
@@ -86,18 +85,27 @@ def _literal_min_dist(rows: list[tuple], d: int) -> Column:
     return expr
 
 
-def _left_fold_dist(points: np.ndarray, center: np.ndarray) -> np.ndarray:
-    """Distances from candidate rows to one center, summed dimension by dimension exactly as
-    the Spark expressions do (IEEE operations in the same order give the same bits)."""
-    total = np.zeros(len(points))
-    for i in range(points.shape[1]):
-        diff = points[:, i] - center[i]
-        total = total + diff * diff
-    return np.sqrt(total)
+# Cells of the traversal's certificate grid per group (spread over up to 3 dimensions).
+CERT_CELLS = 1024
+_CERT_DIMS = 3
+# Relative margin that keeps box-to-center distances below the computed point distances.
+_BOX_MARGIN = 1e-9
+
+
+def _box_lower_bound(lo: np.ndarray, hi: np.ndarray, center: np.ndarray) -> float:
+    """A lower bound of the distance from ``center`` to any point in the box [lo, hi]."""
+    gap = np.maximum(np.maximum(lo - center, center - hi), 0.0)
+    return float(np.sqrt(np.sum(gap * gap))) * (1.0 - _BOX_MARGIN)
+
+
+def _box_upper_bound(lo: np.ndarray, hi: np.ndarray, center: np.ndarray) -> float:
+    """An upper bound of the distance from ``center`` to any point in the box [lo, hi]."""
+    far = np.maximum(np.abs(lo - center), np.abs(hi - center))
+    return float(np.sqrt(np.sum(far * far))) * (1.0 + _BOX_MARGIN)
 
 
 def fft_centers(points: DataFrame, m: int, parts: int | None = None,
-                stats: PointStats | None = None, lookahead: int | None = None) -> DataFrame:
+                stats: PointStats | None = None, cells: int = CERT_CELLS) -> DataFrame:
     """Farthest-first traversal with ``m`` centers inside every group (C1).
 
     Starts at the group's first point (lowest ord); each step adds the point farthest from
@@ -105,24 +113,46 @@ def fft_centers(points: DataFrame, m: int, parts: int | None = None,
     is at distance 0 (fewer than m distinct points). Output: part, step, id, ord, coords.
 
     Each pass over the points computes every point's distance to its group's centers and
-    returns the ``lookahead`` farthest points per group (default 4m, a per-group top-n that
-    is limited inside every task before the shuffle). The first of them is the next center.
-    Later steps are taken among these candidates only while that is provably exact: the
-    chosen candidate's updated distance must exceed the smallest distance in the candidate
-    list, which bounds every point outside it. Otherwise the next pass starts. So a pass
-    yields at least one center and often several; ``lookahead=1`` gives one per pass.
+    returns, per group and per cell of a coarse grid, the farthest point of the cell (a
+    partial aggregate: at most ``cells`` rows per group). Its overall maximum is the next
+    center. Further centers are then chosen from these rows without a new pass as long as
+    that is provably exact: a cell whose box is at least its maximum away from every new
+    center keeps its maximum exactly; other cells only keep it as an upper bound; the next
+    center is certain when the best exact cell beats every upper bound. Traversal centers
+    are spread out, so most cells stay exact and a pass usually yields several centers.
+    ``cells=1`` gives one center per pass.
     """
     spark = points.sparkSession
     pts = assign_parts(points, parts) if parts else points
     stats = stats or validate_points(pts)
     d = stats.d
-    top = max(1, lookahead if lookahead is not None else 4 * m)
-    pts = pts.select("part", "id", "ord", "coords").persist(StorageLevel.MEMORY_AND_DISK)
+    g = min(d, _CERT_DIMS)
+    res = max(1, int(round(max(cells, 1) ** (1.0 / g)))) if g else 1
+    pts = pts.select("part", "id", "ord", "coords")
+    # One pass: every group's first point and bounding box (partial aggregates).
+    first = pts.groupBy("part").agg(
+        F.min(F.struct("ord", "id", "coords")).alias("c"),
+        *[F.min(F.col("coords").getItem(i)).alias(f"lo{i}") for i in range(g)],
+        *[F.max(F.col("coords").getItem(i)).alias(f"hi{i}") for i in range(g)]).collect()
+    rows = [(int(r["part"]), 0, r["c"]["id"], r["c"]["ord"], list(r["c"]["coords"])) for r in first]
+    count = {int(r["part"]): 1 for r in first}
+    done = {p for p, c in count.items() if c >= m}
+    # Per-group grid: cell = floor((x - lo) / width), clamped; at most L rows, broadcast.
+    boxes = {}
+    for r in first:
+        lo = np.array([r[f"lo{i}"] for i in range(g)], dtype=float)
+        hi = np.array([r[f"hi{i}"] for i in range(g)], dtype=float)
+        boxes[int(r["part"])] = (lo, np.where(hi > lo, (hi - lo) / res, 1.0))
+    if g:
+        grid = spark.createDataFrame(
+            [(p, *[float(v) for v in lo], *[float(v) for v in w]) for p, (lo, w) in boxes.items()],
+            "part int, " + ", ".join([f"_lo{i} double" for i in range(g)] + [f"_w{i} double" for i in range(g)]))
+        pts = pts.join(F.broadcast(grid), "part").select(
+            "part", "id", "ord", "coords",
+            *[F.least(F.greatest(F.floor((F.col("coords").getItem(i) - F.col(f"_lo{i}")) / F.col(f"_w{i}")),
+                                 F.lit(0)), F.lit(res - 1)).cast("int").alias(f"_g{i}") for i in range(g)])
+    pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        first = pts.groupBy("part").agg(F.min(F.struct("ord", "id", "coords")).alias("c")).collect()
-        rows = [(int(r["part"]), 0, r["c"]["id"], r["c"]["ord"], list(r["c"]["coords"])) for r in first]
-        count = {int(r["part"]): 1 for r in first}
-        done = {p for p, c in count.items() if c >= m}
         while len(done) < len(count):
             if len(rows) * max(d, 1) <= LITERAL_VALUES:
                 joined, near = pts, _literal_min_dist(rows, d)
@@ -131,43 +161,45 @@ def fft_centers(points: DataFrame, m: int, parts: int | None = None,
                 ds = _dists(F.col("coords"), F.col("cs"), max(count.values()), d)
                 near = ds[0] if len(ds) == 1 else F.least(*ds)
             live = joined.filter(~F.col("part").isin(sorted(done))) if done else joined
-            w = Window.partitionBy("part").orderBy(F.desc("m"), F.asc("ord"))
-            cands = live.select("part", "id", "ord", "coords", near.alias("m")) \
-                .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= top).collect()
+            keys = [f"_g{i}" for i in range(g)]
+            tops = live.select("part", *keys, near.alias("m"), "ord", "id", "coords") \
+                .groupBy("part", *keys).agg(
+                    F.max(F.struct("m", (-F.col("ord")).alias("neg_ord"), "id", "coords")).alias("b")).collect()
             by_part: dict[int, list] = {}
-            for r in cands:
-                by_part.setdefault(int(r["part"]), []).append(r)
+            for r in tops:
+                b = r["b"]
+                lo, width = boxes[int(r["part"])]
+                slack = width * 1e-6  # a point may sit a rounding error outside its computed cell
+                cell = np.array([r[k] for k in keys], dtype=float)
+                by_part.setdefault(int(r["part"]), []).append(
+                    [True, b["m"], b["neg_ord"], b["id"], list(b["coords"]),
+                     lo + cell * width - slack, lo + (cell + 1) * width + slack])
             for part, cs in by_part.items():
-                cs.sort(key=lambda r: (-r["m"], r["ord"]))
-                complete = len(cs) < top          # every point of the group is a candidate
-                bound = cs[-1]["m"]               # no point outside the list is farther
-                if cs[0]["m"] <= 0:               # farthest point at distance 0: group done
-                    done.add(part)
-                    continue
-                coords = np.array([list(r["coords"]) for r in cs], dtype=float)
-                dist = np.array([r["m"] for r in cs], dtype=float)
-                ords = np.array([r["ord"] for r in cs], dtype=np.int64)
-                taken = np.zeros(len(cs), dtype=bool)
-                j = 0                             # the true farthest point of the group
+                # cell: [exact?, max (or upper bound when not exact), -ord, id, coords, lo, hi]
                 while True:
-                    r = cs[j]
-                    rows.append((part, count[part], r["id"], r["ord"], list(r["coords"])))
-                    count[part] += 1
-                    taken[j] = True
-                    if count[part] >= m:
+                    exact = [c for c in cs if c[0]]
+                    bound = max((c[1] for c in cs if not c[0]), default=float("-inf"))
+                    if not exact:
+                        break
+                    best = max(exact, key=lambda c: (c[1], c[2]))
+                    if best[1] <= 0 and bound <= 0:      # farthest point at distance 0: done
                         done.add(part)
                         break
-                    dist = np.minimum(dist, _left_fold_dist(coords, coords[j]))
-                    dist[taken] = -1.0
-                    best = dist.max()
-                    ties = np.nonzero(dist == best)[0]
-                    j = int(ties[np.argmin(ords[ties])])  # lowest ord among the farthest
-                    if dist[j] <= 0:
-                        if complete:
-                            done.add(part)
+                    if not best[1] > bound:              # not provably the farthest
                         break
-                    if not (complete or dist[j] > bound):
+                    rows.append((part, count[part], best[3], -best[2], best[4]))
+                    count[part] += 1
+                    if count[part] >= m:
+                        done.add(part)
                         break
+                    center = np.array(best[4][:g], dtype=float)
+                    best[0] = False                      # its cell's maximum is now unknown
+                    for c in cs:
+                        if c[0] and _box_lower_bound(c[5], c[6], center) >= c[1]:
+                            continue                     # no point of the cell gets closer
+                        c[0] = False
+                        if g == d:                       # new distances are at most the box reach
+                            c[1] = min(c[1], _box_upper_bound(c[5], c[6], center))
         return spark.createDataFrame(rows, FFT_SCHEMA)
     finally:
         pts.unpersist()

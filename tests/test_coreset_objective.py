@@ -88,12 +88,12 @@ def test_objective_guards(spark):
         objective.objective_value(objective.objective_points(pts, pts.limit(1), 5))
 
 
-@pytest.mark.parametrize("lookahead", [1, 3, 16, 500])
-def test_fft_lookahead_exact_with_ties(spark, lookahead):
+@pytest.mark.parametrize("cells", [1, 4, 64, 1024])
+def test_fft_certified_cells_exact_with_ties(spark, cells):
     pts_df = coreset.assign_parts(tables.points_part_1d(spark, SF_CHECK), 3)
     m = 9
     got = {}
-    for r in coreset.fft_centers(pts_df, m, lookahead=lookahead).collect():
+    for r in coreset.fft_centers(pts_df, m, cells=cells).collect():
         got.setdefault(r["part"], []).append((r["step"], r["id"]))
     rows = pts_df.collect()
     for part in range(3):
@@ -101,3 +101,17 @@ def test_fft_lookahead_exact_with_ties(spark, lookahead):
         pts = np.array([r["coords"] for r in sel])
         chosen = bf.fft(pts, np.array([r["ord"] for r in sel]), m)
         assert [i for _, i in sorted(got[part])] == [sel[c]["id"] for c in chosen]
+
+
+def test_fft_high_dimension_matches_bruteforce(spark):
+    emb = coreset.assign_parts(tables.points_embeddings(spark, SF_CHECK).drop("label"), 2)
+    m = 6
+    got = {}
+    for r in coreset.fft_centers(emb, m).collect():
+        got.setdefault(r["part"], []).append((r["step"], r["id"]))
+    rows = emb.collect()
+    for part in range(2):
+        sel = sorted([r for r in rows if r["part"] == part], key=lambda r: r["ord"])
+        pts = np.array([r["coords"] for r in sel])
+        chosen = bf.fft(pts, np.array([r["ord"] for r in sel]), m)
+        assert [i for _, i in sorted(got[part])] == [sel[c]["id"] for c in chosen]
