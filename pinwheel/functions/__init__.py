@@ -1,5 +1,5 @@
-from pinwheel.functions.distance import euclidean, min_distance, nearest, sqdist
+from pinwheel.functions.distance import double_sql, euclidean, euclidean_sql, sqdist
 from pinwheel.functions.parse import field, split_fields, strict_double, strict_int, to_vector
 
-__all__ = ["euclidean", "min_distance", "nearest", "sqdist", "field", "split_fields",
-           "strict_double", "strict_int", "to_vector"]
+__all__ = ["double_sql", "euclidean", "euclidean_sql", "sqdist", "field", "split_fields", "strict_double",
+           "strict_int", "to_vector"]

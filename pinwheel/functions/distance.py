@@ -65,26 +65,3 @@ def euclidean_sql(col: str, center: Sequence[float], d: int) -> str:
         c = double_sql(center[i])
         terms.append(f"({col}[{i}] - {c}) * ({col}[{i}] - {c})")
     return "sqrt(" + " + ".join(terms) + ")"
-
-
-def min_distance(coords: Column, centers: Column, d: int, field: str = "coords") -> Column:
-    """Distance from ``coords`` to the nearest element of an array of center structs."""
-    return F.aggregate(centers, F.lit(float("inf")),
-                       lambda acc, c: F.least(acc, euclidean(coords, c[field], d)))
-
-
-def nearest(coords: Column, centers: Column, d: int, key: str = "step",
-            field: str = "coords") -> Column:
-    """Struct ``(dist, <key>)`` of the nearest center in an array sorted by ``key``.
-
-    A later center replaces the current one only when strictly closer, so ties go to the
-    lowest key.
-    """
-    start = F.struct(F.lit(float("inf")).alias("dist"), F.lit(None).cast("long").alias(key))
-
-    def step(acc, c):
-        dist = euclidean(coords, c[field], d)
-        return F.when(dist < acc["dist"], F.struct(dist.alias("dist"), c[key].cast("long").alias(key))) \
-            .otherwise(acc)
-
-    return F.aggregate(centers, start, step)
