@@ -100,9 +100,11 @@ def _per_guess(centers: dict[int, list[float]], d: int) -> Column:
 
 # Relative slack on the triangle-inequality prefilter of the incremental update.
 _REACH_SLACK = 1e-9
-# Incremental steps pay a state write per step; they are chosen when recomputing the balls
-# would test more than this many pairs per state row.
-INCREMENTAL_FACTOR = 8
+# Incremental steps pay a state write and read per step (a fixed cost per job plus a few
+# bytes per row); they are chosen when recomputing the balls would test both more than
+# INCREMENTAL_FACTOR pairs per state row and more than INCREMENTAL_MIN_PAIRS pairs in all.
+INCREMENTAL_FACTOR = 64
+INCREMENTAL_MIN_PAIRS = 100_000_000
 
 
 def _active_filter(centers: dict[int, list[list[float]]], d: int) -> Column:
@@ -148,7 +150,8 @@ def greedy_batch(merged: DataFrame, stats: PointStats, guesses: list[tuple[int,
     # when recomputing them each step would test many pairs per point.
     load = cell_load(pg, d, ["g"]) if not small else {}
     aggregate_cells = max((h for h, _ in load.values()), default=0) > HOT_CELL
-    incremental = sum(p for _, p in load.values()) > INCREMENTAL_FACTOR * len(guesses) * stats.n
+    pairs = sum(p for _, p in load.values())
+    incremental = pairs > INCREMENTAL_FACTOR * len(guesses) * stats.n and pairs > INCREMENTAL_MIN_PAIRS
 
     chosen: dict[int, list[tuple]] = {g: [] for g, _, _ in guesses}
     running = set(chosen)

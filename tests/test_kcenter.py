@@ -24,6 +24,7 @@ def _arrays(df):
 def test_kcenter_matches_bruteforce(spark, table, k, z, guesses, ncenters, hot, incremental, monkeypatch):
     # hot = 0 forces fine-cell aggregation; incremental = 0 forces incremental ball updates.
     monkeypatch.setattr(kcenter, "INCREMENTAL_FACTOR", incremental)
+    monkeypatch.setattr(kcenter, "INCREMENTAL_MIN_PAIRS", incremental)
     monkeypatch.setattr(geometry, "HOT_CELL", hot)
     monkeypatch.setattr(kcenter, "HOT_CELL", hot)
     monkeypatch.setattr(kcenter, "SMALL_INPUT", 0)
@@ -41,6 +42,7 @@ def test_kcenter_matches_bruteforce(spark, table, k, z, guesses, ncenters, hot,
 @pytest.mark.parametrize("incremental", [0, 10 ** 9])
 def test_greedy_cover_fixed_radius(spark, incremental, monkeypatch):
     monkeypatch.setattr(kcenter, "INCREMENTAL_FACTOR", incremental)
+    monkeypatch.setattr(kcenter, "INCREMENTAL_MIN_PAIRS", incremental)
     pts_df = tables.points_customer(spark, SF_CHECK)
     centers, left = kcenter.greedy_cover(pts_df, 400.0, 4)
     pts, w, o, ids = _arrays(pts_df)
@@ -93,6 +95,7 @@ def test_bad_arguments(spark):
 @pytest.mark.parametrize("incremental", [0, 10 ** 9])
 def test_weighted_points(spark, incremental, monkeypatch):
     monkeypatch.setattr(kcenter, "INCREMENTAL_FACTOR", incremental)
+    monkeypatch.setattr(kcenter, "INCREMENTAL_MIN_PAIRS", incremental)
     monkeypatch.setattr(kcenter, "SMALL_INPUT", 0)
     coords = [[0.0], [1.0], [10.0], [11.0], [30.0]]
     weights = [5, 1, 1, 1, 3]
@@ -108,6 +111,7 @@ def test_hot_spot_auto_strategy(spark, monkeypatch):
     incremental updates by itself and still matches the sequential result."""
     monkeypatch.setattr(geometry, "HOT_CELL", 500)
     monkeypatch.setattr(kcenter, "HOT_CELL", 500)
+    monkeypatch.setattr(kcenter, "INCREMENTAL_MIN_PAIRS", 0)
     picked = {}
     real = kcenter.ball_weight_sums
 
