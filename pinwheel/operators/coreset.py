@@ -265,7 +265,7 @@ def mr_kcenter(points: DataFrame, k: int, z: int, parts: int, alpha: float = 2.0
     stats = validate_points(pts)
     core = partition_coreset(pts, k, z, parts, stats=stats).persist(StorageLevel.MEMORY_AND_DISK)
     solution = kcenter_outliers(core.select("id", "ord", "coords", "w"), k, z, alpha, guard_n=stats.n)
-    obj = objective_value(objective_partitioned(pts, solution.centers, z)) if stats.n else 0.0
+    obj = objective_value(objective_partitioned(pts, solution.centers, z, stats=stats)) if stats.n else 0.0
     solution.extra = {"parts": parts}
     return TwoRoundResult(solution, core, obj, parts)
 

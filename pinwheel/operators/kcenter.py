@@ -74,6 +74,7 @@ class KCenterResult:
     guesses: int
     left_weight: int
     extra: dict = field(default_factory=dict)
+    stats: PointStats | None = None  # of the input points, for follow-up operators
 
     def metrics(self, spark: SparkSession, objective: float | None = None) -> DataFrame:
         row = {"n": self.n, "k": self.k, "z": self.z, "initial_guess": float(self.initial_guess),
@@ -256,11 +257,11 @@ def kcenter_outliers(points: DataFrame, k: int, z: int, alpha: float = 0.0, guar
     n = stats.n if guard_n is None else guard_n
     empty = spark.createDataFrame([], CENTER_SCHEMA).drop("g")
     if k > n or n == 0 or n <= z:
-        return KCenterResult(empty, n, k, z, alpha, 0.0, 0.0, 0, 0)
+        return KCenterResult(empty, n, k, z, alpha, 0.0, 0.0, 0, 0, stats=stats)
     if n == k and guard_n is None:
         allp = pts.select(F.col("ord").cast("int").alias("step"), "id", "ord", "coords",
                           F.col("w").alias("ball_weight"))
-        return KCenterResult(allp, n, k, z, alpha, 0.0, 0.0, 0, 0)
+        return KCenterResult(allp, n, k, z, alpha, 0.0, 0.0, 0, 0, stats=stats)
 
     merged = merge_duplicates(pts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -269,7 +270,7 @@ def kcenter_outliers(points: DataFrame, k: int, z: int, alpha: float = 0.0, guar
             # Every distinct point is a center; nothing is left uncovered at radius 0.
             cs = merged.select(F.col("ord").cast("int").alias("step"), "id", "ord", "coords",
                                F.col("w").alias("ball_weight"))
-            return KCenterResult(cs, n, k, z, alpha, 0.0, 0.0, 1, 0)
+            return KCenterResult(cs, n, k, z, alpha, 0.0, 0.0, 1, 0, stats=stats)
         m = min(k + z + 1, stats.n)
         r0 = initial_guess(pts, m, stats.d).collect()[0]["r0"]
         r0 = float(r0) if r0 is not None else 0.0
@@ -291,7 +292,7 @@ def kcenter_outliers(points: DataFrame, k: int, z: int, alpha: float = 0.0, guar
             if ok:
                 g = ok[0]
                 centers = res.centers.filter(F.col("g") == g).drop("g")
-                return KCenterResult(centers, n, k, z, alpha, r0, rs[g - g0], g + 1, res.left[g])
+                return KCenterResult(centers, n, k, z, alpha, r0, rs[g - g0], g + 1, res.left[g], stats=stats)
             g0 += batch
         raise RuntimeError("radius search did not finish")
     finally:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pinwheel.operators.geometry import collect_centers, min_dist_literal, validate_points
+from pinwheel.operators.geometry import PointStats, collect_centers, min_dist_literal, validate_points
 
 
 def _kth_largest(values: DataFrame, z: int) -> DataFrame:
@@ -36,9 +36,12 @@ def _zero(points: DataFrame) -> DataFrame:
     return points.sparkSession.range(1).select(F.lit(0.0).alias("objective"))
 
 
-def objective_distinct(points: DataFrame, centers: DataFrame, z: int) -> DataFrame:
-    """(z+1)-th largest distinct value of d(x, S); 0 when |P| = |S| or S is empty (O1)."""
-    stats = validate_points(points)
+def objective_distinct(points: DataFrame, centers: DataFrame, z: int,
+                       stats: PointStats | None = None) -> DataFrame:
+    """(z+1)-th largest distinct value of d(x, S); 0 when |P| = |S| or S is empty (O1).
+
+    ``stats`` (from ``validate_points``) saves a pass when the caller already has it."""
+    stats = stats or validate_points(points)
     cs = collect_centers(centers)
     if not cs or stats.n == len(cs):
         return _zero(points)
@@ -46,10 +49,11 @@ def objective_distinct(points: DataFrame, centers: DataFrame, z: int) -> DataFra
     return _kth_largest(dist, z)
 
 
-def objective_partitioned(points: DataFrame, centers: DataFrame, z: int, parts: int | None = None) -> DataFrame:
+def objective_partitioned(points: DataFrame, centers: DataFrame, z: int, parts: int | None = None,
+                          stats: PointStats | None = None) -> DataFrame:
     """Distinct d(x, S) per group ``part`` (``pmod(id, parts)`` when given), top z+1 per
     group, then the (z+1)-th largest of the union (O2). 0 when S is empty."""
-    stats = validate_points(points)
+    stats = stats or validate_points(points)
     cs = collect_centers(centers)
     if not cs:
         return _zero(points)
@@ -60,9 +64,10 @@ def objective_partitioned(points: DataFrame, centers: DataFrame, z: int, parts:
     return _kth_largest(top, z)
 
 
-def objective_points(points: DataFrame, centers: DataFrame, z: int) -> DataFrame:
+def objective_points(points: DataFrame, centers: DataFrame, z: int,
+                     stats: PointStats | None = None) -> DataFrame:
     """(z+1)-th largest d(x, S) over all points, duplicates kept (O3). 0 when S is empty."""
-    stats = validate_points(points)
+    stats = stats or validate_points(points)
     cs = collect_centers(centers)
     if not cs:
         return _zero(points)

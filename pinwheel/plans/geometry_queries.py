@@ -141,7 +141,7 @@ def q_kcenter_outliers(spark, sf_dir):
 def q_kcenter_metrics(spark, sf_dir):
     pts = tables.points_customer(spark, sf_dir)
     res = kcenter.kcenter_outliers(pts, K, Z, 0.0)
-    obj = objective.objective_value(objective.objective_distinct(pts, res.centers, Z))
+    obj = objective.objective_value(objective.objective_distinct(pts, res.centers, Z, stats=res.stats))
     return res.metrics(spark, obj).select("n", "k", "z", "initial_guess", "final_guess", "guesses",
                                           "left_weight", "objective")
 
