@@ -115,3 +115,16 @@ def test_fft_high_dimension_matches_bruteforce(spark):
         pts = np.array([r["coords"] for r in sel])
         chosen = bf.fft(pts, np.array([r["ord"] for r in sel]), m)
         assert [i for _, i in sorted(got[part])] == [sel[c]["id"] for c in chosen]
+
+
+def test_partition_independence_of_iterative_operators(spark):
+    from pinwheel.operators import kcenter
+    results = []
+    for n in (1, 4, 13):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        pts = coreset.assign_parts(tables.points_supplier(spark, SF_CHECK), 3)
+        fft = sorted(tuple(r) for r in coreset.fft_centers(pts, 5).select("part", "step", "id").collect())
+        res = kcenter.kcenter_outliers(pts.drop("part"), 4, 6)
+        results.append((fft, [r["id"] for r in res.centers.orderBy("step").collect()], res.final_guess))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert results[0] == results[1] == results[2]
