@@ -87,6 +87,9 @@ def _literal_min_dist(rows: list[tuple], d: int) -> Column:
 
 # Cells of the traversal's certificate grid per group (spread over up to 3 dimensions).
 CERT_CELLS = 1024
+# Bound on the rows a traversal pass brings to the driver (cells x groups); with many
+# groups each group gets fewer cells.
+CERT_ROWS = 200_000
 _CERT_DIMS = 3
 # Relative margin that keeps box-to-center distances below the computed point distances.
 _BOX_MARGIN = 1e-9
@@ -127,7 +130,6 @@ def fft_centers(points: DataFrame, m: int, parts: int | None = None,
     stats = stats or validate_points(pts)
     d = stats.d
     g = min(d, _CERT_DIMS)
-    res = max(1, int(round(max(cells, 1) ** (1.0 / g)))) if g else 1
     pts = pts.select("part", "id", "ord", "coords")
     # One pass: every group's first point and bounding box (partial aggregates).
     first = pts.groupBy("part").agg(
@@ -136,6 +138,8 @@ def fft_centers(points: DataFrame, m: int, parts: int | None = None,
         *[F.max(F.col("coords").getItem(i)).alias(f"hi{i}") for i in range(g)]).collect()
     rows = [(int(r["part"]), 0, r["c"]["id"], r["c"]["ord"], list(r["c"]["coords"])) for r in first]
     count = {int(r["part"]): 1 for r in first}
+    per_group = max(1, min(cells, CERT_ROWS // max(len(first), 1)))
+    res = max(1, int(round(per_group ** (1.0 / g)))) if g else 1
     done = {p for p, c in count.items() if c >= m}
     # Per-group grid: cell = floor((x - lo) / width), clamped; at most L rows, broadcast.
     boxes = {}
