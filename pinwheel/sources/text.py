@@ -61,16 +61,30 @@ def parse_points(lines: DataFrame, value: str = "value") -> DataFrame:
     return lines.withColumn("coords", to_vector(value)).drop(value)
 
 
-def read_points(spark: SparkSession, path: str, min_splits: int | None = None) -> DataFrame:
-    """Point lines as (id, ord, coords), where ``id = ord`` is the line's position in the input.
+def read_points(spark: SparkSession, path: str) -> DataFrame:
+    """Point lines as (id, ord, coords), where ``id = ord`` is the line's position in the input
+    (files in path order, lines in file order, numbered from 0).
 
     "First point" and first-wins ties are part of the questions, so the input order has to
-    survive as a column. The RDD text reader keeps splits in file order and ``zipWithIndex``
-    numbers lines across splits with one extra pass; the DataFrame text reader packs splits by
-    size and does not promise that order.
+    survive as a column. File splits are packed into partitions by size, not in file order, so
+    the number is built from the split metadata instead: one aggregate counts the lines of each
+    split (file, start offset) and finds the split's first ``monotonically_increasing_id``;
+    prefix sums over the splits in file order (one row per split, a small table) give each
+    split's first line number, and a join adds the line's position inside its split. The text
+    never leaves the JVM.
     """
-    rdd = spark.sparkContext.textFile(path, min_splits) if min_splits else spark.sparkContext.textFile(path)
-    indexed = rdd.zipWithIndex().map(lambda t: (t[1], t[0]))
-    schema = T.StructType([T.StructField("id", T.LongType(), False), T.StructField("value", T.StringType())])
-    lines = spark.createDataFrame(indexed, schema)
-    return parse_points(lines).select("id", F.col("id").alias("ord"), "coords")
+    raw = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_mid"))
+    splits = raw.groupBy("_file", "_start").agg(
+        F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n")).collect()
+    offsets, total = [], 0
+    for r in sorted(splits, key=lambda r: (r["_file"], r["_start"])):
+        offsets.append((r["_file"], int(r["_start"]), int(r["_first"]), total))
+        total += int(r["_n"])
+    table = spark.createDataFrame(offsets, "_file string, _start long, _first long, _offset long")
+    numbered = raw.join(table, ["_file", "_start"]).select(
+        (F.col("_offset") + F.col("_mid") - F.col("_first")).alias("id"), "value")
+    return parse_points(numbered).select("id", F.col("id").alias("ord"), "coords")

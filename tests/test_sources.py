@@ -14,11 +14,18 @@ def _write(folder, name, lines):
 
 def test_read_points_keeps_file_order(spark):
     folder = tempfile.mkdtemp(prefix="pinwheel-pts-")
-    lines = [f"{i}.5,{-i}," for i in range(50)]
-    _write(folder, "points.txt", lines)
-    pts = read_points(spark, os.path.join(folder, "points.txt"), 4).orderBy("ord").collect()
-    assert [r["ord"] for r in pts] == list(range(50))
-    assert [list(r["coords"]) for r in pts][:2] == [[0.5, 0.0], [1.5, -1.0]]
+    for f in range(3):
+        _write(folder, f"points-{f}.txt", [f"{f * 1000 + i}.5,{-i}," for i in range(60)])
+    # Small splits: every file is cut into several splits that land in partitions out of order.
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    try:
+        pts = read_points(spark, folder).orderBy("ord").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r["ord"] for r in pts] == list(range(180))
+    assert [r["id"] for r in pts] == list(range(180))
+    want = [[f * 1000 + i + 0.5, float(-i)] for f in range(3) for i in range(60)]
+    assert [list(r["coords"]) for r in pts] == want
 
 
 def test_read_points_rejects_bad_number(spark):
