@@ -37,6 +37,15 @@ MAX_BROADCAST_VALUES = 5_000_000
 # Center tables up to this many values are inlined as literals (no join at all).
 LITERAL_VALUES = 4096
 
+CORESET_SCHEMA = T.StructType([
+    T.StructField("ord", T.LongType()),
+    T.StructField("part", T.IntegerType()),
+    T.StructField("step", T.IntegerType()),
+    T.StructField("id", T.LongType()),
+    T.StructField("coords", T.ArrayType(T.DoubleType())),
+    T.StructField("w", T.LongType()),
+])
+
 FFT_SCHEMA = T.StructType([
     T.StructField("part", T.IntegerType()),
     T.StructField("step", T.IntegerType()),
@@ -267,7 +276,10 @@ def mr_kcenter(points: DataFrame, k: int, z: int, parts: int, alpha: float = 2.0
         raise ValueError("k must be at least 1, z non-negative and L at least 1")
     pts = assign_parts(points, parts)
     stats = validate_points(pts)
-    core = partition_coreset(pts, k, z, parts, stats=stats).persist(StorageLevel.MEMORY_AND_DISK)
+    # The coreset has at most (k+z+1) * L rows: held as a local table, so round two carries
+    # no lineage back to the points and nothing stays cached.
+    core = partition_coreset(pts, k, z, parts, stats=stats)
+    core = pts.sparkSession.createDataFrame(core.collect(), CORESET_SCHEMA)
     solution = kcenter_outliers(core.select("id", "ord", "coords", "w"), k, z, alpha, guard_n=stats.n)
     obj = objective_value(objective_partitioned(pts, solution.centers, z, stats=stats)) if stats.n else 0.0
     solution.extra = {"parts": parts}

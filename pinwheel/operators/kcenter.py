@@ -222,8 +222,11 @@ def greedy_cover(points: DataFrame, radius: float, k: int, alpha: float = 0.0,
     """One greedy cover at a fixed radius (K1, K2): centers and the uncovered weight."""
     stats = stats or validate_points(points)
     merged = merge_duplicates(points).persist(StorageLevel.MEMORY_AND_DISK)
-    rin, rout = radii(alpha, radius)
-    res = greedy_batch(merged, stats, [(0, rin, rout)], k, small=stats.n <= SMALL_INPUT)
+    try:
+        rin, rout = radii(alpha, radius)
+        res = greedy_batch(merged, stats, [(0, rin, rout)], k, small=stats.n <= SMALL_INPUT)
+    finally:
+        merged.unpersist()
     return res.centers.drop("g"), res.left[0]
 
 
