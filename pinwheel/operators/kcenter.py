@@ -30,6 +30,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from pinwheel.functions.distance import euclidean_sql
 from pinwheel.operators.geometry import (HOT_CELL, PointStats, ball_weight_sums, cell_load, cell_side,
@@ -85,6 +86,12 @@ class KCenterResult:
         return spark.createDataFrame([row])
 
 
+def _step_by_ord() -> Column:
+    """Center numbers 0, 1, ... in input order, for the branches that return every point of a
+    set of at most k points (a window over at most k rows)."""
+    return (F.row_number().over(Window.orderBy("ord")) - 1).cast("int").alias("step")
+
+
 def radii(alpha: float, r: float) -> tuple[float, float]:
     """Inner and outer radius for guess r."""
     return (1 + 2 * alpha) * r, (3 + 4 * alpha) * r
@@ -262,7 +269,7 @@ def kcenter_outliers(points: DataFrame, k: int, z: int, alpha: float = 0.0, guar
     if k > n or n == 0 or n <= z:
         return KCenterResult(empty, n, k, z, alpha, 0.0, 0.0, 0, 0, stats=stats)
     if n == k and guard_n is None:
-        allp = pts.select(F.col("ord").cast("int").alias("step"), "id", "ord", "coords",
+        allp = pts.select(_step_by_ord(), "id", "ord", "coords",
                           F.col("w").alias("ball_weight"))
         return KCenterResult(allp, n, k, z, alpha, 0.0, 0.0, 0, 0, stats=stats)
 
@@ -271,7 +278,7 @@ def kcenter_outliers(points: DataFrame, k: int, z: int, alpha: float = 0.0, guar
         distinct_n = merged.count()
         if distinct_n <= k:
             # Every distinct point is a center; nothing is left uncovered at radius 0.
-            cs = merged.select(F.col("ord").cast("int").alias("step"), "id", "ord", "coords",
+            cs = merged.select(_step_by_ord(), "id", "ord", "coords",
                                F.col("w").alias("ball_weight"))
             return KCenterResult(cs, n, k, z, alpha, 0.0, 0.0, 1, 0, stats=stats)
         m = min(k + z + 1, stats.n)
