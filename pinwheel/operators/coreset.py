@@ -77,6 +77,37 @@ def _attach(points: DataFrame, centers: DataFrame, rows: int, d: int) -> DataFra
     return points.join(arrays, "part")
 
 
+# Up to this many centers per group the distances are unrolled (compiled); beyond it they are
+# folded over the center array with ``aggregate``, which keeps the generated code small.
+UNROLL_CENTERS = 64
+
+
+def _near_dist(coords: Column, cs: Column, count: int, d: int) -> Column:
+    """Distance to the nearest center of the group's array ``cs`` of (step, coords)."""
+    if count <= UNROLL_CENTERS:
+        ds = _dists(coords, cs, count, d)
+        return ds[0] if len(ds) == 1 else F.least(*ds)
+    return F.aggregate(cs, F.lit(float("inf")), lambda acc, c: F.least(acc, euclidean(coords, c["coords"], d)))
+
+
+def _near_step(coords: Column, cs: Column, count: int, d: int) -> Column:
+    """Step of the nearest center of ``cs`` (sorted by step); ties go to the lowest step."""
+    if count <= UNROLL_CENTERS:
+        dists = F.array(*_dists(coords, cs, count, d))
+        steps = F.transform(cs, lambda c: c["step"])
+        # array_min skips the missing entries of groups with fewer centers (nulls);
+        # array_position finds the first, i.e. lowest-step, center at that distance.
+        return F.element_at(steps, F.array_position(dists, F.array_min(dists)).cast("int"))
+    start = F.struct(F.lit(float("inf")).alias("d"), F.lit(None).cast("int").alias("s"))
+
+    def fold(acc, c):
+        dist = euclidean(coords, c["coords"], d)
+        # Only a strictly closer center replaces the current one: ties keep the lowest step.
+        return F.when(dist < acc["d"], F.struct(dist.alias("d"), c["step"].alias("s"))).otherwise(acc)
+
+    return F.aggregate(cs, start, fold)["s"]
+
+
 def _dists(coords: Column, cs: Column, count: int, d: int) -> list[Column]:
     return [euclidean(coords, F.get(cs, i).getField("coords"), d) for i in range(count)]
 
@@ -171,8 +202,7 @@ def fft_centers(points: DataFrame, m: int, parts: int | None = None,
                 joined, near = pts, _literal_min_dist(rows, d)
             else:
                 joined = _attach(pts, spark.createDataFrame(rows, FFT_SCHEMA), len(rows), d)
-                ds = _dists(F.col("coords"), F.col("cs"), max(count.values()), d)
-                near = ds[0] if len(ds) == 1 else F.least(*ds)
+                near = _near_dist(F.col("coords"), F.col("cs"), max(count.values()), d)
             live = joined.filter(~F.col("part").isin(sorted(done))) if done else joined
             keys = [f"_g{i}" for i in range(g)]
             tops = live.select("part", *keys, near.alias("m"), "ord", "id", "coords") \
@@ -229,13 +259,8 @@ def coreset_weights(points: DataFrame, centers: DataFrame, m: int, parts: int |
     d = stats.d
     rows = centers.count()
     joined = _attach(pts.select("part", "coords"), centers, rows, d)
-    dists = F.array(*_dists(F.col("coords"), F.col("cs"), m, d))
-    steps = F.transform(F.col("cs"), lambda c: c["step"])
-    with_d = joined.select("part", dists.alias("_d"), steps.alias("_s"))
-    # array_min skips the missing entries of groups with fewer than m centers (nulls);
-    # array_position finds the first, i.e. lowest-step, center at that distance.
-    choice = F.element_at(F.col("_s"), F.array_position(F.col("_d"), F.array_min(F.col("_d"))).cast("int"))
-    return with_d.select("part", choice.alias("step")).groupBy("part", "step") \
+    choice = _near_step(F.col("coords"), F.col("cs"), m, d)
+    return joined.select("part", choice.alias("step")).groupBy("part", "step") \
         .agg(F.count(F.lit(1)).alias("w"))
 
 

@@ -128,3 +128,25 @@ def test_partition_independence_of_iterative_operators(spark):
         results.append((fft, [r["id"] for r in res.centers.orderBy("step").collect()], res.final_guess))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert results[0] == results[1] == results[2]
+
+
+@pytest.mark.parametrize("unroll", [64, 2])
+def test_many_centers_per_group(spark, unroll, monkeypatch):
+    """k+z+1 beyond the unrolling limit: the folded form gives the same centers and weights."""
+    monkeypatch.setattr(coreset, "UNROLL_CENTERS", unroll)
+    monkeypatch.setattr(coreset, "LITERAL_VALUES", 0)   # force the broadcast-array path
+    pts_df = coreset.assign_parts(tables.points_supplier(spark, SF_CHECK), 2)
+    m = 12
+    centers = coreset.fft_centers(pts_df, m)
+    weights = {(r["part"], r["step"]): r["w"] for r in coreset.coreset_weights(pts_df, centers, m).collect()}
+    got = {}
+    for r in centers.collect():
+        got.setdefault(r["part"], []).append((r["step"], r["id"]))
+    rows = pts_df.collect()
+    for part in range(2):
+        sel = sorted([r for r in rows if r["part"] == part], key=lambda r: r["ord"])
+        pts = np.array([r["coords"] for r in sel])
+        chosen = bf.fft(pts, np.array([r["ord"] for r in sel]), m)
+        assert [i for _, i in sorted(got[part])] == [sel[c]["id"] for c in chosen]
+        arg, _ = bf.nearest(pts, [pts[c] for c in chosen])
+        assert [weights.get((part, s), 0) for s in range(len(chosen))] == list(np.bincount(arg, minlength=len(chosen)))
