@@ -110,11 +110,35 @@ def nearest_literal(dists: Column, centers: list[tuple]) -> tuple[Column, Column
     return best, F.element_at(ids, F.array_position(dists, best).cast("int"))
 
 
+# Center sets up to this many coordinates are inlined as literals (compiled code); larger
+# ones are attached as one broadcast row of arrays and folded with ``aggregate``.
+LITERAL_CENTER_VALUES = 1024
+
+
+def _attach_center_row(points: DataFrame, centers: list[tuple]) -> DataFrame:
+    """Add columns ``_cs`` (center coordinates) and ``_cid`` (center ids), in center order.
+
+    The center set is one row, bounded by ``collect_centers`` and broadcast; the join key is
+    constant, so every point gets the same row and nothing is multiplied."""
+    row = points.sparkSession.createDataFrame(
+        [(0, [c[2] for c in centers], [c[0] for c in centers])],
+        "_k int, _cs array<array<double>>, _cid array<bigint>")
+    return points.withColumn("_k", F.lit(0)).join(F.broadcast(row), "_k").drop("_k")
+
+
+def with_min_dist(points: DataFrame, centers: list[tuple], d: int, name: str = "dist") -> DataFrame:
+    """Add ``name``: distance from each point to its nearest center (null when none)."""
+    if len(centers) * max(d, 1) <= LITERAL_CENTER_VALUES:
+        return points.withColumn(name, min_dist_literal("coords", centers, d))
+    attached = _attach_center_row(points, centers)
+    near = F.aggregate("_cs", F.lit(float("inf")), lambda acc, c: F.least(acc, euclidean(F.col("coords"), c, d)))
+    return attached.withColumn(name, near).drop("_cs", "_cid")
+
+
 def dist_to_centers(points: DataFrame, centers: DataFrame, d: int | None = None) -> DataFrame:
     """Add ``dist``: distance from each point to its nearest center (V4)."""
     d = validate_points(points).d if d is None else d
-    cs = collect_centers(centers)
-    return points.withColumn("dist", min_dist_literal("coords", cs, d))
+    return with_min_dist(points, collect_centers(centers), d)
 
 
 def nearest_center(points: DataFrame, centers: DataFrame, d: int | None = None) -> DataFrame:
@@ -124,9 +148,22 @@ def nearest_center(points: DataFrame, centers: DataFrame, d: int | None = None)
     if not cs:
         return points.withColumn("dist", F.lit(None).cast("double")) \
             .withColumn("center_id", F.lit(None).cast("long"))
-    with_d = points.withColumn("_dists", literal_distances("coords", cs, d))
-    best, choice = nearest_literal(F.col("_dists"), cs)
-    return with_d.withColumn("dist", best).withColumn("center_id", choice).drop("_dists")
+    if len(cs) * max(d, 1) <= LITERAL_CENTER_VALUES:
+        with_d = points.withColumn("_dists", literal_distances("coords", cs, d))
+        best, choice = nearest_literal(F.col("_dists"), cs)
+        return with_d.withColumn("dist", best).withColumn("center_id", choice).drop("_dists")
+    attached = _attach_center_row(points, cs)
+    start = F.struct(F.lit(float("inf")).alias("d"), F.lit(None).cast("long").alias("c"))
+
+    def fold(acc, pair):
+        dist = euclidean(F.col("coords"), pair["c"], d)
+        # Only a strictly closer center replaces the current one: ties keep the earliest.
+        return F.when(dist < acc["d"], F.struct(dist.alias("d"), pair["i"].alias("c"))).otherwise(acc)
+
+    pairs = F.arrays_zip(F.col("_cs").alias("c"), F.col("_cid").alias("i"))
+    best = F.aggregate(pairs, start, fold)
+    return attached.withColumn("_best", best).select(
+        *points.columns, F.col("_best.d").alias("dist"), F.col("_best.c").alias("center_id"))
 
 
 def pair_distances(left: DataFrame, right: DataFrame, on: list[str], d: int) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pinwheel.operators.geometry import PointStats, collect_centers, min_dist_literal, validate_points
+from pinwheel.operators.geometry import PointStats, collect_centers, validate_points, with_min_dist
 
 
 def _kth_largest(values: DataFrame, z: int) -> DataFrame:
@@ -29,7 +29,7 @@ def _kth_largest(values: DataFrame, z: int) -> DataFrame:
 
 
 def _distances(points: DataFrame, centers, d: int) -> DataFrame:
-    return points.select("*", min_dist_literal("coords", centers, d).alias("dist"))
+    return with_min_dist(points, centers, d)
 
 
 def _zero(points: DataFrame) -> DataFrame:

@@ -100,3 +100,20 @@ def test_initial_guess_first_points(spark):
     pts = points_df(spark, [[0.0], [10.0], [4.0], [4.5]])
     assert geometry.initial_guess(pts, 3, 1).collect()[0]["r0"] == 2.0
     assert geometry.initial_guess(pts, 4, 1).collect()[0]["r0"] == 0.25
+
+
+@pytest.mark.parametrize("limit", [10 ** 6, 0])
+def test_large_center_sets_fold_over_one_row(spark, limit, monkeypatch):
+    """Above the literal limit the centers are attached as one broadcast row; same answers."""
+    monkeypatch.setattr(geometry, "LITERAL_CENTER_VALUES", limit)
+    rng = np.random.default_rng(5)
+    pts = rng.integers(0, 20, (200, 2)).astype(float)
+    cs = rng.integers(0, 20, (30, 2)).astype(float)
+    df = points_df(spark, pts)
+    cdf = points_df(spark, cs, ids=list(range(100, 130)))
+    rows = geometry.nearest_center(df, cdf).orderBy("id").collect()
+    arg, best = bf.nearest(pts, list(cs))
+    assert [r["center_id"] for r in rows] == [100 + int(a) for a in arg]
+    assert np.array_equal(np.array([r["dist"] for r in rows]), best)
+    dist = [r["dist"] for r in geometry.dist_to_centers(df, cdf).orderBy("id").collect()]
+    assert np.array_equal(np.array(dist), best)
