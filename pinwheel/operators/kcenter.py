@@ -32,10 +32,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from pinwheel.functions.distance import euclidean_sql
-from pinwheel.operators.geometry import (HOT_CELL, PointStats, ball_weight_sums, cell_load, cell_side,
-                                         fine_steps, initial_guess, merge_duplicates, min_dist_literal,
-                                         validate_points, with_weight)
+from pinwheel.functions.distance import euclidean, euclidean_sql
+from pinwheel.operators.geometry import (HOT_CELL, LITERAL_CENTER_VALUES, PointStats, ball_weight_sums,
+                                         cell_load, cell_side, fine_steps, initial_guess, merge_duplicates,
+                                         min_dist_literal, validate_points, with_weight)
 from pinwheel.session import checkpoint_dir
 
 GUESS_BATCH = 2
@@ -131,6 +131,23 @@ def _active_filter(centers: dict[int, list[list[float]]], d: int) -> Column:
     return F.lit(True) if cond is None else cond.otherwise(F.lit(True))
 
 
+def _active(xs: DataFrame, centers: dict[int, list[list[float]]], d: int) -> DataFrame:
+    """The rows of ``xs`` with no chosen center of their guess within the outer radius.
+
+    Small center sets are inlined (``_active_filter``); larger ones (many centers per guess)
+    are attached as one broadcast row per guess, at most one per guess in the batch, and
+    folded with ``aggregate``, which keeps the generated code small.
+    """
+    values = sum(len(cs) for cs in centers.values()) * max(d, 1)
+    if values <= LITERAL_CENTER_VALUES:
+        return xs.filter(_active_filter(centers, d))
+    rows = [(g, cs) for g, cs in centers.items() if cs]
+    table = xs.sparkSession.createDataFrame(rows, "g int, _cs array<array<double>>")
+    near = F.aggregate("_cs", F.lit(float("inf")), lambda acc, c: F.least(acc, euclidean(F.col("coords"), c, d)))
+    joined = xs.join(F.broadcast(table), "g", "left")
+    return joined.filter(F.coalesce(~(near <= F.col("outer")), F.lit(True))).drop("_cs")
+
+
 def greedy_batch(merged: DataFrame, stats: PointStats, guesses: list[tuple[int, float, float]],
                  k: int, small: bool = False) -> CoverResult:
     """Run the greedy cover for several (g, inner radius, outer radius) at once.
@@ -190,7 +207,7 @@ def greedy_batch(merged: DataFrame, stats: PointStats, guesses: list[tuple[int,
         while running:
             run_list = sorted(running)
             xs = pg.filter(F.col("g").isin(run_list))
-            active = xs.filter(_active_filter({g: [c[3] for c in chosen[g]] for g in run_list}, d))
+            active = _active(xs, {g: [c[3] for c in chosen[g]] for g in run_list}, d)
             weights = active.groupBy("g").agg(F.sum("w").cast("long").alias("lw"))
             bw = ball_weight_sums(xs, active, d, ["g"], aggregate=aggregate_cells) \
                 .withColumnRenamed("ball_weight", "bw")

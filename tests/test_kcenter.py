@@ -132,3 +132,14 @@ def test_hot_spot_auto_strategy(spark, monkeypatch):
     assert [r["id"] for r in res.centers.orderBy("step").collect()] == cs
     assert (res.initial_guess, res.final_guess, res.guesses) == (r0, rf, g)
     assert True in picked["aggregate"]
+
+
+def test_many_chosen_centers_attached_per_guess(spark, monkeypatch):
+    """Above the literal limit the chosen centers are attached per guess; same solution."""
+    monkeypatch.setattr(kcenter, "LITERAL_CENTER_VALUES", 0)
+    pts_df = tables.points_supplier(spark, SF_CHECK)
+    res = kcenter.kcenter_outliers(pts_df, 4, 6, 0.0)
+    pts, w, o, ids = _arrays(pts_df)
+    cs, r0, rf, g = bf.kcenter(pts, w, o, ids, 4, 6, 0.0)
+    assert [r["id"] for r in res.centers.orderBy("step").collect()] == cs
+    assert (res.final_guess, res.guesses) == (rf, g)
