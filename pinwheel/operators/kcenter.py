@@ -189,7 +189,7 @@ def greedy_batch(merged: DataFrame, stats: PointStats, guesses: list[tuple[int,
         for g in sorted(running):
             r = status.get(g)
             lw = int(r["lw"]) if r is not None else 0
-            b = r["b"] if r is not None else None
+            b = r["b"] if r is not None and "b" in r.asDict() else None
             if lw == 0 or len(chosen[g]) >= k or b is None or b["bw"] <= 0:
                 left[g] = lw
                 running.discard(g)
@@ -209,9 +209,17 @@ def greedy_batch(merged: DataFrame, stats: PointStats, guesses: list[tuple[int,
             xs = pg.filter(F.col("g").isin(run_list))
             active = _active(xs, {g: [c[3] for c in chosen[g]] for g in run_list}, d)
             weights = active.groupBy("g").agg(F.sum("w").cast("long").alias("lw"))
-            bw = ball_weight_sums(xs, active, d, ["g"], aggregate=aggregate_cells) \
-                .withColumnRenamed("ball_weight", "bw")
-            decide(weights.join(bw.groupBy("g").agg(best), "g", "left").collect(), step)
+            # Guesses that already have k centers only need their uncovered weight.
+            open_g = [g for g in run_list if len(chosen[g]) < k]
+            if open_g:
+                xo = xs.filter(F.col("g").isin(open_g))
+                ao = active.filter(F.col("g").isin(open_g))
+                bw = ball_weight_sums(xo, ao, d, ["g"], aggregate=aggregate_cells) \
+                    .withColumnRenamed("ball_weight", "bw")
+                rows = weights.join(bw.groupBy("g").agg(best), "g", "left").collect()
+            else:
+                rows = weights.collect()
+            decide(rows, step)
             step += 1
     else:
         full = ball_weight_sums(pg, pg, d, ["g"], aggregate=aggregate_cells).select("g", "id", "ball_weight")
