@@ -5,9 +5,9 @@ Input: transaction records (product, quantity, customer_id, country).
 Scale notes
 - The (product, customer) dedup is a ``distinct``: Catalyst runs a partial aggregate in
   every task before the shuffle, so a pair repeated in a third of all rows collapses map-side.
-- ``popularity_grouped`` counts distinct customers per (product, customer-hash bucket) and
-  sums the buckets after: two exchanges in all, and a product bought by a third of all
-  customers is spread over ``buckets`` reducers instead of one.
+- ``popularity_grouped`` counts distinct pairs per (product, customer-hash bucket) and sums
+  the buckets after: a product bought by a third of all customers is spread over
+  ``buckets`` reducers instead of one.
 - Top-H is ``orderBy(...).limit(H)`` which plans as ``TakeOrderedAndProject``: every task keeps
   its own H best rows and only those reach the final merge.
 """
@@ -47,16 +47,16 @@ def row_count(lines: DataFrame) -> DataFrame:
 
 
 def popularity_grouped(pairs: DataFrame, buckets: int = 8) -> DataFrame:
-    """Two-round count: distinct customers per (product, bucket), then their sum per product.
+    """Two-round count over distinct (product, customer_id) pairs: partial counts per
+    (product, customer-hash bucket), then their sum per product.
 
-    The bucket is a hash of the customer, so the buckets of a product hold disjoint customer
-    sets and their distinct counts add up exactly. ``pairs`` may still contain repeated
-    pairs: the distinct count removes them inside the same shuffle (rows are exchanged once
-    on (product, bucket), then once on product), and a product bought by a third of all
-    customers is split over ``buckets`` reducers.
+    Only the pair exchange carries rows; the later exchanges carry one partial count per
+    task and bucket, and a product bought by a third of all customers is split over
+    ``buckets`` reducers. Taking the same distinct pairs as ``popularity_reduced`` lets a
+    plan that needs both share their exchange.
     """
     bucket = F.pmod(F.xxhash64("customer_id"), F.lit(buckets))
-    partial = pairs.groupBy("product", bucket.alias("bucket")).agg(F.countDistinct("customer_id").alias("n"))
+    partial = pairs.groupBy("product", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     return partial.groupBy("product").agg(F.sum("n").cast("long").alias("popularity"))
 
 
@@ -85,8 +85,10 @@ def popularity_report(tx: DataFrame, h: int, country: str = ALL_COUNTRIES, bucke
     One schema for both: (variant, product, popularity), already in listing order. The full
     listing is a global sort (range-partitioned), never a single-task window.
     """
-    kept = filter_transactions(tx, country).select("product", "customer_id")
-    grouped = popularity_grouped(kept, buckets)
+    pairs = product_customer_pairs(tx, country)
     if h > 0:
-        return top_popular(grouped, h).select(F.lit(1).alias("variant"), "product", "popularity")
-    return sorted_popularities(grouped, popularity_reduced(kept.distinct()))
+        return top_popular(popularity_grouped(pairs, buckets), h).select(
+            F.lit(1).alias("variant"), "product", "popularity")
+    # Both listings start from the same distinct pairs, so the exchange that produces them is
+    # planned once and reused: the transaction joins run once.
+    return sorted_popularities(popularity_grouped(pairs, buckets), popularity_reduced(pairs))

@@ -91,7 +91,7 @@ def test_hot_product_counts(spark):
     rows = [("hot", 1.0, i % 500, "X") for i in range(3000)]
     rows += [(f"p{i % 97}", 1.0, i % 311, "X") for i in range(6000)]
     tx = _tx(spark, rows)
-    grouped = {r["product"]: r["popularity"] for r in pop.popularity_grouped(tx.select("product", "customer_id"), 8).collect()}
+    grouped = {r["product"]: r["popularity"] for r in pop.popularity_grouped(pop.product_customer_pairs(tx), 8).collect()}
     reduced = {r["product"]: r["popularity"] for r in pop.popularity_reduced(pop.product_customer_pairs(tx)).collect()}
     want = tx.groupBy("product").agg(F.countDistinct("customer_id").alias("n")).collect()
     assert grouped == reduced == {r["product"]: r["n"] for r in want}
