@@ -152,14 +152,18 @@ def greedy_batch(merged: DataFrame, stats: PointStats, guesses: list[tuple[int,
                  k: int, small: bool = False) -> CoverResult:
     """Run the greedy cover for several (g, inner radius, outer radius) at once.
 
-    ``merged`` has id, ord, coords, w with identical points already merged.
-
-    Ball weights are computed in full once per batch. After that a step only subtracts the
-    weight of the points it deactivates (the outer ball of the new center) from the balls
-    that contain them, which can only be balls of points within inner + outer radius of the
-    center, so each step is a scan of the state plus a local join. The state (one row per
-    guess and point: weight, active flag, ball weight) is checkpointed to the shared folder
-    every step, so its lineage stays one step long and survives lost executors.
+    ``merged`` has id, ord, coords, w with identical points already merged. One pass over
+    the grid occupancy picks the strategy for the batch:
+
+    - recompute (balls small): each step recomputes the ball weights over the active points;
+      the state carried between steps is only the chosen centers, inlined or attached per
+      guess, so every plan reads the cached input and lineage does not grow;
+    - incremental (balls crowded): ball weights are computed in full once; a step then
+      subtracts only the weight of the points it deactivates (the outer ball of the new
+      center) from the balls that contain them, which can only be balls of points within
+      inner + outer radius of the center. The state (one row per guess and point: weight,
+      active flag, ball weight) is checkpointed to the shared folder every step, so its
+      lineage stays one step long and survives lost executors.
     """
     spark = merged.sparkSession
     checkpoint_dir(spark)
