@@ -5,14 +5,16 @@ weighs each by the number of the group's points nearest to it. Round 2 solves we
 k-center with outliers (alpha = 2) on that coreset of at most (k+z+1) * L points.
 
 Execution
-- The traversal is one pass over the points per step or fewer, for all groups at once
-  (certified per-cell maxima, see ``fft_centers``): each point's distance to its
-  group's centers so far is an unrolled ``least`` over the group's centers (at most k+z+1
-  per group, L groups: bounded by the parameters), inlined as literals when the table is
-  small and otherwise a broadcast array whose size is checked before broadcasting,
-  and the farthest point per group is a ``max`` over a struct, which Catalyst aggregates
-  partially in every task. No group is ever gathered into one task, so a group holding a
-  third of all rows costs the same as any other.
+- The traversal needs at most one pass over the points per center, for all groups at once,
+  and usually fewer (certified per-cell maxima, see ``fft_centers``). Each point's distance
+  to its group's centers so far is a ``least`` over those centers (at most k+z+1 per group,
+  L groups: bounded by the parameters): inlined as literals when the table is small,
+  otherwise a broadcast array per group whose size is checked first, folded with
+  ``aggregate`` when a group has many centers. The farthest point per group and grid cell
+  is a ``max`` over a struct, which Catalyst aggregates partially in every task. No group is
+  ever gathered into one task, so a group holding a third of all rows costs the same as any
+  other, and a pass brings at most ``CERT_ROWS`` rows to the driver.
+- The coreset (at most (k+z+1) * L rows) is held as a local table for round two.
 - Groups come from the ``part`` column (``pmod(id, L)`` by default), never from physical
   partitions, so results do not depend on AQE or on the number of shuffle partitions.
 """
