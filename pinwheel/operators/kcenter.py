@@ -284,7 +284,7 @@ def _guess_sequence(r0: float, r_pos: float | None):
 
 
 def kcenter_outliers(points: DataFrame, k: int, z: int, alpha: float = 0.0, guard_n: int | None = None,
-                     batch: int | None = None) -> KCenterResult:
+                     batch: int | None = None, stats: PointStats | None = None) -> KCenterResult:
     """Weighted k-center with z outliers (K3-K7). ``points`` may carry a weight column ``w``."""
     if k < 1:
         raise ValueError("k must be at least 1")
@@ -292,7 +292,7 @@ def kcenter_outliers(points: DataFrame, k: int, z: int, alpha: float = 0.0, guar
         raise ValueError("z must be non-negative")
     spark = points.sparkSession
     pts = with_weight(points)
-    stats = validate_points(pts)
+    stats = stats or validate_points(pts)  # a caller that already validated passes its stats
     n = stats.n if guard_n is None else guard_n
     empty = spark.createDataFrame([], CENTER_SCHEMA).drop("g")
     if k > n or n == 0 or n <= z:

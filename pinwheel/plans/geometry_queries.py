@@ -156,10 +156,11 @@ GUARD_SCHEMA = T.StructType([
 def q_kcenter_guards(spark, sf_dir):
     """The degenerate cases on the supplier points: k = n, k = n + 1 and z = n."""
     pts = tables.points_supplier(spark, sf_dir)
-    n = pts.count()
+    stats = geometry.validate_points(pts)
+    n = stats.n
     rows = []
     for name, k, z in [("k_eq_n", n, Z), ("k_gt_n", n + 1, Z), ("z_ge_n", K, n)]:
-        res = kcenter.kcenter_outliers(pts, k, z, 0.0)
+        res = kcenter.kcenter_outliers(pts, k, z, 0.0, stats=stats)
         rows.append((name, res.n, k, z, res.centers.count(), res.guesses, res.initial_guess, res.final_guess))
     return spark.createDataFrame(rows, GUARD_SCHEMA)
 
