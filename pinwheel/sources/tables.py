@@ -14,24 +14,35 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transaction records (product, quantity, customer_id, country) from lineitem.
+def _transaction_base(spark: SparkSession, sf_dir: str, *line_cols: str) -> DataFrame:
+    """lineitem rows with their order's customer and the customer's nation name.
 
-    product = part key as text; quantity = ``-l_quantity`` for returned lines so that the
-    positive-quantity filter has something to drop; customer = the order's customer;
-    country = the customer's nation name. The joins start from the small dimensions, and
-    the two large ones (lineitem, orders) meet on the order key.
+    The joins start from the small dimensions (customer with nation, then orders), and the
+    two large tables (lineitem, orders) meet on the order key, so lineitem is shuffled once.
     """
-    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag", *line_cols)
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customer = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     cust_nation = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
     order_country = orders.join(cust_nation, orders.o_custkey == cust_nation.c_custkey)
-    tx = li.join(order_country, li.l_orderkey == order_country.o_orderkey)
-    return tx.select(
+    return li.join(order_country, li.l_orderkey == order_country.o_orderkey)
+
+
+def _quantity():
+    # Returned lines get a negative quantity, so the positive-quantity filter drops something.
+    return F.when(F.col("l_returnflag") == "R", -F.col("l_quantity")).otherwise(F.col("l_quantity"))
+
+
+def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transaction records (product, quantity, customer_id, country) from lineitem.
+
+    product = part key as text; quantity = ``-l_quantity`` for returned lines; customer = the
+    order's customer; country = the customer's nation name.
+    """
+    return _transaction_base(spark, sf_dir).select(
         F.col("l_partkey").cast("string").alias("product"),
-        F.when(F.col("l_returnflag") == "R", -F.col("l_quantity")).otherwise(F.col("l_quantity")).alias("quantity"),
+        _quantity().alias("quantity"),
         F.col("o_custkey").cast("int").alias("customer_id"),
         F.col("n_name").alias("country"),
     )
@@ -39,21 +50,13 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def transaction_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same records written as 8-field text lines (fields 0, 2, 4, 5 are filler)."""
-    li = load(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")
-    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    customer = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    cust_nation = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
-    order_country = orders.join(cust_nation, orders.o_custkey == cust_nation.c_custkey)
-    tx = li.join(order_country, li.l_orderkey == order_country.o_orderkey)
-    quantity = F.when(F.col("l_returnflag") == "R", -F.col("l_quantity")).otherwise(F.col("l_quantity"))
+    tx = _transaction_base(spark, sf_dir, "l_suppkey", "l_linenumber", "l_extendedprice")
     return tx.select(F.concat_ws(
         ",",
         F.col("l_orderkey").cast("string"),
         F.col("l_partkey").cast("string"),
         F.col("l_linenumber").cast("string"),
-        quantity.cast("string"),
+        _quantity().cast("string"),
         F.col("l_suppkey").cast("string"),
         F.col("l_extendedprice").cast("string"),
         F.col("o_custkey").cast("string"),
