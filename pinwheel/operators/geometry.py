@@ -41,6 +41,8 @@ class PointStats:
     n: int
     d: int
     span: float  # largest absolute coordinate
+    lo: tuple = ()  # per-dimension minimum of the first GRID_DIMS dimensions
+    hi: tuple = ()  # per-dimension maximum of the first GRID_DIMS dimensions
 
 
 def validate_points(points: DataFrame) -> PointStats:
@@ -52,6 +54,8 @@ def validate_points(points: DataFrame) -> PointStats:
         # Lambda-free array functions stay in generated code (Spark SQL treats NaN = NaN).
         F.sum(F.when(F.array_contains("coords", float("nan")), 1).otherwise(0)).alias("nan_rows"),
         F.max(F.greatest(F.abs(F.array_max("coords")), F.abs(F.array_min("coords")))).alias("span"),
+        *[F.min(F.get(F.col("coords"), i)).alias(f"lo{i}") for i in range(GRID_DIMS)],
+        *[F.max(F.get(F.col("coords"), i)).alias(f"hi{i}") for i in range(GRID_DIMS)],
     ).collect()[0]
     n = int(row["n"])
     if n == 0:
@@ -63,7 +67,10 @@ def validate_points(points: DataFrame) -> PointStats:
     span = float(row["span"]) if row["span"] is not None else 0.0
     if math.isinf(span):
         raise ValueError("points have an infinite coordinate")
-    return PointStats(n, int(row["dmax"]), span)
+    d = int(row["dmax"])
+    g = min(d, GRID_DIMS)
+    return PointStats(n, d, span, tuple(float(row[f"lo{i}"]) for i in range(g)),
+                      tuple(float(row[f"hi{i}"]) for i in range(g)))
 
 
 def with_weight(points: DataFrame) -> DataFrame:

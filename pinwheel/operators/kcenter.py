@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -148,6 +149,118 @@ def _active(xs: DataFrame, centers: dict[int, list[list[float]]], d: int) -> Dat
     return joined.filter(F.coalesce(~(near <= F.col("outer")), F.lit(True))).drop("_cs")
 
 
+# Certified greedy steps ------------------------------------------------------------------
+# Cells per guess of the certification grid (over up to 3 dimensions).
+CERT_CELLS = 1024
+_CERT_KEYS = ["_q0", "_q1", "_q2"]
+_CERT_MARGIN = 1e-9
+
+
+# Inputs up to this many points use the ideal certification cell size without a cap (they
+# cannot fill more cells than they have points).
+CERT_SMALL = 4096
+
+
+@dataclass
+class _CertGrid:
+    dims: int
+    lo: np.ndarray                 # grid origin per dimension (data minimum)
+    width: dict[int, float]        # cell width per guess
+    res: dict[int, np.ndarray]     # cells per dimension per guess
+    radii: dict[int, tuple[float, float]]
+
+
+def _cert_grid(guesses, stats: PointStats, open_g: list[int]) -> _CertGrid:
+    """Per guess: cells small enough that the chosen center's own cell lies inside the
+    region whose balls are emptied (diagonal below outer - inner radius) over the data's
+    extent; large inputs keep to about CERT_CELLS cells per guess, and a coarser grid only
+    certifies fewer steps."""
+    dims = min(stats.d, len(_CERT_KEYS), len(stats.lo))
+    lo = np.array(stats.lo[:dims], dtype=float)
+    extent = np.maximum(np.array(stats.hi[:dims], dtype=float) - lo, 1e-300)
+    floor_w = 0.0 if stats.n <= CERT_SMALL or not dims else float(np.prod(extent) / CERT_CELLS) ** (1.0 / dims)
+    width, res, rad = {}, {}, {}
+    for g, rin, rout in guesses:
+        if g not in open_g:
+            continue
+        want = (rout - rin) / max(dims, 1) ** 0.5 * 0.99
+        w = max(want, floor_w, float(extent.max()) * 1e-9)
+        width[g], res[g], rad[g] = w, np.ceil(extent / w).astype(np.int64) + 1, (rin, rout)
+    return _CertGrid(dims, lo, width, res, rad)
+
+
+def _cert_cells(grid: _CertGrid, stats: PointStats) -> list[Column]:
+    cols = []
+    for i in range(grid.dims):
+        expr = None
+        for g, w in grid.width.items():
+            cell = F.least(F.greatest(F.floor((F.col("coords").getItem(i) - F.lit(float(grid.lo[i]))) / F.lit(w)),
+                                      F.lit(0)), F.lit(int(grid.res[g][i]) - 1))
+            expr = F.when(F.col("g") == g, cell) if expr is None else expr.when(F.col("g") == g, cell)
+        cols.append(expr.cast("long").alias(_CERT_KEYS[i]))
+    return cols
+
+
+def _certified_steps(rows, grid: _CertGrid, chosen, running, left, k: int, step: int, d: int) -> int:
+    """Take as many greedy steps per guess as the cell maxima prove, starting from one
+    fresh pass. Returns the next step number (the largest taken by any guess, plus one)."""
+    last = step
+    for r in rows:
+        g = r["g"]
+        if "cells" not in r:
+            left[g] = r["lw"]
+            running.discard(g)
+            continue
+        if len(chosen[g]) >= k:
+            continue
+        w = grid.width[g]
+        rin, rout = grid.radii[g]
+        cells = []
+        for c in r["cells"]:
+            idx = np.array([c[key] for key in _CERT_KEYS[:grid.dims]], dtype=float)
+            box_lo = grid.lo + idx * w - w * 1e-6
+            box_hi = grid.lo + (idx + 1) * w + w * 1e-6
+            b = c["b"]
+            cells.append([True, b["bw"], b["neg_ord"], b["id"], list(b["coords"]), box_lo, box_hi])
+        s = step
+        while len(chosen[g]) < k:
+            exact = [c for c in cells if c[0]]
+            bound = max((c[1] for c in cells if not c[0]), default=float("-inf"))
+            if not exact:
+                break
+            best = max(exact, key=lambda c: (c[1], c[2]))
+            if best[1] <= 0 and bound <= 0:       # no active weight left
+                left[g] = 0
+                running.discard(g)
+                break
+            if not best[1] > bound:               # not provably the heaviest ball
+                break
+            coords = best[4]
+            chosen[g].append((len(chosen[g]), best[3], -best[2], [float(v) for v in coords], int(best[1])))
+            s += 1
+            center = np.array(coords[:grid.dims], dtype=float)
+            for c in cells:
+                near = _box_gap(c[5], c[6], center)
+                if grid.dims == d and _box_reach(c[5], c[6], center) + rin <= rout * (1 - _CERT_MARGIN):
+                    c[0], c[1] = True, 0          # every ball point of the cell was removed
+                elif near > (rin + rout) * (1 + _CERT_MARGIN):
+                    continue                      # no removed point is in any of its balls
+                elif c[0]:
+                    c[0] = False                  # old maximum is now only an upper bound
+        last = max(last, s)
+    return last if last > step else step + 1
+
+
+def _box_gap(lo, hi, center) -> float:
+    gap = np.maximum(np.maximum(lo - center, center - hi), 0.0)
+    return float(np.sqrt(np.sum(gap * gap))) * (1 - _CERT_MARGIN)
+
+
+def _box_reach(lo, hi, center) -> float:
+    far = np.maximum(np.abs(lo - center), np.abs(hi - center))
+    return float(np.sqrt(np.sum(far * far))) * (1 + _CERT_MARGIN)
+
+
 def greedy_batch(merged: DataFrame, stats: PointStats, guesses: list[tuple[int, float, float]],
                  k: int, small: bool = False) -> CoverResult:
     """Run the greedy cover for several (g, inner radius, outer radius) at once.
@@ -199,7 +312,7 @@ def greedy_batch(merged: DataFrame, stats: PointStats, guesses: list[tuple[int,
                 running.discard(g)
                 continue
             coords = [float(v) for v in b["coords"]]
-            chosen[g].append((step, b["id"], -b["neg_ord"], coords, int(b["bw"])))
+            chosen[g].append((len(chosen[g]), b["id"], -b["neg_ord"], coords, int(b["bw"])))
             picked[g] = coords
         return picked
 
@@ -215,16 +328,29 @@ def greedy_batch(merged: DataFrame, stats: PointStats, guesses: list[tuple[int,
             weights = active.groupBy("g").agg(F.sum("w").cast("long").alias("lw"))
             # Guesses that already have k centers only need their uncovered weight.
             open_g = [g for g in run_list if len(chosen[g]) < k]
-            if open_g:
-                xo = xs.filter(F.col("g").isin(open_g))
-                ao = active.filter(F.col("g").isin(open_g))
-                bw = ball_weight_sums(xo, ao, d, ["g"], aggregate=aggregate_cells) \
-                    .withColumnRenamed("ball_weight", "bw")
-                rows = weights.join(bw.groupBy("g").agg(best), "g", "left").collect()
-            else:
-                rows = weights.collect()
-            decide(rows, step)
-            step += 1
+            if not open_g:
+                decide(weights.collect(), step)
+                step += 1
+                continue
+            xo = xs.filter(F.col("g").isin(open_g))
+            ao = active.filter(F.col("g").isin(open_g))
+            bw = ball_weight_sums(xo, ao, d, ["g"], aggregate=aggregate_cells) \
+                .withColumnRenamed("ball_weight", "bw")
+            grid = _cert_grid(guesses, stats, open_g)
+            tops = bw.select("*", *_cert_cells(grid, stats)).groupBy("g", *_CERT_KEYS[:grid.dims]) \
+                .agg(best).join(weights, "g", "right").collect()
+            by_g: dict[int, list] = {}
+            for r in tops:
+                by_g.setdefault(r["g"], []).append(r)
+            rows = []
+            for g in run_list:
+                rs = by_g.get(g, [])
+                lw = int(rs[0]["lw"]) if rs else 0
+                if g not in open_g or lw == 0:
+                    rows.append({"g": g, "lw": lw})
+                    continue
+                rows.append({"g": g, "lw": lw, "cells": [r for r in rs if r["b"] is not None]})
+            step = _certified_steps(rows, grid, chosen, running, left, k, step, d)
     else:
         full = ball_weight_sums(pg, pg, d, ["g"], aggregate=aggregate_cells).select("g", "id", "ball_weight")
         state = pg.join(full, ["g", "id"], "left").select(
