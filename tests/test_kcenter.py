@@ -143,3 +143,26 @@ def test_many_chosen_centers_attached_per_guess(spark, monkeypatch):
     cs, r0, rf, g = bf.kcenter(pts, w, o, ids, 4, 6, 0.0)
     assert [r["id"] for r in res.centers.orderBy("step").collect()] == cs
     assert (res.final_guess, res.guesses) == (rf, g)
+
+
+def test_certified_steps_on_separated_clusters(spark, monkeypatch):
+    """Well-separated clusters: several centers are certified in one pass, same result."""
+    taken = []
+    real = kcenter._certified_steps
+
+    def spy(rows, grid, chosen, running, left, k, step, d):
+        before = {g: len(v) for g, v in chosen.items()}
+        out = real(rows, grid, chosen, running, left, k, step, d)
+        taken.append(max((len(chosen[g]) - before[g] for g in before), default=0))
+        return out
+
+    monkeypatch.setattr(kcenter, "_certified_steps", spy)
+    rng = np.random.default_rng(4)
+    centers = np.array([[0.0, 0.0], [1000.0, 0.0], [0.0, 1000.0], [1000.0, 1000.0]])
+    coords = np.vstack([c + rng.normal(0, 5, (60, 2)) for c in centers] + [rng.uniform(-3000, 3000, (3, 2))])
+    n = len(coords)
+    res = kcenter.kcenter_outliers(points_df(spark, coords.tolist()), 4, 3, 0.0)
+    cs, r0, rf, g = bf.kcenter(coords, np.ones(n, dtype=np.int64), np.arange(n), np.arange(n), 4, 3, 0.0)
+    assert [r["id"] for r in res.centers.orderBy("step").collect()] == cs
+    assert (res.initial_guess, res.final_guess, res.guesses) == (r0, rf, g)
+    assert max(taken) > 1
