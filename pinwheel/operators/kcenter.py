@@ -184,7 +184,7 @@ def _cert_grid(guesses, stats: PointStats, open_g: list[int]) -> _CertGrid:
         if g not in open_g:
             continue
         want = (rout - rin) / max(dims, 1) ** 0.5 * 0.99
-        w = max(want, floor_w, float(extent.max()) * 1e-9)
+        w = max(want, floor_w, float(extent.max()) * 1e-9 if dims else 1.0)
         width[g], res[g], rad[g] = w, np.ceil(extent / w).astype(np.int64) + 1, (rin, rout)
     return _CertGrid(dims, lo, width, res, rad)
 
