@@ -379,11 +379,33 @@ def greedy_batch(merged: DataFrame, stats: PointStats, guesses: list[tuple[int,
     return CoverResult(spark.createDataFrame(rows, CENTER_SCHEMA), left)
 
 
+# Rows per partition of the cached, duplicate-merged input of the solver.
+ROWS_PER_PARTITION = 250_000
+
+
+def _cached_merge(points: DataFrame) -> tuple[DataFrame, int]:
+    """Duplicate-merged points, cached, and their count.
+
+    A cached plan keeps the partitioning of its last shuffle (AQE may not coalesce it), which
+    would make every solver step scan spark.sql.shuffle.partitions mostly empty partitions;
+    the cache is narrowed to about ROWS_PER_PARTITION rows per partition instead.
+    """
+    merged = merge_duplicates(points).persist(StorageLevel.MEMORY_AND_DISK)
+    n = merged.count()
+    target = max(1, -(-n // ROWS_PER_PARTITION))
+    if merged.rdd.getNumPartitions() > target:
+        compact = merged.coalesce(target).persist(StorageLevel.MEMORY_AND_DISK)
+        compact.count()
+        merged.unpersist()
+        merged = compact
+    return merged, n
+
+
 def greedy_cover(points: DataFrame, radius: float, k: int, alpha: float = 0.0,
                  stats: PointStats | None = None) -> tuple[DataFrame, int]:
     """One greedy cover at a fixed radius (K1, K2): centers and the uncovered weight."""
     stats = stats or validate_points(points)
-    merged = merge_duplicates(points).persist(StorageLevel.MEMORY_AND_DISK)
+    merged, _ = _cached_merge(points)
     try:
         rin, rout = radii(alpha, radius)
         res = greedy_batch(merged, stats, [(0, rin, rout)], k, small=stats.n <= SMALL_INPUT)
@@ -428,9 +450,8 @@ def kcenter_outliers(points: DataFrame, k: int, z: int, alpha: float = 0.0, guar
                           F.col("w").alias("ball_weight"))
         return KCenterResult(allp, n, k, z, alpha, 0.0, 0.0, 0, 0, stats=stats)
 
-    merged = merge_duplicates(pts).persist(StorageLevel.MEMORY_AND_DISK)
+    merged, distinct_n = _cached_merge(pts)
     try:
-        distinct_n = merged.count()
         if distinct_n <= k:
             # Every distinct point is a center; nothing is left uncovered at radius 0.
             cs = merged.select(_step_by_ord(), "id", "ord", "coords",
