@@ -355,7 +355,9 @@ def greedy_batch(merged: DataFrame, stats: PointStats, guesses: list[tuple[int,
         full = ball_weight_sums(pg, pg, d, ["g"], aggregate=aggregate_cells).select("g", "id", "ball_weight")
         state = pg.join(full, ["g", "id"], "left").select(
             *pg.columns, F.lit(True).alias("act"), F.coalesce("ball_weight", F.lit(0).cast("long")).alias("bw"))
-        state = state.checkpoint(eager=True)
+        # A checkpoint keeps its input's partitioning; size it by rows (guesses x points).
+        state_parts = max(1, -(-len(guesses) * stats.n // ROWS_PER_PARTITION))
+        state = state.coalesce(state_parts).checkpoint(eager=True)
         while running:
             rows = state.groupBy("g").agg(
                 F.sum(F.when(F.col("act"), F.col("w")).otherwise(F.lit(0))).cast("long").alias("lw"), best).collect()
@@ -374,7 +376,7 @@ def greedy_batch(merged: DataFrame, stats: PointStats, guesses: list[tuple[int,
                 *pg.columns,
                 (F.col("act") & ~F.coalesce(to_center <= F.col("outer"), F.lit(False))).alias("act"),
                 (F.col("bw") - F.coalesce("delta", F.lit(0).cast("long"))).alias("bw"))
-            state = state.checkpoint(eager=True)
+            state = state.coalesce(state_parts).checkpoint(eager=True)
     rows = [(g, s, i, o, c, bw_) for g, cs in chosen.items() for (s, i, o, c, bw_) in cs]
     return CoverResult(spark.createDataFrame(rows, CENTER_SCHEMA), left)
 
