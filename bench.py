@@ -56,18 +56,24 @@ def main() -> None:
     repeat = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
     times: dict[str, float] = {}
     first: dict[str, float] = {}
+    failed: dict[str, str] = {}
     for name in names:
         runs = []
-        for _ in range(repeat):
-            t0 = time.perf_counter()
-            df = registry[name](spark, sf_dir)
-            df.write.format("noop").mode("overwrite").save()
-            runs.append(round(time.perf_counter() - t0, 3))
+        try:
+            for _ in range(repeat):
+                t0 = time.perf_counter()
+                df = registry[name](spark, sf_dir)
+                df.write.format("noop").mode("overwrite").save()
+                runs.append(round(time.perf_counter() - t0, 3))
+        except Exception as exc:  # noqa: BLE001 - report and keep timing the others
+            failed[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+            print(f"# {name}: FAILED {failed[name]}", file=sys.stderr)
+            continue
         times[name], first[name] = min(runs), runs[0]
         print(f"# {name}: {runs}", file=sys.stderr)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
-           "queries": times, "first_run": first, "repeat": repeat,
+           "queries": times, "first_run": first, "repeat": repeat, "failed": failed,
            "sf": float(m.group(1)) if m else sf_dir, "cpus": int(cpus)}
     print(json.dumps(out))
     spark.stop()
