@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pinwheel.llm.common import column, map_text, ragged, texts_of
+from pinwheel.llm.subwords import Numbers
 
 CACHE_PIECES = 200_000
 # Pieces that go through the trees together: bounds the memory of one pass.
@@ -68,14 +69,6 @@ def load_vocabulary(path: str) -> dict:
             "special": special, "pattern": pattern}
 
 
-class Numbers(dict):
-    """Numbers its keys in the order in which they are first asked for."""
-
-    def __missing__(self, key):
-        self[key] = number = len(self)
-        return number
-
-
 class Encoder:
     """Encodes texts and remembers their distinct pieces; one per task."""
 

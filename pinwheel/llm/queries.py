@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pinwheel.llm import bpe
+from pinwheel.llm import bpe, langid, toxicity
 from pinwheel.sources.tables import load
 
 
@@ -16,8 +16,19 @@ def q_bpe(spark, sf_dir):
     return bpe.bpe_digest(load(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def q_toxicity(spark, sf_dir):
+    return toxicity.toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def q_langid(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents")
+    return langid.identify_language(docs, langid.fit_language_id(docs))
+
+
 QUERIES = {
+    "op3_toxicity": q_toxicity,
     "op6_bpe": q_bpe,
+    "op10_langid": q_langid,
 }
 
 ORACLES = {}
