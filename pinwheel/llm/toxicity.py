@@ -31,8 +31,8 @@ from pinwheel.llm.subwords import gram_buckets, numbered_words, word_buckets
 
 SAMPLE_PER_LABEL = 1_500
 WINDOW, STRIDE = 32, 16
-GRAMS = (3, 4, 5)
-BUCKETS = 1 << 16
+GRAMS = (3, 4, 5, 6)
+BUCKETS = 1 << 18
 WORD_DIM = CHAR_DIM = 4
 HIDDEN = 8
 EPOCHS = 10
