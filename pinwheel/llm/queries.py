@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pinwheel.llm import bpe, langid, toxicity
+from pinwheel.llm import bpe, langid, mixing, simhash, toxicity
 from pinwheel.sources.tables import load
 
 
@@ -25,10 +25,22 @@ def q_langid(spark, sf_dir):
     return langid.identify_language(docs, langid.fit_language_id(docs))
 
 
+def q_simhash(spark, sf_dir):
+    return simhash.simhash_components(load(spark, sf_dir, "documents"))
+
+
+def q_mixing(spark, sf_dir):
+    return mixing.mix(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op2_mixing": q_mixing,
     "op3_toxicity": q_toxicity,
     "op6_bpe": q_bpe,
+    "op8_simhash": q_simhash,
     "op10_langid": q_langid,
 }
 
-ORACLES = {}
+ORACLES = {
+    "op2_mixing": mixing.MIX_SQL,
+}
