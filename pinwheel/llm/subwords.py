@@ -15,6 +15,8 @@ from pinwheel.llm.common import WORD
 
 WORDS = re.compile(WORD)
 MARK = 0x110000  # no code point
+# Words hashed together: bounds the memory of one pass.
+WORDS_AT_ONCE = 20_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -38,9 +40,14 @@ def marked_codes(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def gram_buckets(words: list[str], sizes: tuple[int, ...], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of every n-gram (n in ``sizes``) of every word, word after word, and how many
     each word has (at least one: a word shorter than the smallest n gives one gram, itself)."""
+    parts = [_gram_buckets(words[k:k + WORDS_AT_ONCE], sizes, buckets) for k in range(0, len(words), WORDS_AT_ONCE)]
+    if not parts:
+        return np.zeros(0, np.int32), np.zeros(0, np.int64)
+    return np.concatenate([g for g, _ in parts]), np.concatenate([n for _, n in parts])
+
+
+def _gram_buckets(words: list[str], sizes: tuple[int, ...], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     codes, starts, lengths = marked_codes(words)
-    if not len(codes):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     ends = starts + lengths
     owner = np.repeat(np.arange(len(words)), lengths)
     room = ends[owner] - np.arange(len(codes))  # code points from here to the end of the word
@@ -60,7 +67,7 @@ def gram_buckets(words: list[str], sizes: tuple[int, ...], buckets: int) -> tupl
         whose.append(short)
     hashed, whose = np.concatenate(hashed), np.concatenate(whose)
     order = np.argsort(whose, kind="stable")
-    return (hashed[order] % np.uint64(buckets)).astype(np.int64), np.bincount(whose, minlength=len(words))
+    return (hashed[order] % np.uint64(buckets)).astype(np.int32), np.bincount(whose, minlength=len(words))
 
 
 def word_buckets(words: list[str], buckets: int) -> np.ndarray:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from pinwheel.llm.common import column, held_out, map_text, ragged, texts_of
-from pinwheel.llm.subwords import gram_buckets, numbered_words, word_buckets
+from pinwheel.llm.subwords import WORDS_AT_ONCE, gram_buckets, numbered_words, word_buckets
 
 SAMPLE_PER_LABEL = 1_500
 WINDOW, STRIDE = 32, 16
@@ -93,11 +93,15 @@ INPUT = WORD_DIM + 2 * CHAR_DIM
 
 def word_vectors(m: Model, w: Words) -> np.ndarray:
     """Per distinct word: its own embedding, the mean and the maximum over its n-grams."""
-    if not len(w.word):
-        return np.zeros((0, INPUT), np.float32)
-    grams, first = m.char[w.grams], np.cumsum(w.counts) - w.counts
-    mean = np.add.reduceat(grams, first, axis=0) / w.counts[:, None]
-    return np.concatenate([m.word[w.word], mean, np.maximum.reduceat(grams, first, axis=0)], axis=1).astype(np.float32)
+    out = np.empty((len(w.word), INPUT), np.float32)
+    out[:, :WORD_DIM] = m.word[w.word]
+    ends = np.cumsum(w.counts)
+    for k in range(0, len(w.word), WORDS_AT_ONCE):
+        n, base = w.counts[k:k + WORDS_AT_ONCE], ends[k] - w.counts[k]
+        grams, first = m.char[w.grams[base:ends[k + len(n) - 1]]], ends[k:k + len(n)] - n - base
+        out[k:k + len(n), WORD_DIM:WORD_DIM + CHAR_DIM] = np.add.reduceat(grams, first, axis=0) / n[:, None]
+        out[k:k + len(n), WORD_DIM + CHAR_DIM:] = np.maximum.reduceat(grams, first, axis=0)
+    return out
 
 
 def _recur(px, u, mask, reverse: bool, keep: list | None = None) -> np.ndarray:
@@ -195,18 +199,34 @@ def gradients(m: Model, x: np.ndarray, at: np.ndarray, mask: np.ndarray, y: np.n
     return g, dx
 
 
-def _log_odds(buckets: np.ndarray, context: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Smoothed log-odds of each bucket between toxic and clean texts, over distinct contexts."""
-    share = toxic.mean()
-    seen, at = np.unique(context * BUCKETS + buckets, return_index=True)
-    bucket, y = seen % BUCKETS, toxic[at]
-    pos = np.bincount(bucket, y, BUCKETS) + PRIOR * share
-    neg = np.bincount(bucket, 1 - y, BUCKETS) + PRIOR * (1 - share)
+def _log_odds(pos: np.ndarray, neg: np.ndarray) -> np.ndarray:
+    """Smoothed log-odds of each bucket between toxic and clean texts; zero where chance may do."""
+    share = max(pos.sum(), 1) / max(pos.sum() + neg.sum(), 2)
+    pos, neg = pos + PRIOR * share, neg + PRIOR * (1 - share)
     odds = np.log(pos / share) - np.log(neg / (1 - share))
     sure = np.maximum(np.abs(odds) - MARGIN * np.sqrt(1 / pos + 1 / neg), 0)
     return np.clip(np.sign(odds) * sure, -4, 4).astype(np.float32)
 
 
+def _gram_sums(w: Words, per_word: np.ndarray) -> np.ndarray:
+    """Sum of ``per_word`` over the words that have an n-gram, by bucket."""
+    out, ends = np.zeros(BUCKETS), np.cumsum(w.counts)
+    for k in range(0, len(w.counts), WORDS_AT_ONCE):
+        n, base = w.counts[k:k + WORDS_AT_ONCE], ends[k] - w.counts[k]
+        grams = w.grams[base:ends[k + len(n) - 1]]
+        out += np.bincount(grams, np.repeat(per_word[k:k + len(n)], n), BUCKETS)
+    return out
+
+
+def _contexts(w: Words, owner: np.ndarray, fit: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each distinct word, after how many distinct words it stands in toxic and clean texts."""
+    before = np.where(np.diff(owner, prepend=-1)[fit] > 0, 0, w.at[fit - 1] + 1)
+    n = len(w.word) + 1
+    seen = np.unique((before * n + w.at[fit]) * 2 + toxic)
+    word = seen // 2 % n
+    return np.bincount(word, seen % 2, len(w.word)), np.bincount(word, 1 - seen % 2, len(w.word))
+
+
 def train(texts: list[str], labels: list[int], seed: int = 11) -> Model:
     """Fit on labelled texts; with fewer than two labels the model scores 0 everywhere."""
     rng = np.random.default_rng(seed)
@@ -226,17 +246,16 @@ def train(texts: list[str], labels: list[int], seed: int = 11) -> Model:
     check = np.arange(len(texts)) % 5 == 4
     fit = np.flatnonzero(~check[owner])
     first = np.cumsum(w.counts) - w.counts
-    here, before = w.at[fit], np.where(np.diff(owner, prepend=-1)[fit] > 0, -1, w.at[fit - 1]) + 1
-    toxic = y_text[owner[fit]]
-    m.word[:, 0] = _log_odds(w.word[here], 2 * before + toxic.astype(np.int64), toxic)
-    # Of n-grams, a context is the word and what stands before it.
-    _, pair = np.unique(before * (len(w.word) + 1) + here, return_inverse=True)
-    n = w.counts[here]
-    m.char[:, 0] = _log_odds(w.grams[ragged(first[here], n)], np.repeat(2 * pair + toxic.astype(np.int64), n), np.repeat(toxic, n))
+    pos, neg = _contexts(w, owner, fit, y_text[owner[fit]].astype(np.int64))
+    m.word[:, 0] = _log_odds(np.bincount(w.word, pos, BUCKETS), np.bincount(w.word, neg, BUCKETS))
+    m.char[:, 0] = _log_odds(_gram_sums(w, pos), _gram_sums(w, neg))
     # Before the network knows anything, a window's score is its strongest word's log-odds.
     x = word_vectors(m, w)
-    at, mask = _places(start, length, w.at)
-    score = np.where(mask > 0, (x[:, 0] + x[:, WORD_DIM + CHAR_DIM])[at], -9).max(0)
+    strength = x[:, 0] + x[:, WORD_DIM + CHAR_DIM]
+    score = np.empty(len(start), np.float32)
+    for k in range(0, len(start), CHUNK):
+        at, mask = _places(start[k:k + CHUNK], length[k:k + CHUNK], w.at)
+        score[k:k + CHUNK] = np.where(mask > 0, strength[at], -9).max(0)
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in m.params.items()}
     squares = {"word": np.full(BUCKETS, 1e-4), "char": np.full(BUCKETS, 1e-4)}
     step = 0
