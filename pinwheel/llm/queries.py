@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pinwheel.llm import bpe, langid, mixing, simhash, toxicity
+from pinwheel.llm import bpe, langid, mixing, pii, simhash, toxicity
 from pinwheel.sources.tables import load
 
 
@@ -33,10 +33,15 @@ def q_mixing(spark, sf_dir):
     return mixing.mix(load(spark, sf_dir, "documents"))
 
 
+def q_pii(spark, sf_dir):
+    return pii.pii_documents(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_mixing": q_mixing,
     "op3_toxicity": q_toxicity,
     "op6_bpe": q_bpe,
+    "op7_pii": q_pii,
     "op8_simhash": q_simhash,
     "op10_langid": q_langid,
 }
