@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pinwheel.llm import bpe, langid, mixing, pii, simhash, toxicity
+from pinwheel.llm import bpe, langid, mixing, pii, quality, simhash, toxicity
 from pinwheel.sources.tables import load
 
 
@@ -37,7 +37,12 @@ def q_pii(spark, sf_dir):
     return pii.pii_documents(load(spark, sf_dir, "documents"))
 
 
+def q_quality(spark, sf_dir):
+    return quality.quality_rules(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_quality": q_quality,
     "op2_mixing": q_mixing,
     "op3_toxicity": q_toxicity,
     "op6_bpe": q_bpe,
@@ -47,5 +52,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_quality": quality.oracle_sql(),
     "op2_mixing": mixing.MIX_SQL,
 }
