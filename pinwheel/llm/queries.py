@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pinwheel.llm import bpe, langid, mixing, pii, quality, simhash, toxicity
+from pinwheel.llm import bpe, chunks, langid, mixing, pii, quality, simhash, toxicity
 from pinwheel.sources.tables import load
 
 
@@ -41,10 +41,15 @@ def q_quality(spark, sf_dir):
     return quality.quality_rules(load(spark, sf_dir, "documents"))
 
 
+def q_chunks(spark, sf_dir):
+    return chunks.edited_neighbours(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": q_quality,
     "op2_mixing": q_mixing,
     "op3_toxicity": q_toxicity,
+    "op5_chunks": q_chunks,
     "op6_bpe": q_bpe,
     "op7_pii": q_pii,
     "op8_simhash": q_simhash,
