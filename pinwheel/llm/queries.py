@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pinwheel.llm import bpe, chunks, langid, mixing, pii, quality, simhash, toxicity
+from pinwheel.llm import bpe, chunks, langid, mainhtml, mixing, pii, quality, simhash, toxicity
 from pinwheel.sources.tables import load
 
 
@@ -45,10 +45,15 @@ def q_chunks(spark, sf_dir):
     return chunks.edited_neighbours(load(spark, sf_dir, "documents"))
 
 
+def q_html(spark, sf_dir):
+    return mainhtml.page_texts(load(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_quality": q_quality,
     "op2_mixing": q_mixing,
     "op3_toxicity": q_toxicity,
+    "op4_html": q_html,
     "op5_chunks": q_chunks,
     "op6_bpe": q_bpe,
     "op7_pii": q_pii,
