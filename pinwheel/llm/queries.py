@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pinwheel.llm import bpe, chunks, langid, mainhtml, mixing, pii, quality, simhash, toxicity
+from pinwheel.llm import bpe, chunks, langid, licenses, mainhtml, mixing, pii, quality, simhash, toxicity
 from pinwheel.sources.tables import load
 
 
@@ -49,6 +49,10 @@ def q_html(spark, sf_dir):
     return mainhtml.page_texts(load(spark, sf_dir, "pages"))
 
 
+def q_licenses(spark, sf_dir):
+    return licenses.license_scan(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": q_quality,
     "op2_mixing": q_mixing,
@@ -58,10 +62,12 @@ QUERIES = {
     "op6_bpe": q_bpe,
     "op7_pii": q_pii,
     "op8_simhash": q_simhash,
+    "op9_licenses": q_licenses,
     "op10_langid": q_langid,
 }
 
 ORACLES = {
+    "op9_licenses": licenses.oracle_sql(),
     "op1_quality": quality.oracle_sql(),
     "op2_mixing": mixing.MIX_SQL,
 }
