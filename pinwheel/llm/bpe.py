@@ -247,9 +247,11 @@ def bpe_encode(df: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text
     return map_text(source, f"doc {id_type}, ids array<int>, decoded string", start).withColumnRenamed("doc", id_col)
 
 
-def bpe_digest(df: DataFrame, vocabulary_path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (decimal ids joined by one blank), decoded_sha256."""
+def bpe_digest(df: DataFrame, vocabulary_path: str, keep_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 (decimal ids joined by one blank), decoded_sha256; the ids
+    as well if ``keep_ids``."""
     coded = bpe_encode(df, vocabulary_path)
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+    kept = ["ids"] if keep_ids else []
+    return coded.select("doc_id", *kept, F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
