@@ -57,6 +57,11 @@ ENDS_PARAGRAPH = BLOCK - {"body", "html", "head", "tr", "tbody", "thead", "tfoot
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>"
                    r"|<[!?][^>]*+(?:>|\Z)|</?[a-zA-Z][^>]*+\Z", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: Parts of a block, list or table, which don't stand alone.
+PARTS_OF = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q",
+            "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
+            "li", "dt", "dd", "tr", "td", "th", "tbody", "thead", "tfoot", "caption", "col", "colgroup", "figcaption", "summary", "legend"}
+
 PARTS = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 
 
@@ -206,7 +211,7 @@ def _best(top: Node) -> Node:
     """The node of largest density sum at or below ``top``; the outermost of equal ones."""
     best = top
     for n in _order(top):
-        if n.sum > best.sum:
+        if n.sum > best.sum and n.tag not in PARTS_OF:
             best = n
     return best
 
@@ -222,7 +227,7 @@ def main_nodes(root: Node) -> list[Node]:
     while n is not None:
         threshold = min(threshold, n.density)
         n = n.parent
-    chosen = {id(main)} | {id(_best(n)) for n in nodes if n.density >= threshold and n.tag not in INLINE}
+    chosen = {id(main)} | {id(_best(n)) for n in nodes if n.density >= threshold and n.tag not in PARTS_OF}
     out, stack = [], [root]
     while stack:
         n = stack.pop()
@@ -233,10 +238,6 @@ def main_nodes(root: Node) -> list[Node]:
     return out
 
 
-INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q",
-          "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"}
-
-
 def blocks(node: Node) -> list[str]:
     """Text blocks below a node, in page order."""
     out, run = [], []
