@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from pinwheel.session import checkpoint_dir
 
@@ -81,10 +80,19 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return shift + np.arange(total)
 
 
-def bounded_sample(df: DataFrame, key, limit: int) -> DataFrame:
-    """At most ``limit`` rows, chosen by the md5 of ``key`` so that reruns agree."""
-    return df.orderBy(F.md5(key.cast("string").cast("binary")), key).limit(limit)
-
+def lowest_ids(rows: DataFrame, by: str, limit: int) -> DataFrame:
+    """``doc``, ``by`` and ``rank`` (md5 of the id) of the ``limit`` distinct ids of lowest rank
+    for every value of ``by``, a classifier's label (so there are few values).
 
-def crc_remainder(doc_id) -> int:
-    return zlib.crc32(str(doc_id).encode()) % 4
+    Ranks are uniform, so a cut at four times the share asked for leaves about ``4 * limit``
+    ids of each label, however many there are; only those are sorted.
+    """
+    ranked = rows.select("doc", by, F.md5(F.col("doc").cast("string").cast("binary")).alias("rank"))
+    sizes = ranked.groupBy(by).agg(F.approx_count_distinct("rank").alias("n")).collect()
+    if not sizes:
+        return ranked
+    cuts = F.create_map(*[x for r in sizes for x in (F.lit(r[by]), F.lit(min(1.0, 4 * limit / max(r.n, 1))))])
+    place = F.conv(F.substring("rank", 1, 8), 16, 10).cast("double") / float(1 << 32)
+    low = ranked.where(place <= cuts[F.col(by)]).distinct()
+    order = W.partitionBy(by).orderBy("rank", "doc")
+    return low.withColumn("n", F.row_number().over(order)).where(F.col("n") <= limit).drop("n")

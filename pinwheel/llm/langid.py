@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from pinwheel.llm.common import column, held_out, map_text, ragged, texts_of
+from pinwheel.llm.common import column, held_out, lowest_ids, map_text, ragged, texts_of
 from pinwheel.llm.subwords import gram_buckets, numbered_words
 
 SAMPLE_PER_LANGUAGE = 400
@@ -132,16 +132,11 @@ def scores(model: Model, texts: list[str]) -> np.ndarray:
 def training_sample(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     """Up to ``SAMPLE_PER_LANGUAGE`` rows of each language, by md5 of the id, held-out ids left out.
 
-    The ids are ranked without their texts, and every task keeps only its lowest ones, so no
-    language meets in one task; the texts of the bounded set of ids are joined to it.
+    The ids are chosen without their texts; the texts are joined to that bounded set.
     """
     rows = df.select(F.col(id_col).alias("doc"), F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("text")) \
         .where(F.col("lang").isNotNull() & F.col("doc").isNotNull() & ~held_out(F.col("doc")))
-    rank = F.md5(F.col("doc").cast("string").cast("binary"))
-    ids = rows.select("doc", "lang", rank.alias("rank"))
-    lowest = W.partitionBy("lang").orderBy("rank", "doc")
-    ids = ids.withColumn("n", F.row_number().over(lowest)).where(F.col("n") <= SAMPLE_PER_LANGUAGE) \
-        .select("doc", "lang", "rank").distinct()
+    ids = lowest_ids(rows, "lang", SAMPLE_PER_LANGUAGE)
     found = rows.join(F.broadcast(ids), ["doc", "lang"]).where(F.col("text").isNotNull())
     lowest = W.partitionBy("lang").orderBy("rank", "doc", "text")
     return found.withColumn("n", F.row_number().over(lowest)).where(F.col("n") <= SAMPLE_PER_LANGUAGE)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from pinwheel.llm.common import column, held_out, map_text, ragged, texts_of
+from pinwheel.llm.common import column, held_out, lowest_ids, map_text, ragged, texts_of
 from pinwheel.llm.subwords import WORDS_AT_ONCE, gram_buckets, numbered_words, word_buckets
 
 SAMPLE_PER_LABEL = 1_500
@@ -346,15 +346,12 @@ def text_scores(m: Model, texts: list[str]) -> np.ndarray:
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
     """Texts and labels of up to ``SAMPLE_PER_LABEL`` ids of each label, by md5 of the id.
 
-    Held-out ids, null labels and null texts are left out. The ids are ranked without their
-    texts; the texts of that bounded set are joined to it.
+    Held-out ids, null labels and null texts are left out. The ids are chosen without their
+    texts; the texts are joined to that bounded set.
     """
     marked = labels.select(F.col(id_col).alias("doc"), F.col(label_col).cast("int").alias("label")) \
         .where(F.col("doc").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc")))
-    lowest = W.partitionBy("label").orderBy("rank", "doc")
-    ids = marked.withColumn("rank", F.md5(F.col("doc").cast("string").cast("binary"))) \
-        .withColumn("n", F.row_number().over(lowest)).where(F.col("n") <= SAMPLE_PER_LABEL) \
-        .groupBy("doc", "rank").agg(F.max("label").alias("label"))  # an id with both labels is toxic
+    ids = lowest_ids(marked, "label", SAMPLE_PER_LABEL).groupBy("doc", "rank").agg(F.max("label").alias("label"))  # both labels: toxic
     found = docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text")) \
         .join(F.broadcast(ids), "doc").where(F.col("text").isNotNull())
     lowest = W.partitionBy("label").orderBy("rank", "doc", "text")
