@@ -20,12 +20,9 @@ def split_fields(value: Column | str) -> Column:
     return F.split(F.regexp_replace(value, SEPARATOR + "+$", ""), SEPARATOR)
 
 
-def strict_int(token: Column) -> Column:
-    """Parse a 32-bit integer; surrounding blanks, other characters or overflow raise an
-    error (whatever the session's ANSI setting)."""
-    parsed = token.try_cast("int")
-    return F.when(token.rlike(INTEGER_PATTERN) & parsed.isNotNull(), parsed).otherwise(
-        F.raise_error(F.concat(F.lit("not an integer: "), F.coalesce(token, F.lit("null")))).cast("int"))
+def is_int(token: Column) -> Column:
+    """Whether a token is a 32-bit integer without surrounding blanks (false for null)."""
+    return F.coalesce(token.rlike(INTEGER_PATTERN) & token.try_cast("int").isNotNull(), F.lit(False))
 
 
 def strict_double(token: Column) -> Column:
@@ -36,12 +33,6 @@ def strict_double(token: Column) -> Column:
         F.raise_error(F.concat(F.lit("not a number: "), F.coalesce(token, F.lit("null")))).cast("double"))
 
 
-def field(tokens: Column, index: int) -> Column:
-    """Field ``index`` (0-based); a line with too few fields raises an error."""
-    return F.when(F.size(tokens) > index, tokens.getItem(index)).otherwise(
-        F.raise_error(F.lit(f"line has no field {index}")).cast("string"))
-
-
 def to_vector(value: Column | str) -> Column:
     """A point line: every comma-separated token as a double."""
     return F.transform(split_fields(value), lambda t: strict_double(t))

@@ -5,16 +5,15 @@ weighs each by the number of the group's points nearest to it. Round 2 solves we
 k-center with outliers (alpha = 2) on that coreset of at most (k+z+1) * L points.
 
 Execution
-- The traversal needs at most one pass over the points per center, for all groups at once,
-  and usually fewer (certified per-cell maxima, see ``fft_centers``). Each point's distance
-  to its group's centers so far is a ``least`` over those centers (at most k+z+1 per group,
-  L groups: bounded by the parameters): inlined as literals when the table is small,
-  otherwise a broadcast array per group whose size is checked first, folded with
-  ``aggregate`` when a group has many centers. The farthest point per group and grid cell
-  is a ``max`` over a struct, which Catalyst aggregates partially in every task. No group is
-  ever gathered into one task, so a group holding a third of all rows costs the same as any
-  other, and a pass brings at most ``CERT_ROWS`` rows to the driver.
-- The coreset (at most (k+z+1) * L rows) is held as a local table for round two.
+- Every point carries its distance to the nearest center of its group so far, so a traversal
+  pass compares it with the new centers only, and the coreset weights are a count over the
+  final state. The farthest point per group and grid cell is a ``max`` over a struct, which
+  Catalyst aggregates partially in every task: no group is ever gathered into one task, and
+  a group holding a third of all rows costs the same as any other. New centers travel as one
+  row per group, broadcast if their size allows and joined by shuffle otherwise.
+- The driver holds the centers themselves ((k+z+1) * L rows, the result of the operator) and
+  per pass one row per cell of the certificate grid.
+- The coreset is written to the shared checkpoint folder for round two.
 - Groups come from the ``part`` column (``pmod(id, L)`` by default), never from physical
   partitions, so results do not depend on AQE or on the number of shuffle partitions.
 """
@@ -25,28 +24,18 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pinwheel.functions.distance import euclidean, euclidean_sql
-from pinwheel.operators.geometry import PointStats, merge_duplicates, validate_points
+from pinwheel.functions.distance import euclidean
+from pinwheel.operators.geometry import PointStats, validate_points
 from pinwheel.operators.kcenter import KCenterResult, kcenter_outliers
 from pinwheel.operators.objective import objective_partitioned, objective_value
+from pinwheel.session import checkpoint_dir
 
 # Largest per-group center table (rows x dimensions) broadcast to every task.
 MAX_BROADCAST_VALUES = 5_000_000
-# Center tables up to this many values are inlined as literals (no join at all).
-LITERAL_VALUES = 4096
-
-CORESET_SCHEMA = T.StructType([
-    T.StructField("ord", T.LongType()),
-    T.StructField("part", T.IntegerType()),
-    T.StructField("step", T.IntegerType()),
-    T.StructField("id", T.LongType()),
-    T.StructField("coords", T.ArrayType(T.DoubleType())),
-    T.StructField("w", T.LongType()),
-])
 
 FFT_SCHEMA = T.StructType([
     T.StructField("part", T.IntegerType()),
@@ -66,203 +55,190 @@ def assign_parts(points: DataFrame, parts: int) -> DataFrame:
     return points.withColumn("part", F.pmod(F.col("id"), F.lit(parts)).cast("int"))
 
 
-def _arrays(centers: DataFrame) -> DataFrame:
-    return centers.groupBy("part").agg(
-        F.sort_array(F.collect_list(F.struct("step", "coords"))).alias("cs"))
-
-
-def _attach(points: DataFrame, centers: DataFrame, rows: int, d: int) -> DataFrame:
-    arrays = _arrays(centers)
-    if rows * max(d, 1) <= MAX_BROADCAST_VALUES:
-        arrays = F.broadcast(arrays)
-    # Beyond the bound this is a shuffle join on ``part``; AQE splits a crowded part.
-    return points.join(arrays, "part")
-
-
-# Up to this many centers per group the distances are unrolled (compiled); beyond it they are
-# folded over the center array with ``aggregate``, which keeps the generated code small.
-UNROLL_CENTERS = 64
-
-
-def _near_dist(coords: Column, cs: Column, count: int, d: int) -> Column:
-    """Distance to the nearest center of the group's array ``cs`` of (step, coords)."""
-    if count <= UNROLL_CENTERS:
-        ds = _dists(coords, cs, count, d)
-        return ds[0] if len(ds) == 1 else F.least(*ds)
-    return F.aggregate(cs, F.lit(float("inf")), lambda acc, c: F.least(acc, euclidean(coords, c["coords"], d)))
-
-
-def _near_step(coords: Column, cs: Column, count: int, d: int) -> Column:
-    """Step of the nearest center of ``cs`` (sorted by step); ties go to the lowest step."""
-    if count <= UNROLL_CENTERS:
-        dists = F.array(*_dists(coords, cs, count, d))
-        steps = F.transform(cs, lambda c: c["step"])
-        # array_min skips the missing entries of groups with fewer centers (nulls);
-        # array_position finds the first, i.e. lowest-step, center at that distance.
-        return F.element_at(steps, F.array_position(dists, F.array_min(dists)).cast("int"))
-    start = F.struct(F.lit(float("inf")).alias("d"), F.lit(None).cast("int").alias("s"))
-
-    def fold(acc, c):
-        dist = euclidean(coords, c["coords"], d)
-        # Only a strictly closer center replaces the current one: ties keep the lowest step.
-        return F.when(dist < acc["d"], F.struct(dist.alias("d"), c["step"].alias("s"))).otherwise(acc)
-
-    return F.aggregate(cs, start, fold)["s"]
-
-
-def _dists(coords: Column, cs: Column, count: int, d: int) -> list[Column]:
-    return [euclidean(coords, F.get(cs, i).getField("coords"), d) for i in range(count)]
-
-
-def _literal_min_dist(rows: list[tuple], d: int) -> Column:
-    """``CASE part WHEN p THEN least(d(x, c) for the centers of p) END`` from collected rows."""
-    by_part: dict[int, list[list[float]]] = {}
-    for part, _step, _id, _ord, coords in rows:
-        by_part.setdefault(part, []).append(coords)
-    expr = None
-    for part, cs in by_part.items():
-        near = F.expr(euclidean_sql("coords", cs[0], d)) if len(cs) == 1 else \
-            F.expr("least(" + ", ".join(euclidean_sql("coords", c, d) for c in cs) + ")")
-        expr = F.when(F.col("part") == part, near) if expr is None else expr.when(F.col("part") == part, near)
-    return expr
-
-
 # Cells of the traversal's certificate grid per group (spread over up to 3 dimensions).
 CERT_CELLS = 1024
-# Bound on the rows a traversal pass brings to the driver (cells x groups); with many
-# groups each group gets fewer cells.
+# Bound on the rows a traversal pass brings to the driver; with many groups each group gets
+# fewer cells, at least one (the next center of every group is part of the result anyway).
 CERT_ROWS = 200_000
 _CERT_DIMS = 3
 # Relative margin that keeps box-to-center distances below the computed point distances.
 _BOX_MARGIN = 1e-9
+# New centers per group after which the running minimum is written into the cached state,
+# and how many such states follow each other before one goes to the checkpoint folder.
+PENDING_CENTERS = 8
+STATES_PER_CHECKPOINT = 8
+
+
+class _GroupCells:
+    """The farthest point per grid cell of one group after a pass."""
+
+    def __init__(self, rows, keys, lo, width, whole: bool):
+        self.whole = whole
+        best = [r["b"] for r in rows]
+        self.id = [b["id"] for b in best]
+        self.coords = [[float(v) for v in b["coords"]] for b in best]
+        self.ord = np.array([-b["neg_ord"] for b in best], dtype=np.int64)
+        self.far = np.array([float(b["m"]) for b in best])
+        self.exact = np.ones(len(best), dtype=bool)
+        cell = np.array([[r[k] for k in keys] for r in rows], dtype=float).reshape(len(best), len(keys))
+        slack = width * 1e-6  # a point may sit a rounding error outside its computed cell
+        self.low, self.high = lo + cell * width - slack, lo + (cell + 1) * width + slack
+
+    def take(self, wanted: int) -> tuple[list[tuple], bool]:
+        """Up to ``wanted`` next centers (id, ord, coords) that the cell maxima prove, and
+        whether the farthest point is at distance 0."""
+        out: list[tuple] = []
+        while len(out) < wanted and self.exact.any():
+            bound = self.far[~self.exact].max(initial=-np.inf)
+            top = self.far[self.exact].max()
+            if top <= 0 and bound <= 0:
+                return out, True
+            if not top > bound:
+                break
+            at = np.flatnonzero(self.exact & (self.far == top))
+            best = int(at[np.argmin(self.ord[at])])
+            out.append((self.id[best], int(self.ord[best]), self.coords[best]))
+            c = np.array(self.coords[best][:self.low.shape[1]], dtype=float)
+            gap = np.sqrt((np.maximum(np.maximum(self.low - c, c - self.high), 0.0) ** 2).sum(1)) * (1 - _BOX_MARGIN)
+            keep = self.exact & (gap >= self.far)  # no point of the cell gets closer
+            keep[best] = False                     # its cell's maximum is now unknown
+            if self.whole:                         # new distances are at most the box's reach
+                reach = np.sqrt((np.maximum(np.abs(self.low - c), np.abs(self.high - c)) ** 2).sum(1)) * (1 + _BOX_MARGIN)
+                self.far = np.where(keep, self.far, np.minimum(self.far, reach))
+            self.exact = keep
+        return out, False
 
 
-def _box_lower_bound(lo: np.ndarray, hi: np.ndarray, center: np.ndarray) -> float:
-    """A lower bound of the distance from ``center`` to any point in the box [lo, hi]."""
-    gap = np.maximum(np.maximum(lo - center, center - hi), 0.0)
-    return float(np.sqrt(np.sum(gap * gap))) * (1.0 - _BOX_MARGIN)
-
-
-def _box_upper_bound(lo: np.ndarray, hi: np.ndarray, center: np.ndarray) -> float:
-    """An upper bound of the distance from ``center`` to any point in the box [lo, hi]."""
-    far = np.maximum(np.abs(lo - center), np.abs(hi - center))
-    return float(np.sqrt(np.sum(far * far))) * (1.0 + _BOX_MARGIN)
+@dataclass
+class Traversal:
+    """Centers of all groups, and every point's distance and step of its nearest center."""
+    centers: DataFrame  # part, step, id, ord, coords
+    state: DataFrame    # part, id, ord, coords, m, near
+    cached: DataFrame   # what ``state`` reads; unpersist it once ``state`` is used up
 
 
-def fft_centers(points: DataFrame, m: int, parts: int | None = None,
-                stats: PointStats | None = None, cells: int = CERT_CELLS) -> DataFrame:
-    """Farthest-first traversal with ``m`` centers inside every group (C1).
+def traverse(points: DataFrame, m: int, parts: int | None = None, stats: PointStats | None = None,
+             cells: int = CERT_CELLS, broadcast_values: int = MAX_BROADCAST_VALUES) -> Traversal:
+    """Farthest-first traversal with ``m`` centers inside every group (C1, C2).
 
     Starts at the group's first point (lowest ord); each step adds the point farthest from
     the centers so far, ties to the lowest ord. A group stops early when its farthest point
-    is at distance 0 (fewer than m distinct points). Output: part, step, id, ord, coords.
-
-    Each pass over the points computes every point's distance to its group's centers and
-    returns, per group and per cell of a coarse grid, the farthest point of the cell (a
-    partial aggregate: at most ``cells`` rows per group). Its overall maximum is the next
-    center. Further centers are then chosen from these rows without a new pass as long as
-    that is provably exact: a cell whose box is at least its maximum away from every new
-    center keeps its maximum exactly; other cells only keep it as an upper bound; the next
-    center is certain when the best exact cell beats every upper bound. Traversal centers
-    are spread out, so most cells stay exact and a pass usually yields several centers.
+    is at distance 0 (fewer than m distinct points).
+
+    Every point keeps its distance to the nearest center so far and that center's step, and
+    a pass compares it only with the centers added since (n * m distances in all, plus what a
+    few pending centers cost more than once). A pass returns, per group and per cell of a
+    coarse grid, the farthest point of the cell (a partial aggregate). Its overall maximum is
+    the next center; further ones are chosen from the same rows as long as that is provably
+    exact: a cell whose box is at least its maximum away from every new center keeps its
+    maximum, other cells only an upper bound, and the best exact cell must beat every bound.
     ``cells=1`` gives one center per pass.
     """
     spark = points.sparkSession
+    checkpoint_dir(spark)
     pts = assign_parts(points, parts) if parts else points
     stats = stats or validate_points(pts)
-    d = stats.d
-    g = min(d, _CERT_DIMS)
+    d, g = stats.d, min(stats.d, _CERT_DIMS)
     pts = pts.select("part", "id", "ord", "coords")
     # One pass: every group's first point and bounding box (partial aggregates).
     first = pts.groupBy("part").agg(
         F.min(F.struct("ord", "id", "coords")).alias("c"),
         *[F.min(F.col("coords").getItem(i)).alias(f"lo{i}") for i in range(g)],
         *[F.max(F.col("coords").getItem(i)).alias(f"hi{i}") for i in range(g)]).collect()
-    rows = [(int(r["part"]), 0, r["c"]["id"], r["c"]["ord"], list(r["c"]["coords"])) for r in first]
-    count = {int(r["part"]): 1 for r in first}
     per_group = max(1, min(cells, CERT_ROWS // max(len(first), 1)))
-    res = max(1, int(round(per_group ** (1.0 / g)))) if g else 1
-    done = {p for p, c in count.items() if c >= m}
-    # Per-group grid: cell = floor((x - lo) / width), clamped; at most L rows, broadcast.
-    boxes = {}
+    res = max(1, int(per_group ** (1.0 / g) + 1e-9)) if g else 1
+    boxes, chosen, pending = {}, {}, {}
     for r in first:
-        lo = np.array([r[f"lo{i}"] for i in range(g)], dtype=float)
-        hi = np.array([r[f"hi{i}"] for i in range(g)], dtype=float)
-        boxes[int(r["part"])] = (lo, np.where(hi > lo, (hi - lo) / res, 1.0))
-    if g:
-        grid = spark.createDataFrame(
-            [(p, *[float(v) for v in lo], *[float(v) for v in w]) for p, (lo, w) in boxes.items()],
-            "part int, " + ", ".join([f"_lo{i} double" for i in range(g)] + [f"_w{i} double" for i in range(g)]))
-        pts = pts.join(F.broadcast(grid), "part").select(
-            "part", "id", "ord", "coords",
-            *[F.least(F.greatest(F.floor((F.col("coords").getItem(i) - F.col(f"_lo{i}")) / F.col(f"_w{i}")),
-                                 F.lit(0)), F.lit(res - 1)).cast("int").alias(f"_g{i}") for i in range(g)])
-    pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        while len(done) < len(count):
-            if len(rows) * max(d, 1) <= LITERAL_VALUES:
-                joined, near = pts, _literal_min_dist(rows, d)
-            else:
-                joined = _attach(pts, spark.createDataFrame(rows, FFT_SCHEMA), len(rows), d)
-                near = _near_dist(F.col("coords"), F.col("cs"), max(count.values()), d)
-            live = joined.filter(~F.col("part").isin(sorted(done))) if done else joined
-            keys = [f"_g{i}" for i in range(g)]
-            tops = live.select("part", *keys, near.alias("m"), "ord", "id", "coords") \
-                .groupBy("part", *keys).agg(
-                    F.max(F.struct("m", (-F.col("ord")).alias("neg_ord"), "id", "coords")).alias("b")).collect()
-            by_part: dict[int, list] = {}
-            for r in tops:
-                b = r["b"]
-                lo, width = boxes[int(r["part"])]
-                slack = width * 1e-6  # a point may sit a rounding error outside its computed cell
-                cell = np.array([r[k] for k in keys], dtype=float)
-                by_part.setdefault(int(r["part"]), []).append(
-                    [True, b["m"], b["neg_ord"], b["id"], list(b["coords"]),
-                     lo + cell * width - slack, lo + (cell + 1) * width + slack])
-            for part, cs in by_part.items():
-                # cell: [exact?, max (or upper bound when not exact), -ord, id, coords, lo, hi]
-                while True:
-                    exact = [c for c in cs if c[0]]
-                    bound = max((c[1] for c in cs if not c[0]), default=float("-inf"))
-                    if not exact:
-                        break
-                    best = max(exact, key=lambda c: (c[1], c[2]))
-                    if best[1] <= 0 and bound <= 0:      # farthest point at distance 0: done
-                        done.add(part)
-                        break
-                    if not best[1] > bound:              # not provably the farthest
-                        break
-                    rows.append((part, count[part], best[3], -best[2], best[4]))
-                    count[part] += 1
-                    if count[part] >= m:
-                        done.add(part)
-                        break
-                    center = np.array(best[4][:g], dtype=float)
-                    best[0] = False                      # its cell's maximum is now unknown
-                    for c in cs:
-                        if c[0] and _box_lower_bound(c[5], c[6], center) >= c[1]:
-                            continue                     # no point of the cell gets closer
-                        c[0] = False
-                        if g == d:                       # new distances are at most the box reach
-                            c[1] = min(c[1], _box_upper_bound(c[5], c[6], center))
-        return spark.createDataFrame(rows, FFT_SCHEMA)
-    finally:
-        pts.unpersist()
-
-
-def coreset_weights(points: DataFrame, centers: DataFrame, m: int, parts: int | None = None,
-                    stats: PointStats | None = None) -> DataFrame:
-    """Number of the group's points nearest to each center, ties to the lowest step (C2).
-
-    Output: part, step, w.
-    """
+        part = int(r["part"])
+        lo, hi = (np.array([r[f"{e}{i}"] for i in range(g)], dtype=float) for e in ("lo", "hi"))
+        boxes[part] = (lo, np.where(hi > lo, (hi - lo) / res, 1.0))
+        chosen[part] = [(r["c"]["id"], r["c"]["ord"], [float(v) for v in r["c"]["coords"]])]
+        pending[part] = [(0, chosen[part][0][2])]
+    done = {p for p in chosen if m <= 1}
+    keys = [f"_g{i}" for i in range(g)]
+
+    def attached(df: DataFrame, rows: list, schema: str, values: int) -> DataFrame:
+        """``df`` joined with a table of one row per group: broadcast if its size allows."""
+        table = spark.createDataFrame(rows, schema)
+        return df.join(F.broadcast(table) if values <= broadcast_values else table, "part")
+
+    box_rows = [(p, *[float(v) for v in lo], *[float(v) for v in w]) for p, (lo, w) in boxes.items()]
+    box_schema = "part int" + "".join([f", _lo{i} double" for i in range(g)] + [f", _w{i} double" for i in range(g)])
+    state = attached(pts, box_rows, box_schema, len(boxes) * (2 * g + 1)).select(
+        "part", "id", "ord", "coords", F.lit(float("inf")).alias("m"), F.lit(None).cast("int").alias("near"),
+        *[F.least(F.greatest(F.floor((F.col("coords").getItem(i) - F.col(f"_lo{i}")) / F.col(f"_w{i}")),
+                             F.lit(0)), F.lit(res - 1)).cast("int").alias(keys[i]) for i in range(g)])
+    state = state.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def current() -> DataFrame:
+        """The state with the pending centers taken into account."""
+        rows = [(p, p in done, [(s, c) for s, c in cs]) for p, cs in pending.items()]
+        values = sum(len(cs) for cs in pending.values()) * max(d, 1)
+
+        def closer(acc, c):
+            dist = euclidean(F.col("coords"), c["c"], d)
+            # Only a strictly closer center replaces the current one: ties keep the lowest step.
+            return F.when(dist < acc["m"], F.struct(dist.alias("m"), c["s"].alias("near"))).otherwise(acc)
+
+        joined = attached(state, rows, "part int, _done boolean, _cs array<struct<s:int,c:array<double>>>", values)
+        best = F.aggregate("_cs", F.struct("m", "near"), closer)
+        return joined.select("part", "id", "ord", "coords", best.alias("_b"), *keys, "_done") \
+            .select("part", "id", "ord", "coords", "_b.m", "_b.near", *keys, "_done")
+
+    written = 0
+    while True:
+        fresh = current()
+        if len(done) == len(chosen):
+            break
+        tops = fresh.where(~F.col("_done")).groupBy("part", *keys).agg(
+            F.max(F.struct("m", (-F.col("ord")).alias("neg_ord"), "id", "coords")).alias("b")).collect()
+        by_part: dict[int, list] = {}
+        for r in tops:
+            by_part.setdefault(int(r["part"]), []).append(r)
+        for part, rows in by_part.items():
+            taken, exhausted = _GroupCells(rows, keys, *boxes[part], whole=g == d).take(m - len(chosen[part]))
+            for center in taken:
+                pending[part].append((len(chosen[part]), center[2]))
+                chosen[part].append(center)
+            if exhausted or len(chosen[part]) >= m:
+                done.add(part)
+        if max(map(len, pending.values())) > PENDING_CENTERS:
+            written += 1
+            later = current().drop("_done")
+            later = later.checkpoint() if written % STATES_PER_CHECKPOINT == 0 else later.persist(StorageLevel.MEMORY_AND_DISK)
+            later.count()
+            state.unpersist()
+            state, pending = later, {p: [] for p in chosen}
+    table = [(p, s, i, o, c) for p, cs in chosen.items() for s, (i, o, c) in enumerate(cs)]
+    return Traversal(spark.createDataFrame(table, FFT_SCHEMA), fresh.select("part", "id", "ord", "coords", "m", "near"), state)
+
+
+def fft_centers(points: DataFrame, m: int, parts: int | None = None, stats: PointStats | None = None,
+                cells: int = CERT_CELLS, broadcast_values: int = MAX_BROADCAST_VALUES) -> DataFrame:
+    """Farthest-first centers of every group (C1): part, step, id, ord, coords."""
+    found = traverse(points, m, parts, stats, cells, broadcast_values)
+    found.cached.unpersist()
+    return found.centers
+
+
+def coreset_weights(points: DataFrame, centers: DataFrame, parts: int | None = None,
+                    stats: PointStats | None = None, broadcast_values: int = MAX_BROADCAST_VALUES) -> DataFrame:
+    """Number of the group's points nearest to each of some centers, ties to the lowest step
+    (C2). Output: part, step, w."""
     pts = assign_parts(points, parts) if parts else points
     stats = stats or validate_points(pts)
     d = stats.d
-    rows = centers.count()
-    joined = _attach(pts.select("part", "coords"), centers, rows, d)
-    choice = _near_step(F.col("coords"), F.col("cs"), m, d)
-    return joined.select("part", choice.alias("step")).groupBy("part", "step") \
+    arrays = centers.groupBy("part").agg(F.sort_array(F.collect_list(F.struct("step", "coords"))).alias("cs"))
+    if centers.count() * max(d, 1) <= broadcast_values:
+        arrays = F.broadcast(arrays)
+    joined = pts.select("part", "coords").join(arrays, "part")
+
+    def closer(acc, c):
+        dist = euclidean(F.col("coords"), c["coords"], d)
+        return F.when(dist < acc["d"], F.struct(dist.alias("d"), c["step"].alias("s"))).otherwise(acc)
+
+    start = F.struct(F.lit(float("inf")).alias("d"), F.lit(None).cast("int").alias("s"))
+    return joined.select("part", F.aggregate("cs", start, closer)["s"].alias("step")).groupBy("part", "step") \
         .agg(F.count(F.lit(1)).alias("w"))
 
 
@@ -270,16 +246,17 @@ def partition_coreset(points: DataFrame, k: int, z: int, parts: int,
                       stats: PointStats | None = None) -> DataFrame:
     """Weighted coreset: every group's k+z+1 traversal centers with their weights (C3-C5).
 
-    Output: ord (= part * (k+z+1) + step, the order of the union), part, step, id, coords, w.
+    The weights come from the traversal's own state. Output: ord (= part * (k+z+1) + step, the
+    order of the union), part, step, id, coords, w.
     """
     if k < 1 or z < 0:
         raise ValueError("k must be at least 1 and z non-negative")
     m = k + z + 1
     pts = assign_parts(points, parts)
-    stats = stats or validate_points(pts)
-    centers = fft_centers(pts, m, stats=stats)
-    weights = coreset_weights(pts, centers, m, stats=stats)
-    core = centers.join(weights, ["part", "step"], "left")
+    found = traverse(pts, m, stats=stats or validate_points(pts))
+    weights = found.state.groupBy("part", F.col("near").alias("step")).agg(F.count(F.lit(1)).alias("w")).checkpoint()
+    found.cached.unpersist()
+    core = found.centers.join(weights, ["part", "step"], "left")
     return core.select(
         (F.col("part").cast("long") * m + F.col("step")).alias("ord"), "part", "step",
         F.col("id"), "coords", F.coalesce("w", F.lit(0)).cast("long").alias("w"))
@@ -303,16 +280,10 @@ def mr_kcenter(points: DataFrame, k: int, z: int, parts: int, alpha: float = 2.0
         raise ValueError("k must be at least 1, z non-negative and L at least 1")
     pts = assign_parts(points, parts)
     stats = validate_points(pts)
-    # The coreset has at most (k+z+1) * L rows: held as a local table, so round two carries
-    # no lineage back to the points and nothing stays cached.
-    core = partition_coreset(pts, k, z, parts, stats=stats)
-    core = pts.sparkSession.createDataFrame(core.collect(), CORESET_SCHEMA)
+    # Written once to the checkpoint folder: round two carries no lineage back to the points.
+    checkpoint_dir(points.sparkSession)
+    core = partition_coreset(pts, k, z, parts, stats=stats).checkpoint()
     solution = kcenter_outliers(core.select("id", "ord", "coords", "w"), k, z, alpha, guard_n=stats.n)
     obj = objective_value(objective_partitioned(pts, solution.centers, z, stats=stats)) if stats.n else 0.0
     solution.extra = {"parts": parts}
     return TwoRoundResult(solution, core, obj, parts)
-
-
-def merged_coreset(core: DataFrame) -> DataFrame:
-    """The coreset with equal points merged (summed weight, earliest ord)."""
-    return merge_duplicates(core.select("id", "ord", "coords", "w"))

@@ -4,15 +4,18 @@ A point DataFrame has ``id bigint`` (unique), ``ord bigint`` (input order; ties
 lowest), ``coords array<double>`` and optionally ``w bigint`` (weight, default 1).
 
 Scale notes
-- Center sets are small by definition (at most k, or k+z+1 per group). They are collected
-  only behind an explicit row bound and inlined as literals, so distance-to-centers is a plain
-  projection compiled by whole-stage codegen: no join and no shuffle.
+- A small center set is inlined as literals, so distance-to-centers is a plain projection
+  compiled by whole-stage codegen: no join and no shuffle. A larger one of any size is cut
+  into blocks of bounded size; each block is one broadcast row, and every point folds the
+  blocks one after the other into its nearest center so far, again without a shuffle.
 - Balls (all y within r of x) are a theta join. It runs as an equi-join on grid cells of side
-  >= r plus the exact distance test, never as a cross join. Ball weights go further: weights
-  are summed per fine cell and whole cell pairs that certainly lie inside (or outside) a
-  ball are decided at once, so only a thin shell around the radius is tested point by point
-  (``ball_weight_sums``). Identical points are merged before any of this, and AQE's
-  skew-join split spreads a crowded cell over several tasks.
+  >= r plus the exact distance test, never as a cross join. Ball weights go further where
+  cells are crowded: weights are summed per fine cell, and cell pairs that certainly lie
+  inside (or outside) a ball are decided at once, so only the cells that the ball's border
+  may cross are tested point by point (``ball_weight_sums``). With 16 fine cells per radius
+  in two dimensions those are about a third of the cells near a ball; in three dimensions,
+  with 4, most of them. Identical points are merged before any of this, and AQE's skew-join
+  split spreads a crowded cell over several tasks.
 """
 
 from __future__ import annotations
@@ -23,11 +26,11 @@ from itertools import product as iproduct
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pinwheel.functions.distance import euclidean, euclidean_sql
+from pinwheel.session import checkpoint_dir
 
-# Bound on coordinates (rows x dimensions) of a center set inlined into expressions.
-MAX_CENTER_VALUES = 200_000
 # Grid dimensions used for the ball join; further dimensions only enter the exact test.
 GRID_DIMS = 3
 # Cells are widened by this factor and never made finer than span * 2^-30, which keeps the
@@ -46,9 +49,11 @@ class PointStats:
 
 
 def validate_points(points: DataFrame) -> PointStats:
-    """Count points and check that all have the same dimension and no NaN coordinate."""
+    """Count points and check that all have coordinates of the same dimension, none of them
+    null or NaN."""
     row = points.agg(
         F.count(F.lit(1)).alias("n"),
+        F.sum(F.when(F.col("coords").isNull() | F.array_contains(F.transform("coords", lambda v: v.isNull()), True), 1).otherwise(0)).alias("null_rows"),
         F.min(F.size("coords")).alias("dmin"),
         F.max(F.size("coords")).alias("dmax"),
         # Lambda-free array functions stay in generated code (Spark SQL treats NaN = NaN).
@@ -60,6 +65,8 @@ def validate_points(points: DataFrame) -> PointStats:
     n = int(row["n"])
     if n == 0:
         return PointStats(0, 0, 0.0)
+    if row["null_rows"]:
+        raise ValueError(f"{row['null_rows']} points have a null coordinate")
     if row["dmin"] != row["dmax"]:
         raise ValueError(f"points have different dimensions ({row['dmin']} and {row['dmax']})")
     if row["nan_rows"]:
@@ -77,38 +84,12 @@ def with_weight(points: DataFrame) -> DataFrame:
     return points if "w" in points.columns else points.withColumn("w", F.lit(1).cast("long"))
 
 
-def collect_centers(centers: DataFrame, max_values: int = MAX_CENTER_VALUES) -> list[tuple]:
-    """Bring a small center set to the driver as (id, ord, coords) sorted by ord.
-
-    Refuses sets larger than ``max_values`` coordinates instead of broadcasting them blindly.
-    """
-    cols = centers.columns
-    key = "ord" if "ord" in cols else "id"
-    probe = centers.select(
-        F.col("id").cast("long") if "id" in cols else F.lit(None).cast("long"),
-        F.col(key).cast("long"), "coords").orderBy(key)
-    rows = probe.limit(max_values + 1).collect()
-    values = sum(len(r[2]) for r in rows)
-    if len(rows) > max_values or values > max_values:
-        raise ValueError(f"center set larger than {max_values} coordinates; pass fewer centers")
-    return [(r[0], r[1], [float(v) for v in r[2]]) for r in rows]
-
-
 def literal_distances(coords: str, centers: list[tuple], d: int) -> Column:
     """Array of distances from array column ``coords`` to the literal centers, in center
     order (each computed once)."""
     return F.expr("array(" + ", ".join(euclidean_sql(coords, c[2], d) for c in centers) + ")")
 
 
-def min_dist_literal(coords: str, centers: list[tuple], d: int) -> Column:
-    """``min_s d(x, s)`` over literal centers for array column ``coords``; null when none."""
-    if not centers:
-        return F.lit(None).cast("double")
-    if len(centers) == 1:
-        return F.expr(euclidean_sql(coords, centers[0][2], d))
-    return F.array_min(literal_distances(coords, centers, d))
-
-
 def nearest_literal(dists: Column, centers: list[tuple]) -> tuple[Column, Column]:
     """(distance, center id) of the nearest center given the ``literal_distances`` array;
     ties go to the earliest center."""
@@ -117,60 +98,60 @@ def nearest_literal(dists: Column, centers: list[tuple]) -> tuple[Column, Column
     return best, F.element_at(ids, F.array_position(dists, best).cast("int"))
 
 
-# Center sets up to this many coordinates are inlined as literals (compiled code); larger
-# ones are attached as one broadcast row of arrays and folded with ``aggregate``.
+# Center sets up to this many coordinates are inlined as literals (compiled code).
 LITERAL_CENTER_VALUES = 1024
-
-
-def _attach_center_row(points: DataFrame, centers: list[tuple]) -> DataFrame:
-    """Add columns ``_cs`` (center coordinates) and ``_cid`` (center ids), in center order.
-
-    The center set is one row, bounded by ``collect_centers`` and broadcast; the join key is
-    constant, so every point gets the same row and nothing is multiplied."""
-    row = points.sparkSession.createDataFrame(
-        [(0, [c[2] for c in centers], [c[0] for c in centers])],
-        "_k int, _cs array<array<double>>, _cid array<bigint>")
-    return points.withColumn("_k", F.lit(0)).join(F.broadcast(row), "_k").drop("_k")
-
-
-def with_min_dist(points: DataFrame, centers: list[tuple], d: int, name: str = "dist") -> DataFrame:
-    """Add ``name``: distance from each point to its nearest center (null when none)."""
-    if len(centers) * max(d, 1) <= LITERAL_CENTER_VALUES:
-        return points.withColumn(name, min_dist_literal("coords", centers, d))
-    attached = _attach_center_row(points, centers)
-    near = F.aggregate("_cs", F.lit(float("inf")), lambda acc, c: F.least(acc, euclidean(F.col("coords"), c, d)))
-    return attached.withColumn(name, near).drop("_cs", "_cid")
-
-
-def dist_to_centers(points: DataFrame, centers: DataFrame, d: int | None = None) -> DataFrame:
-    """Add ``dist``: distance from each point to its nearest center (V4)."""
+# Larger ones are folded in blocks of about this many coordinates, one broadcast row each.
+BLOCK_VALUES = 200_000
+# Blocks that one plan folds before its rows are written to the shared checkpoint folder.
+BLOCKS_PER_PLAN = 8
+
+
+def _with_nearest(points: DataFrame, centers: DataFrame, d: int, literal_values: int = LITERAL_CENTER_VALUES,
+                  block_values: int = BLOCK_VALUES) -> DataFrame:
+    """Add ``dist`` and ``center_id`` of the nearest center (ties: lowest center ord); null
+    without centers. ``centers`` has coords and id or ord or both."""
+    names = centers.columns
+    key = "ord" if "ord" in names else "id"
+    cs = centers.select(F.col(key).cast("long").alias("o"), F.col("id" if "id" in names else key).cast("long").alias("i"),
+                        F.col("coords").alias("c"))
+    size = cs.agg(F.coalesce(F.sum(F.size("c")), F.lit(0)).alias("values"), F.count(F.lit(1)).alias("n")).collect()[0]
+    if not size["n"]:
+        return points.withColumn("dist", F.lit(None).cast("double")).withColumn("center_id", F.lit(None).cast("long"))
+    if size["values"] <= literal_values:
+        rows = [(r["i"], r["o"], [float(v) for v in r["c"]]) for r in cs.orderBy("o", "i").collect()]
+        with_d = points.withColumn("_dists", literal_distances("coords", rows, d))
+        best, choice = nearest_literal(F.col("_dists"), rows)
+        return with_d.withColumn("dist", best).withColumn("center_id", choice).drop("_dists")
+    blocks = -(-size["values"] // block_values)
+    checkpoint_dir(points.sparkSession)
+    cs = cs.withColumn("b", F.pmod(F.xxhash64("o", "i"), F.lit(blocks))).checkpoint() if blocks > 1 else cs.withColumn("b", F.lit(0))
+    unset = F.struct(F.lit(float("inf")).alias("d"), F.lit(2 ** 63 - 1).alias("o"), F.lit(None).cast("long").alias("i"))
+
+    def closer(acc, c):
+        dist = euclidean(F.col("coords"), c["c"], d)
+        return F.when((dist < acc["d"]) | ((dist == acc["d"]) & (c["o"] < acc["o"])),
+                      F.struct(dist.alias("d"), c["o"].alias("o"), c["i"].alias("i"))).otherwise(acc)
+
+    state = points.select(F.struct(*points.columns).alias("_p"), "coords", unset.alias("_best"), F.lit(0).alias("_k"))
+    for b in range(blocks):
+        block = cs.where(F.col("b") == b).agg(F.collect_list(F.struct("o", "i", "c")).alias("_cs")).withColumn("_k", F.lit(0))
+        state = state.join(F.broadcast(block), "_k").select(
+            "_p", "coords", F.aggregate("_cs", F.col("_best"), closer).alias("_best"), "_k")
+        if (b + 1) % BLOCKS_PER_PLAN == 0 and b + 1 < blocks:
+            state = state.checkpoint()
+    return state.select("_p.*", F.col("_best.d").alias("dist"), F.col("_best.i").alias("center_id"))
+
+
+def dist_to_centers(points: DataFrame, centers: DataFrame, d: int | None = None, **limits) -> DataFrame:
+    """Add ``dist``: distance from each point to its nearest center, null without centers (V4)."""
     d = validate_points(points).d if d is None else d
-    return with_min_dist(points, collect_centers(centers), d)
+    return _with_nearest(points, centers, d, **limits).drop("center_id")
 
 
-def nearest_center(points: DataFrame, centers: DataFrame, d: int | None = None) -> DataFrame:
+def nearest_center(points: DataFrame, centers: DataFrame, d: int | None = None, **limits) -> DataFrame:
     """Add ``center_id`` and ``dist`` of the nearest center (V3); ties go to the lowest center ord."""
     d = validate_points(points).d if d is None else d
-    cs = collect_centers(centers)
-    if not cs:
-        return points.withColumn("dist", F.lit(None).cast("double")) \
-            .withColumn("center_id", F.lit(None).cast("long"))
-    if len(cs) * max(d, 1) <= LITERAL_CENTER_VALUES:
-        with_d = points.withColumn("_dists", literal_distances("coords", cs, d))
-        best, choice = nearest_literal(F.col("_dists"), cs)
-        return with_d.withColumn("dist", best).withColumn("center_id", choice).drop("_dists")
-    attached = _attach_center_row(points, cs)
-    start = F.struct(F.lit(float("inf")).alias("d"), F.lit(None).cast("long").alias("c"))
-
-    def fold(acc, pair):
-        dist = euclidean(F.col("coords"), pair["c"], d)
-        # Only a strictly closer center replaces the current one: ties keep the earliest.
-        return F.when(dist < acc["d"], F.struct(dist.alias("d"), pair["i"].alias("c"))).otherwise(acc)
-
-    pairs = F.arrays_zip(F.col("_cs").alias("c"), F.col("_cid").alias("i"))
-    best = F.aggregate(pairs, start, fold)
-    return attached.withColumn("_best", best).select(
-        *points.columns, F.col("_best.d").alias("dist"), F.col("_best.c").alias("center_id"))
+    return _with_nearest(points, centers, d, **limits)
 
 
 def pair_distances(left: DataFrame, right: DataFrame, on: list[str], d: int) -> DataFrame:
@@ -187,15 +168,25 @@ def pair_distances(left: DataFrame, right: DataFrame, on: list[str], d: int) ->
 def initial_guess(points: DataFrame, m: int, d: int) -> DataFrame:
     """Half the smallest pairwise distance among the first ``m`` points by ord (V2).
 
-    The first m points are a top-m (bounded by the parameter), and their pairs are at most
-    m(m-1)/2 rows. One row: ``m``, ``r0`` (null when fewer than two points).
+    One row: ``m``, ``r0`` (null when fewer than two points). The smallest distance between
+    neighbours along each of the first axes bounds it from above, so only pairs within that
+    bound are compared, by the grid join: no task sees all m(m-1)/2 pairs.
     """
-    first = points.select("ord", "coords").orderBy("ord").limit(m)
-    a = first.select(F.col("ord").alias("a_ord"), F.col("coords").alias("a"))
-    b = first.select(F.col("ord").alias("b_ord"), F.col("coords").alias("b"))
-    pairs = a.join(b, F.col("a_ord") < F.col("b_ord"))
-    return pairs.agg((F.min(euclidean(F.col("a"), F.col("b"), d)) / 2.0).alias("r0")) \
-        .select(F.lit(m).cast("long").alias("m"), "r0")
+    checkpoint_dir(points.sparkSession)
+    first = points.select("id", "ord", "coords").orderBy("ord").limit(m).checkpoint()
+    span = F.max(F.greatest(F.abs(F.array_max("coords")), F.abs(F.array_min("coords")))).alias("span")
+    steps = [F.min(euclidean(F.col("coords"), F.col(f"_p{i}"), d)) for i in range(min(d, GRID_DIMS))]
+    near = first.select("coords", *[F.lag("coords").over(Window.orderBy(F.col("coords").getItem(i), "ord")).alias(f"_p{i}")
+                                    for i in range(len(steps))])
+    row = near.agg(span, *[c.alias(f"s{i}") for i, c in enumerate(steps)]).collect()[0]
+    bounds = [row[f"s{i}"] for i in range(len(steps)) if row[f"s{i}"] is not None]
+    if not bounds or min(bounds) == 0.0:
+        found = points.sparkSession.range(1).select(F.lit(0.0 if bounds else None).cast("double").alias("r0"))
+    else:
+        rows = _single(first, min(bounds), float(row["span"]))
+        pairs = ball_pairs(rows, rows, d, ["g"]).where(F.col("id") != F.col("y_id"))
+        found = pairs.agg((F.min("dist") / 2.0).alias("r0"))
+    return found.select(F.lit(m).cast("long").alias("m"), "r0")
 
 
 def merge_duplicates(points: DataFrame) -> DataFrame:
@@ -213,9 +204,9 @@ def merge_duplicates(points: DataFrame) -> DataFrame:
 
 
 def fine_steps(d: int) -> int:
-    """Fine cells per coarse cell side: 16, 8, 4 for 1, 2, 3 dimensions; 1 beyond (the grid
+    """Fine cells per coarse cell side: 32, 16, 4 for 1, 2, 3 dimensions; 1 beyond (the grid
     then covers only some dimensions and no cell pair can be known to lie inside a ball)."""
-    return {1: 16, 2: 8, 3: 4}.get(d, 1)
+    return {1: 32, 2: 16, 3: 4}.get(d, 1)
 
 
 def cell_side(radius: float, span: float, fine: int = 1) -> float:
@@ -280,8 +271,8 @@ def ball_weight_sums(left: DataFrame, right: DataFrame, d: int, keys: list[str],
     Both sides are summed per fine cell first. For a pair of fine cells, the largest and
     smallest possible distance of their points (with the rounding slack) decide whether all
     of the y cell is inside every x's ball (its summed weight is added once per x cell), all
-    outside (skipped), or undecided; only undecided cell pairs, a thin shell around the
-    radius, are tested point by point. A dense spot therefore costs one row per cell, not
+    outside (skipped), or undecided; only undecided cell pairs, those that the ball's border
+    may cross, are tested point by point. A dense spot therefore costs one row per cell, not
     one row per pair of its points.
     """
     g = min(d, GRID_DIMS)
@@ -335,27 +326,15 @@ def ball_weight_sums(left: DataFrame, right: DataFrame, d: int, keys: list[str],
 
 # A coarse cell with more points than this is hot: its ball weights are aggregated per fine
 # cell instead of pairing its points one by one.
-HOT_CELL = 5000
-
+HOT_CELL = 500
 
-def cell_load(points: DataFrame, d: int, keys: list[str]) -> dict:
-    """Per key: (points in the fullest coarse cell, estimated pair tests of a grid join).
 
-    Rows carry ``side``. The estimate is 3^g times the sum of squared cell counts, an upper
-    bound on the pairs the plain grid join would test when the neighbor cells are as full.
-    """
+def hottest_cells(points: DataFrame, d: int, keys: list[str]) -> dict:
+    """Largest number of points in one coarse cell, per key (rows carry ``side``)."""
     g = min(d, GRID_DIMS)
     cells = [x.alias(f"_c{i}") for i, x in enumerate(_cells(F.col("coords"), F.col("side"), g))]
     counts = points.select(*keys, *cells).groupBy(*keys, *[f"_c{i}" for i in range(g)]).count()
-    rows = counts.groupBy(*keys).agg(
-        F.max("count").alias("hot"),
-        F.sum(F.col("count") * F.col("count")).alias("sq")).collect()
-    return {tuple(r[k] for k in keys): (int(r["hot"]), int(r["sq"]) * 3 ** g) for r in rows}
-
-
-def hottest_cells(points: DataFrame, d: int, keys: list[str]) -> dict:
-    """Largest number of points in one coarse cell, per key (rows carry ``side``)."""
-    return {key: hot for key, (hot, _) in cell_load(points, d, keys).items()}
+    return {tuple(r[k] for k in keys): int(r["hot"]) for r in counts.groupBy(*keys).agg(F.max("count").alias("hot")).collect()}
 
 
 def _single(points: DataFrame, radius: float, span: float, fine: int = 1) -> DataFrame:
@@ -373,7 +352,7 @@ def ball_members(points: DataFrame, radius: float, stats: PointStats | None = No
 
 
 def ball_weights(points: DataFrame, active: DataFrame, radius: float,
-                 stats: PointStats | None = None) -> DataFrame:
+                 stats: PointStats | None = None, hot_cell: int = HOT_CELL) -> DataFrame:
     """Ball weight of every x in ``points``: summed ``w`` of active y within ``radius`` (V6).
 
     Points whose ball holds no active point get weight 0.
@@ -382,7 +361,7 @@ def ball_weights(points: DataFrame, active: DataFrame, radius: float,
     fine = fine_steps(stats.d)
     p = _single(points, radius, stats.span, fine)
     z = _single(active, radius, stats.span, fine)
-    hot = max(hottest_cells(p, stats.d, ["g"]).values(), default=0) > HOT_CELL
+    hot = stats.n > hot_cell and max(hottest_cells(p, stats.d, ["g"]).values(), default=0) > hot_cell
     weights = ball_weight_sums(p, z, stats.d, ["g"], aggregate=hot).select("id", "ball_weight")
     return points.select("id", "ord").join(weights, "id", "left") \
         .select("id", "ord", F.coalesce("ball_weight", F.lit(0).cast("long")).alias("ball_weight"))
@@ -398,6 +377,7 @@ def heaviest_ball(weights: DataFrame, keys: list[str] | None = None) -> DataFram
         F.col("b.ball_weight").alias("ball_weight"))
 
 
-def ball_removal(active: DataFrame, center: list[float], radius: float, d: int) -> DataFrame:
-    """Active points left after removing every point within ``radius`` of ``center`` (V8)."""
-    return active.filter(~(F.expr(euclidean_sql("coords", center, d)) <= F.lit(float(radius))))
+def ball_removal(active: DataFrame, centers: DataFrame, radius: float, d: int) -> DataFrame:
+    """Active points left after removing every point within ``radius`` of a center (V8)."""
+    left = _with_nearest(active, centers, d)
+    return left.where(F.coalesce(F.col("dist") > F.lit(float(radius)), F.lit(True))).drop("dist", "center_id")

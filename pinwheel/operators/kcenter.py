@@ -7,19 +7,18 @@ when no active weight is left. The radius search starts at half the smallest dis
 among the first k+z+1 points and doubles r until the uncovered weight is at most z.
 
 Execution
-- Several guesses run together: points are replicated per guess ``g`` with an explode,
-  every step handles all unfinished guesses in one job, and the answer is the lowest
-  successful g. That turns (guesses x k) dependent jobs into about k per batch.
-- Two step strategies, chosen per batch from the grid occupancy. Recompute: the state kept
-  between steps is only the chosen centers (at most k per guess), inlined as literals, and
-  each step recomputes the balls over the active points; every plan reads the cached input,
-  so lineage does not grow. Incremental (when balls are crowded): ball weights are computed
-  in full once, and each step subtracts only the weight of the points it deactivates from
-  the balls that can contain them (points within inner + outer radius of the new center);
-  the per-point state is checkpointed to the shared checkpoint folder every step, so its
-  lineage stays one step long and a lost executor only re-reads the last checkpoint.
-- The ball weights are the grid equi-join of ``geometry.ball_pairs`` over identical-point-
-  merged data, with per-guess cells.
+- Several guesses run together: points are replicated per guess ``g``, every step handles all
+  unfinished guesses in one job, and the answer is the lowest successful g. That turns
+  (guesses x k) dependent jobs into about k per batch. Once a guess has succeeded, the larger
+  ones of its batch are dropped: they cost most and no answer needs them.
+- The state between steps is only the chosen centers (at most k per guess). Guesses, radii,
+  grid sizes and chosen centers travel in one small broadcast table (at most ``MAX_BATCH``
+  rows), not in the plan, so all steps have the same plan text and reuse its compiled code;
+  every plan reads the cached input, so lineage does not grow.
+- The ball weights are the grid equi-join of ``geometry.ball_weight_sums`` over
+  identical-point-merged data, with per-guess cells; crowded cells are summed first.
+- One pass can yield several centers: it returns the heaviest ball per (guess, grid cell),
+  and after each chosen center a cell is known to be emptied, unchanged or only bounded.
 """
 
 from __future__ import annotations
@@ -33,18 +32,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from pinwheel.functions.distance import euclidean, euclidean_sql
-from pinwheel.operators.geometry import (HOT_CELL, LITERAL_CENTER_VALUES, PointStats, ball_weight_sums,
-                                         cell_load, cell_side, fine_steps, initial_guess, merge_duplicates,
-                                         min_dist_literal, validate_points, with_weight)
-from pinwheel.session import checkpoint_dir
+from pinwheel.functions.distance import euclidean
+from pinwheel.operators.geometry import (HOT_CELL, PointStats, ball_weight_sums, cell_side, fine_steps,
+                                         hottest_cells, initial_guess, merge_duplicates, validate_points, with_weight)
 
 GUESS_BATCH = 2
 # Guesses per batch grow up to this when the input is small (point-guess rows per batch).
-BATCH_ROWS = 40_000
+BATCH_ROWS = 8_000
 MAX_BATCH = 16
-# Inputs up to this many distinct points use the plain grid join for ball weights.
-SMALL_INPUT = 1000
 MAX_GUESSES = 2200  # doubling from the smallest positive double reaches any finite distance
 
 CENTER_SCHEMA = T.StructType([
@@ -98,57 +93,6 @@ def radii(alpha: float, r: float) -> tuple[float, float]:
     return (1 + 2 * alpha) * r, (3 + 4 * alpha) * r
 
 
-def _per_guess(centers: dict[int, list[float]], d: int) -> Column:
-    """Distance from the row's point to the center just chosen for its guess (null if none)."""
-    expr = None
-    for g, c in centers.items():
-        dist = F.expr(euclidean_sql("coords", c, d))
-        expr = F.when(F.col("g") == g, dist) if expr is None else expr.when(F.col("g") == g, dist)
-    return F.lit(None).cast("double") if expr is None else expr
-
-
-# Relative slack on the triangle-inequality prefilter of the incremental update.
-_REACH_SLACK = 1e-9
-# Incremental steps pay a state write and read per step (a fixed cost per job plus a few
-# bytes per row); they are chosen when recomputing the balls would test both more than
-# INCREMENTAL_FACTOR pairs per state row and more than INCREMENTAL_MIN_PAIRS pairs in all.
-INCREMENTAL_FACTOR = 64
-INCREMENTAL_MIN_PAIRS = 100_000_000
-
-
-def _active_filter(centers: dict[int, list[list[float]]], d: int) -> Column:
-    """True when no chosen center of the row's guess lies within its outer radius.
-
-    The chosen centers (at most k per guess) are inlined as literals, so the test is a
-    compiled projection with no join.
-    """
-    cond = None
-    for g, cs in centers.items():
-        if not cs:
-            continue
-        near = min_dist_literal("coords", [(None, None, c) for c in cs], d)
-        cond = (F.when(F.col("g") == g, near > F.col("outer")) if cond is None
-                else cond.when(F.col("g") == g, near > F.col("outer")))
-    return F.lit(True) if cond is None else cond.otherwise(F.lit(True))
-
-
-def _active(xs: DataFrame, centers: dict[int, list[list[float]]], d: int) -> DataFrame:
-    """The rows of ``xs`` with no chosen center of their guess within the outer radius.
-
-    Small center sets are inlined (``_active_filter``); larger ones (many centers per guess)
-    are attached as one broadcast row per guess, at most one per guess in the batch, and
-    folded with ``aggregate``, which keeps the generated code small.
-    """
-    values = sum(len(cs) for cs in centers.values()) * max(d, 1)
-    if values <= LITERAL_CENTER_VALUES:
-        return xs.filter(_active_filter(centers, d))
-    rows = [(g, cs) for g, cs in centers.items() if cs]
-    table = xs.sparkSession.createDataFrame(rows, "g int, _cs array<array<double>>")
-    near = F.aggregate("_cs", F.lit(float("inf")), lambda acc, c: F.least(acc, euclidean(F.col("coords"), c, d)))
-    joined = xs.join(F.broadcast(table), "g", "left")
-    return joined.filter(F.coalesce(~(near <= F.col("outer")), F.lit(True))).drop("_cs")
-
-
 # Certified greedy steps ------------------------------------------------------------------
 # Cells per guess of the certification grid (over up to 3 dimensions).
 CERT_CELLS = 1024
@@ -156,251 +100,172 @@ _CERT_KEYS = ["_q0", "_q1", "_q2"]
 _CERT_MARGIN = 1e-9
 
 
-# Inputs up to this many points use the ideal certification cell size without a cap (they
-# cannot fill more cells than they have points).
-CERT_SMALL = 4096
-
-
 @dataclass
 class _CertGrid:
-    dims: int
-    lo: np.ndarray                 # grid origin per dimension (data minimum)
-    width: dict[int, float]        # cell width per guess
-    res: dict[int, np.ndarray]     # cells per dimension per guess
-    radii: dict[int, tuple[float, float]]
-
-
-def _cert_grid(guesses, stats: PointStats, open_g: list[int]) -> _CertGrid:
-    """Per guess: cells small enough that the chosen center's own cell lies inside the
-    region whose balls are emptied (diagonal below outer - inner radius) over the data's
-    extent; large inputs keep to about CERT_CELLS cells per guess, and a coarser grid only
-    certifies fewer steps."""
+    """Grid of one guess over the data's extent: origin, cell width, cells per dimension."""
+    lo: np.ndarray
+    width: float
+    res: np.ndarray
+    rin: float
+    rout: float
+
+
+def _cert_grid(rin: float, rout: float, stats: PointStats) -> _CertGrid:
+    """Cells small enough that the chosen center's own cell lies inside the region whose balls
+    are emptied (diagonal below outer - inner radius), widened until at most ``CERT_CELLS``
+    cells cover the extent; a coarser grid only certifies fewer steps. A constant dimension
+    has one cell, whatever the width."""
     dims = min(stats.d, len(_CERT_KEYS), len(stats.lo))
     lo = np.array(stats.lo[:dims], dtype=float)
-    extent = np.maximum(np.array(stats.hi[:dims], dtype=float) - lo, 1e-300)
-    floor_w = 0.0 if stats.n <= CERT_SMALL or not dims else float(np.prod(extent) / CERT_CELLS) ** (1.0 / dims)
-    width, res, rad = {}, {}, {}
-    for g, rin, rout in guesses:
-        if g not in open_g:
-            continue
-        want = (rout - rin) / max(dims, 1) ** 0.5 * 0.99
-        w = max(want, floor_w, float(extent.max()) * 1e-9 if dims else 1.0)
-        width[g], res[g], rad[g] = w, np.ceil(extent / w).astype(np.int64) + 1, (rin, rout)
-    return _CertGrid(dims, lo, width, res, rad)
-
-
-def _cert_cells(grid: _CertGrid, stats: PointStats) -> list[Column]:
-    cols = []
-    for i in range(grid.dims):
-        expr = None
-        for g, w in grid.width.items():
-            cell = F.least(F.greatest(F.floor((F.col("coords").getItem(i) - F.lit(float(grid.lo[i]))) / F.lit(w)),
-                                      F.lit(0)), F.lit(int(grid.res[g][i]) - 1))
-            expr = F.when(F.col("g") == g, cell) if expr is None else expr.when(F.col("g") == g, cell)
-        cols.append(expr.cast("long").alias(_CERT_KEYS[i]))
-    return cols
-
-
-def _certified_steps(rows, grid: _CertGrid, chosen, running, left, k: int, step: int, d: int) -> int:
-    """Take as many greedy steps per guess as the cell maxima prove, starting from one
-    fresh pass. Returns the next step number (the largest taken by any guess, plus one)."""
-    last = step
-    for r in rows:
-        g = r["g"]
-        if "cells" not in r:
-            left[g] = r["lw"]
-            running.discard(g)
-            continue
-        if len(chosen[g]) >= k:
-            continue
-        w = grid.width[g]
-        rin, rout = grid.radii[g]
-        cells = []
-        for c in r["cells"]:
-            idx = np.array([c[key] for key in _CERT_KEYS[:grid.dims]], dtype=float)
-            box_lo = grid.lo + idx * w - w * 1e-6
-            box_hi = grid.lo + (idx + 1) * w + w * 1e-6
-            b = c["b"]
-            cells.append([True, b["bw"], b["neg_ord"], b["id"], list(b["coords"]), box_lo, box_hi])
-        s = step
-        while len(chosen[g]) < k:
-            exact = [c for c in cells if c[0]]
-            bound = max((c[1] for c in cells if not c[0]), default=float("-inf"))
-            if not exact:
-                break
-            best = max(exact, key=lambda c: (c[1], c[2]))
-            if best[1] <= 0 and bound <= 0:       # no active weight left
-                left[g] = 0
-                running.discard(g)
-                break
-            if not best[1] > bound:               # not provably the heaviest ball
-                break
-            coords = best[4]
-            chosen[g].append((len(chosen[g]), best[3], -best[2], [float(v) for v in coords], int(best[1])))
-            s += 1
-            center = np.array(coords[:grid.dims], dtype=float)
-            for c in cells:
-                near = _box_gap(c[5], c[6], center)
-                if grid.dims == d and _box_reach(c[5], c[6], center) + rin <= rout * (1 - _CERT_MARGIN):
-                    c[0], c[1] = True, 0          # every ball point of the cell was removed
-                elif near > (rin + rout) * (1 + _CERT_MARGIN):
-                    continue                      # no removed point is in any of its balls
-                elif c[0]:
-                    c[0] = False                  # old maximum is now only an upper bound
-        last = max(last, s)
-    return last if last > step else step + 1
-
-
-def _box_gap(lo, hi, center) -> float:
-    gap = np.maximum(np.maximum(lo - center, center - hi), 0.0)
-    return float(np.sqrt(np.sum(gap * gap))) * (1 - _CERT_MARGIN)
-
-
-def _box_reach(lo, hi, center) -> float:
-    far = np.maximum(np.abs(lo - center), np.abs(hi - center))
-    return float(np.sqrt(np.sum(far * far))) * (1 + _CERT_MARGIN)
+    extent = np.array(stats.hi[:dims], dtype=float) - lo
+    width = max((rout - rin) / max(dims, 1) ** 0.5 * 0.99, float(extent.max(initial=0.0)) * 1e-9, 1e-300)
+
+    def cells(w):
+        return np.floor(extent / w) + 1
+
+    while cells(width).prod() > CERT_CELLS:
+        width *= 1.25
+    return _CertGrid(lo, width, cells(width).astype(np.int64), rin, rout)
+
+
+class _CellMaxima:
+    """The heaviest ball per grid cell of one guess after a pass, kept up to date without
+    passes as far as geometry proves it."""
+
+    def __init__(self, grid: _CertGrid, rows, d: int):
+        self.grid, self.whole = grid, len(grid.lo) == d
+        best = [r["b"] for r in rows]
+        self.id = [b["id"] for b in best]
+        self.coords = [[float(v) for v in b["coords"]] for b in best]
+        self.ord = np.array([-b["neg_ord"] for b in best], dtype=np.int64)
+        self.weight = np.array([float(b["bw"]) for b in best])
+        self.exact = np.ones(len(best), dtype=bool)
+        keys = _CERT_KEYS[:len(grid.lo)]
+        cell = np.array([[r[key] for key in keys] for r in rows], dtype=float).reshape(len(best), len(keys))
+        self.low = grid.lo + cell * grid.width - grid.width * 1e-6
+        self.high = grid.lo + (cell + 1) * grid.width + grid.width * 1e-6
+
+    def heaviest(self) -> int | None:
+        """The certain heaviest ball (ties to the lowest ord); None if a pass is needed."""
+        if not self.exact.any():
+            return None
+        bound = self.weight[~self.exact].max(initial=-np.inf)
+        top = self.weight[self.exact].max()
+        if not top > bound and not (top <= 0 and bound <= 0):
+            return None
+        at = np.flatnonzero(self.exact & (self.weight == top))
+        return int(at[np.argmin(self.ord[at])])
+
+    def remove_around(self, center: list[float]) -> None:
+        """Take the outer ball of a new center out of all balls."""
+        c = np.array(center[:len(self.grid.lo)], dtype=float)
+        gap = np.sqrt((np.maximum(np.maximum(self.low - c, c - self.high), 0.0) ** 2).sum(1)) * (1 - _CERT_MARGIN)
+        reach = np.sqrt((np.maximum(np.abs(self.low - c), np.abs(self.high - c)) ** 2).sum(1)) * (1 + _CERT_MARGIN)
+        emptied = (reach + self.grid.rin <= self.grid.rout * (1 - _CERT_MARGIN)) & self.whole
+        touched = gap <= (self.grid.rin + self.grid.rout) * (1 + _CERT_MARGIN)
+        self.exact = np.where(emptied, True, self.exact & ~touched)
+        self.weight = np.where(emptied, 0.0, self.weight)
+
+
+def _take_certain(cells: _CellMaxima, chosen: list[tuple], k: int) -> bool:
+    """Take the greedy steps that the cell maxima prove; whether no active weight is left."""
+    while len(chosen) < k:
+        at = cells.heaviest()
+        if at is None:
+            return False
+        if cells.weight[at] <= 0:
+            return True
+        center = cells.coords[at]
+        chosen.append((len(chosen), cells.id[at], int(cells.ord[at]), center, int(cells.weight[at])))
+        cells.remove_around(center)
+    return False
+
+
+def _guess_schema(dims: int) -> str:
+    return ("_k int, g int, radius double, outer double, side double, open boolean, cw double, cs array<array<double>>"
+            + "".join(f", lo{i} double, top{i} long" for i in range(dims)))
 
 
 def greedy_batch(merged: DataFrame, stats: PointStats, guesses: list[tuple[int, float, float]],
-                 k: int, small: bool = False) -> CoverResult:
+                 k: int, enough: int | None = None, hot_cell: int = HOT_CELL) -> CoverResult:
     """Run the greedy cover for several (g, inner radius, outer radius) at once.
 
-    ``merged`` has id, ord, coords, w with identical points already merged. One pass over
-    the grid occupancy picks the strategy for the batch:
-
-    - recompute (balls small): each step recomputes the ball weights over the active points;
-      the state carried between steps is only the chosen centers, inlined or attached per
-      guess, so every plan reads the cached input and lineage does not grow;
-    - incremental (balls crowded): ball weights are computed in full once; a step then
-      subtracts only the weight of the points it deactivates (the outer ball of the new
-      center) from the balls that contain them, which can only be balls of points within
-      inner + outer radius of the center. The state (one row per guess and point: weight,
-      active flag, ball weight) is checkpointed to the shared folder every step, so its
-      lineage stays one step long and survives lost executors.
+    ``merged`` has id, ord, coords, w with identical points already merged. With ``enough``,
+    guesses above one that leaves at most that weight are dropped (they miss in ``left``).
     """
     spark = merged.sparkSession
-    checkpoint_dir(spark)
-    d = stats.d
-    fine = fine_steps(d)
-    spec = F.explode(F.array(*[
-        F.struct(F.lit(g).alias("g"), F.lit(float(rin)).alias("radius"), F.lit(float(rout)).alias("outer"),
-                 F.lit(cell_side(rin, stats.span, fine)).alias("side"))
-        for g, rin, rout in guesses])).alias("spec")
-    pg = merged.select(spec, "id", "ord", "coords", "w").select("spec.*", "id", "ord", "coords", "w")
-    # Cost-based choices per batch, from one pass over the cell occupancy: aggregate per
-    # fine cell only when some coarse cell is hot; update ball weights incrementally only
-    # when recomputing them each step would test many pairs per point.
-    load = cell_load(pg, d, ["g"]) if not small else {}
-    aggregate_cells = max((h for h, _ in load.values()), default=0) > HOT_CELL
-    pairs = sum(p for _, p in load.values())
-    incremental = pairs > INCREMENTAL_FACTOR * len(guesses) * stats.n and pairs > INCREMENTAL_MIN_PAIRS
-
-    chosen: dict[int, list[tuple]] = {g: [] for g, _, _ in guesses}
-    running = set(chosen)
-    left: dict[int, int] = {}
-
-    def decide(rows, step):
-        """Record the step's center per guess; retire finished guesses. Returns new centers."""
-        status = {r["g"]: r for r in rows}
-        picked: dict[int, list[float]] = {}
-        for g in sorted(running):
-            r = status.get(g)
-            lw = int(r["lw"]) if r is not None else 0
-            b = r["b"] if r is not None and "b" in r.asDict() else None
-            if lw == 0 or len(chosen[g]) >= k or b is None or b["bw"] <= 0:
+    d, fine = stats.d, fine_steps(stats.d)
+    spec = {g: (rin, rout, cell_side(rin, stats.span, fine)) for g, rin, rout in guesses}
+    grids = {g: _cert_grid(rin, rout, stats) for g, (rin, rout, _) in spec.items()}
+    dims = len(stats.lo)
+    keys = _CERT_KEYS[:dims]
+    rows = merged.withColumn("_k", F.lit(0))
+    chosen: dict[int, list[tuple]] = {g: [] for g in spec}
+    running, left = set(spec), {}
+
+    def table(gs):
+        """One row per running guess, at most MAX_BATCH; a constant key replicates the points."""
+        return F.broadcast(spark.createDataFrame(
+            [(0, g, float(spec[g][0]), float(spec[g][1]), float(spec[g][2]), len(chosen[g]) < k, float(grids[g].width),
+              [c[3] for c in chosen[g]], *[v for i in range(dims) for v in (float(grids[g].lo[i]), int(grids[g].res[i]) - 1)])
+             for g in gs], _guess_schema(dims)))
+
+    aggregate = False
+    if stats.n > hot_cell:  # no cell of fewer points can be hot
+        load = hottest_cells(rows.join(table(sorted(running)), "_k"), d, ["g"])
+        aggregate = max(load.values(), default=0) > hot_cell
+    best = F.max(F.struct(F.col("ball_weight").alias("bw"), (-F.col("ord")).alias("neg_ord"), "id", "coords")).alias("b")
+    cols = ["g", "radius", "side", "id", "ord", "coords", "w"]
+    while running:
+        now = sorted(running)
+        guess = table(now)
+        xs = rows.join(guess, "_k")
+        active = xs.where(~F.exists("cs", lambda c: euclidean(F.col("coords"), c, d) <= F.col("outer")))
+        found = active.groupBy("g").agg(F.sum("w").cast("long").alias("lw"))
+        if any(len(chosen[g]) < k for g in now):
+            balls = ball_weight_sums(xs.where("open").select(cols), active.where("open").select(cols), d, ["g"], aggregate=aggregate)
+            cell = [F.least(F.greatest(F.floor((F.col("coords").getItem(i) - F.col(f"lo{i}")) / F.col("cw")), F.lit(0)),
+                            F.col(f"top{i}")).cast("long").alias(key) for i, key in enumerate(keys)]
+            tops = balls.join(guess, "g").select("g", "ball_weight", "ord", "id", "coords", *cell).groupBy("g", *keys).agg(best)
+            found = tops.join(found, "g", "right")
+        else:
+            found = found.withColumn("b", F.lit(None))
+        by_guess: dict[int, list] = {}
+        for r in found.collect():  # at most CERT_CELLS rows per guess
+            by_guess.setdefault(r["g"], []).append(r)
+        for g in now:
+            rs = by_guess.get(g, [])
+            lw = int(rs[0]["lw"]) if rs else 0
+            done = lw == 0 or len(chosen[g]) >= k
+            if not done and _take_certain(_CellMaxima(grids[g], [r for r in rs if r["b"] is not None], d), chosen[g], k):
+                done, lw = True, 0
+            if done:
                 left[g] = lw
                 running.discard(g)
-                continue
-            coords = [float(v) for v in b["coords"]]
-            chosen[g].append((len(chosen[g]), b["id"], -b["neg_ord"], coords, int(b["bw"])))
-            picked[g] = coords
-        return picked
-
-    best = F.max(F.struct("bw", (-F.col("ord")).alias("neg_ord"), "id", "coords")).alias("b")
-    step = 0
-    if not incremental:
-        # Each step recomputes the balls over the active points; the state carried between
-        # steps is only the chosen centers (inlined), so every plan reads the cached input.
-        while running:
-            run_list = sorted(running)
-            xs = pg.filter(F.col("g").isin(run_list))
-            active = _active(xs, {g: [c[3] for c in chosen[g]] for g in run_list}, d)
-            weights = active.groupBy("g").agg(F.sum("w").cast("long").alias("lw"))
-            # Guesses that already have k centers only need their uncovered weight.
-            open_g = [g for g in run_list if len(chosen[g]) < k]
-            if not open_g:
-                decide(weights.collect(), step)
-                step += 1
-                continue
-            xo = xs.filter(F.col("g").isin(open_g))
-            ao = active.filter(F.col("g").isin(open_g))
-            bw = ball_weight_sums(xo, ao, d, ["g"], aggregate=aggregate_cells) \
-                .withColumnRenamed("ball_weight", "bw")
-            grid = _cert_grid(guesses, stats, open_g)
-            tops = bw.select("*", *_cert_cells(grid, stats)).groupBy("g", *_CERT_KEYS[:grid.dims]) \
-                .agg(best).join(weights, "g", "right").collect()
-            by_g: dict[int, list] = {}
-            for r in tops:
-                by_g.setdefault(r["g"], []).append(r)
-            rows = []
-            for g in run_list:
-                rs = by_g.get(g, [])
-                lw = int(rs[0]["lw"]) if rs else 0
-                if g not in open_g or lw == 0:
-                    rows.append({"g": g, "lw": lw})
-                    continue
-                rows.append({"g": g, "lw": lw, "cells": [r for r in rs if r["b"] is not None]})
-            step = _certified_steps(rows, grid, chosen, running, left, k, step, d)
-    else:
-        full = ball_weight_sums(pg, pg, d, ["g"], aggregate=aggregate_cells).select("g", "id", "ball_weight")
-        state = pg.join(full, ["g", "id"], "left").select(
-            *pg.columns, F.lit(True).alias("act"), F.coalesce("ball_weight", F.lit(0).cast("long")).alias("bw"))
-        # A checkpoint keeps its input's partitioning; size it by rows (guesses x points).
-        state_parts = max(1, -(-len(guesses) * stats.n // ROWS_PER_PARTITION))
-        state = state.coalesce(state_parts).checkpoint(eager=True)
-        while running:
-            rows = state.groupBy("g").agg(
-                F.sum(F.when(F.col("act"), F.col("w")).otherwise(F.lit(0))).cast("long").alias("lw"), best).collect()
-            new_centers = decide(rows, step)
-            step += 1
-            if not running:
-                break
-            live = state.filter(F.col("g").isin(sorted(running)))
-            to_center = _per_guess(new_centers, d)
-            removed = live.filter(F.col("act") & (to_center <= F.col("outer")))
-            reach = (F.col("radius") + F.col("outer")) * F.lit(1.0 + _REACH_SLACK)
-            near = live.filter(to_center <= reach)
-            delta = ball_weight_sums(near, removed, d, ["g"], aggregate=aggregate_cells) \
-                .select("g", "id", F.col("ball_weight").alias("delta"))
-            state = live.join(delta, ["g", "id"], "left").select(
-                *pg.columns,
-                (F.col("act") & ~F.coalesce(to_center <= F.col("outer"), F.lit(False))).alias("act"),
-                (F.col("bw") - F.coalesce("delta", F.lit(0).cast("long"))).alias("bw"))
-            state = state.coalesce(state_parts).checkpoint(eager=True)
-    rows = [(g, s, i, o, c, bw_) for g, cs in chosen.items() for (s, i, o, c, bw_) in cs]
-    return CoverResult(spark.createDataFrame(rows, CENTER_SCHEMA), left)
-
-
-# Rows per partition of the cached, duplicate-merged input of the solver.
+        if enough is not None:
+            first = min((g for g, lw in left.items() if lw <= enough), default=None)
+            running = {g for g in running if first is None or g < first}
+    out = [(g, s, i, o, c, bw) for g, cs in chosen.items() for (s, i, o, c, bw) in cs]
+    return CoverResult(spark.createDataFrame(out, CENTER_SCHEMA), left)
+
+
+# The work per cached point is far larger than its size, so the input is spread over the
+# parallelism at hand as soon as each partition gets LEAST_ROWS rows, and beyond it by
+# ROWS_PER_PARTITION.
+LEAST_ROWS = 500
 ROWS_PER_PARTITION = 250_000
 
 
 def _cached_merge(points: DataFrame) -> tuple[DataFrame, int]:
-    """Duplicate-merged points, cached, and their count.
-
-    A cached plan keeps the partitioning of its last shuffle (AQE may not coalesce it), which
-    would make every solver step scan spark.sql.shuffle.partitions mostly empty partitions;
-    the cache is narrowed to about ROWS_PER_PARTITION rows per partition instead.
-    """
+    """Duplicate-merged points, cached, and their count."""
     merged = merge_duplicates(points).persist(StorageLevel.MEMORY_AND_DISK)
     n = merged.count()
-    target = max(1, -(-n // ROWS_PER_PARTITION))
-    if merged.rdd.getNumPartitions() > target:
-        compact = merged.coalesce(target).persist(StorageLevel.MEMORY_AND_DISK)
-        compact.count()
-        merged.unpersist()
-        merged = compact
-    return merged, n
+    wide = points.sparkSession.sparkContext.defaultParallelism
+    target = max(1, min(wide, n // LEAST_ROWS), -(-n // ROWS_PER_PARTITION))
+    spread = merged.repartition(target).persist(StorageLevel.MEMORY_AND_DISK)
+    spread.count()
+    merged.unpersist()
+    return spread, n
 
 
 def greedy_cover(points: DataFrame, radius: float, k: int, alpha: float = 0.0,
@@ -410,7 +275,7 @@ def greedy_cover(points: DataFrame, radius: float, k: int, alpha: float = 0.0,
     merged, _ = _cached_merge(points)
     try:
         rin, rout = radii(alpha, radius)
-        res = greedy_batch(merged, stats, [(0, rin, rout)], k, small=stats.n <= SMALL_INPUT)
+        res = greedy_batch(merged, stats, [(0, rin, rout)], k)
     finally:
         merged.unpersist()
     return res.centers.drop("g"), res.left[0]
@@ -475,7 +340,7 @@ def kcenter_outliers(points: DataFrame, k: int, z: int, alpha: float = 0.0, guar
         while g0 < MAX_GUESSES:
             rs = [next(seq) for _ in range(batch)]
             specs = [(g0 + i, *radii(alpha, r)) for i, r in enumerate(rs)]
-            res = greedy_batch(merged, stats, specs, k, small=distinct_n <= SMALL_INPUT)
+            res = greedy_batch(merged, stats, specs, k, enough=z)
             ok = sorted(g for g, lw in res.left.items() if lw <= z)
             if ok:
                 g = ok[0]

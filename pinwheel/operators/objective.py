@@ -1,37 +1,44 @@
 """Objective functions of a center set: the radius that covers all but z points.
 
-All three compute d(x, S) for every point as a compiled projection against the inlined
-center set, then take a (z+1)-th largest value:
+All three take a (z+1)-th largest distance d(x, S):
 - ``objective_distinct`` (direct form): over the distinct distance values;
-- ``objective_partitioned`` (distributed form): distinct values per ``part``, the top z+1
-  of each part, then the (z+1)-th largest of their union (no second dedup);
+- ``objective_partitioned`` (distributed form): over the distinct values of every ``part``.
+  Its top z+1 of each part hold the top z+1 of their union, so the pairs (part, value) are
+  ranked together;
 - ``objective_points``: over all points, duplicates included (drop the z farthest points).
 
-Only z+1 values per task ever move: the top-(z+1) steps plan as ``TakeOrderedAndProject`` /
-``WindowGroupLimit``, which keep the per-task best rows before the shuffle.
+Few values move: the entries are hashed into 4(z+1) buckets and each task sends one maximum
+per bucket. Maxima of different buckets belong to different entries, so the (z+1)-th largest
+of them can't exceed the answer; the second pass only ranks what reaches that bound, usually
+little more than z+1 entries. Nothing depends on the size of z otherwise.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from pinwheel.operators.geometry import PointStats, collect_centers, validate_points, with_min_dist
+from pinwheel.operators.geometry import PointStats, dist_to_centers, validate_points
 
+BUCKETS_PER_RANK = 4
 
-def _kth_largest(values: DataFrame, z: int) -> DataFrame:
-    top = values.orderBy(F.desc("dist")).limit(z + 1)
+
+def _kth_largest(values: DataFrame, z: int, entry: list[str], distinct: bool) -> DataFrame:
+    """The (z+1)-th largest ``dist``. Rows that agree in ``entry`` are one entry if ``distinct``;
+    otherwise ``entry`` tells the rows apart."""
+    bucket = F.pmod(F.xxhash64(*entry), F.lit(BUCKETS_PER_RANK * (z + 1)))
+    maxima = values.groupBy(bucket.alias("b")).agg(F.max("dist").alias("m")).orderBy(F.desc("m")).limit(z + 1)
+    row = maxima.agg(F.count(F.lit(1)).alias("c"), F.min("m").alias("m")).collect()[0]
+    reach = values.where(F.col("dist") >= F.lit(float(row["m"]))) if row["c"] > z else values
+    if distinct:
+        reach = reach.select(*entry).distinct()
+    top = reach.orderBy(F.desc("dist")).limit(z + 1)
     return top.agg(F.count(F.lit(1)).alias("c"), F.min("dist").alias("m")).select(
         F.when(F.col("c") >= z + 1, F.col("m"))
          .otherwise(F.raise_error(F.lit(f"fewer than {z + 1} distance values")).cast("double"))
          .alias("objective"))
 
 
-def _distances(points: DataFrame, centers, d: int) -> DataFrame:
-    return with_min_dist(points, centers, d)
-
-
 def _zero(points: DataFrame) -> DataFrame:
     return points.sparkSession.range(1).select(F.lit(0.0).alias("objective"))
 
@@ -42,36 +49,29 @@ def objective_distinct(points: DataFrame, centers: DataFrame, z: int,
 
     ``stats`` (from ``validate_points``) saves a pass when the caller already has it."""
     stats = stats or validate_points(points)
-    cs = collect_centers(centers)
-    if not cs or stats.n == len(cs):
+    if centers.count() in (0, stats.n):
         return _zero(points)
-    dist = _distances(points, cs, stats.d).select("dist").distinct()
-    return _kth_largest(dist, z)
+    return _kth_largest(dist_to_centers(points, centers, stats.d), z, ["dist"], distinct=True)
 
 
 def objective_partitioned(points: DataFrame, centers: DataFrame, z: int, parts: int | None = None,
                           stats: PointStats | None = None) -> DataFrame:
-    """Distinct d(x, S) per group ``part`` (``pmod(id, parts)`` when given), top z+1 per
-    group, then the (z+1)-th largest of the union (O2). 0 when S is empty."""
+    """(z+1)-th largest of the distinct d(x, S) of every group ``part`` (``pmod(id, parts)``
+    when given), equal values of different groups counted each (O2). 0 when S is empty."""
     stats = stats or validate_points(points)
-    cs = collect_centers(centers)
-    if not cs:
+    if centers.isEmpty():
         return _zero(points)
     pts = points if parts is None else points.withColumn("part", F.pmod(F.col("id"), F.lit(parts)))
-    dist = _distances(pts, cs, stats.d).select("part", "dist").distinct()
-    w = Window.partitionBy("part").orderBy(F.desc("dist"))
-    top = dist.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= z + 1).select("dist")
-    return _kth_largest(top, z)
+    return _kth_largest(dist_to_centers(pts, centers, stats.d), z, ["part", "dist"], distinct=True)
 
 
 def objective_points(points: DataFrame, centers: DataFrame, z: int,
                      stats: PointStats | None = None) -> DataFrame:
     """(z+1)-th largest d(x, S) over all points, duplicates kept (O3). 0 when S is empty."""
     stats = stats or validate_points(points)
-    cs = collect_centers(centers)
-    if not cs:
+    if centers.isEmpty():
         return _zero(points)
-    return _kth_largest(_distances(points, cs, stats.d).select("dist"), z)
+    return _kth_largest(dist_to_centers(points, centers, stats.d), z, ["id", "ord"], distinct=False)
 
 
 def objective_value(df: DataFrame) -> float:

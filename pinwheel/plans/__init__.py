@@ -2,24 +2,12 @@
 
 from __future__ import annotations
 
+from pinwheel.plans import geometry_queries, popularity_queries
+
 
 def all_queries():
-    from pinwheel.plans import popularity_queries
-    registry = dict(popularity_queries.QUERIES)
-    try:
-        from pinwheel.plans import geometry_queries
-        registry.update(geometry_queries.QUERIES)
-    except ImportError:
-        pass
-    return registry
+    return {**popularity_queries.QUERIES, **geometry_queries.QUERIES}
 
 
 def all_oracles():
-    from pinwheel.plans import popularity_queries
-    oracles = dict(popularity_queries.ORACLES)
-    try:
-        from pinwheel.plans import geometry_queries
-        oracles.update(geometry_queries.ORACLES)
-    except ImportError:
-        pass
-    return oracles
+    return {**popularity_queries.ORACLES, **geometry_queries.ORACLES}

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pinwheel.operators import coreset, geometry, kcenter, objective
 from pinwheel.plans import iterative_sql as isql
 from pinwheel.sources import tables
-from pinwheel.sources.text import parse_points
+from pinwheel.sources.text import parse_points, read_points
 
 # Parameters of the registered queries.
 K, Z = 4, 6
@@ -118,8 +118,7 @@ def q_heaviest_ball(spark, sf_dir):
 def q_ball_removal(spark, sf_dir):
     """Points left after removing the outer ball (3r) of the heaviest ball's center."""
     pts, best = _heaviest(spark, sf_dir)
-    center = pts.join(best.select("id"), "id").select("coords").collect()[0]["coords"]
-    return geometry.ball_removal(pts, list(center), 3 * BALL_RADIUS, 2).select("id")
+    return geometry.ball_removal(pts, pts.join(best.select("id"), "id"), 3 * BALL_RADIUS, 2).select("id")
 
 
 # ---------------------------------------------------------------- greedy cover and k-center
@@ -177,8 +176,7 @@ def q_fft_centers(spark, sf_dir):
 
 def q_coreset_weights(spark, sf_dir):
     pts = _orders(spark, sf_dir)
-    centers = coreset.fft_centers(pts, K + Z + 1)
-    return coreset.coreset_weights(pts, centers, K + Z + 1)
+    return coreset.coreset_weights(pts, coreset.fft_centers(pts, K + Z + 1))
 
 
 def q_partition_coreset(spark, sf_dir):
@@ -231,7 +229,110 @@ def q_objective_points(spark, sf_dir):
     return objective.objective_points(pts, centers, OBJ_Z)
 
 
+# ---------------------------------------------------------------- other sizes, dimensions and paths
+
+MANY_Z = 1500
+MANY_FIRST = 1000
+MANY_CENTERS = 200
+DENSE_RADIUS = 20_000.0
+FLAT_RADIUS, FLAT_K = 9_000.0, 3
+
+
+def q_points_file(spark, sf_dir):
+    """Point lines written to files and read again, numbered by their place in the files."""
+    part = tables.load(spark, sf_dir, "part")
+    lines = part.select("p_partkey", F.concat_ws(",", F.col("p_partkey").cast("string"), F.col("p_retailprice").cast("string")).alias("value"))
+    return _xy(read_points(spark, tables.written_lines(lines, "p_partkey"))).select("id", "ord", "x0", "x1")
+
+
+def q_nearest_center_large(spark, sf_dir):
+    """Nearest line item of every supplier: as many centers as line items, in blocks."""
+    return geometry.nearest_center(tables.points_supplier_line(spark, sf_dir), tables.points_lineitem(spark, sf_dir)) \
+        .select("id", "center_id", "dist")
+
+
+def q_initial_guess_many(spark, sf_dir):
+    return geometry.initial_guess(tables.points_orders(spark, sf_dir), MANY_FIRST, 2)
+
+
+def q_ball_weights_dense(spark, sf_dir):
+    """Ball weights of the orders at a radius that crowds the grid's cells (summed per fine cell)."""
+    pts = tables.points_orders(spark, sf_dir)
+    return geometry.ball_weights(pts, pts, DENSE_RADIUS)
+
+
+def _solved(res):
+    return res.centers.select("step", "id", "ball_weight", F.lit(float(res.final_guess)).alias("final_guess"),
+                              F.lit(res.guesses).cast("long").alias("guesses"))
+
+
+def q_kcenter_duplicates(spark, sf_dir):
+    """Part points: equal points, weights summed."""
+    return _solved(kcenter.kcenter_outliers(tables.points_part(spark, sf_dir), K, Z))
+
+
+def q_kcenter_1d(spark, sf_dir):
+    """One dimension with 50 distinct values: the initial guess is 0."""
+    return _solved(kcenter.kcenter_outliers(tables.points_part_1d(spark, sf_dir), K, Z))
+
+
+def q_kcenter_3d(spark, sf_dir):
+    return _solved(kcenter.kcenter_outliers(tables.points_customer_wide(spark, sf_dir, 3), K, Z))
+
+
+def q_kcenter_4d(spark, sf_dir):
+    return _solved(kcenter.kcenter_outliers(tables.points_customer_wide(spark, sf_dir, 4), K, Z))
+
+
+def q_greedy_cover_flat(spark, sf_dir):
+    """Orders on a line in the plane: a constant dimension."""
+    centers, left = kcenter.greedy_cover(tables.points_orders_flat(spark, sf_dir), FLAT_RADIUS, FLAT_K)
+    return centers.select("step", "id", "ball_weight", F.lit(left).cast("long").alias("left_weight"))
+
+
+def q_fft_centers_many(spark, sf_dir):
+    """Two hundred centers in each group of customers."""
+    pts = coreset.assign_parts(tables.points_customer(spark, sf_dir), PARTS)
+    return coreset.fft_centers(pts, MANY_CENTERS).select("part", "step", "id")
+
+
+def q_fft_centers_joined(spark, sf_dir):
+    """The traversal with new centers joined by shuffle instead of broadcast."""
+    return coreset.fft_centers(_orders(spark, sf_dir), K + Z + 1, broadcast_values=0).select("part", "step", "id")
+
+
+def _many_input(spark, sf_dir):
+    pts = tables.points_orders(spark, sf_dir)
+    return pts, pts.where(F.col("id") % 5000 == 1)
+
+
+def q_objective_distinct_many(spark, sf_dir):
+    return objective.objective_distinct(*_many_input(spark, sf_dir), MANY_Z)
+
+
+def q_objective_partitioned_many(spark, sf_dir):
+    return objective.objective_partitioned(*_many_input(spark, sf_dir), MANY_Z, PARTS)
+
+
+def q_objective_points_many(spark, sf_dir):
+    return objective.objective_points(*_many_input(spark, sf_dir), MANY_Z)
+
+
 QUERIES = {
+    "points_file": q_points_file,
+    "nearest_center_large": q_nearest_center_large,
+    "initial_guess_many": q_initial_guess_many,
+    "ball_weights_dense": q_ball_weights_dense,
+    "kcenter_duplicates": q_kcenter_duplicates,
+    "kcenter_1d": q_kcenter_1d,
+    "kcenter_3d": q_kcenter_3d,
+    "kcenter_4d": q_kcenter_4d,
+    "greedy_cover_flat": q_greedy_cover_flat,
+    "fft_centers_many": q_fft_centers_many,
+    "fft_centers_joined": q_fft_centers_joined,
+    "objective_distinct_many": q_objective_distinct_many,
+    "objective_partitioned_many": q_objective_partitioned_many,
+    "objective_points_many": q_objective_points_many,
     "points_parse": q_points_parse,
     "euclidean_pairs": q_euclidean_pairs,
     "nearest_center": q_nearest_center,
@@ -353,3 +454,51 @@ ORACLES.update({
                           + "\n" + _mr_metrics_select("orders", "f1", "g1") + " UNION ALL "
                           + _mr_metrics_select("orders_skewed", "f2", "g2"),
 })
+
+
+# ---------------------------------------------------------------- oracles of the other sizes, dimensions and paths
+
+_WIDE = ("SELECT c_custkey AS id, c_custkey AS ord, c_acctbal AS x, CAST(c_nationkey * 100 AS DOUBLE) AS y, "
+         "CAST(c_custkey AS DOUBLE) AS u, CAST(c_custkey % 97 * 50 AS DOUBLE) AS v, CAST(1 AS BIGINT) AS w FROM customer")
+_PART_2D = ("SELECT p_partkey AS id, p_partkey AS ord, CAST(p_size AS DOUBLE) AS x, p_retailprice AS y, CAST(1 AS BIGINT) AS w FROM part")
+_FLAT = ("SELECT o_orderkey AS id, o_orderkey AS ord, o_totalprice AS x, CAST(7 AS DOUBLE) AS y, CAST(1 AS BIGINT) AS w FROM orders")
+_ORD = "SELECT o_orderkey AS id, o_totalprice AS x, CAST(o_custkey AS DOUBLE) AS y FROM orders"
+_LINE = ["a", "b", "c", "d"]
+_CUST_PART = (f"SELECT id, ord, x, y, CAST(((id % {PARTS}) + {PARTS}) % {PARTS} AS INTEGER) AS part FROM ({_CUST_W})")
+_MANY = (f"WITH p AS ({_ORD}), s AS (SELECT * FROM p WHERE id % 5000 = 1), "
+         f"d AS (SELECT p.id, min({_sql_dist('p', 's', XY)}) AS dist FROM p CROSS JOIN s GROUP BY p.id) ")
+
+
+def _solve_sql(points: str, guesses: int, cols: tuple[str, ...]) -> str:
+    return ("WITH RECURSIVE " + isql.greedy_ctes(points, K, Z, 0.0, guesses, "g", cols=cols)
+            + "\nSELECT c.step, c.id, c.ball_weight, l.r AS final_guess, CAST(l.g + 1 AS BIGINT) AS guesses "
+              "FROM g_centers c JOIN g_left l ON l.g = (SELECT g FROM g_best)")
+
+
+ORACLES.update({
+    "points_file": "SELECT n AS id, n AS ord, CAST(p_partkey AS DOUBLE) AS x0, p_retailprice AS x1 FROM "
+                   "(SELECT *, row_number() OVER (ORDER BY p_partkey) - 1 AS n FROM part)",
+    "nearest_center_large": "WITH p AS (SELECT s_suppkey AS id, s_acctbal * 10 AS a, CAST(s_nationkey AS DOUBLE) AS b, 0.0::DOUBLE AS c, "
+                            "0.0::DOUBLE AS d FROM supplier), s AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_extendedprice AS a, "
+                            f"l_quantity AS b, l_discount AS c, l_tax AS d FROM lineitem), m AS (SELECT p.id, s.id AS sid, "
+                            f"{_sql_dist('p', 's', _LINE)} AS dist FROM p CROSS JOIN s) SELECT id, CAST(arg_min(sid, (dist, sid)) AS BIGINT) "
+                            "AS center_id, min(dist) AS dist FROM m GROUP BY id",
+    "initial_guess_many": f"WITH p AS ({_ORD}), f AS (SELECT * FROM p ORDER BY id LIMIT {MANY_FIRST}) "
+                          f"SELECT CAST({MANY_FIRST} AS BIGINT) AS m, min({_sql_dist('a', 'b', XY)}) / 2 AS r0 FROM f a JOIN f b ON a.id < b.id",
+    "ball_weights_dense": f"WITH p AS ({_ORD}) SELECT a.id, a.id AS ord, count(*) AS ball_weight FROM p a JOIN p c "
+                          f"ON {_sql_dist('a', 'c', XY)} <= {DENSE_RADIUS!r} GROUP BY a.id",
+    "kcenter_duplicates": _solve_sql(_PART_2D, 8, ("x", "y")),
+    "kcenter_1d": _solve_sql(_PART_2D.replace(", p_retailprice AS y", ""), 8, ("x",)),
+    "kcenter_3d": _solve_sql(_WIDE, 8, ("x", "y", "u")),
+    "kcenter_4d": _solve_sql(_WIDE, 8, ("x", "y", "u", "v")),
+    "greedy_cover_flat": "WITH RECURSIVE " + isql.greedy_ctes(_FLAT, FLAT_K, Z, 0.0, 1, "g", fixed_radius=FLAT_RADIUS)
+                         + "\nSELECT step, id, ball_weight, (SELECT left_w FROM g_left) AS left_weight FROM g_centers",
+    "fft_centers_many": "WITH RECURSIVE " + isql.fft_ctes(_CUST_PART, MANY_CENTERS, "f") + "\nSELECT part, step, id FROM f_centers",
+    "fft_centers_joined": ORACLES["fft_centers"],
+    "objective_distinct_many": _MANY + f"SELECT min(dist) AS objective FROM (SELECT DISTINCT dist FROM d ORDER BY dist DESC LIMIT {MANY_Z + 1})",
+    "objective_partitioned_many": _MANY + "SELECT min(dist) AS objective FROM (SELECT dist FROM "
+                                  f"(SELECT DISTINCT ((id % {PARTS}) + {PARTS}) % {PARTS} AS part, dist FROM d) "
+                                  f"QUALIFY row_number() OVER (PARTITION BY part ORDER BY dist DESC) <= {MANY_Z + 1} "
+                                  f"ORDER BY dist DESC LIMIT {MANY_Z + 1})",
+    "objective_points_many": _MANY + f"SELECT min(dist) AS objective FROM (SELECT dist FROM d ORDER BY dist DESC LIMIT {MANY_Z + 1})",
+})

@@ -1,6 +1,6 @@
 """DuckDB oracles for the iterative operators, written as recursive CTEs over 2-D points.
 
-A points CTE must expose (id, ord, x, y, w). Each builder returns CTE text (to follow
+A points CTE must expose (id, ord, w) and the coordinate columns (x, y by default). Each builder returns CTE text (to follow
 ``WITH RECURSIVE``) defining named relations that the final SELECT of a query reads.
 Distances use the same left-fold form as the Spark expressions.
 """
@@ -8,8 +8,15 @@ Distances use the same left-fold form as the Spark expressions.
 from __future__ import annotations
 
 
-def dist(a: str, b: str) -> str:
-    return f"sqrt(({a}.x - {b}.x) * ({a}.x - {b}.x) + ({a}.y - {b}.y) * ({a}.y - {b}.y))"
+XY = ("x", "y")
+
+
+def dist(a: str, b: str, cols: tuple[str, ...] = XY) -> str:
+    return "sqrt(" + " + ".join(f"({a}.{c} - {b}.{c}) * ({a}.{c} - {b}.{c})" for c in cols) + ")"
+
+
+def _of(table: str, cols: tuple[str, ...]) -> str:
+    return ", ".join(f"{table}.{c}" for c in cols)
 
 
 def fft_ctes(points: str, m: int, prefix: str = "f") -> str:
@@ -41,43 +48,48 @@ def fft_ctes(points: str, m: int, prefix: str = "f") -> str:
 
 
 def greedy_ctes(points: str, k: int, z: int, alpha: float, guesses: int, prefix: str = "g",
-                fixed_radius: float | None = None) -> str:
+                fixed_radius: float | None = None, cols: tuple[str, ...] = XY) -> str:
     """Radius search with the greedy cover for guesses g = 0 .. guesses-1.
 
     Defines ``{prefix}_r0(r0)``, ``{prefix}_state``, ``{prefix}_left(g, left_w)``,
-    ``{prefix}_best(g)`` (lowest successful guess) and ``{prefix}_centers(step, id, x, y,
-    ball_weight)`` of that guess. ``fixed_radius`` runs one cover at that radius instead.
+    ``{prefix}_best(g)`` (lowest successful guess) and ``{prefix}_centers(step, id, coordinates,
+    ball_weight)`` of that guess. An initial guess of 0 (equal points among the first) is tried
+    once, then half the smallest distance among the first distinct points is doubled.
+    ``fixed_radius`` runs one cover at that radius instead.
     """
     # A fixed-radius cover reports its centers whether or not they cover all but z.
     best = "SELECT 0 AS g" if fixed_radius is not None else f"SELECT min(g) AS g FROM {prefix}_left WHERE left_w <= {z}"
     inner = 1 + 2 * alpha
     outer = 3 + 4 * alpha
     first = k + z + 1
+    xs = ", ".join(cols)
     if fixed_radius is None:
-        radius = f"(SELECT r0 FROM {prefix}_r0) * pow(2, g)"
-        gs = f"SELECT CAST(g AS INTEGER) AS g, {radius} AS r FROM range(0, {guesses}) t(g)"
+        radius = ("CASE WHEN r0 > 0 THEN r0 * pow(2, g) WHEN g = 0 THEN 0.0::DOUBLE ELSE rp * pow(2, g - 1) END")
+        gs = (f"SELECT CAST(g AS INTEGER) AS g, {radius} AS r FROM range(0, {guesses}) t(g), {prefix}_r0, {prefix}_rp")
     else:
         gs = f"SELECT 0 AS g, CAST({fixed_radius!r} AS DOUBLE) AS r"
     return f"""
 {prefix}_pts AS ({points}),
 {prefix}_first AS (SELECT * FROM {prefix}_pts ORDER BY ord LIMIT {first}),
-{prefix}_r0 AS (SELECT min({dist('a', 'b')}) / 2 AS r0 FROM {prefix}_first a JOIN {prefix}_first b ON a.ord < b.ord),
-{prefix}_merged AS (SELECT arg_min(id, ord) AS id, min(ord) AS ord, x, y, CAST(sum(w) AS BIGINT) AS w
-                    FROM {prefix}_pts GROUP BY x, y),
+{prefix}_r0 AS (SELECT min({dist('a', 'b', cols)}) / 2 AS r0 FROM {prefix}_first a JOIN {prefix}_first b ON a.ord < b.ord),
+{prefix}_merged AS (SELECT arg_min(id, ord) AS id, min(ord) AS ord, {xs}, CAST(sum(w) AS BIGINT) AS w
+                    FROM {prefix}_pts GROUP BY {xs}),
+{prefix}_mfirst AS (SELECT * FROM {prefix}_merged ORDER BY ord LIMIT {first}),
+{prefix}_rp AS (SELECT min({dist('a', 'b', cols)}) / 2 AS rp FROM {prefix}_mfirst a JOIN {prefix}_mfirst b ON a.ord < b.ord),
 {prefix}_gs AS ({gs}),
-{prefix}_state(g, r, it, id, ord, x, y, w, act, cid, cbw) AS (
-  SELECT g, r, 0, id, ord, x, y, w, true, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
+{prefix}_state(g, r, it, id, ord, {xs}, w, act, cid, cbw) AS (
+  SELECT g, r, 0, id, ord, {xs}, w, true, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
   FROM {prefix}_merged CROSS JOIN {prefix}_gs
   UNION ALL
-  SELECT s.g, s.r, s.it + 1, s.id, s.ord, s.x, s.y, s.w,
-         s.act AND NOT ({dist('s', 'b')} <= {outer!r} * s.r), b.id, b.bw
+  SELECT s.g, s.r, s.it + 1, s.id, s.ord, {_of('s', cols)}, s.w,
+         s.act AND NOT ({dist('s', 'b', cols)} <= {outer!r} * s.r), b.id, b.bw
   FROM {prefix}_state s
   JOIN (SELECT g FROM {prefix}_state WHERE act GROUP BY g HAVING sum(w) > 0) lw ON lw.g = s.g
-  JOIN (SELECT g, id, x, y, bw FROM (
-          SELECT a.g, a.id, a.ord, a.x, a.y, CAST(sum(c.w) AS BIGINT) AS bw
+  JOIN (SELECT g, id, {xs}, bw FROM (
+          SELECT a.g, a.id, a.ord, {_of('a', cols)}, CAST(sum(c.w) AS BIGINT) AS bw
           FROM {prefix}_state a JOIN {prefix}_state c
-            ON a.g = c.g AND c.act AND {dist('a', 'c')} <= {inner!r} * a.r
-          GROUP BY a.g, a.id, a.ord, a.x, a.y)
+            ON a.g = c.g AND c.act AND {dist('a', 'c', cols)} <= {inner!r} * a.r
+          GROUP BY a.g, a.id, a.ord, {_of('a', cols)})
         QUALIFY row_number() OVER (PARTITION BY g ORDER BY bw DESC, ord) = 1) b ON b.g = s.g
   WHERE s.it < {k}),
 {prefix}_last AS (SELECT g, max(it) AS it FROM {prefix}_state GROUP BY g),
@@ -86,7 +98,7 @@ def greedy_ctes(points: str, k: int, z: int, alpha: float, guesses: int, prefix:
   FROM {prefix}_state s JOIN {prefix}_last l ON s.g = l.g AND s.it = l.it GROUP BY s.g),
 {prefix}_best AS ({best}),
 {prefix}_centers AS (
-  SELECT DISTINCT s.it - 1 AS step, s.cid AS id, m.x, m.y, s.cbw AS ball_weight
+  SELECT DISTINCT s.it - 1 AS step, s.cid AS id, {_of('m', cols)}, s.cbw AS ball_weight
   FROM {prefix}_state s JOIN {prefix}_merged m ON m.id = s.cid
   WHERE s.it > 0 AND s.g = (SELECT g FROM {prefix}_best))"""
 

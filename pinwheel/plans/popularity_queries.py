@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pinwheel.operators import popularity as pop
 from pinwheel.sources import tables
-from pinwheel.sources.text import parse_transactions
+from pinwheel.sources.text import parse_transactions, read_lines, read_transactions
 
 # Parameters of the registered queries.
 COUNTRY = "NATION_2"
@@ -68,7 +68,7 @@ def q_popularity_reduced(spark, sf_dir):
 
 
 def q_popularity_top_h(spark, sf_dir):
-    return pop.top_popular(pop.popularity_grouped(_pairs(spark, sf_dir), BUCKETS), TOP_H)
+    return pop.top_popular(pop.popularity_reduced(_pairs(spark, sf_dir)), TOP_H)
 
 
 def q_popularity_sorted(spark, sf_dir):
@@ -80,7 +80,26 @@ def q_popularity_report(spark, sf_dir):
     return pop.popularity_report(tables.transactions(spark, sf_dir), REPORT_H, REPORT_COUNTRY, BUCKETS)
 
 
+def q_popularity_report_all(spark, sf_dir):
+    """The report without a top size: both full listings."""
+    return pop.popularity_report(tables.transactions(spark, sf_dir), 0, REPORT_COUNTRY, BUCKETS)
+
+
+def q_tx_file_row_count(spark, sf_dir):
+    """Lines of transaction files."""
+    return pop.row_count(read_lines(spark, tables.written_lines(tables.transaction_lines(spark, sf_dir))))
+
+
+def q_tx_file_pairs(spark, sf_dir):
+    """Distinct pairs of transactions read from files."""
+    tx = read_transactions(spark, tables.written_lines(tables.transaction_lines(spark, sf_dir)))
+    return pop.product_customer_pairs(tx, COUNTRY)
+
+
 QUERIES = {
+    "popularity_report_all": q_popularity_report_all,
+    "tx_file_row_count": q_tx_file_row_count,
+    "tx_file_pairs": q_tx_file_pairs,
     "tx_row_count": q_tx_row_count,
     "tx_parse_lines": q_tx_parse_lines,
     "tx_filter_all": q_tx_filter_all,
@@ -116,3 +135,10 @@ ORACLES = {
                          f"GROUP BY product) SELECT 1 AS variant, product, popularity FROM p "
                          f"ORDER BY popularity DESC, product LIMIT {REPORT_H}",
 }
+
+ORACLES["tx_file_row_count"] = ORACLES["tx_row_count"]
+ORACLES["tx_file_pairs"] = ORACLES["tx_pairs_country"]
+ORACLES["popularity_report_all"] = TX_SQL + (
+    ", p AS (SELECT product, count(*) AS popularity FROM "
+    f"(SELECT DISTINCT product, customer_id FROM kept WHERE country = '{REPORT_COUNTRY}') GROUP BY product) "
+    "SELECT 1 AS variant, product, popularity FROM p UNION ALL SELECT 2 AS variant, product, popularity FROM p ORDER BY variant, product")

@@ -6,9 +6,13 @@ that are used and the work grows with the tables.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pinwheel.session import checkpoint_dir
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -96,6 +100,40 @@ def points_part_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _points(p, "p_partkey", F.col("p_size"))
 
 
+def points_customer_wide(spark: SparkSession, sf_dir: str, d: int) -> DataFrame:
+    """The first ``d`` of (c_acctbal, 100 * c_nationkey, c_custkey, 50 * (c_custkey mod 97)) per customer."""
+    c = load(spark, sf_dir, "customer")
+    coords = (F.col("c_acctbal"), F.col("c_nationkey") * 100, F.col("c_custkey"), F.col("c_custkey") % 97 * 50)
+    return _points(c, "c_custkey", *coords[:d])
+
+
+def points_orders_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(o_totalprice, 7) per order: the second dimension is constant."""
+    o = load(spark, sf_dir, "orders")
+    return _points(o, "o_orderkey", F.col("o_totalprice"), F.lit(7.0))
+
+
+def points_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(l_extendedprice, l_quantity, l_discount, l_tax) per line item; id = 10 * order key + line."""
+    li = load(spark, sf_dir, "lineitem").withColumn("_id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    return _points(li, "_id", *[F.col(c) for c in ("l_extendedprice", "l_quantity", "l_discount", "l_tax")])
+
+
+def points_supplier_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(10 * s_acctbal, s_nationkey, 0, 0) per supplier, comparable with ``points_lineitem``."""
+    s = load(spark, sf_dir, "supplier")
+    return _points(s, "s_suppkey", F.col("s_acctbal") * 10, F.col("s_nationkey"), F.lit(0.0), F.lit(0.0))
+
+
+def written_lines(lines: DataFrame, order: str | None = None) -> str:
+    """Write a ``value`` column as text files into the shared checkpoint folder, sorted by
+    ``order`` if given (then files in path order hold the lines in that order); their path."""
+    path = f"{checkpoint_dir(lines.sparkSession)}/lines-{uuid.uuid4()}"
+    sorted_lines = lines.repartitionByRange(4, order).sortWithinPartitions(order) if order else lines
+    sorted_lines.select("value").write.text(path)
+    return path
+
+
 def points_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(o_totalprice, o_custkey) per order."""
     o = load(spark, sf_dir, "orders")

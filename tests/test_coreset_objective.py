@@ -12,7 +12,7 @@ def test_fft_and_weights_match_bruteforce(spark):
     pts_df = coreset.assign_parts(tables.points_orders(spark, SF_CHECK), 4)
     m = 11
     centers = coreset.fft_centers(pts_df, m)
-    weights = {(r["part"], r["step"]): r["w"] for r in coreset.coreset_weights(pts_df, centers, m).collect()}
+    weights = {(r["part"], r["step"]): r["w"] for r in coreset.coreset_weights(pts_df, centers).collect()}
     got = {}
     for r in centers.collect():
         got.setdefault(r["part"], []).append((r["step"], r["id"]))
@@ -130,15 +130,20 @@ def test_partition_independence_of_iterative_operators(spark):
     assert results[0] == results[1] == results[2]
 
 
-@pytest.mark.parametrize("unroll", [64, 2])
-def test_many_centers_per_group(spark, unroll, monkeypatch):
-    """k+z+1 beyond the unrolling limit: the folded form gives the same centers and weights."""
-    monkeypatch.setattr(coreset, "UNROLL_CENTERS", unroll)
-    monkeypatch.setattr(coreset, "LITERAL_VALUES", 0)   # force the broadcast-array path
+@pytest.mark.parametrize("broadcast_values,pending,every", [(10 ** 6, 8, 8), (0, 3, 2)])
+def test_many_centers_per_group(spark, broadcast_values, pending, every, monkeypatch):
+    """Broadcast or joined, with few or many written states: the same centers and weights."""
+    monkeypatch.setattr(coreset, "PENDING_CENTERS", pending)
+    monkeypatch.setattr(coreset, "STATES_PER_CHECKPOINT", every)
     pts_df = coreset.assign_parts(tables.points_supplier(spark, SF_CHECK), 2)
-    m = 12
-    centers = coreset.fft_centers(pts_df, m)
-    weights = {(r["part"], r["step"]): r["w"] for r in coreset.coreset_weights(pts_df, centers, m).collect()}
+    m = 24
+    found = coreset.traverse(pts_df, m, broadcast_values=broadcast_values)
+    centers = found.centers
+    weights = {(r["part"], r["step"]): r["w"] for r in
+               coreset.coreset_weights(pts_df, centers, broadcast_values=broadcast_values).collect()}
+    own = {(r["part"], r["near"]): r["count"] for r in found.state.groupBy("part", "near").count().collect()}
+    assert own == weights
+    found.cached.unpersist()
     got = {}
     for r in centers.collect():
         got.setdefault(r["part"], []).append((r["step"], r["id"]))
@@ -150,3 +155,17 @@ def test_many_centers_per_group(spark, unroll, monkeypatch):
         assert [i for _, i in sorted(got[part])] == [sel[c]["id"] for c in chosen]
         arg, _ = bf.nearest(pts, [pts[c] for c in chosen])
         assert [weights.get((part, s), 0) for s in range(len(chosen))] == list(np.bincount(arg, minlength=len(chosen)))
+
+
+@pytest.mark.parametrize("z", [0, 6, 300])
+def test_objectives_match_bruteforce(spark, z):
+    pts_df = tables.points_customer(spark, SF_CHECK)
+    centers = pts_df.where(F.col("id") % 400 == 3)
+    rows = pts_df.collect()
+    pts, ids = np.array([r["coords"] for r in rows]), np.array([r["id"] for r in rows])
+    _, dist = bf.nearest(pts, [np.array(r["coords"]) for r in centers.collect()])
+    pairs = {(i % 4, v) for i, v in zip(ids.tolist(), dist.tolist())}
+    want = (sorted(set(dist.tolist()))[-z - 1], sorted(v for _, v in pairs)[-z - 1], sorted(dist.tolist())[-z - 1])
+    got = (objective.objective_distinct(pts_df, centers, z), objective.objective_partitioned(pts_df, centers, z, 4),
+           objective.objective_points(pts_df, centers, z))
+    assert tuple(objective.objective_value(g) for g in got) == want

@@ -9,52 +9,49 @@ from pinwheel.sources import tables
 from pinwheel.sources.text import parse_points
 
 
-def _bw(spark, pts, radius, active=None):
+def _bw(spark, pts, radius, active=None, hot=geometry.HOT_CELL):
     df = points_df(spark, pts)
     act = df if active is None else df.filter(F.col("id").isin([int(i) for i in np.nonzero(active)[0]]))
-    out = geometry.ball_weights(df, act, radius).orderBy("id").collect()
+    out = geometry.ball_weights(df, act, radius, hot_cell=hot).orderBy("id").collect()
     return np.array([r["ball_weight"] for r in out])
 
 
 @pytest.mark.parametrize("hot", [0, 10 ** 9])
 @pytest.mark.parametrize("d", [1, 2, 3, 5])
-def test_ball_weights_match_bruteforce(spark, d, hot, monkeypatch):
+def test_ball_weights_match_bruteforce(spark, d, hot):
     # hot = 0 forces the fine-cell aggregation, 10**9 the plain grid join.
-    monkeypatch.setattr(geometry, "HOT_CELL", hot)
     rng = np.random.default_rng(7 + d)
     # A dense cluster, a spread cloud and integer points (exact boundary distances).
     pts = np.vstack([rng.normal(0, 0.01, (40, d)), rng.uniform(-5, 5, (60, d)),
                      rng.integers(-3, 4, (40, d)).astype(float)])
     for radius in [0.0, 0.5, 1.0, 2.0, 50.0]:
-        got = _bw(spark, pts, radius)
+        got = _bw(spark, pts, radius, hot=hot)
         want = bf.ball_weights(pts, np.ones(len(pts), dtype=np.int64), np.ones(len(pts), bool), radius)
         assert (got == want).all(), (d, radius)
 
 
 @pytest.mark.parametrize("hot", [0, 10 ** 9])
-def test_ball_weights_active_subset(spark, hot, monkeypatch):
-    monkeypatch.setattr(geometry, "HOT_CELL", hot)
+def test_ball_weights_active_subset(spark, hot):
     rng = np.random.default_rng(3)
     pts = rng.integers(0, 6, (80, 2)).astype(float) + rng.integers(0, 2, (80, 1)) * 0.5
     active = rng.random(80) < 0.5
-    got = _bw(spark, pts, 1.5, active)
+    got = _bw(spark, pts, 1.5, active, hot)
     want = bf.ball_weights(pts, np.ones(80, dtype=np.int64), active, 1.5)
     assert (got == want).all()
 
 
 @pytest.mark.parametrize("hot", [0, 10 ** 9])
-def test_ball_boundary_inclusive(spark, hot, monkeypatch):
-    monkeypatch.setattr(geometry, "HOT_CELL", hot)
+def test_ball_boundary_inclusive(spark, hot):
     pts = [[0.0, 0.0], [3.0, 4.0]]
-    assert list(_bw(spark, np.array(pts), 5.0)) == [2, 2]
-    assert list(_bw(spark, np.array(pts), np.nextafter(5.0, 0))) == [1, 1]
+    assert list(_bw(spark, np.array(pts), 5.0, hot=hot)) == [2, 2]
+    assert list(_bw(spark, np.array(pts), np.nextafter(5.0, 0), hot=hot)) == [1, 1]
 
 
 def test_ball_members_and_removal(spark):
     pts = points_df(spark, [[0.0], [1.0], [2.5], [10.0]])
     pairs = {(r["id"], r["member_id"]) for r in geometry.ball_members(pts, 1.5).collect()}
     assert pairs == {(0, 0), (0, 1), (1, 0), (1, 1), (2, 2), (1, 2), (2, 1), (3, 3)}
-    left = [r["id"] for r in geometry.ball_removal(pts, [0.0], 2.5, 1).orderBy("id").collect()]
+    left = [r["id"] for r in geometry.ball_removal(pts, points_df(spark, [[0.0]]), 2.5, 1).orderBy("id").collect()]
     assert left == [3]
 
 
@@ -102,18 +99,38 @@ def test_initial_guess_first_points(spark):
     assert geometry.initial_guess(pts, 4, 1).collect()[0]["r0"] == 0.25
 
 
-@pytest.mark.parametrize("limit", [10 ** 6, 0])
-def test_large_center_sets_fold_over_one_row(spark, limit, monkeypatch):
-    """Above the literal limit the centers are attached as one broadcast row; same answers."""
-    monkeypatch.setattr(geometry, "LITERAL_CENTER_VALUES", limit)
+@pytest.mark.parametrize("limits", [{}, {"literal_values": 0}, {"literal_values": 0, "block_values": 9}])
+def test_center_sets_of_any_size(spark, limits):
+    """Literals, one broadcast row, and many blocks (checkpointed on the way): same answers."""
     rng = np.random.default_rng(5)
     pts = rng.integers(0, 20, (200, 2)).astype(float)
-    cs = rng.integers(0, 20, (30, 2)).astype(float)
+    cs = rng.integers(0, 20, (60, 2)).astype(float)
     df = points_df(spark, pts)
-    cdf = points_df(spark, cs, ids=list(range(100, 130)))
-    rows = geometry.nearest_center(df, cdf).orderBy("id").collect()
+    cdf = points_df(spark, cs, ids=list(range(100, 160)))
+    rows = geometry.nearest_center(df, cdf, **limits).orderBy("id").collect()
     arg, best = bf.nearest(pts, list(cs))
     assert [r["center_id"] for r in rows] == [100 + int(a) for a in arg]
     assert np.array_equal(np.array([r["dist"] for r in rows]), best)
-    dist = [r["dist"] for r in geometry.dist_to_centers(df, cdf).orderBy("id").collect()]
+    dist = [r["dist"] for r in geometry.dist_to_centers(df, cdf, **limits).orderBy("id").collect()]
     assert np.array_equal(np.array(dist), best)
+    none = geometry.nearest_center(df, cdf.limit(0), **limits).collect()
+    assert len(none) == 200 and all(r["dist"] is None and r["center_id"] is None for r in none)
+
+
+@pytest.mark.parametrize("bad", [[None, [1.0, 2.0]], [[1.0, None], [1.0, 2.0]]])
+def test_null_coordinates_are_refused(spark, bad):
+    df = spark.createDataFrame([(i, i, c) for i, c in enumerate(bad)], "id long, ord long, coords array<double>")
+    with pytest.raises(ValueError, match="null coordinate"):
+        geometry.validate_points(df)
+    with pytest.raises(ValueError, match="null coordinate"):
+        geometry.nearest_center(df, points_df(spark, [[0.0, 0.0]]))
+
+
+def test_initial_guess_equals_all_pairs(spark):
+    rng = np.random.default_rng(8)
+    for d in (1, 2, 4):
+        pts = rng.uniform(-50, 50, (120, d))
+        want = min(np.sqrt(((a - b) ** 2).sum()) for i, a in enumerate(pts) for b in pts[:i]) / 2
+        assert geometry.initial_guess(points_df(spark, pts), 500, d).collect()[0]["r0"] == pytest.approx(want)
+    assert geometry.initial_guess(points_df(spark, [[1.0]]), 5, 1).collect()[0]["r0"] is None
+    assert geometry.initial_guess(points_df(spark, [[1.0], [2.0], [1.0]]), 3, 1).collect()[0]["r0"] == 0.0

@@ -15,19 +15,11 @@ def _arrays(df):
     return pts, w, np.array([r["ord"] for r in rows]), np.array([r["id"] for r in rows])
 
 
-@pytest.mark.parametrize("incremental", [0, 10 ** 9])
-@pytest.mark.parametrize("hot", [0, 10 ** 9])
 @pytest.mark.parametrize("table,k,z,guesses,ncenters", [
     (tables.points_supplier, 4, 6, 4, 3),
     (tables.points_customer, 4, 6, 3, 4),
 ])
-def test_kcenter_matches_bruteforce(spark, table, k, z, guesses, ncenters, hot, incremental, monkeypatch):
-    # hot = 0 forces fine-cell aggregation; incremental = 0 forces incremental ball updates.
-    monkeypatch.setattr(kcenter, "INCREMENTAL_FACTOR", incremental)
-    monkeypatch.setattr(kcenter, "INCREMENTAL_MIN_PAIRS", incremental)
-    monkeypatch.setattr(geometry, "HOT_CELL", hot)
-    monkeypatch.setattr(kcenter, "HOT_CELL", hot)
-    monkeypatch.setattr(kcenter, "SMALL_INPUT", 0)
+def test_kcenter_matches_bruteforce(spark, table, k, z, guesses, ncenters):
     pts_df = table(spark, SF_CHECK)
     res = kcenter.kcenter_outliers(pts_df, k, z, 0.0)
     pts, w, o, ids = _arrays(pts_df)
@@ -39,19 +31,22 @@ def test_kcenter_matches_bruteforce(spark, table, k, z, guesses, ncenters, hot,
     assert len(got) <= k and res.left_weight <= z
 
 
-@pytest.mark.parametrize("incremental", [0, 10 ** 9])
-def test_greedy_cover_fixed_radius(spark, incremental, monkeypatch):
-    monkeypatch.setattr(kcenter, "INCREMENTAL_FACTOR", incremental)
-    monkeypatch.setattr(kcenter, "INCREMENTAL_MIN_PAIRS", incremental)
+@pytest.mark.parametrize("hot", [0, 10 ** 9])
+def test_greedy_cover_fixed_radius(spark, hot):
+    # hot = 0 forces fine-cell aggregation, 10**9 the plain grid join.
     pts_df = tables.points_customer(spark, SF_CHECK)
-    centers, left = kcenter.greedy_cover(pts_df, 400.0, 4)
+    stats = geometry.validate_points(pts_df)
+    merged, _ = kcenter._cached_merge(geometry.with_weight(pts_df))
+    res = kcenter.greedy_batch(merged, stats, [(0, 400.0, 1200.0), (1, 800.0, 2400.0)], 4, hot_cell=hot)
+    merged.unpersist()
     pts, w, o, ids = _arrays(pts_df)
     mp, mw, mo, mi = bf.merge(pts, w, o, ids)
-    cs, bws, want_left = bf.greedy(mp, mw, mo, mi, 400.0, 1200.0, 4)
-    rows = centers.orderBy("step").collect()
-    assert [r["id"] for r in rows] == cs
-    assert [r["ball_weight"] for r in rows] == bws
-    assert left == want_left
+    for g, r in ((0, 400.0), (1, 800.0)):
+        cs, bws, want_left = bf.greedy(mp, mw, mo, mi, r, 3 * r, 4)
+        rows = res.centers.where(F.col("g") == g).orderBy("step").collect()
+        assert [r["id"] for r in rows] == cs
+        assert [r["ball_weight"] for r in rows] == bws
+        assert res.left[g] == want_left
 
 
 def test_all_points_equal(spark):
@@ -92,11 +87,7 @@ def test_bad_arguments(spark):
         kcenter.kcenter_outliers(pts, 1, -1)
 
 
-@pytest.mark.parametrize("incremental", [0, 10 ** 9])
-def test_weighted_points(spark, incremental, monkeypatch):
-    monkeypatch.setattr(kcenter, "INCREMENTAL_FACTOR", incremental)
-    monkeypatch.setattr(kcenter, "INCREMENTAL_MIN_PAIRS", incremental)
-    monkeypatch.setattr(kcenter, "SMALL_INPUT", 0)
+def test_weighted_points(spark):
     coords = [[0.0], [1.0], [10.0], [11.0], [30.0]]
     weights = [5, 1, 1, 1, 3]
     res = kcenter.kcenter_outliers(points_df(spark, coords, weights), 2, 1, 2.0)
@@ -106,17 +97,14 @@ def test_weighted_points(spark, incremental, monkeypatch):
     assert (res.initial_guess, res.final_guess, res.guesses) == (r0, rf, g)
 
 
-def test_hot_spot_auto_strategy(spark, monkeypatch):
-    """A third of the points in one tight cluster: the solver picks fine-cell aggregation and
-    incremental updates by itself and still matches the sequential result."""
-    monkeypatch.setattr(geometry, "HOT_CELL", 500)
-    monkeypatch.setattr(kcenter, "HOT_CELL", 500)
-    monkeypatch.setattr(kcenter, "INCREMENTAL_MIN_PAIRS", 0)
-    picked = {}
+def test_hot_spot(spark, monkeypatch):
+    """A third of the points in one tight cluster: the solver picks fine-cell aggregation by
+    itself and still matches the sequential result."""
+    picked = set()
     real = kcenter.ball_weight_sums
 
     def spy(*args, **kwargs):
-        picked.setdefault("aggregate", set()).add(kwargs.get("aggregate"))
+        picked.add(kwargs.get("aggregate"))
         return real(*args, **kwargs)
 
     monkeypatch.setattr(kcenter, "ball_weight_sums", spy)
@@ -124,39 +112,27 @@ def test_hot_spot_auto_strategy(spark, monkeypatch):
     rng = np.random.default_rng(11)
     hot = np.array([5000.0, 1200.0]) + rng.normal(0, 0.5, (800, 2))
     coords = [list(r["coords"]) for r in base] + hot.tolist()
-    df = points_df(spark, coords)
-    res = kcenter.kcenter_outliers(df, 4, 6, 0.0)
+    res = kcenter.kcenter_outliers(points_df(spark, coords), 4, 6, 0.0)
     pts = np.array(coords)
     n = len(coords)
     cs, r0, rf, g = bf.kcenter(pts, np.ones(n, dtype=np.int64), np.arange(n), np.arange(n), 4, 6, 0.0)
     assert [r["id"] for r in res.centers.orderBy("step").collect()] == cs
     assert (res.initial_guess, res.final_guess, res.guesses) == (r0, rf, g)
-    assert True in picked["aggregate"]
-
-
-def test_many_chosen_centers_attached_per_guess(spark, monkeypatch):
-    """Above the literal limit the chosen centers are attached per guess; same solution."""
-    monkeypatch.setattr(kcenter, "LITERAL_CENTER_VALUES", 0)
-    pts_df = tables.points_supplier(spark, SF_CHECK)
-    res = kcenter.kcenter_outliers(pts_df, 4, 6, 0.0)
-    pts, w, o, ids = _arrays(pts_df)
-    cs, r0, rf, g = bf.kcenter(pts, w, o, ids, 4, 6, 0.0)
-    assert [r["id"] for r in res.centers.orderBy("step").collect()] == cs
-    assert (res.final_guess, res.guesses) == (rf, g)
+    assert picked == {True}
 
 
 def test_certified_steps_on_separated_clusters(spark, monkeypatch):
     """Well-separated clusters: several centers are certified in one pass, same result."""
     taken = []
-    real = kcenter._certified_steps
+    real = kcenter._take_certain
 
-    def spy(rows, grid, chosen, running, left, k, step, d):
-        before = {g: len(v) for g, v in chosen.items()}
-        out = real(rows, grid, chosen, running, left, k, step, d)
-        taken.append(max((len(chosen[g]) - before[g] for g in before), default=0))
+    def spy(cells, chosen, k):
+        before = len(chosen)
+        out = real(cells, chosen, k)
+        taken.append(len(chosen) - before)
         return out
 
-    monkeypatch.setattr(kcenter, "_certified_steps", spy)
+    monkeypatch.setattr(kcenter, "_take_certain", spy)
     rng = np.random.default_rng(4)
     centers = np.array([[0.0, 0.0], [1000.0, 0.0], [0.0, 1000.0], [1000.0, 1000.0]])
     coords = np.vstack([c + rng.normal(0, 5, (60, 2)) for c in centers] + [rng.uniform(-3000, 3000, (3, 2))])
@@ -166,3 +142,39 @@ def test_certified_steps_on_separated_clusters(spark, monkeypatch):
     assert [r["id"] for r in res.centers.orderBy("step").collect()] == cs
     assert (res.initial_guess, res.final_guess, res.guesses) == (r0, rf, g)
     assert max(taken) > 1
+
+
+@pytest.mark.parametrize("hi", [(1e6, 0.0), (1e6, 1.0), (1e6, 1e6), (0.0, 0.0), (5.0, 5.0, 5.0), (1e9, 1.0, 1e-9)])
+def test_certification_grid_is_bounded(hi):
+    """However flat or unequal the extents, at most CERT_CELLS cells: what a pass returns."""
+    stats = geometry.PointStats(1_000_000, len(hi), 1e9, tuple(0.0 for _ in hi), hi)
+    for r in (0.0, 1e-9, 1.0, 1e7):
+        grid = kcenter._cert_grid(r, 3 * r, stats)
+        assert 1 <= grid.res.prod() <= kcenter.CERT_CELLS
+        assert (grid.res[np.array(hi) == 0] == 1).all()
+
+
+def test_flat_points_collect_few_rows(spark, monkeypatch):
+    rows = []
+    real = kcenter._CellMaxima.__init__
+
+    def spy(self, grid, found, d):
+        rows.append(len(found))
+        real(self, grid, found, d)
+
+    monkeypatch.setattr(kcenter._CellMaxima, "__init__", spy)
+    rng = np.random.default_rng(2)
+    coords = np.stack([rng.uniform(0, 1e6, 5000), np.full(5000, 3.0)], axis=1)
+    centers, left = kcenter.greedy_cover(points_df(spark, coords.tolist()), 5.0, 2)
+    cs, bws, want = bf.greedy(coords, np.ones(5000, dtype=np.int64), np.arange(5000), np.arange(5000), 5.0, 15.0, 2)
+    assert [r["id"] for r in centers.orderBy("step").collect()] == cs and left == want
+    assert rows and max(rows) <= kcenter.CERT_CELLS
+
+
+def test_larger_guesses_are_dropped(spark):
+    pts_df = tables.points_supplier(spark, SF_CHECK)
+    stats = geometry.validate_points(pts_df)
+    merged, _ = kcenter._cached_merge(geometry.with_weight(pts_df))
+    res = kcenter.greedy_batch(merged, stats, [(g, 4000.0 * 2 ** g, 12000.0 * 2 ** g) for g in range(6)], 4, enough=6)
+    merged.unpersist()
+    assert res.left[0] <= 6 and min(g for g, lw in res.left.items() if lw <= 6) == 0

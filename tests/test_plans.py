@@ -4,6 +4,7 @@ import contextlib
 import io
 
 import numpy as np
+import pytest
 
 import __spark_entry__ as entry_mod
 from conftest import SF_CHECK
@@ -31,9 +32,17 @@ def test_country_filter_reaches_the_scan(spark):
     assert "EqualTo(n_name,NATION_1)" in plan
 
 
-def test_partitioned_objective_limits_before_the_shuffle(spark):
-    plan = _plan(entry_mod.queries()["objective_partitioned"](spark, SF_CHECK))
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+@pytest.mark.parametrize("name", ["objective_partitioned", "objective_partitioned_many", "objective_distinct_many"])
+def test_objectives_filter_before_the_shuffle(spark, name):
+    """Whatever z: what falls short of the bound stays in its task, the rest is combined first."""
+    plan = _plan(entry_mod.queries()[name](spark, SF_CHECK))
+    head = plan[:plan.index("\n\n(1)")] if "\n\n(1)" in plan else plan
+    assert "Filter" in head and head.index("Exchange") < head.rindex("Filter") and "Window" not in head
+
+
+def test_initial_guess_has_no_nested_loop(spark):
+    plan = _plan(entry_mod.queries()["initial_guess_many"](spark, SF_CHECK))
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_ball_queries_have_no_cross_join(spark):

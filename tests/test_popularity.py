@@ -42,6 +42,17 @@ def test_parse_errors(spark):
     assert (row["product"], row["quantity"], row["customer_id"], row["country"]) == ("p", 1.5, 7, "FR")
 
 
+@pytest.mark.parametrize("bad", ["0,p,2,-1.0,4,5,x,FR", "0,p,2,1.0,4,5,6", "0,p,2,y,4,5,6,IT", "0,p,2,0,4,5, 6,IT", ""])
+def test_one_bad_line_fails_every_query(spark, bad):
+    """Pruned columns and filters that would drop the line don't hide it."""
+    tx = parse_transactions(_lines(spark, ["0,p,2,1.0,4,5,6,FR"] * 50 + [bad]))
+    for country in (pop.ALL_COUNTRIES, "FR"):
+        pairs = pop.product_customer_pairs(tx, country)
+        for out in (pairs, pop.pair_count(pairs), pop.top_popular(pop.popularity_reduced(pairs), 3), pop.popularity_grouped(pairs)):
+            with pytest.raises(Exception, match="malformed transaction line"):
+                out.collect()
+
+
 def test_top_h_ties_and_order(spark):
     tx = _tx(spark, [("9", 1.0, 1, "X"), ("10", 1.0, 2, "X"), ("8", 1.0, 3, "X"), ("8", 1.0, 4, "X")])
     pairs = pop.product_customer_pairs(tx)

@@ -28,6 +28,23 @@ def test_read_points_keeps_file_order(spark):
     assert [list(r["coords"]) for r in pts] == want
 
 
+def test_read_points_survives_other_splits(spark):
+    """Settings that would cut the files otherwise between the two passes lose no line."""
+    folder = tempfile.mkdtemp(prefix="pinwheel-pts-")
+    for f in range(4):
+        _write(folder, f"points-{f}.txt", [f"{f * 5000 + i},{i % 7}" for i in range(5000)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        df = read_points(spark, folder)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4000000")
+        spark.conf.set("spark.sql.files.minPartitionNum", "41")
+        rows = df.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert len(rows) == 20_000 and all(r["coords"][0] == r["id"] == r["ord"] for r in rows)
+
+
 def test_read_points_rejects_bad_number(spark):
     folder = tempfile.mkdtemp(prefix="pinwheel-pts-")
     _write(folder, "points.txt", ["1,2", "3,x"])
