@@ -18,15 +18,17 @@ the others; what follows the same word is counted once there, so that copies cou
 
 from __future__ import annotations
 
+import pickle
 import re
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from pinwheel.llm.common import column, held_out, lowest_ids, map_text, ragged, texts_of
+from pinwheel.llm.common import column, held_out, lowest_ids, map_text, ragged, saved, texts_of
 from pinwheel.llm.subwords import WORDS_AT_ONCE, gram_buckets, numbered_words, word_buckets
 
 SAMPLE_PER_LABEL = 1_500
@@ -360,9 +362,23 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  label_col: str = "toxic") -> Model:
-    """Learn from the labelled texts that aren't held out."""
-    rows = training_sample(docs, labels, id_col, text_col, label_col).orderBy("rank", "doc", "text").select("text", "label").collect()
-    return train([r.text for r in rows], [r.label for r in rows])
+    """Learn from the labelled texts that aren't held out.
+
+    One task trains on the bounded sample, sorted so that reruns agree, and sends the model
+    back; the driver holds neither texts nor training state.
+    """
+    sample = training_sample(docs, labels, id_col, text_col, label_col).select("rank", "doc", "text", "label")
+
+    def fit(batches):
+        texts, marks = [], []
+        for batch in batches:
+            texts += column(batch, "text").to_pylist()
+            marks += column(batch, "label").to_pylist()
+        yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(vars(train(texts, marks)))], pa.binary())})
+
+    fitted = saved(sample.repartition(1).sortWithinPartitions("rank", "doc", "text").mapInArrow(fit, "model binary"))
+    found = [pickle.loads(r.model) for r in fitted.collect()]
+    return Model(**found[0]) if found else train([], [])
 
 
 def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
