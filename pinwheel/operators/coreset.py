@@ -185,13 +185,22 @@ def traverse(points: DataFrame, m: int, parts: int | None = None, stats: PointSt
         return joined.select("part", "id", "ord", "coords", best.alias("_b"), *keys, "_done") \
             .select("part", "id", "ord", "coords", "_b.m", "_b.near", *keys, "_done")
 
-    written = 0
+    written, stale = 0, None
     while True:
+        if max(map(len, pending.values()), default=0) > PENDING_CENTERS:
+            # Lazy: the next pass fills the cache while it looks for the farthest points.
+            written += 1
+            later = current().drop("_done")
+            later = later.checkpoint() if written % STATES_PER_CHECKPOINT == 0 else later.persist(StorageLevel.MEMORY_AND_DISK)
+            stale, state, pending = state, later, {p: [] for p in chosen}
         fresh = current()
         if len(done) == len(chosen):
             break
         tops = fresh.where(~F.col("_done")).groupBy("part", *keys).agg(
             F.max(F.struct("m", (-F.col("ord")).alias("neg_ord"), "id", "coords")).alias("b")).collect()
+        if stale is not None:
+            stale.unpersist()
+            stale = None
         by_part: dict[int, list] = {}
         for r in tops:
             by_part.setdefault(int(r["part"]), []).append(r)
@@ -202,13 +211,6 @@ def traverse(points: DataFrame, m: int, parts: int | None = None, stats: PointSt
                 chosen[part].append(center)
             if exhausted or len(chosen[part]) >= m:
                 done.add(part)
-        if max(map(len, pending.values())) > PENDING_CENTERS:
-            written += 1
-            later = current().drop("_done")
-            later = later.checkpoint() if written % STATES_PER_CHECKPOINT == 0 else later.persist(StorageLevel.MEMORY_AND_DISK)
-            later.count()
-            state.unpersist()
-            state, pending = later, {p: [] for p in chosen}
     table = [(p, s, i, o, c) for p, cs in chosen.items() for s, (i, o, c) in enumerate(cs)]
     return Traversal(spark.createDataFrame(table, FFT_SCHEMA), fresh.select("part", "id", "ord", "coords", "m", "near"), state)
 
