@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -42,25 +44,25 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only for local masters.
+    """The shared checkpoint folder; only operators that write to it ask for it.
 
-    On a cluster the folder must be shared storage named by ``spark.checkpoint.dir``; a
-    machine-local folder would not survive the loss of an executor, so we refuse to invent one.
+    It is the one that the session names in ``spark.checkpoint.dir``. For a local master
+    without that setting (tests) a scratch folder is made, and removed when Python ends. On a
+    cluster a machine-local folder would not survive the loss of an executor, so none is invented.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative operators")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="pinwheel-ckpt-"))
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder before running operators that checkpoint")
+        configured = tempfile.mkdtemp(prefix="pinwheel-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
