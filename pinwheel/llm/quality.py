@@ -2,8 +2,9 @@
 
 Base statistics of a text and two base rules come first (see ``base_statistics``). Texts that
 pass get a statistic vector: ln words, ln mean word length, and the square roots of symbols
-per word character, repeated lines per word and repeated words per word, in fixed point
-(multiples of 1/1024), so that sums are exact and don't depend on their order.
+per word character, and of repeated lines, repeated words and echoes (words equal to the word
+before) per word, in fixed point (multiples of 1/1024), so that sums are exact and don't
+depend on their order.
 
 For every (language, source) with at least ``MIN_ROWS`` passing texts, else for the language,
 else for all texts together, location and scatter are minimum-covariance-determinant
@@ -29,8 +30,8 @@ from pyspark.sql import Window as W
 
 from pinwheel.llm.common import saved
 
-STATS = ("ln_words", "ln_length", "symbols", "lines", "repeats")
-FLOOR = (1.0, 0.15, 0.05, 0.25, 0.25)
+STATS = ("ln_words", "ln_length", "symbols", "lines", "repeats", "echoes")
+FLOOR = (1.0, 0.15, 0.05, 0.25, 0.25, 0.15)
 MIN_ROWS, SHARE, STEPS, QUANTILE = 50, 0.75, 4, 0.9999
 UNIT = 1024
 # Squared distances are cut into bins of 1/64; beyond the last bin no row is among the nearest.
@@ -67,29 +68,30 @@ NOT_BLANK = "[^\\\\x20\\\\x09-\\\\x0D]"
 
 def base_statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``df`` without its text and with n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words (long) and base_failed; columns of these names are replaced.
+    n_repeat_words, n_echoes (long) and base_failed; columns of these names are replaced.
 
     A null or empty text has no words and fails the base rules.
     """
     words = f"filter(split(text, '{BLANK}+'), w -> w <> '')"
     lines = f"filter(split(text, '\\n', -1), l -> l RLIKE '{NOT_BLANK}')"
+    echoes = "CASE WHEN size(words) < 2 THEN 0 ELSE size(filter(sequence(1, size(words) - 1), i -> words[i] = words[i - 1])) END"
     one = _let(words, "words", f"named_struct('n_words', CAST(size(words) AS BIGINT), 'word_chars', CAST(length(array_join(words, '')) AS BIGINT), "
-                               f"'n_repeat_words', CAST({_repeat_words()} AS BIGINT))")
-    new = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+                               f"'n_repeat_words', CAST({_repeat_words()} AS BIGINT), 'n_echoes', CAST({echoes} AS BIGINT))")
+    new = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_echoes")
     names = [c for c in df.columns if c not in {*new, "base_failed", text_col}]
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     rows = rows.select("row", F.expr(one).alias("w"), F.expr("CAST(regexp_count(text, '[#*$%&|<>]') AS BIGINT)").alias("n_symbols"),
                        F.expr(_let(lines, "l", "CAST(size(l) - size(array_distinct(l)) AS BIGINT)")).alias("n_dup_lines"))
     failed = "w.n_words < 20 OR 100 * w.n_repeat_words > 30 * w.n_words"
     return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in names], "w.n_words", "w.word_chars", "n_symbols", "n_dup_lines",
-                       "w.n_repeat_words", F.expr(failed).alias("base_failed"))
+                       "w.n_repeat_words", "w.n_echoes", F.expr(failed).alias("base_failed"))
 
 
 def statistic_sql() -> list[str]:
     """SQL of the statistic vector in units of 1/1024; only for texts with words."""
     per_word = "CAST({} AS DOUBLE) / n_words"
     raw = ("ln(CAST(n_words AS DOUBLE))", f"ln({per_word.format('word_chars')})", "sqrt(CAST(n_symbols AS DOUBLE) / word_chars)",
-           f"sqrt({per_word.format('n_dup_lines')})", f"sqrt({per_word.format('n_repeat_words')})")
+           f"sqrt({per_word.format('n_dup_lines')})", f"sqrt({per_word.format('n_repeat_words')})", f"sqrt({per_word.format('n_echoes')})")
     return [f"CAST(floor({r} * {UNIT} + 0.5) AS BIGINT)" for r in raw]
 
 
@@ -238,7 +240,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     state = saved(_start(slim))
     for _ in range(STEPS):
         state = saved(_concentrated(slim, state, few))
-    stats = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    stats = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_echoes", "base_failed"]
     judged = _measured(vectors, state, few).select(*stats, F.col("d2").alias("distance2"), F.expr(f"d2 <= {_num(CUTOFF)}").alias("kept"))
     failed = base.where("base_failed").select(*stats, F.lit(None).cast("double").alias("distance2"), F.lit(False).alias("kept"))
     return judged.unionByName(failed)
@@ -269,7 +271,8 @@ def oracle_sql() -> str:
             """base AS (
   SELECT doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
          CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
-         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+         CAST(len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])) AS BIGINT) AS n_echoes
   FROM w LEFT JOIN rep USING (rid))""",
             "flagged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base)",
             f"""vec AS (SELECT *, {', '.join(f'{sql} AS v{i}' for i, sql in enumerate(statistic_sql()))},
@@ -291,7 +294,7 @@ def oracle_sql() -> str:
         ctes.append(f"s{k} AS (SELECT grp, count(*) AS n, {sums} FROM r{k} WHERE before_ < {_num(SHARE)} * whole GROUP BY grp)")
         moments = f"(SELECT grp, {', '.join(f'{sql} AS {name}' for name, sql in moment_columns())} FROM s{k})"
         ctes.append(f"e{k + 1} AS (SELECT grp, {state} FROM {chained(moments, cholesky_steps())})")
-    out = "doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed"
+    out = "doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_echoes, base_failed"
     last = chained(f"(SELECT rows_.*, {state} FROM rows_ JOIN e{STEPS} USING (grp))", distance_steps())
     return (f"WITH {', '.join(ctes)}\nSELECT {out}, d2 AS distance2, d2 <= {_num(CUTOFF)} AS kept FROM {last}\n"
             f"UNION ALL SELECT {out}, CAST(NULL AS DOUBLE), false FROM flagged WHERE base_failed")

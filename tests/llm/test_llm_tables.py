@@ -284,7 +284,8 @@ def brute_statistics(text):
     marked = {i for ks in windows.values() if len(ks) > 1 for k in ks for i in range(k, k + 8)}
     lines = [x for x in (text or "").split("\n") if re.search("[^\x20\x09-\x0D]", x)]
     failed = len(words) < 20 or 100 * len(marked) > 30 * len(words)
-    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(marked), failed)
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(marked),
+            sum(a == b for a, b in zip(words, words[1:])), failed)
 
 
 def quality_rows():
@@ -304,7 +305,7 @@ def quality_rows():
 
 def test_base_statistics_equal_brute_force(spark):
     rows = quality_rows()
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_echoes", "base_failed")
     df = docs(spark, rows).withColumn("n_words", F.lit("clash")).withColumn("words", F.lit(1)).withColumn("row", F.lit(1))
     got = {r.doc_id: tuple(r[n] for n in names) for r in quality.base_statistics(df).collect()}
     assert got == {r[0]: brute_statistics(r[1]) for r in rows}
@@ -330,11 +331,11 @@ def test_distances_equal_brute_force(spark):
     rows = quality_rows()
     out = quality.quality_rules(docs(spark, rows)).collect()
     assert len(out) == len(rows)
-    passing = [r for r in rows if not brute_statistics(r[1])[5]]
+    passing = [r for r in rows if not brute_statistics(r[1])[-1]]
 
     def vector(r):
-        n, chars, symbols, dup, rep, _ = brute_statistics(r[1])
-        raw = (np.log(n), np.log(chars / n), np.sqrt(symbols / chars), np.sqrt(dup / n), np.sqrt(rep / n))
+        n, chars, symbols, dup, rep, echo, _ = brute_statistics(r[1])
+        raw = (np.log(n), np.log(chars / n), np.sqrt(symbols / chars), np.sqrt(dup / n), np.sqrt(rep / n), np.sqrt(echo / n))
         return [int(np.floor(x * quality.UNIT + 0.5)) for x in raw]
 
     by_source, by_lang = {}, {}
