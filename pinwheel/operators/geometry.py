@@ -12,9 +12,8 @@ Scale notes
   >= r plus the exact distance test, never as a cross join. Ball weights go further where
   cells are crowded: weights are summed per fine cell, and cell pairs that certainly lie
   inside (or outside) a ball are decided at once, so only the cells that the ball's border
-  may cross are tested point by point (``ball_weight_sums``). With 16 fine cells per radius
-  in two dimensions those are about a third of the cells near a ball; in three dimensions,
-  with 4, most of them. Identical points are merged before any of this, and AQE's skew-join
+  may cross are tested point by point (``ball_weight_sums``): 6 % of the cells near a ball in
+  one dimension (32 fine cells per radius), 28 % in two (16), but 91 % in three (4). Identical points are merged before any of this, and AQE's skew-join
   split spreads a crowded cell over several tasks.
 """
 

@@ -40,6 +40,8 @@ GUESS_BATCH = 2
 # Guesses per batch grow up to this when the input is small (point-guess rows per batch).
 BATCH_ROWS = 8_000
 MAX_BATCH = 16
+# Coordinates of chosen centers that a batch may broadcast (at least one guess is tried).
+BATCH_VALUES = 2_000_000
 MAX_GUESSES = 2200  # doubling from the smallest positive double reaches any finite distance
 
 CENTER_SCHEMA = T.StructType([
@@ -336,6 +338,7 @@ def kcenter_outliers(points: DataFrame, k: int, z: int, alpha: float = 0.0, guar
             # Small inputs (e.g. a coreset) try many radii per job; large ones few, since the
             # ball join of a large radius is the expensive part.
             batch = max(GUESS_BATCH, min(MAX_BATCH, BATCH_ROWS // max(distinct_n, 1)))
+        batch = max(1, min(batch, BATCH_VALUES // (k * max(stats.d, 1))))
         g0 = 0
         while g0 < MAX_GUESSES:
             rs = [next(seq) for _ in range(batch)]

@@ -238,11 +238,20 @@ DENSE_RADIUS = 20_000.0
 FLAT_RADIUS, FLAT_K = 9_000.0, 3
 
 
-def q_points_file(spark, sf_dir):
-    """Point lines written to files and read again, numbered by their place in the files."""
+def _point_file(spark, sf_dir):
     part = tables.load(spark, sf_dir, "part")
     lines = part.select("p_partkey", F.concat_ws(",", F.col("p_partkey").cast("string"), F.col("p_retailprice").cast("string")).alias("value"))
-    return _xy(read_points(spark, tables.written_lines(lines, "p_partkey"))).select("id", "ord", "x0", "x1")
+    return tables.written_lines(lines, "p_partkey")
+
+
+def q_points_file(spark, sf_dir):
+    """Point lines written to files and read again, numbered by their place in the files."""
+    return _xy(read_points(spark, _point_file(spark, sf_dir))).select("id", "ord", "x0", "x1")
+
+
+def q_points_file_joined(spark, sf_dir):
+    """The same with the split table joined by shuffle instead of broadcast."""
+    return _xy(read_points(spark, _point_file(spark, sf_dir), broadcast_splits=0)).select("id", "ord", "x0", "x1")
 
 
 def q_nearest_center_large(spark, sf_dir):
@@ -320,6 +329,7 @@ def q_objective_points_many(spark, sf_dir):
 
 QUERIES = {
     "points_file": q_points_file,
+    "points_file_joined": q_points_file_joined,
     "nearest_center_large": q_nearest_center_large,
     "initial_guess_many": q_initial_guess_many,
     "ball_weights_dense": q_ball_weights_dense,
@@ -502,3 +512,4 @@ ORACLES.update({
                                   f"ORDER BY dist DESC LIMIT {MANY_Z + 1})",
     "objective_points_many": _MANY + f"SELECT min(dist) AS objective FROM (SELECT dist FROM d ORDER BY dist DESC LIMIT {MANY_Z + 1})",
 })
+ORACLES["points_file_joined"] = ORACLES["points_file"]

@@ -77,7 +77,7 @@ def parse_points(lines: DataFrame, value: str = "value") -> DataFrame:
 BROADCAST_SPLITS = 500_000
 
 
-def read_points(spark: SparkSession, path: str) -> DataFrame:
+def read_points(spark: SparkSession, path: str, broadcast_splits: int = BROADCAST_SPLITS) -> DataFrame:
     """Point lines as (id, ord, coords), where ``id = ord`` is the line's position in the input
     (files in path order, lines in file order, numbered from 0).
 
@@ -98,7 +98,7 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
     splits = raw.groupBy("_file", "_start").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select("_file", "_start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")).checkpoint()
-    few = offsets.count() <= BROADCAST_SPLITS
+    few = offsets.count() <= broadcast_splits
     numbered = raw.join(F.broadcast(offsets) if few else offsets, ["_file", "_start"]).select(
         (F.col("_offset") + F.col("_mid") - F.col("_first")).alias("id"), "value")
     return parse_points(numbered).select("id", F.col("id").alias("ord"), "coords")
