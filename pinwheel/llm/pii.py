@@ -28,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pinwheel.llm.common import free_name
+
 ROUNDS = 8
 DEFAULT_KEY = "pinwheel"
 
@@ -213,7 +215,8 @@ def pii_documents(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
 def without_pii(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     """``docs`` with pseudonyms in ``text``; columns unchanged (``n_chars`` stays right, since
     pseudonyms keep their length but for addresses, and is counted anew)."""
-    out = pseudonymise(docs, key=key).drop("found")
+    name = free_name(docs, "found")
+    out = pseudonymise(docs, key=key, found_col=name).drop(name)
     if "n_chars" in out.columns:
         kind = dict(docs.dtypes)["n_chars"]
         out = out.withColumn("n_chars", F.length("text").cast(kind))

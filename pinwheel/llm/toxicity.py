@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from pinwheel.llm.common import column, held_out, lowest_ids, map_text, ragged, saved, texts_of
+from pinwheel.llm.common import column, free_name, held_out, lowest_ids, map_text, ragged, saved, texts_of
 from pinwheel.llm.subwords import WORDS_AT_ONCE, gram_buckets, numbered_words, word_buckets
 
 SAMPLE_PER_LABEL = 1_500
@@ -381,17 +381,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     return Model(**found[0]) if found else train([], [])
 
 
-def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` and ``toxicity_score`` (a column of that name is replaced).
+def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "toxicity_score") -> DataFrame:
+    """All columns of ``docs`` and ``out_col``, the score (a column of that name is replaced).
 
     A null or empty text, or one without words, scores 0. Repeated rows are each scored. No shuffle.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c != "toxicity_score"]
+    kept = [c for c in docs.columns if c != out_col]
     plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)],
                         F.col(text_col).cast("string").alias("text"))
     types = dict(plain.dtypes)
-    schema = ", ".join(f"c{i} {types[f'c{i}']}" for i in range(len(kept))) + ", toxicity_score double"
+    schema = ", ".join(f"c{i} {types[f'c{i}']}" for i in range(len(kept))) + ", score double"
 
     def start():
         m = shared.value
@@ -401,18 +401,19 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
         return work
 
     scored = map_text(plain, schema, start)
-    return scored.toDF(*kept, "toxicity_score")
+    return scored.toDF(*kept, out_col)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted (1 from ``THRESHOLD`` on) of every document."""
     model = fit_toxicity(docs, labels)
-    scored = score_toxicity(docs.select("doc_id", "text"), model).withColumnRenamed("toxicity_score", "score")
+    scored = score_toxicity(docs.select("doc_id", "text"), model, out_col="score")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rows whose score reaches ``THRESHOLD``; columns unchanged."""
-    scored = score_toxicity(docs, fit_toxicity(docs, labels))
-    return scored.where(F.col("toxicity_score") < THRESHOLD).drop("toxicity_score")
+    name = free_name(docs, "toxicity_score")
+    scored = score_toxicity(docs, fit_toxicity(docs, labels), out_col=name)
+    return scored.where(F.col(name) < THRESHOLD).drop(name)

@@ -267,6 +267,7 @@ def test_pseudonyms_keep_formats_and_links(spark):
     counted = {r.doc_id: r for r in pii.pii_documents(df).collect()}
     assert counted[0].n_card == 1 and counted[0].n_replaced == 1 and counted[3].n_ip == 1
     assert pii.without_pii(docs(spark, [])).count() == 0
+    assert pii.without_pii(df).columns == df.columns and pii.without_pii(df).first().found == 1
 
 
 def test_text_without_findings_is_untouched(spark):

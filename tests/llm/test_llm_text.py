@@ -179,8 +179,9 @@ def test_toxicity_finds_held_out_and_keeps_clean(spark):
     held = [r for r in out if r.held_out and r.doc_id in truth]
     assert held and all(r.predicted == truth[r.doc_id] for r in held)
     assert (got[900].score, got[901].score, got[902].predicted, got[None].predicted) == (0.0, 0.0, 1, 0)
-    kept = toxicity.without_toxic(df.withColumn("toxicity_score", F.lit(7)).drop("toxicity_score"), marks)
-    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()}.isdisjoint({902, 0, 3})
+    wide = df.withColumn("toxicity_score", F.lit(7)).withColumn("c0", F.lit("x"))
+    kept = toxicity.without_toxic(wide, marks)
+    assert kept.columns == wide.columns and {r.toxicity_score for r in kept.collect()} == {7} and {r.doc_id for r in kept.collect()}.isdisjoint({902, 0, 3})
 
 
 def test_toxicity_without_labels(spark):
