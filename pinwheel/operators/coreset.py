@@ -55,8 +55,9 @@ def assign_parts(points: DataFrame, parts: int) -> DataFrame:
     return points.withColumn("part", F.pmod(F.col("id"), F.lit(parts)).cast("int"))
 
 
-# Cells of the traversal's certificate grid per group (spread over up to 3 dimensions).
-CERT_CELLS = 1024
+# Cells of the traversal's certificate grid per group (spread over up to 3 dimensions): at
+# least this many, and so many per center to find.
+CERT_CELLS, CELLS_PER_CENTER = 1024, 32
 # Bound on the rows a traversal pass brings to the driver; with many groups each group gets
 # fewer cells, at least one (the next center of every group is part of the result anyway).
 CERT_ROWS = 200_000
@@ -80,6 +81,8 @@ class _GroupCells:
         self.ord = np.array([-b["neg_ord"] for b in best], dtype=np.int64)
         self.far = np.array([float(b["m"]) for b in best])
         self.exact = np.ones(len(best), dtype=bool)
+        self.single = np.array([r["n"] == 1 for r in rows])
+        self.points = np.array(self.coords, dtype=float).reshape(len(best), -1)
         cell = np.array([[r[k] for k in keys] for r in rows], dtype=float).reshape(len(best), len(keys))
         slack = width * 1e-6  # a point may sit a rounding error outside its computed cell
         self.low, self.high = lo + cell * width - slack, lo + (cell + 1) * width + slack
@@ -98,14 +101,19 @@ class _GroupCells:
             at = np.flatnonzero(self.exact & (self.far == top))
             best = int(at[np.argmin(self.ord[at])])
             out.append((self.id[best], int(self.ord[best]), self.coords[best]))
-            c = np.array(self.coords[best][:self.low.shape[1]], dtype=float)
+            c, before = np.array(self.coords[best][:self.low.shape[1]], dtype=float), self.far
             gap = np.sqrt((np.maximum(np.maximum(self.low - c, c - self.high), 0.0) ** 2).sum(1)) * (1 - _BOX_MARGIN)
             keep = self.exact & (gap >= self.far)  # no point of the cell gets closer
             keep[best] = False                     # its cell's maximum is now unknown
             if self.whole:                         # new distances are at most the box's reach
                 reach = np.sqrt((np.maximum(np.abs(self.low - c), np.abs(self.high - c)) ** 2).sum(1)) * (1 + _BOX_MARGIN)
                 self.far = np.where(keep, self.far, np.minimum(self.far, reach))
-            self.exact = keep
+            # A cell's only point is known: so is its new distance (the same left fold).
+            total = np.zeros(len(self.far))
+            for j, v in enumerate(self.coords[best]):
+                total = total + (self.points[:, j] - v) * (self.points[:, j] - v)
+            self.far = np.where(self.single, np.minimum(before, np.sqrt(total)), self.far)
+            self.exact = keep | self.single
         return out, False
 
 
@@ -118,7 +126,7 @@ class Traversal:
 
 
 def traverse(points: DataFrame, m: int, parts: int | None = None, stats: PointStats | None = None,
-             cells: int = CERT_CELLS, broadcast_values: int = MAX_BROADCAST_VALUES) -> Traversal:
+             cells: int | None = None, broadcast_values: int = MAX_BROADCAST_VALUES) -> Traversal:
     """Farthest-first traversal with ``m`` centers inside every group (C1, C2).
 
     Starts at the group's first point (lowest ord); each step adds the point farthest from
@@ -131,8 +139,8 @@ def traverse(points: DataFrame, m: int, parts: int | None = None, stats: PointSt
     coarse grid, the farthest point of the cell (a partial aggregate). Its overall maximum is
     the next center; further ones are chosen from the same rows as long as that is provably
     exact: a cell whose box is at least its maximum away from every new center keeps its
-    maximum, other cells only an upper bound, and the best exact cell must beat every bound.
-    ``cells=1`` gives one center per pass.
+    maximum, a cell's only point stays known, other cells only keep an upper bound, and the
+    best exact cell must beat every bound. ``cells=1`` gives one center per pass.
     """
     spark = points.sparkSession
     checkpoint_dir(spark)
@@ -145,6 +153,7 @@ def traverse(points: DataFrame, m: int, parts: int | None = None, stats: PointSt
         F.min(F.struct("ord", "id", "coords")).alias("c"),
         *[F.min(F.col("coords").getItem(i)).alias(f"lo{i}") for i in range(g)],
         *[F.max(F.col("coords").getItem(i)).alias(f"hi{i}") for i in range(g)]).collect()
+    cells = max(CERT_CELLS, CELLS_PER_CENTER * m) if cells is None else cells
     per_group = max(1, min(cells, CERT_ROWS // max(len(first), 1)))
     res = max(1, int(per_group ** (1.0 / g) + 1e-9)) if g else 1
     boxes, chosen, pending = {}, {}, {}
@@ -197,7 +206,7 @@ def traverse(points: DataFrame, m: int, parts: int | None = None, stats: PointSt
         if len(done) == len(chosen):
             break
         tops = fresh.where(~F.col("_done")).groupBy("part", *keys).agg(
-            F.max(F.struct("m", (-F.col("ord")).alias("neg_ord"), "id", "coords")).alias("b")).collect()
+            F.max(F.struct("m", (-F.col("ord")).alias("neg_ord"), "id", "coords")).alias("b"), F.count(F.lit(1)).alias("n")).collect()
         if stale is not None:
             stale.unpersist()
             stale = None
@@ -216,7 +225,7 @@ def traverse(points: DataFrame, m: int, parts: int | None = None, stats: PointSt
 
 
 def fft_centers(points: DataFrame, m: int, parts: int | None = None, stats: PointStats | None = None,
-                cells: int = CERT_CELLS, broadcast_values: int = MAX_BROADCAST_VALUES) -> DataFrame:
+                cells: int | None = None, broadcast_values: int = MAX_BROADCAST_VALUES) -> DataFrame:
     """Farthest-first centers of every group (C1): part, step, id, ord, coords."""
     found = traverse(points, m, parts, stats, cells, broadcast_values)
     found.cached.unpersist()
