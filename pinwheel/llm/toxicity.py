@@ -35,7 +35,7 @@ SAMPLE_PER_LABEL = 1_500
 WINDOW, STRIDE = 32, 16
 GRAMS = (3, 4, 5, 6)
 BUCKETS = 1 << 18
-WORD_DIM = CHAR_DIM = 4
+WORD_DIM = CHAR_DIM = 3
 HIDDEN = 8
 EPOCHS = 10
 # Pseudo-texts that pull a bucket's log-odds to zero.
@@ -100,7 +100,7 @@ def word_vectors(m: Model, w: Words) -> np.ndarray:
     ends = np.cumsum(w.counts)
     for k in range(0, len(w.word), WORDS_AT_ONCE):
         n, base = w.counts[k:k + WORDS_AT_ONCE], ends[k] - w.counts[k]
-        grams, first = m.char[w.grams[base:ends[k + len(n) - 1]]], ends[k:k + len(n)] - n - base
+        grams, first = m.char[w.grams[base:ends[k + len(n) - 1]]].astype(np.float32, copy=False), ends[k:k + len(n)] - n - base
         out[k:k + len(n), WORD_DIM:WORD_DIM + CHAR_DIM] = np.add.reduceat(grams, first, axis=0) / n[:, None]
         out[k:k + len(n), WORD_DIM + CHAR_DIM:] = np.maximum.reduceat(grams, first, axis=0)
     return out
@@ -229,8 +229,10 @@ def _contexts(w: Words, owner: np.ndarray, fit: np.ndarray, toxic: np.ndarray) -
     return np.bincount(word, seen % 2, len(w.word)), np.bincount(word, 1 - seen % 2, len(w.word))
 
 
-def train(texts: list[str], labels: list[int], seed: int = 11) -> Model:
-    """Fit on labelled texts; with fewer than two labels the model scores 0 everywhere."""
+def train(texts: list[str], labels: list[int], odds: float | None = None, seed: int = 11) -> Model:
+    """Fit on labelled texts; with fewer than two labels the model scores 0 everywhere.
+
+    ``odds`` of label 1 among all labelled rows correct the scores for a sample with others."""
     rng = np.random.default_rng(seed)
     small = lambda *shape: rng.normal(0, 0.3, shape).astype(np.float32)
     m = Model(rng.normal(0, 0.05, (BUCKETS, WORD_DIM)).astype(np.float32), rng.normal(0, 0.05, (BUCKETS, CHAR_DIM)).astype(np.float32))
@@ -296,6 +298,8 @@ def train(texts: list[str], labels: list[int], seed: int = 11) -> Model:
     ok = check & np.isfinite(top)
     if len(set(y_text[ok])) == 2:
         m.slope, m.shift = _logistic(top[ok], y_text[ok])
+        if odds:
+            m.shift += float(np.log(odds) - np.log(y_text.sum() / (1 - y_text).sum()))
     return m
 
 
@@ -345,15 +349,24 @@ def text_scores(m: Model, texts: list[str]) -> np.ndarray:
     return out
 
 
+def compact(m: Model) -> Model:
+    """The model with embeddings of half precision, as it is kept and sent to tasks (3 MB)."""
+    return Model(m.word.astype(np.float16), m.char.astype(np.float16), m.params, m.slope, m.shift, m.fitted)
+
+
+def labelled(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """``doc`` and ``label`` (0 or 1) of the rows that may be learned from."""
+    return labels.select(F.col(id_col).alias("doc"), F.col(label_col).cast("int").alias("label")) \
+        .where(F.col("doc").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc")))
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
     """Texts and labels of up to ``SAMPLE_PER_LABEL`` ids of each label, by md5 of the id.
 
     Held-out ids, null labels and null texts are left out. The ids are chosen without their
     texts; the texts are joined to that bounded set.
     """
-    marked = labels.select(F.col(id_col).alias("doc"), F.col(label_col).cast("int").alias("label")) \
-        .where(F.col("doc").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc")))
-    ids = lowest_ids(marked, "label", SAMPLE_PER_LABEL).groupBy("doc", "rank").agg(F.max("label").alias("label"))  # both labels: toxic
+    ids = lowest_ids(labelled(labels, id_col, label_col), "label", SAMPLE_PER_LABEL).groupBy("doc", "rank").agg(F.max("label").alias("label"))  # both labels: toxic
     found = docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text")) \
         .join(F.broadcast(ids), "doc").where(F.col("text").isNotNull())
     lowest = W.partitionBy("label").orderBy("rank", "doc", "text")
@@ -368,17 +381,19 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     back; the driver holds neither texts nor training state.
     """
     sample = training_sample(docs, labels, id_col, text_col, label_col).select("rank", "doc", "text", "label")
+    sizes = {r.label: r["count"] for r in labelled(labels, id_col, label_col).groupBy("label").count().collect()}
+    odds = sizes[1] / sizes[0] if len(sizes) == 2 else None
 
     def fit(batches):
         texts, marks = [], []
         for batch in batches:
             texts += column(batch, "text").to_pylist()
             marks += column(batch, "label").to_pylist()
-        yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(vars(train(texts, marks)))], pa.binary())})
+        yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(vars(compact(train(texts, marks, odds))))], pa.binary())})
 
     fitted = saved(sample.repartition(1).sortWithinPartitions("rank", "doc", "text").mapInArrow(fit, "model binary"))
     found = [pickle.loads(r.model) for r in fitted.collect()]
-    return Model(**found[0]) if found else train([], [])
+    return Model(**found[0]) if found else compact(train([], []))
 
 
 def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "toxicity_score") -> DataFrame:
