@@ -7,13 +7,15 @@ fails validation is left as it is.
 
   kind    validated by                            permuted
   card    13 to 19 digits, Luhn check digit       all digits but the last, which is recomputed
-  iban    country, length 15 to 34, mod 97 = 1    the digits after the check digits, recomputed
+  iban    the country's length (15 to 34 for      the digits after the check digits, recomputed
+          unlisted countries), mod 97 = 1
   ip      four octets up to 255                   the 32-bit address
   ssn     area, group and serial in range         (area, group and serial)
   date    a day of 1900 to 2099; yyyy-mm-dd,      the day, within 1900 to 2099
           dd.mm.yyyy, dd/mm/yyyy or mm/dd/yyyy
-  phone   country code or bracketed area code,    the last ten digits
-          ten national digits
+  phone   + and 8 to 15 digits in any grouping;   the digits after the country code
+          or 3-3-4 digits, plain, after 1 or with
+          a bracketed area code
   email   name@host.tld                           letters and digits before the last dot are
                                                   replaced by keyed ones of their kind (long
                                                   names have no small domain to permute)
@@ -36,11 +38,26 @@ DEFAULT_KEY = "pinwheel"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 EMAIL = r"[\p{L}0-9][\p{L}0-9._%+-]*@[A-Za-z0-9][A-Za-z0-9-]*(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IP = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
-IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+#: IBAN lengths of the countries in the registry, and two-digit calling codes (1 and 7 have one digit, the rest three).
+IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+                22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+                26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+                30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+TWO_DIGIT_CODES = "2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
+# A country's own length comes first, so that words after the number aren't taken into it.
+IBAN = ("(?:" + "|".join(f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}(?![A-Z0-9])" for n, c in IBAN_LENGTHS.items())
+        + "|[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)")
 DATE = r"(?:19|20)[0-9]{2}-[01][0-9]-[0-3][0-9]|[0-3][0-9][./][0-3][0-9][./](?:19|20)[0-9]{2}"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
-CARD = r"[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7}"
-PHONE = r"\+[0-9]{1,3}[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}"
+CARD = r"[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}"
+_PLAIN = r"(?<![0-9][.-])(?:1[ .-])?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?!-[0-9])"
+# An international number of 8 digits or more ends before a separator that another candidate follows; a whole card is none.
+_GROUPED = r"(?:[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}|[0-9]{13,19})(?![ -]?[0-9])"
+_NEXT = rf"(?:(?![ .-](?:{_GROUPED}|(?:{DATE}|{SSN}|{_PLAIN})(?![0-9]))| {IP}(?!\.?[0-9]))[ .-])?"
+_ABROAD = (rf"\+(?![0-9]{{1,3}}[ .-]{_GROUPED})[1-9](?:(?:[ .-]?[0-9]){{5}}(?:{_NEXT}[0-9]){{0,7}}"
+           rf"|[0-9]{{0,2}}[ .-]?\([0-9]{{1,4}}\)(?:[ .-]?[0-9]){{3}}(?:{_NEXT}[0-9]){{0,5}}){_NEXT}[0-9]{{2}}")
+PHONE = (r"\+[0-9]{1,3}[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}"
+         rf"|{_ABROAD}|{_PLAIN}")
 # A match starts and ends where no longer number, word or dotted sequence goes on.
 PATTERN = (rf"(?<![\p{{L}}0-9_@])(?:{EMAIL}(?![A-Za-z0-9_@-])|(?:(?<![0-9][.-]){IP}(?!\.[0-9])|{IBAN}|(?<![0-9][.-]){DATE}"
            rf"|(?<![0-9]-){SSN}(?!-[0-9])|{PHONE}|{CARD})(?![\p{{L}}0-9_@]))")
@@ -150,7 +167,9 @@ def _date(m: str, key: str) -> str:
 
 
 def _phone(m: str, key: str) -> str:
-    fresh = f"concat(substring(w, 1, length(w) - 10), {permuted_digits('right(w, 10)', 'phone', key)})"
+    code = (f"CASE WHEN {m} NOT LIKE '+%' THEN length(w) - 10 WHEN w RLIKE '^[17]' THEN 1 "
+            f"WHEN w RLIKE '^({TWO_DIGIT_CODES})' THEN 2 ELSE 3 END")
+    fresh = _let(code, "c", f"concat(substring(w, 1, c), {permuted_digits('substring(w, c + 1)', 'phone', key)})")
     return _let(_digits(m), "w", refilled(m, fresh))
 
 

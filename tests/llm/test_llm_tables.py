@@ -270,6 +270,53 @@ def test_pseudonyms_keep_formats_and_links(spark):
     assert pii.without_pii(df).columns == df.columns and pii.without_pii(df).first().found == 1
 
 
+def make_iban(country, bban):
+    return country + f"{98 - int(''.join(str(int(c, 36)) for c in bban + country + '00')) % 97:02d}" + bban
+
+
+def test_ibans_before_other_words(spark):
+    """A word of capitals or digits after the number isn't part of it."""
+    grouped = lambda s: " ".join(s[k:k + 4] for k in range(0, len(s), 4))
+    bbans = {"ES": "21000418450200051332", "AT": "1904300234573201", "BE": "539007547034", "SE": "50000000058398257466", "NO": "86011117947",
+             "HU": "117730161111101800000000", "PL": "109010140000071219812874", "MT": "MALT011000012345MTLCAST001S", "DE": "370400440532013000"}
+    numbers = [make_iban(c, b) for c, b in bbans.items()]
+    texts = [f"pay {n}{after}" for s in numbers for n in (s, grouped(s)) for after in (" SWIFT", " EUR 5", " 1201 2024", " A", ".", "")]
+    got = {r.doc_id: r for r in pii.pseudonymise(docs(spark, [doc(i, t) for i, t in enumerate(texts)])).collect()}
+    for i, t in enumerate(texts):
+        s, after = numbers[i // 12], (" SWIFT", " EUR 5", " 1201 2024", " A", ".", "")[i % 6]
+        assert [x.kind for x in got[i].found] == ["iban"] and got[i].text == f"pay {got[i].found[0].value}{after}", t
+        fresh = got[i].found[0].value.replace(" ", "")
+        assert iban_ok(fresh) and fresh != s and len(fresh) == len(s) and fresh[:2] == s[:2]
+
+
+def test_cards_and_phones_in_other_groupings(spark):
+    cards = ["3782 822463 10005", "3782-822463-10005", "3056 930902 5904"]
+    # Number, and how many leading digits are its country code.
+    phones = [("555-123-4567", 0), ("555 123 4567", 0), ("1-800-555-0199", 1), ("+44 20 7946 0958", 2), ("+49 30 123456", 2), ("+49 (0)30 123456", 2),
+              ("+33 1 23 45 67 89", 2), ("+33.1.23.45.67.89", 2), ("+4512345678", 2), ("+45 12 34 56 78", 2), ("+49 1512 3456789", 2),
+              ("+353 1 234 5678", 3), ("+1 555 123 4567", 1), ("+390612345678901", 2)]
+    texts = [f"x {t}, y" for t in cards + [p for p, _ in phones]]
+    after = ["+45 12345678 4111 1111 1111 1111", "+45 12345678 555-123-4567", "+45 12 34 56 78 123-45-6789", "+44 20 7946 0958: 2020-02-29", "+44 20 7946 0958 2020-02-29", "+45 12345678 10.1.2.3"]
+    left = ["978-3-16-148410-0", "3782 822463 10006", "+1234567", "12-555-123-4567-8", "10 000 000"]
+    rows = {r.doc_id: r for r in pii.pseudonymise(docs(spark, [doc(i, t) for i, t in enumerate(texts + after + left)])).collect()}
+    for i, t in enumerate(texts):
+        assert [x.kind for x in rows[i].found] == ["card" if i < len(cards) else "phone"], t
+        new = rows[i].found[0].value
+        assert rows[i].text == f"x {new}, y" and re.sub(r"\d", "0", rows[i].text) == re.sub(r"\d", "0", t)
+        old, digits = re.sub(r"\D", "", t), re.sub(r"\D", "", new)
+        if i < len(cards):
+            assert luhn(digits) and digits != old
+        else:
+            kept = phones[i - len(cards)][1]
+            assert digits[:kept] == old[:kept] and digits[kept:] != old[kept:]
+    values = [rows[i].found[0].value for i in range(len(texts))]
+    assert re.sub(r"\D", "", values[3]) == re.sub(r"\D", "", values[4]) == re.sub(r"\D", "", values[15])[1:]  # one number in three forms
+    for i, kind in enumerate(("card", "phone", "ssn", "date", "date", "ip"), len(texts)):
+        assert [x.kind for x in rows[i].found] == ["phone", kind], (rows[i].text, kind)
+    for i, t in enumerate(left, len(texts) + len(after)):
+        assert rows[i].text == t and not rows[i].found
+
+
 def test_text_without_findings_is_untouched(spark):
     text = "Numbers 12, 3.5 and 1999 stay | $%& too\n\n" * 3000
     assert pii.without_pii(docs(spark, [doc(1, text)])).first().text == text
