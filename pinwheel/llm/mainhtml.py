@@ -10,10 +10,11 @@ children's densities and its own bare text. The node of the largest sum is the m
 the lowest density on its path to the body is the threshold, and every other node that
 reaches it gives its own subtree of largest sum as well (an article in several parts).
 
-Elements that hold no article by their meaning (scripts, forms, navigation, ...) or by the
-words of their class, id or role (adverts, comments, notices, ...) are left out of tree and
-text, unless they wrap the article. Text inside a block is joined with single blanks, blocks
-with an empty line; character references are decoded.
+Elements that hold no article by their meaning (scripts, ...) are left out of tree and text.
+Others are doubtful by their tag (forms, navigation, ...) or by the words of their class, id
+or role (adverts, comments, notices, ...); that is only evidence, which the densities of the
+whole page can refute (see ``_prune``). Text inside a block is joined with single blanks,
+blocks with an empty line; character references are decoded.
 """
 
 from __future__ import annotations
@@ -45,6 +46,13 @@ MARKERS = ("ad ads adv advert adverts advertisement advertising adsense banner s
            "cookie cookies consent gdpr notice notices notification alert disclaimer popup modal overlay paywall "
            "share sharing social newsletter subscribe subscription signup login search form")
 MARKED = frozenset(MARKERS.split())
+#: Those of them that name parts of articles as well.
+WEAK = frozenset("alert notice notices disclaimer search form related recommended recommendations trending popular widget widgets "
+                 "discussion feedback header social menu banner promotion aside".split())
+#: Weakly marked elements outside the article are dropped below this share of the page's text, taken together by marks.
+SMALL = 0.1
+#: The page's densest subtree stays if it has more than so many times the text that is left without it.
+MOST = 4
 #: Parts of a class name that tell of a state or a layout of something that isn't what they name.
 STATES = {"open", "opened", "closed", "has", "no", "with", "without", "enabled", "disabled", "layout", "page", "wrapper", "content"}
 MARK_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "alertdialog", "menu", "menubar"}
@@ -52,6 +60,7 @@ MARK_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search",
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "tr": ({"tr"}, {"table", "tbody", "thead", "tfoot"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
           "option": ({"option"}, {"select"}), "tbody": ({"tbody", "thead"}, {"table"})}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ENDS_PARAGRAPH = BLOCK - {"body", "html", "head", "tr", "tbody", "thead", "tfoot", "caption", "legend"}
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>"
@@ -66,30 +75,34 @@ PARTS = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "doubtful", "chars", "tags", "link_chars", "link_tags", "density", "sum", "own", "core", "titled")
+    __slots__ = ("tag", "parent", "kids", "doubtful", "chars", "tags", "link_chars", "link_tags", "density", "sum", "own", "core", "titled",
+                 "inside", "marks")
 
-    def __init__(self, tag: str, parent, doubtful: bool = False):
-        self.tag, self.parent, self.doubtful = tag, parent, doubtful
+    def __init__(self, tag: str, parent, doubtful: frozenset = frozenset()):
+        self.tag, self.parent, self.doubtful, self.own = tag, parent, doubtful, -1
         self.kids: list = []  # nodes and strings, in order
 
 
-def doubtful(tag: str, attributes: str) -> bool:
-    """Whether an element is probably not part of an article."""
+def doubtful(tag: str, attributes: str) -> frozenset:
+    """What tells that an element is probably not part of an article: its tag (``<form>``), its
+    role (``=alert``) or words of its class and id; empty for headings and where nothing does."""
     if tag in USUALLY_NOT:
-        return True
-    if tag in {"html", "body", "article", "main"} or "=" not in attributes:
-        return False
+        return frozenset((f"<{tag}>",))
+    if tag in {"html", "body", "article", "main"} or tag in HEADINGS or "=" not in attributes:
+        return frozenset()
+    marks: set = set()
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         value = a or b or c
         if name.lower() == "role":
-            if value.strip().lower() in MARK_ROLES:
-                return True
+            role = value.strip().lower()
+            if role in MARK_ROLES:
+                marks.add(role if role in ("alert", "search") else f"={role}")
             continue
         for word in value.split():
             parts = {x.lower() for x in PARTS.findall(word)}
-            if parts & MARKED and not parts & STATES:
-                return True
-    return False
+            if not parts & STATES:
+                marks |= parts & MARKED
+    return frozenset(marks)
 
 
 def parse(page: str) -> Node:
@@ -164,27 +177,67 @@ def _order(root: Node) -> list[Node]:
 
 
 def _prune(root: Node) -> None:
-    """Drop what never is article text, and what is doubtful unless it wraps the article."""
+    """Drop what never is article text, and what is doubtful unless the text speaks against it.
+
+    A doubtful element stays if it wraps the article or is its header, or if it isn't mostly
+    links and: it is weakly marked, and lies in the article or the densest subtree, has the
+    title or a share of the text that isn't small; or it holds the subtree of largest density
+    sum and most of the page's text (then others with its marks stay too).
+    """
     nodes = _order(root)
     for n in reversed(nodes):
         n.kids = [x for x in n.kids if isinstance(x, str) or x.tag not in NEVER]
-        n.chars = sum([len(x) if isinstance(x, str) else x.chars for x in n.kids])
+    if not any([n.doubtful for n in nodes]):
+        return
+    nodes = _measure(root)
+    for n in reversed(nodes):
         below = [x for x in n.kids if isinstance(x, Node)]
         n.core = n.tag in ("article", "main") or any([x.core for x in below])
-        n.titled = n.tag == "h1" or any([x.titled for x in below])
+        n.titled = (n.tag == "h1") + sum([x.titled for x in below])
+    densest = _best(root)
+    for n in nodes:
+        # 2: inside an article, 1: inside the densest subtree.
+        n.inside = 2 if n.tag in ("article", "main") else max(n.parent.inside if n.parent else 0, n is densest)
+    small, shares = SMALL * root.chars, {}
+    for n in nodes:  # a text counts for the nearest marks around it
+        n.marks = n.doubtful or (n.parent.marks if n.parent else n.doubtful)
+        shares[n.marks] = shares.get(n.marks, 0) + n.own
+
+    def stays(x: Node) -> bool:
+        around = x.parent.inside
+        if not x.doubtful or x.core:
+            return True
+        if x.tag == "header":  # an article's own header holds its title, as the one with the page's only titles does
+            return around == 2 or 0 < x.titled == root.titled and 2 * x.link_chars <= x.chars
+        if x.tag == "form" and x.titled:  # a page in a form
+            return True
+        if 2 * x.link_chars > x.chars or not x.doubtful <= WEAK:
+            return False
+        return around > 0 or x.titled > 0 or x.chars >= small or shares[x.doubtful] >= small
+
+    left, stack = 0, [root]
+    while stack:
+        n = stack.pop()
+        left += n.own
+        stack += [x for x in n.kids if isinstance(x, Node) and stays(x)]
+    refuted, n, out = set(), densest, None
+    while n.parent is not None:
+        if not stays(n):
+            out = n
+            refuted.add(n.doubtful)
+        n = n.parent
+    if out is None or 2 * densest.link_chars > densest.chars or out.chars <= MOST * left:
+        refuted.clear()
     for n in nodes:
-        article = n
-        while article is not None and article.tag not in ("article", "main"):
-            article = article.parent
-        # An article's own header holds its title; a form around a titled text is a page in a form.
-        n.kids = [x for x in n.kids if isinstance(x, str) or not x.doubtful or x.core
-                  or (x.tag == "header" and article is not None) or (x.tag == "form" and x.titled)]
+        n.kids = [x for x in n.kids if isinstance(x, str) or stays(x)
+                  or (x.doubtful in refuted and 2 * x.link_chars <= x.chars and (x.chars >= small or x.tag not in USUALLY_NOT))]
 
 
 def _measure(root: Node) -> list[Node]:
     nodes = _order(root)
     for n in reversed(nodes):
-        n.own = sum([len(" ".join(html.unescape(x).split())) for x in n.kids if isinstance(x, str)])
+        if n.own < 0:  # the texts stay when nodes are dropped
+            n.own = sum([len(" ".join(html.unescape(x).split())) for x in n.kids if isinstance(x, str)])
         sub = [x for x in n.kids if isinstance(x, Node)]
         n.chars = n.own + sum([x.chars for x in sub])
         n.tags = sum([x.tags + 1 for x in sub])

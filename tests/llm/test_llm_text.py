@@ -213,6 +213,35 @@ def test_main_text(page, text):
     assert mainhtml.main_text(page) == text
 
 
+LONG = "A long paragraph of the text itself, with words, commas and more words than anything else on this page has."
+LINKS = "<ul><li><a href=a>First link</a><li><a href=b>Second link</a></ul>"
+# Marked elements that hold the text, and marked ones that don't.
+MARKED_PAGES = [
+    (f"<nav>{LINKS}</nav><div class='elementor-widget-container'><p>{LONG}</p><p>{LONG}</p></div><footer>me</footer>", [LONG, LONG]),
+    (f"<div class='elementor-widget'><h1>Title</h1></div><div class='elementor-widget'><p>{LONG}</p></div><div class='elementor-widget'><p>{LONG}</p></div>",
+     ["Title", LONG, LONG]),
+    (f"<form id='form1'><div class='menu'>{LINKS}</div><div><h2>Head</h2><p>{LONG}</p><p>{LONG}</p></div></form>", ["Head", LONG, LONG]),
+    (f"<article><h1>T</h1><p>{LONG}</p><h2 id='discussion'>Discussion</h2><p>{LONG}</p></article>", ["T", LONG, "Discussion", LONG]),
+    (f"<article><h1>T</h1><p>{LONG}</p><section id='search'><p>{LONG}</p></section></article>", ["T", LONG, LONG]),
+    (f"<article><h1>T</h1><p>{LONG}</p><div class='alert'>Mind it.</div><p>{LONG}</p></article>", ["T", LONG, "Mind it.", LONG]),
+    (f"<article><h1>T</h1><p>{LONG}</p><section class='related-work'><h2>Related work</h2><p>{LONG}</p></section></article>",
+     ["T", LONG, "Related work", LONG]),
+    (f"<header><h1>Title</h1></header><div><p>{LONG}</p><p>{LONG}</p></div>", ["Title", LONG, LONG]),
+    (f"<div class='sponsored'><p>{LONG}</p><p>{LONG}</p></div><div>x</div>", [LONG, LONG, "x"]),
+    ("".join(f"<div class='elementor-widget'><div class='elementor-widget-container'><p>{k} {LONG}</p></div></div>" for k in range(30)),
+     [f"{k} {LONG}" for k in range(30)]),
+    ("".join(f"<div class='promo'><p>{k} {LONG}</p></div>" for k in range(30)), [f"{k} {LONG}" for k in range(30)]),
+    (f"<header><h1>Site</h1></header><article><h1>T</h1><p>{LONG}</p></article><div class='ad'>Buy it now, and more of it.</div>", ["T", LONG]),
+    (f"<article><h1>T</h1><p>{LONG}</p><div class='related'>{LINKS}</div><div class='ad'>Buy it now.</div></article>", ["T", LONG]),
+    (f"<div><h1>T</h1><p>{LONG}</p><p>{LONG}</p></div><div class='widget'>Weather: rain.</div><div class='alert'>We use cookies.</div>", ["T", LONG, LONG]),
+]
+
+
+@pytest.mark.parametrize("page,text", MARKED_PAGES)
+def test_marks_are_only_evidence(page, text):
+    assert mainhtml.main_text(page) == "\n\n".join(text)
+
+
 def test_density_by_hand():
     root = mainhtml.parse("<div><p>abcdefghij</p><a>xy</a></div>")
     mainhtml._prune(root)
