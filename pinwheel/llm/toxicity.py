@@ -35,9 +35,10 @@ SAMPLE_PER_LABEL = 1_500
 WINDOW, STRIDE = 32, 16
 GRAMS = (3, 4, 5, 6)
 BUCKETS = 1 << 18
-WORD_DIM = CHAR_DIM = 3
+WORD_DIM = CHAR_DIM = 4
 HIDDEN = 8
 EPOCHS = 10
+SEED = 11
 # Pseudo-texts that pull a bucket's log-odds to zero.
 PRIOR = 5.0
 THRESHOLD = 0.3
@@ -100,7 +101,7 @@ def word_vectors(m: Model, w: Words) -> np.ndarray:
     ends = np.cumsum(w.counts)
     for k in range(0, len(w.word), WORDS_AT_ONCE):
         n, base = w.counts[k:k + WORDS_AT_ONCE], ends[k] - w.counts[k]
-        grams, first = m.char[w.grams[base:ends[k + len(n) - 1]]].astype(np.float32, copy=False), ends[k:k + len(n)] - n - base
+        grams, first = m.char[w.grams[base:ends[k + len(n) - 1]]], ends[k:k + len(n)] - n - base
         out[k:k + len(n), WORD_DIM:WORD_DIM + CHAR_DIM] = np.add.reduceat(grams, first, axis=0) / n[:, None]
         out[k:k + len(n), WORD_DIM + CHAR_DIM:] = np.maximum.reduceat(grams, first, axis=0)
     return out
@@ -229,13 +230,15 @@ def _contexts(w: Words, owner: np.ndarray, fit: np.ndarray, toxic: np.ndarray) -
     return np.bincount(word, seen % 2, len(w.word)), np.bincount(word, 1 - seen % 2, len(w.word))
 
 
-def train(texts: list[str], labels: list[int], odds: float | None = None, seed: int = 11) -> Model:
-    """Fit on labelled texts; with fewer than two labels the model scores 0 everywhere.
+def _untrained(rng) -> Model:
+    return Model(rng.normal(0, 0.05, (BUCKETS, WORD_DIM)).astype(np.float32), rng.normal(0, 0.05, (BUCKETS, CHAR_DIM)).astype(np.float32))
 
-    ``odds`` of label 1 among all labelled rows correct the scores for a sample with others."""
+
+def train(texts: list[str], labels: list[int], seed: int = SEED) -> Model:
+    """Fit on labelled texts; with fewer than two labels the model scores 0 everywhere."""
     rng = np.random.default_rng(seed)
     small = lambda *shape: rng.normal(0, 0.3, shape).astype(np.float32)
-    m = Model(rng.normal(0, 0.05, (BUCKETS, WORD_DIM)).astype(np.float32), rng.normal(0, 0.05, (BUCKETS, CHAR_DIM)).astype(np.float32))
+    m = _untrained(rng)
     y_text = np.array(labels, np.float64)
     if len(set(labels)) < 2:
         return m
@@ -298,8 +301,6 @@ def train(texts: list[str], labels: list[int], odds: float | None = None, seed:
     ok = check & np.isfinite(top)
     if len(set(y_text[ok])) == 2:
         m.slope, m.shift = _logistic(top[ok], y_text[ok])
-        if odds:
-            m.shift += float(np.log(odds) - np.log(y_text.sum() / (1 - y_text).sum()))
     return m
 
 
@@ -349,9 +350,24 @@ def text_scores(m: Model, texts: list[str]) -> np.ndarray:
     return out
 
 
-def compact(m: Model) -> Model:
-    """The model with embeddings of half precision, as it is kept and sent to tasks (3 MB)."""
-    return Model(m.word.astype(np.float16), m.char.astype(np.float16), m.params, m.slope, m.shift, m.fitted)
+def packed(m: Model, seed: int = SEED) -> bytes:
+    """The model without the embeddings that training left as the seed made them; exact."""
+    start, rest = _untrained(np.random.default_rng(seed)), vars(m).copy()
+    for name in ("word", "char"):
+        table, drawn = rest[name], getattr(start, name)
+        rows = np.flatnonzero((table[:, 1:] != drawn[:, 1:]).any(1) | (table[:, 0] != 0)).astype(np.int32)
+        rest[name] = rows, table[rows]
+    return pickle.dumps(rest)
+
+
+def unpacked(data: bytes, seed: int = SEED) -> Model:
+    rest, start = pickle.loads(data), _untrained(np.random.default_rng(seed))
+    for name in ("word", "char"):
+        (rows, values), table = rest[name], getattr(start, name)
+        table[:, 0] = 0
+        table[rows] = values
+        rest[name] = table
+    return Model(**rest)
 
 
 def labelled(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
@@ -374,30 +390,28 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 label_col: str = "toxic") -> Model:
-    """Learn from the labelled texts that aren't held out.
+                 label_col: str = "toxic") -> bytes:
+    """Learn from the labelled texts that aren't held out; gives the packed model.
 
     One task trains on the bounded sample, sorted so that reruns agree, and sends the model
-    back; the driver holds neither texts nor training state.
+    back; the driver holds neither texts nor training state, and only passes the model on.
     """
     sample = training_sample(docs, labels, id_col, text_col, label_col).select("rank", "doc", "text", "label")
-    sizes = {r.label: r["count"] for r in labelled(labels, id_col, label_col).groupBy("label").count().collect()}
-    odds = sizes[1] / sizes[0] if len(sizes) == 2 else None
 
     def fit(batches):
         texts, marks = [], []
         for batch in batches:
             texts += column(batch, "text").to_pylist()
             marks += column(batch, "label").to_pylist()
-        yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(vars(compact(train(texts, marks, odds))))], pa.binary())})
+        yield pa.RecordBatch.from_pydict({"model": pa.array([packed(train(texts, marks))], pa.binary())})
 
     fitted = saved(sample.repartition(1).sortWithinPartitions("rank", "doc", "text").mapInArrow(fit, "model binary"))
-    found = [pickle.loads(r.model) for r in fitted.collect()]
-    return Model(**found[0]) if found else compact(train([], []))
+    found = fitted.collect()
+    return bytes(found[0].model) if found else packed(train([], []))
 
 
-def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "toxicity_score") -> DataFrame:
-    """All columns of ``docs`` and ``out_col``, the score (a column of that name is replaced).
+def score_toxicity(docs: DataFrame, model: bytes, text_col: str = "text", out_col: str = "toxicity_score") -> DataFrame:
+    """All columns of ``docs`` and ``out_col``, the score by a packed model (a column of that name is replaced).
 
     A null or empty text, or one without words, scores 0. Repeated rows are each scored. No shuffle.
     """
@@ -409,7 +423,7 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", out_co
     schema = ", ".join(f"c{i} {types[f'c{i}']}" for i in range(len(kept))) + ", score double"
 
     def start():
-        m = shared.value
+        m = unpacked(shared.value)
 
         def work(piece):
             return [piece.column(i) for i in range(len(kept))] + [text_scores(m, texts_of(piece))]

@@ -144,6 +144,20 @@ def test_gradients_agree_with_differences():
         assert by_word[k, k] == pytest.approx((loss(moved) - loss(back)) / (2 * step), abs=2e-3)
 
 
+def test_packed_model_is_exact():
+    """Four dimensions in single precision reach the tasks unchanged, without rows that nothing trained."""
+    assert toxicity.WORD_DIM >= 4 and toxicity.CHAR_DIM >= 4
+    texts = [f"word{k % 7} good text {'vile' if k % 3 == 0 else 'calm'} number{k}" for k in range(60)]
+    m = toxicity.train(texts, [int(k % 3 == 0) for k in range(60)])
+    data = toxicity.packed(m)
+    back = toxicity.unpacked(data)
+    assert m.fitted and back.word.dtype == back.char.dtype == np.float32 and len(data) < 1 << 20
+    assert np.array_equal(toxicity.text_scores(back, texts), toxicity.text_scores(m, texts)) and len(set(toxicity.text_scores(m, texts))) > 1
+    used = toxicity.read_words(texts + ["other words"])
+    assert np.array_equal(toxicity.word_vectors(back, used), toxicity.word_vectors(m, used))
+    assert not toxicity.unpacked(toxicity.packed(toxicity.train([], []))).fitted
+
+
 def test_windows_cover_all_words():
     for n in (0, 1, 31, 32, 33, 48, 49, 1000):
         start, length, text = toxicity.windows_of(np.array([5, n, 2]))
