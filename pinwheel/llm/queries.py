@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pinwheel.llm import bpe, chunks, langid, licenses, mainhtml, mixing, pii, quality, simhash, toxicity
+from pinwheel.llm import (bpe, chunks, collocations, langid, licenses, lmscore, mainhtml, mixing, pii, quality, repair, simhash,
+                          toxicity)
 from pinwheel.sources.tables import load
 
 
@@ -53,6 +54,18 @@ def q_licenses(spark, sf_dir):
     return licenses.license_scan(load(spark, sf_dir, "documents"))
 
 
+def q_repair(spark, sf_dir):
+    return repair.repair_report(repair.damage(load(spark, sf_dir, "conversations")))
+
+
+def q_collocations(spark, sf_dir):
+    return collocations.collocations(load(spark, sf_dir, "documents"))
+
+
+def q_lmscore(spark, sf_dir):
+    return lmscore.lm_scores(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": q_quality,
     "op2_mixing": q_mixing,
@@ -64,10 +77,15 @@ QUERIES = {
     "op8_simhash": q_simhash,
     "op9_licenses": q_licenses,
     "op10_langid": q_langid,
+    "op11_repair": q_repair,
+    "op12_collocations": q_collocations,
+    "op13_lmscore": q_lmscore,
 }
 
 ORACLES = {
     "op9_licenses": licenses.oracle_sql(),
     "op1_quality": quality.oracle_sql(),
     "op2_mixing": mixing.MIX_SQL,
+    "op11_repair": repair.oracle_sql(),
+    "op12_collocations": collocations.oracle_sql(),
 }
