@@ -10,7 +10,8 @@ Every source also has a weight schedule over training time 0 to 1, linear betwee
 Its integral, scaled to the target, is the source's cumulative token demand. The source's
 documents stand in a fixed random order (md5 of the id), pass after pass; the middle of a
 copy in that token sequence is sent through the inverse of the cumulative demand, which is
-its training position. A last range sort by position gives the curriculum.
+its training position. Copies beyond the whole demand have none and aren't taken. A last
+range sort by position gives the curriculum.
 
 Cumulative sizes need no window over a whole source: sizes are summed per source and
 ``BUCKETS`` slices of the md5 range first, and rows are only ordered within a slice. A hot
@@ -19,6 +20,8 @@ source is thereby spread over that many groups.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -71,61 +74,69 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, limi
         .select("key", "source_size", "place", "target")
 
 
+# Rows per (source, slice) that are broadcast; more are joined by a shuffle.
+BROADCAST_STARTS = 100_000
+
+
 def allocate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
              keep: list[str] | None = None) -> DataFrame:
-    """Per row: the columns ``keep`` of ``docs`` as struct ``row``, ``size`` in words,
-    ``source_size``, ``target``, ``copies`` (0 to 2), ``taken`` = copies * size, ``place``,
-    ``digest``, and ``before`` (words of the source ahead of the row).
+    """Per row: the columns ``keep`` of ``docs`` (only the id if None) as struct ``row``, ``size`` in
+    words, ``source_size``, ``target``, ``positions`` (the training position of every copy that
+    the mix takes, ascending) and ``digest``.
+
+    A copy's place in its source's token sequence is its middle: ``before`` (words of the source
+    ahead of the row) plus half its size, plus the source's size for every pass before. The
+    place is sent through the inverse of the cumulative demand; a copy that lies beyond all the
+    demand has no position and isn't taken.
 
     Every row is a document of its own, repeated ones too. A null text has size 0; rows of
     size 0 take 0 words. Null sources form one source; rows with null id are ordered by text.
-    An empty table gives no rows.
+    A source without words has no demand. An empty table gives no rows.
     """
     text = F.col(text_col).cast("string")
     # "s" keeps a source's order and tells an empty name from null; "t" sorts after all of them.
     key = F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("t"))
     digest = F.md5(F.coalesce(F.col(id_col).cast("string"), text, F.lit("")).cast("binary"))
-    names = keep or [id_col]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(id_col).alias("doc"), key.alias("key"),
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or [id_col]]).alias("row"), F.col(id_col).alias("doc"), key.alias("key"),
                        digest.alias("digest"), F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size")) \
         .withColumn("slice", F.substring("digest", 1, 3))
+    if keep is None:
+        rows = saved(rows)  # narrow: the texts are read once
     slices = saved(rows.groupBy("key", "slice").agg(F.sum("size").alias("words")))
     targets = source_targets(slices.groupBy("key").agg(F.sum("words").alias("source_size")))
     ahead = W.partitionBy("key").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
-    starts = slices.withColumn("start", F.coalesce(F.sum("words").over(ahead), F.lit(0))).join(targets, "key").drop("words")
+    starts = saved(slices.withColumn("start", F.coalesce(F.sum("words").over(ahead), F.lit(0))).join(targets, "key").drop("words"))
     inside = W.partitionBy("key", "slice").orderBy("digest", "doc", "size").rowsBetween(W.unboundedPreceding, -1)
-    placed = rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(saved(starts), ["key", "slice"])
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
-    placed = placed.withColumn("before", F.col("start") + F.col("inside")).withColumn("passes", whole.cast("long"))
-    rest = F.col("target") - F.col("passes") * F.col("source_size")
-    more = (2 * F.col("before") + F.col("size") <= 2 * rest).cast("long")  # its middle lies within the rest
-    copies = F.least(F.col("passes") + more, F.lit(LIMIT).cast("long"))
-    return placed.withColumn("copies", copies).select("row", "size", "source_size", "target", "copies",
-                                                      (F.col("copies") * F.col("size")).alias("taken"), "place", "digest", "before")
+    # The size of a checkpointed table is unknown to Spark, which would then broadcast the documents.
+    starts = F.broadcast(starts) if starts.count() <= BROADCAST_STARTS else starts.hint("merge")
+    placed = rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(starts, ["key", "slice"]) \
+        .withColumn("before", F.col("start") + F.col("inside"))
+    passes = [F.expr(copy_position_sql(k)) for k in range(math.ceil(LIMIT))]
+    return placed.select("row", "size", "source_size", "target", F.filter(F.array(*passes), lambda p: p.isNotNull()).alias("positions"), "digest")
 
 
-def spent(pass_number) -> F.Column:
-    """Share of its source's demand that is spent at the middle of a copy."""
-    middle = pass_number * F.col("source_size") + F.col("before") + F.col("size") / 2
-    return F.when(F.col("target") > 0, F.least(middle / F.col("target"), F.lit(1.0))).otherwise(F.lit(0.0))
+def copy_position_sql(k: int) -> str:
+    """SQL for the training position of a row's copy in pass ``k`` (from 0); null if not taken."""
+    middle = f"(before + {k} * source_size + size / CAST(2 AS DOUBLE))"
+    return f"CASE WHEN target > 0 AND {middle} <= target THEN {position_sql(f'({middle} / target)', 'place')} END"
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken, copies, first_position (null if not taken)."""
-    out = allocate(docs.select("doc_id", "text", "source")).withColumn("spent", spent(F.lit(0)))
-    first = F.when(F.col("copies") > 0, F.expr(position_sql("spent", "place")))
-    return out.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken", "copies",
-                      first.alias("first_position"))
+    """doc_id, size, source_size, target, taken (copies * size), copies, first_position and
+    second_position (null if not taken), range-sorted by first_position (nulls last)."""
+    out = allocate(docs.select("doc_id", "text", "source")).withColumn("copies", F.size("positions").cast("long"))
+    return out.orderBy(F.expr("get(positions, 0)").asc_nulls_last(), "digest").select(
+        F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies",
+        F.expr("get(positions, 0)").alias("first_position"), F.expr("get(positions, 1)").alias("second_position"))
 
 
 def training_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mix itself: every taken copy of a row of ``docs``, range-sorted by training position
-    (ties by md5 of the id). Columns unchanged."""
+    """The mix itself: every taken copy of a row of ``docs`` that has words, range-sorted by
+    training position (ties by md5 of the id). Columns unchanged."""
     names = docs.columns
-    rows = allocate(docs, id_col, text_col, source_col, keep=names).where(F.col("taken") > 0) \
-        .withColumn("pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
-    placed = rows.withColumn("spent", spent(F.col("pass"))).withColumn("position", F.expr(position_sql("spent", "place")))
-    return placed.orderBy("position", "digest").select(*[F.col(f"row.`{c}`").alias(c) for c in names])
+    copies = allocate(docs, id_col, text_col, source_col, keep=names).where(F.col("size") > 0) \
+        .select("row", "digest", F.explode("positions").alias("position"))
+    return copies.orderBy("position", "digest").select(*[F.col(f"row.`{c}`").alias(c) for c in names])
 
 
 MIX_SQL = f"""
@@ -148,14 +159,10 @@ l AS (
 t AS (SELECT source, source_size, place, least(most, max(lev) OVER () * weight) AS target FROM l),
 o AS (
   SELECT d.*, t.source_size, t.place, t.target,
-         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY digest, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
-         CASE WHEN t.source_size > 0 THEN CAST(floor(t.target / t.source_size) AS BIGINT) ELSE 0 END AS passes
+         CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY digest, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-k AS (
-  SELECT *, least(passes + CASE WHEN 2 * before + size <= 2 * (target - passes * source_size) THEN 1 ELSE 0 END, {LIMIT}) AS copies,
-         CASE WHEN target > 0 THEN least((before + size / 2) / target, 1.0) ELSE 0.0 END AS spent
-  FROM o)
-SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken, CAST(copies AS BIGINT) AS copies,
-       CASE WHEN copies > 0 THEN {position_sql('CAST(spent AS DOUBLE)', 'place')} END AS first_position
-FROM k
+k AS (SELECT *, {copy_position_sql(0)} AS first_position, {copy_position_sql(1)} AS second_position FROM o),
+n AS (SELECT *, CAST(first_position IS NOT NULL AS BIGINT) + CAST(second_position IS NOT NULL AS BIGINT) AS copies FROM k)
+SELECT doc_id, size, source_size, target, copies * size AS taken, copies, first_position, second_position
+FROM n
 """
