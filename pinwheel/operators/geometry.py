@@ -5,9 +5,9 @@ lowest), ``coords array<double>`` and optionally ``w bigint`` (weight, default 1
 
 Scale notes
 - A small center set is inlined as literals, so distance-to-centers is a plain projection
-  compiled by whole-stage codegen: no join and no shuffle. A larger one of any size is cut
-  into blocks of bounded size; each block is one broadcast row, and every point folds the
-  blocks one after the other into its nearest center so far, again without a shuffle.
+  compiled by whole-stage codegen: no join and no shuffle. One of bounded size is a single
+  broadcast row that every point folds. Beyond that bound both sides are dealt out by space
+  (``neighbours.nearest_by_cells``), and no center passes the driver.
 - Balls (all y within r of x) are a theta join. It runs as an equi-join on grid cells of side
   >= r plus the exact distance test, never as a cross join. Ball weights go further where
   cells are crowded: weights are summed per fine cell, and cell pairs that certainly lie
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pinwheel.functions.distance import euclidean, euclidean_sql
+from pinwheel.operators.neighbours import LEAF, nearest_by_cells
 from pinwheel.session import checkpoint_dir
 
 # Grid dimensions used for the ball join; further dimensions only enter the exact test.
@@ -99,31 +100,29 @@ def nearest_literal(dists: Column, centers: list[tuple]) -> tuple[Column, Column
 
 # Center sets up to this many coordinates are inlined as literals (compiled code).
 LITERAL_CENTER_VALUES = 1024
-# Larger ones are folded in blocks of about this many coordinates, one broadcast row each.
+# Up to this many they are one broadcast row; beyond it both sides are joined by space.
 BLOCK_VALUES = 200_000
-# Blocks that one plan folds before its rows are written to the shared checkpoint folder.
-BLOCKS_PER_PLAN = 8
 
 
 def _with_nearest(points: DataFrame, centers: DataFrame, d: int, literal_values: int = LITERAL_CENTER_VALUES,
-                  block_values: int = BLOCK_VALUES) -> DataFrame:
+                  block_values: int = BLOCK_VALUES, leaf: int = LEAF) -> DataFrame:
     """Add ``dist`` and ``center_id`` of the nearest center (ties: lowest center ord); null
     without centers. ``centers`` has coords and id or ord or both."""
     names = centers.columns
     key = "ord" if "ord" in names else "id"
     cs = centers.select(F.col(key).cast("long").alias("o"), F.col("id" if "id" in names else key).cast("long").alias("i"),
                         F.col("coords").alias("c"))
-    size = cs.agg(F.coalesce(F.sum(F.size("c")), F.lit(0)).alias("values"), F.count(F.lit(1)).alias("n")).collect()[0]
-    if not size["n"]:
+    n = cs.count()
+    values = n * max(d, 1)
+    if not n:
         return points.withColumn("dist", F.lit(None).cast("double")).withColumn("center_id", F.lit(None).cast("long"))
-    if size["values"] <= literal_values:
+    if values <= literal_values:
         rows = [(r["i"], r["o"], [float(v) for v in r["c"]]) for r in cs.orderBy("o", "i").collect()]
         with_d = points.withColumn("_dists", literal_distances("coords", rows, d))
         best, choice = nearest_literal(F.col("_dists"), rows)
         return with_d.withColumn("dist", best).withColumn("center_id", choice).drop("_dists")
-    blocks = -(-size["values"] // block_values)
-    checkpoint_dir(points.sparkSession)
-    cs = cs.withColumn("b", F.pmod(F.xxhash64("o", "i"), F.lit(blocks))).checkpoint() if blocks > 1 else cs.withColumn("b", F.lit(0))
+    if values > block_values:
+        return points.join(nearest_by_cells(points, cs, d, leaf), "id", "left")
     unset = F.struct(F.lit(float("inf")).alias("d"), F.lit(2 ** 63 - 1).alias("o"), F.lit(None).cast("long").alias("i"))
 
     def closer(acc, c):
@@ -131,14 +130,10 @@ def _with_nearest(points: DataFrame, centers: DataFrame, d: int, literal_values:
         return F.when((dist < acc["d"]) | ((dist == acc["d"]) & (c["o"] < acc["o"])),
                       F.struct(dist.alias("d"), c["o"].alias("o"), c["i"].alias("i"))).otherwise(acc)
 
-    state = points.select(F.struct(*points.columns).alias("_p"), "coords", unset.alias("_best"), F.lit(0).alias("_k"))
-    for b in range(blocks):
-        block = cs.where(F.col("b") == b).agg(F.collect_list(F.struct("o", "i", "c")).alias("_cs")).withColumn("_k", F.lit(0))
-        state = state.join(F.broadcast(block), "_k").select(
-            "_p", "coords", F.aggregate("_cs", F.col("_best"), closer).alias("_best"), "_k")
-        if (b + 1) % BLOCKS_PER_PLAN == 0 and b + 1 < blocks:
-            state = state.checkpoint()
-    return state.select("_p.*", F.col("_best.d").alias("dist"), F.col("_best.i").alias("center_id"))
+    block = cs.agg(F.collect_list(F.struct("o", "i", "c")).alias("_cs")).withColumn("_k", F.lit(0))
+    near = points.withColumn("_k", F.lit(0)).join(F.broadcast(block), "_k").select(
+        F.struct(*points.columns).alias("_p"), F.aggregate("_cs", unset, closer).alias("_best"))
+    return near.select("_p.*", F.col("_best.d").alias("dist"), F.col("_best.i").alias("center_id"))
 
 
 def dist_to_centers(points: DataFrame, centers: DataFrame, d: int | None = None, **limits) -> DataFrame:

@@ -99,9 +99,10 @@ def test_initial_guess_first_points(spark):
     assert geometry.initial_guess(pts, 4, 1).collect()[0]["r0"] == 0.25
 
 
-@pytest.mark.parametrize("limits", [{}, {"literal_values": 0}, {"literal_values": 0, "block_values": 9}])
+@pytest.mark.parametrize("limits", [{}, {"literal_values": 0}, {"literal_values": 0, "block_values": 9},
+                                    {"literal_values": 0, "block_values": 9, "leaf": 1}])
 def test_center_sets_of_any_size(spark, limits):
-    """Literals, one broadcast row, and many blocks (checkpointed on the way): same answers."""
+    """Literals, one broadcast row, and the join by space: same answers."""
     rng = np.random.default_rng(5)
     pts = rng.integers(0, 20, (200, 2)).astype(float)
     cs = rng.integers(0, 20, (60, 2)).astype(float)
@@ -117,6 +118,30 @@ def test_center_sets_of_any_size(spark, limits):
     assert len(none) == 200 and all(r["dist"] is None and r["center_id"] is None for r in none)
 
 
+@pytest.mark.parametrize("leaf", [1, 4, 1000])
+def test_join_by_space_equals_all_pairs(spark, leaf):
+    rng = np.random.default_rng(31)
+    for d in (1, 3, 10):
+        cs = np.vstack([rng.normal(0, 0.01, (150, d)), rng.integers(-4, 5, (150, d)), rng.uniform(-1e3, 1e3, (20, d))]).astype(float)
+        cs[:, 1:2] = 7.0  # a dimension in which nothing varies
+        pts = np.vstack([cs[::9], rng.integers(-4, 5, (60, d)), rng.normal(0, 0.01, (60, d)), rng.uniform(-1e5, 1e5, (10, d))]).astype(float)
+        df, cdf = points_df(spark, pts), points_df(spark, cs, ids=list(range(1000, 1000 + len(cs))))
+        rows = geometry.nearest_center(df, cdf, literal_values=0, block_values=0, leaf=leaf).orderBy("id").collect()
+        arg, best = bf.nearest(pts, list(cs))
+        assert np.array_equal(np.array([r["dist"] for r in rows]), best), d
+        assert [r["center_id"] for r in rows] == [1000 + int(a) for a in arg], d
+    one = geometry.nearest_center(df, cdf.limit(1), literal_values=0, block_values=0, leaf=leaf).collect()
+    assert len(one) == len(pts) and all(r["center_id"] is not None for r in one)
+
+
+def test_join_by_space_needs_no_driver(spark):
+    """No center is broadcast or gathered: neither collect_list nor a broadcast of more than one row."""
+    pts = tables.points_customer(spark, SF_CHECK)
+    df = geometry.nearest_center(pts, tables.points_orders(spark, SF_CHECK), literal_values=0, block_values=0)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and plan.count("ResolvedHint") == 0 and plan.count("rightHint=(strategy=broadcast)") <= 1
+
+
 @pytest.mark.parametrize("bad", [[None, [1.0, 2.0]], [[1.0, None], [1.0, 2.0]]])
 def test_null_coordinates_are_refused(spark, bad):
     df = spark.createDataFrame([(i, i, c) for i, c in enumerate(bad)], "id long, ord long, coords array<double>")
