@@ -17,7 +17,8 @@ The counts come from the suffix tree of all pieces, with words as symbols, cut o
 3. Every slice of text sends each group its suffixes, equal ones added up, so a passage that
    is repeated everywhere costs one row per slice. A group is one task: it sorts its suffixes
    into the leaves of its subtree, and every inner node's count is the total of its leaves.
-   Nodes above a group's prefix are partial and are added up by Spark.
+   Nodes above a group's prefix are partial and are added up by Spark. The ``CODED`` most
+   frequent words travel as numbers, others as they are.
 
 Scores, cuts and dropped candidates are joins over the candidates. Only hash slots' loads
 (at most ``SLOTS`` rows a level) pass through the driver.
@@ -42,6 +43,8 @@ SLOT_BITS = 18
 SLOTS = 1 << SLOT_BITS
 BUDGET = 1 << 21
 TEXT_BYTES = 8 << 20
+#: The most frequent words (of at most CODED_BYTES bytes) travel as numbers.
+CODED, CODED_BYTES = 65_000, 64
 ABSENT, LONGER = -1, -2
 #: A-Z lowered, what ends a piece is a line feed, a tab is a blank.
 _BYTES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
@@ -215,33 +218,52 @@ def _unpack(data: bytes, n: int, kind) -> np.ndarray:
     return np.frombuffer(pa.decompress(data, decompressed_size=n * np.dtype(kind).itemsize, codec="zstd", asbytes=True), kind)
 
 
-def _dealt(texts: DataFrame, tables: list[np.ndarray], depth: int) -> DataFrame:
-    """One row per slice and group: ``grp``, ``lang``, the words used and the suffixes by column."""
-    schema = pa.schema([("grp", pa.int32()), ("lang", pa.string()), ("words", pa.binary()), ("n_words", pa.int64()), ("word_bytes", pa.int64()),
-                        ("n_rows", pa.int64()), ("cols", pa.binary()), ("counts", pa.binary())])
+def code_book(frequent: DataFrame) -> dict[str, list[bytes]]:
+    """The ``CODED`` most frequent words, by language, in a fixed order."""
+    top = frequent.where(F.octet_length("word") <= CODED_BYTES).orderBy(F.desc("f"), "lang", "word").limit(CODED).select("lang", "word").toArrow()
+    book: dict[str, list[bytes]] = {}
+    for lang, word in zip(top["lang"].to_pylist(), top["word"].to_pylist()):
+        book.setdefault(lang, []).append(word.encode("utf-8", "surrogatepass"))
+    return book
+
+
+def _dealt(texts: DataFrame, tables: list[np.ndarray], depth: int, book: dict[str, list[bytes]]) -> DataFrame:
+    """One row per slice and group: ``grp``, ``lang``, and the suffixes by column. A word is its
+    place in the language's code book, from 1, or counts on from there in ``words``; 0 is none."""
+    schema = pa.schema([("grp", pa.int32()), ("lang", pa.string()), ("words", pa.binary()), ("word_bytes", pa.int64()),
+                        ("n_rows", pa.int64()), ("width", pa.int32()), ("cols", pa.binary()), ("counts", pa.binary())])
 
     def run(batches):
+        codes = {lang: {w: k for k, w in enumerate(words, 1)} for lang, words in book.items()}
         for lang, found in _lists(batches):
             part = _Slice(lang, found, tables, depth)
             if not len(part.cols[0]):
                 continue
             cols, count = part.distinct()
             group, _ = part.groups(tables, cols)
+            mine = codes.get(lang, {})
+            top = len(mine)
+            code = np.fromiter((mine.get(w, 0) for w in part.words), np.int64, len(part.words))
+            code[code == 0] = top + 1 + np.arange(int((code == 0).sum()))  # of the slice; closed up below
+            code = np.concatenate(([0], code))
+            plain = np.array([k for k, w in enumerate(part.words) if w not in mine], np.int64)
             order = np.argsort(group, kind="stable")
             group, out = group[order], []
             starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
             for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(group)]):
-                block = np.stack([c[order[a:b]] for c in cols])
-                used, local = np.unique(block, return_inverse=True)
-                words = b"\n".join([part.words[k - 1] if k else b"" for k in used.tolist()])
-                out.append((int(group[a]), lang, pa.compress(words, codec="zstd", asbytes=True), len(used), len(words), b - a,
-                            _pack(local.astype(np.uint32 if len(used) > 65535 else np.uint16)), _pack(count[order[a:b]].astype(np.uint32))))
+                block = np.stack([code[c[order[a:b]]] for c in cols])
+                others = np.unique(block[block > top])
+                block[block > top] = top + 1 + np.searchsorted(others, block[block > top])
+                words = b"\n".join([part.words[k] for k in plain[others - top - 1].tolist()])
+                kind = np.uint16 if top + len(others) < 1 << 16 else np.uint32
+                out.append((int(group[a]), lang, pa.compress(words, codec="zstd", asbytes=True), len(words), b - a, np.dtype(kind).itemsize,
+                            _pack(block.astype(kind)), _pack(count[order[a:b]].astype(np.uint32))))
             yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
-    return texts.mapInArrow(run, "grp int, lang string, words binary, n_words long, word_bytes long, n_rows long, cols binary, counts binary")
+    return texts.mapInArrow(run, "grp int, lang string, words binary, word_bytes long, n_rows long, width int, cols binary, counts binary")
 
 
-def _nodes(rows: list[tuple], depth: int, least: int, whole_from: int):
+def _nodes(rows: list[tuple], depth: int, least: int, whole_from: int, book: dict[str, list[bytes]]):
     """(language, phrase, count) of the subtree's nodes of two words and more.
 
     ``rows``: (lang, words, cols, counts) of one group. Nodes with fewer than ``whole_from``
@@ -249,9 +271,12 @@ def _nodes(rows: list[tuple], depth: int, least: int, whole_from: int):
     """
     langs: dict[str, int] = {}
     number: dict[bytes, int] = {b"": 0}
+    coded: dict[str, np.ndarray] = {}
     cols, counts, which = [], [], []
     for lang, words, block, count in rows:
-        ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
+        if lang not in coded:
+            coded[lang] = np.fromiter((number.setdefault(w, len(number)) for w in [b"", *book.get(lang, [])]), np.int64)
+        ids = np.concatenate((coded[lang], np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))))
         cols.append(ids[block])
         counts.append(count.astype(np.int64))
         which.append(np.full(len(count), langs.setdefault(lang, len(langs)), np.int64))
@@ -283,22 +308,22 @@ def phrase_counts(texts: DataFrame, words: DataFrame, depth: int = DEPTH, least:
     tables, firsts = vertical_partition(texts, words.where(F.col("f") >= least), depth, budget)
     if not firsts[-1]:
         return texts.sparkSession.createDataFrame([], schema)
+    book = code_book(words.where(F.col("f") >= least))
 
     def subtree(batches):
         rows, group = [], None
         for batch in batches:
-            for grp, lang, packed_words, n_words, size, n, cols, counts in zip(*(batch.column(k).to_pylist() for k in range(8))):
+            for grp, lang, packed_words, size, n, width, cols, counts in zip(*(batch.column(k).to_pylist() for k in range(8))):
                 group = grp
-                found = pa.decompress(packed_words, decompressed_size=size, codec="zstd", asbytes=True).split(b"\n")
-                kind = np.uint32 if n_words > 65535 else np.uint16
-                rows.append((lang, found, _unpack(cols, depth * n, kind).reshape(depth, n), _unpack(counts, n, np.uint32)))
+                found = pa.decompress(packed_words, decompressed_size=size, codec="zstd", asbytes=True).split(b"\n") if size else []
+                rows.append((lang, found, _unpack(cols, depth * n, np.uint16 if width == 2 else np.uint32).reshape(depth, n), _unpack(counts, n, np.uint32)))
         if rows:
             length = sum(group >= f for f in firsts[1:]) + 1
-            out = list(_nodes(rows, depth, least, length))
+            out = list(_nodes(rows, depth, least, length, book))
             for k in range(0, len(out), 10_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*out[k:k + 10_000]), arrow)], schema=arrow)
 
-    dealt = _dealt(texts, tables, depth).repartitionById(firsts[-1], F.col("grp"))
+    dealt = _dealt(texts, tables, depth, book).repartitionById(firsts[-1], F.col("grp"))
     return dealt.mapInArrow(subtree, schema).groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
 
 
@@ -334,10 +359,10 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     kept = lowest.join(inside, ["lang", "phrase"], "left") \
         .where(F.col("longer").isNull() | (100 * F.col("longer") < share_percent * F.col("a")))
     order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.select("lang", "phrase", "a", "c.l", "c.r", "n", "c.score").withColumn("rank", F.row_number().over(order).cast("long"))
+    ranked = kept.select("lang", "phrase", "a", "c.l", "c.r", "n", "c.score").withColumn("rank", F.row_number().over(order))
     if top is not None:
-        ranked = ranked.where(F.col("rank") <= top)
-    return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+        ranked = ranked.where(F.col("rank") <= top)  # every task keeps its own best before the shuffle
+    return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
 def oracle_sql(depth: int = DEPTH, least: int = LEAST, top: int = TOP, share_percent: int = SHARE_PERCENT) -> str:

@@ -226,8 +226,9 @@ def invented(rng, n):
     return out + [(None, "en"), ("", "fr"), (" \t\n", None), ("a b a b " * 3000, "long"), ("the a b. " * 50, "en")]
 
 
-@pytest.mark.parametrize("budget", [1 << 21, 200, 3])
-def test_collocations_equal_brute_force(spark, budget):
+@pytest.mark.parametrize("budget,coded", [(1 << 21, co.CODED), (200, 4), (3, 1)])
+def test_collocations_equal_brute_force(spark, budget, coded, monkeypatch):
+    monkeypatch.setattr(co, "CODED", coded)
     rows = invented(random.Random(11), 150)
     rows += rows[:40]
     df = spark.createDataFrame(rows, "text string, lang string").withColumn("f", F.lit(1)).withColumn("phrase", F.lit("x")).withColumn("slot", F.lit(0))
