@@ -318,6 +318,20 @@ def ball_weight_sums(left: DataFrame, right: DataFrame, d: int, keys: list[str],
         F.sum("bw").cast("long").alias("ball_weight"), F.any_value("coords").alias("coords"))
 
 
+# Right sides of at most this many rows per key are broadcast as one row per key.
+SMALL_BALLS = 1000
+
+
+def small_ball_weights(left: DataFrame, right: DataFrame, d: int, keys: list[str]) -> DataFrame:
+    """``left`` with ``ball_weight`` (0 for an empty ball), as ``ball_weight_sums``, for a ``right``
+    of at most ``SMALL_BALLS`` rows per key: no row of ``left`` is shuffled."""
+    ys = right.groupBy(*keys).agg(F.collect_list(F.struct(F.col("coords").alias("c"), "w")).alias("_ys"))
+    inside = F.aggregate(
+        F.coalesce("_ys", F.expr("CAST(array() AS array<struct<c:array<double>,w:bigint>>)")), F.lit(0).cast("long"),
+        lambda acc, y: acc + F.when(euclidean(F.col("coords"), y["c"], d) <= F.col("radius"), y["w"]).otherwise(F.lit(0)))
+    return left.join(F.broadcast(ys), keys, "left").withColumn("ball_weight", inside).drop("_ys")
+
+
 # A coarse cell with more points than this is hot: its ball weights are aggregated per fine
 # cell instead of pairing its points one by one.
 HOT_CELL = 500

@@ -11,12 +11,13 @@ Execution
   unfinished guesses in one job, and the answer is the lowest successful g. That turns
   (guesses x k) dependent jobs into about k per batch. Once a guess has succeeded, the larger
   ones of its batch are dropped: they cost most and no answer needs them.
-- The state between steps is only the chosen centers (at most k per guess). Guesses, radii,
-  grid sizes and chosen centers travel in one small broadcast table (at most ``MAX_BATCH``
-  rows), not in the plan, so all steps have the same plan text and reuse its compiled code;
-  every plan reads the cached input, so lineage does not grow.
-- The ball weights are the grid equi-join of ``geometry.ball_weight_sums`` over
-  identical-point-merged data, with per-guess cells; crowded cells are summed first.
+- The state between steps is (guess, point, activity, ball weight), checkpointed. A step takes the weight of the points that new centers removed off the
+  balls around them, and leaves all other weights alone. Guesses, radii, grid sizes and new
+  centers travel in one small broadcast table (at most ``MAX_BATCH`` rows), not in the plan, so
+  all steps have the same plan text and reuse its compiled code.
+- Ball weights are the grid equi-join of ``geometry.ball_weight_sums`` over
+  identical-point-merged data, with per-guess cells; crowded cells are summed first. Inputs of
+  at most ``SMALL_BALLS`` points (a coreset) are one broadcast row instead.
 - One pass can yield several centers: it returns the heaviest ball per (guess, grid cell),
   and after each chosen center a cell is known to be emptied, unchanged or only bounded.
 """
@@ -33,8 +34,9 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from pinwheel.functions.distance import euclidean
-from pinwheel.operators.geometry import (HOT_CELL, PointStats, ball_weight_sums, cell_side, fine_steps,
-                                         hottest_cells, initial_guess, merge_duplicates, validate_points, with_weight)
+from pinwheel.operators.geometry import (HOT_CELL, SMALL_BALLS, PointStats, ball_weight_sums, cell_side, fine_steps, hottest_cells,
+                                         initial_guess, merge_duplicates, small_ball_weights, validate_points, with_weight)
+from pinwheel.session import checkpoint_dir
 
 GUESS_BATCH = 2
 # Guesses per batch grow up to this when the input is small (point-guess rows per batch).
@@ -188,12 +190,70 @@ def _guess_schema(dims: int) -> str:
             + "".join(f", lo{i} double, top{i} long" for i in range(dims)))
 
 
+# Up to this many new centers are compared by compiled code, more by a lambda.
+UNROLLED = 4
+STATE = ["g", "id", "ord", "coords", "w", "act", "bw"]
+
+
+def _within(bound: Column, most: int, d: int) -> Column:
+    """Whether one of the new centers ``cs`` (at most ``most``) is within ``bound`` of a point."""
+    if most > UNROLLED:
+        return F.exists("cs", lambda c: euclidean(F.col("coords"), c, d) <= bound)
+    near = [F.coalesce(euclidean(F.col("coords"), F.get("cs", F.lit(j)), d) <= bound, F.lit(False)) for j in range(UNROLLED)]
+    return near[0] | near[1] | near[2] | near[3]
+
+
+class _BallState:
+    """Ball weight and activity of every point for every running guess, kept from step to step.
+
+    The first state counts whole balls. After new centers, the points within the outer radius
+    of one are deactivated, and only their weight is taken off the balls that held them: those
+    of points within inner + outer radius. All other weights stay as they are, so a step's
+    joins handle what it removed and its neighbourhood, not the table. Every state is written
+    to the checkpoint folder, so neither lineage nor plan grows and a lost executor costs one
+    step. For few points (``small``) every step counts afresh, in one job without a state.
+    """
+
+    def __init__(self, merged: DataFrame, n: int, d: int, aggregate: bool):
+        self.merged, self.small, self.d, self.aggregate = merged, n <= SMALL_BALLS, d, aggregate
+        self.state: DataFrame | None = None
+
+    def advance(self, guess: DataFrame, most: int, balls: bool) -> DataFrame:
+        """The state after the centers ``cs`` of ``guess`` (at most ``most`` per guess; all centers
+        if ``small``, else the new ones); without ``balls`` only the activity is brought up to date."""
+        g, cols = ["g"], ["g", "radius", "side", "id", "ord", "coords", "w"]
+        if self.small:
+            xs = self.merged.join(guess, "_k").withColumn("act", ~_within(F.col("outer"), most, self.d))
+            ys = xs.where(F.col("act") & F.col("open")) if balls else xs.limit(0)
+            return small_ball_weights(xs, ys, self.d, g).withColumnRenamed("ball_weight", "bw").select(*STATE)
+        old = self.state
+        if old is None:
+            xs = self.merged.join(guess, "_k").select(*cols)
+            new = ball_weight_sums(xs, xs, self.d, g, aggregate=self.aggregate).join(self.merged.select("id", "w"), "id") \
+                .select("g", "id", "ord", "coords", "w", F.lit(True).alias("act"), F.col("ball_weight").alias("bw"))
+        else:
+            # Guesses that are done have no row in ``guess`` and leave the state here.
+            upd = old.join(guess, "g").withColumn("gone", F.col("act") & _within(F.col("outer"), most, self.d))
+            if balls:
+                reach = (F.col("radius") + F.col("outer")) * F.lit(1 + _CERT_MARGIN)
+                near = upd.where(F.col("open") & (F.col("bw") > 0) & _within(reach, most, self.d))
+                lost = upd.where(F.col("gone") & F.col("open"))
+                less = ball_weight_sums(near.select(*cols), lost.select(*cols), self.d, g, aggregate=self.aggregate) \
+                    .select("g", "id", "ball_weight")
+                upd = upd.join(less, ["g", "id"], "left").withColumn("bw", F.col("bw") - F.coalesce("ball_weight", F.lit(0)))
+            new = upd.withColumn("act", F.col("act") & ~F.col("gone"))
+        checkpoint_dir(self.merged.sparkSession)
+        self.state = new.select(*STATE).checkpoint()
+        return self.state
+
+
 def greedy_batch(merged: DataFrame, stats: PointStats, guesses: list[tuple[int, float, float]],
-                 k: int, enough: int | None = None, hot_cell: int = HOT_CELL) -> CoverResult:
+                 k: int, enough: int | None = None, hot_cell: int = HOT_CELL, n: int | None = None) -> CoverResult:
     """Run the greedy cover for several (g, inner radius, outer radius) at once.
 
-    ``merged`` has id, ord, coords, w with identical points already merged. With ``enough``,
-    guesses above one that leaves at most that weight are dropped (they miss in ``left``).
+    ``merged`` has id, ord, coords, w with identical points already merged, ``n`` rows (if
+    known). With ``enough``, guesses above one that leaves at most that weight are dropped
+    (they miss in ``left``).
     """
     spark = merged.sparkSession
     d, fine = stats.d, fine_steps(stats.d)
@@ -203,43 +263,42 @@ def greedy_batch(merged: DataFrame, stats: PointStats, guesses: list[tuple[int,
     keys = _CERT_KEYS[:dims]
     rows = merged.withColumn("_k", F.lit(0))
     chosen: dict[int, list[tuple]] = {g: [] for g in spec}
+    seen = dict.fromkeys(spec, 0)  # centers that the kept state takes into account
     running, left = set(spec), {}
 
     def table(gs):
         """One row per running guess, at most MAX_BATCH; a constant key replicates the points."""
         return F.broadcast(spark.createDataFrame(
             [(0, g, float(spec[g][0]), float(spec[g][1]), float(spec[g][2]), len(chosen[g]) < k, float(grids[g].width),
-              [c[3] for c in chosen[g]], *[v for i in range(dims) for v in (float(grids[g].lo[i]), int(grids[g].res[i]) - 1)])
+              [c[3] for c in chosen[g][seen[g]:]], *[v for i in range(dims) for v in (float(grids[g].lo[i]), int(grids[g].res[i]) - 1)])
              for g in gs], _guess_schema(dims)))
 
+    n = merged.count() if n is None else n
     aggregate = False
-    if stats.n > hot_cell:  # no cell of fewer points can be hot
+    if n > max(hot_cell, SMALL_BALLS):  # no cell of fewer points can be hot
         load = hottest_cells(rows.join(table(sorted(running)), "_k"), d, ["g"])
         aggregate = max(load.values(), default=0) > hot_cell
-    best = F.max(F.struct(F.col("ball_weight").alias("bw"), (-F.col("ord")).alias("neg_ord"), "id", "coords")).alias("b")
-    cols = ["g", "radius", "side", "id", "ord", "coords", "w"]
+    best = F.max(F.struct("bw", (-F.col("ord")).alias("neg_ord"), "id", "coords")).alias("b")
+    balls = _BallState(rows, n, d, aggregate)
     while running:
         now = sorted(running)
         guess = table(now)
-        xs = rows.join(guess, "_k")
-        active = xs.where(~F.exists("cs", lambda c: euclidean(F.col("coords"), c, d) <= F.col("outer")))
-        found = active.groupBy("g").agg(F.sum("w").cast("long").alias("lw"))
-        if any(len(chosen[g]) < k for g in now):
-            balls = ball_weight_sums(xs.where("open").select(cols), active.where("open").select(cols), d, ["g"], aggregate=aggregate)
-            cell = [F.least(F.greatest(F.floor((F.col("coords").getItem(i) - F.col(f"lo{i}")) / F.col("cw")), F.lit(0)),
-                            F.col(f"top{i}")).cast("long").alias(key) for i, key in enumerate(keys)]
-            tops = balls.join(guess, "g").select("g", "ball_weight", "ord", "id", "coords", *cell).groupBy("g", *keys).agg(best)
-            found = tops.join(found, "g", "right")
-        else:
-            found = found.withColumn("b", F.lit(None))
+        is_open = any(len(chosen[g]) < k for g in now)
+        state = balls.advance(guess, max(len(chosen[g]) - seen[g] for g in now), is_open)
+        if not balls.small:
+            seen.update({g: len(chosen[g]) for g in now})
+        cell = [F.least(F.greatest(F.floor((F.col("coords").getItem(i) - F.col(f"lo{i}")) / F.col("cw")), F.lit(0)),
+                        F.col(f"top{i}")).cast("long").alias(key) for i, key in enumerate(keys)]
+        found = state.join(guess, "g").select(*STATE, *cell).groupBy("g", *keys) \
+            .agg(best, F.sum(F.when(F.col("act"), F.col("w")).otherwise(F.lit(0))).cast("long").alias("lw"))
         by_guess: dict[int, list] = {}
         for r in found.collect():  # at most CERT_CELLS rows per guess
             by_guess.setdefault(r["g"], []).append(r)
         for g in now:
             rs = by_guess.get(g, [])
-            lw = int(rs[0]["lw"]) if rs else 0
+            lw = sum(int(r["lw"]) for r in rs)
             done = lw == 0 or len(chosen[g]) >= k
-            if not done and _take_certain(_CellMaxima(grids[g], [r for r in rs if r["b"] is not None], d), chosen[g], k):
+            if not done and _take_certain(_CellMaxima(grids[g], rs, d), chosen[g], k):
                 done, lw = True, 0
             if done:
                 left[g] = lw
@@ -274,10 +333,10 @@ def greedy_cover(points: DataFrame, radius: float, k: int, alpha: float = 0.0,
                  stats: PointStats | None = None) -> tuple[DataFrame, int]:
     """One greedy cover at a fixed radius (K1, K2): centers and the uncovered weight."""
     stats = stats or validate_points(points)
-    merged, _ = _cached_merge(points)
+    merged, distinct_n = _cached_merge(points)
     try:
         rin, rout = radii(alpha, radius)
-        res = greedy_batch(merged, stats, [(0, rin, rout)], k)
+        res = greedy_batch(merged, stats, [(0, rin, rout)], k, n=distinct_n)
     finally:
         merged.unpersist()
     return res.centers.drop("g"), res.left[0]
@@ -343,7 +402,7 @@ def kcenter_outliers(points: DataFrame, k: int, z: int, alpha: float = 0.0, guar
         while g0 < MAX_GUESSES:
             rs = [next(seq) for _ in range(batch)]
             specs = [(g0 + i, *radii(alpha, r)) for i, r in enumerate(rs)]
-            res = greedy_batch(merged, stats, specs, k, enough=z)
+            res = greedy_batch(merged, stats, specs, k, enough=z, n=distinct_n)
             ok = sorted(g for g, lw in res.left.items() if lw <= z)
             if ok:
                 g = ok[0]
