@@ -6,14 +6,17 @@ per word character, and of repeated lines, repeated words and echoes (words equa
 before) per word, in fixed point (multiples of 1/1024), so that sums are exact and don't
 depend on their order.
 
-For every (language, source) with at least ``MIN_ROWS`` passing texts, else for the language,
-else for all texts together, location and scatter are minimum-covariance-determinant
-estimates: starting from medians and quartile ranges, ``STEPS`` concentration steps each keep
-the ``SHARE`` of the rows that lie nearest (by Mahalanobis distance) and take mean and
-covariance of those; each step can only lower the determinant. The covariance is made
-consistent for normal data and ``FLOOR`` is added to its scales, so that a statistic that
-never varies in the group tolerates small values. A text is kept if its squared distance is
-at most the chi-square quantile ``QUANTILE``.
+A row is judged by its (language, source) if that has at least ``MIN_ROWS`` passing texts, else
+by its language, else by all texts together; each of these groups is estimated from all its
+rows. Location and scatter are minimum-covariance-determinant estimates: from each of several
+starts (medians and quartile ranges; medians and the spread of all texts; means and standard
+deviations), concentration steps keep the ``SHARE`` of the rows that lie nearest (by
+Mahalanobis distance) and take mean and covariance of those, until no group's nearest rows
+change any more (``MOST_STEPS`` at most); the start that ends with the least determinant counts.
+The covariance is made consistent for normal data. Scales have floors, from quartiles of all
+texts: for logarithms a quarter of the scale of all texts; for the other statistics, which are
+zero for most texts, what a single symbol, line or word makes in a text of median length. A
+text is kept if its squared distance is at most the chi-square quantile ``QUANTILE``.
 
 Quantiles come from counts per value (medians) or per distance bin (the nearest rows), which
 tasks pre-aggregate; a group's rows never meet in one task. Group estimates are joined back
@@ -31,8 +34,7 @@ from pyspark.sql import Window as W
 from pinwheel.llm.common import saved
 
 STATS = ("ln_words", "ln_length", "symbols", "lines", "repeats", "echoes")
-FLOOR = (1.0, 0.15, 0.05, 0.25, 0.25, 0.15)
-MIN_ROWS, SHARE, STEPS, QUANTILE = 50, 0.75, 4, 0.9999
+MIN_ROWS, SHARE, MOST_STEPS, QUANTILE = 50, 0.75, 20, 0.9999
 UNIT = 1024
 # Squared distances are cut into bins of 1/64; beyond the last bin no row is among the nearest.
 BIN, LAST_BIN = 64, 1 << 20
@@ -127,23 +129,38 @@ def _num(v: float) -> str:
     return f"CAST({v!r} AS DOUBLE)"
 
 
-def start_columns() -> list[tuple[str, str]]:
-    """Mean and Cholesky factor (diagonal) of the start from quartiles lo_i, mid_i, hi_i."""
-    cols = [(f"m{i}", f"mid{i} / {_num(UNIT)}") for i in range(N)]
+def floor_columns() -> list[tuple[str, str]]:
+    """Least scales f_i from the quartiles lo_i, mid_i, hi_i of all passing texts."""
+    words = f"exp(CAST(mid0 AS DOUBLE) / {_num(-2.0 * UNIT)})"
+    chars = f"exp(CAST(mid0 + mid1 AS DOUBLE) / {_num(-2.0 * UNIT)})"
+    logs = [f"greatest((hi{i} - lo{i}) / {_num(1.349 * 4)}, {_num(1.0)}) / {_num(UNIT)}" for i in range(2)]
+    return [(f"f{i}", sql) for i, sql in enumerate([*logs, chars, words, words, words])]
+
+
+STARTS = 3
+
+
+def start_columns(start: int) -> list[tuple[str, str]]:
+    """Mean and Cholesky factor (diagonal) of a start from quartiles lo_i, mid_i, hi_i, sums n, s_i
+    and p_ii, and floors f_i."""
+    n = "CAST(n AS DOUBLE)"
+    mean = "{0} / " + n
+    cols = [(f"m{i}", (mean.format(f"CAST(s{i} AS DOUBLE)") if start == 2 else f"CAST(mid{i} AS DOUBLE)") + f" / {_num(UNIT)}") for i in range(N)]
     for i in range(N):
-        scale = f"((hi{i} - lo{i}) / {_num(UNIT * 1.349)})"
-        cols += [(f"l{i}{j}", f"sqrt({scale} * {scale} + {_num(FLOOR[i] ** 2)})" if i == j else _num(0.0)) for j in range(i + 1)]
+        scale = (f"(hi{i} - lo{i}) / {_num(UNIT * 1.349)}", "0",
+                 f"sqrt(greatest(CAST(p{i}{i} AS DOUBLE) / {n} - CAST(s{i} AS DOUBLE) / {n} * (CAST(s{i} AS DOUBLE) / {n}), {_num(0.0)})) / {_num(UNIT)}")[start]
+        cols += [(f"l{i}{j}", f"greatest({scale}, f{i})" if i == j else _num(0.0)) for j in range(i + 1)]
     return cols
 
 
 def moment_columns() -> list[tuple[str, str]]:
-    """Mean and covariance c_ij from n, sums s_i and sums of products p_ij."""
+    """Mean and covariance c_ij from n, sums s_i, sums of products p_ij and floors f_i."""
     n = "CAST(n AS DOUBLE)"
     cols = [(f"m{i}", f"CAST(s{i} AS DOUBLE) / {n} / {_num(UNIT)}") for i in range(N)]
     for i in range(N):
         for j in range(i + 1):
             cov = f"(CAST(p{i}{j} AS DOUBLE) / {n} - CAST(s{i} AS DOUBLE) / {n} * (CAST(s{j} AS DOUBLE) / {n})) / {_num(UNIT ** 2)} * {_num(CONSISTENCY)}"
-            cols.append((f"c{i}{j}", cov + (f" + {_num(FLOOR[i] ** 2)}" if i == j else "")))
+            cols.append((f"c{i}{j}", f"greatest({cov}, f{i} * f{i})" if i == j else cov))
     return cols
 
 
@@ -170,6 +187,10 @@ def distance_steps() -> list[tuple[str, str]]:
 
 BIN_SQL = f"CAST(least(floor(d2 * {BIN}), {LAST_BIN}) AS BIGINT)"
 STATE = [f"m{i}" for i in range(N)] + [f"l{i}{j}" for i in range(N) for j in range(i + 1)]
+FLOORS = [f"f{i}" for i in range(N)]
+SUMS = [f"s{i}" for i in range(N)] + [f"p{i}{j}" for i in range(N) for j in range(i + 1)]
+#: Logarithm of the square root of the determinant.
+SPREAD_SQL = " + ".join(f"ln(l{i}{i})" for i in range(N))
 
 
 # ---- the estimates ----
@@ -181,47 +202,85 @@ def _with(df: DataFrame, steps: list[tuple[str, str]]) -> DataFrame:
 
 
 def _measured(rows: DataFrame, state: DataFrame, few: bool) -> DataFrame:
-    """``rows`` with their squared distance d2 from their group's estimate."""
+    """``rows`` with their squared distance d2 from their group's estimates."""
     return _with(rows.join(F.broadcast(state) if few else state, "grp"), distance_steps())
 
 
 def group_of(rows: DataFrame) -> tuple[DataFrame, bool]:
-    """``rows`` (lang, source, ...) with ``grp``, the smallest enclosing group of enough rows;
-    whether the groups are few enough to broadcast."""
+    """``rows`` (lang, source, ...) with ``grp``, the group that judges the row, and ``grps``, the
+    groups that count it in (those that judge some row); whether groups are few enough to
+    broadcast."""
     name = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))  # noqa: E731  null is a value of its own
     rows = rows.withColumn("by_lang", name("lang")).withColumn("by_source", F.concat_ws("\n", F.col("by_lang"), name("source")))
     sources = saved(rows.groupBy("by_source", "by_lang").agg(F.count("*").alias("n")))
-    langs = sources.groupBy("by_lang").agg(F.sum("n").alias("n_lang"))
-    grp = F.when(F.col("n") >= MIN_ROWS, F.col("by_source")).when(F.col("n_lang") >= MIN_ROWS, F.col("by_lang")).otherwise(F.lit(""))
-    groups = saved(sources.join(langs, "by_lang").select("by_source", grp.alias("grp")))
+    langs = sources.groupBy("by_lang").agg(F.sum("n").alias("n_lang"), F.min("n").alias("n_least"))
+    enough, whole = F.col("n") >= MIN_ROWS, F.col("n_lang") >= MIN_ROWS
+    left = not langs.where(F.col("n_lang") < MIN_ROWS).where(F.col("n_least") < MIN_ROWS).isEmpty()
+    grp = F.when(enough, F.col("by_source")).when(whole, F.col("by_lang")).otherwise(F.lit(""))
+    grps = F.array(F.when(enough, F.col("by_source")), F.when(whole & (F.col("n_least") < MIN_ROWS), F.col("by_lang")), F.lit("" if left else None))
+    groups = saved(sources.join(langs, "by_lang").select("by_source", grp.alias("grp"), F.filter(grps, lambda g: g.isNotNull()).alias("grps")))
     few = groups.count() <= BROADCAST_GROUPS
     return rows.join(F.broadcast(groups) if few else groups, "by_source").drop("by_source", "by_lang"), few
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """Quartiles of every statistic per group, from counts per value."""
+def _sums() -> list:
+    return [F.count("*").alias("n")] + [F.sum(f"v{i}").alias(f"s{i}") for i in range(N)] \
+        + [F.sum(F.col(f"v{i}") * F.col(f"v{j}")).alias(f"p{i}{j}") for i in range(N) for j in range(i + 1)]
+
+
+def _quartiles(rows: DataFrame) -> DataFrame:
+    """``grp`` and its quartiles lo_i, mid_i, hi_i, from counts per value."""
     values = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"v{i}").alias("v")) for i in range(N)]))
     counts = rows.select("grp", values.alias("x")).groupBy("grp", "x.i", "x.v").agg(F.count("*").alias("n"))
     upto, whole = W.partitionBy("grp", "i").orderBy("v"), W.partitionBy("grp", "i")
     ranked = counts.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(whole))
     quart = [F.min(F.when(4 * F.col("upto") >= q * F.col("all"), F.col("v"))) for q in (1, 2, 3)]
     per = ranked.groupBy("grp", "i").agg(*[c.alias(a) for c, a in zip(quart, ("lo", "mid", "hi"))])
-    wide = per.groupBy("grp").agg(*[F.max(F.when(F.col("i") == i, F.col(a))).alias(f"{a}{i}") for i in range(N) for a in ("lo", "mid", "hi")])
-    return wide.select("grp", *[F.expr(sql).alias(name) for name, sql in start_columns()])
+    return per.groupBy("grp").agg(*[F.max(F.when(F.col("i") == i, F.col(a))).alias(f"{a}{i}") for i in range(N) for a in ("lo", "mid", "hi")])
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """``grp``, ``start`` and the first estimates; group ``*`` (all rows) only gives the floors."""
+    quartiles = saved(_quartiles(rows))
+    every = quartiles.where(F.col("grp") == "*").select(*[F.expr(sql).alias(name) for name, sql in floor_columns()]).first()
+    first = quartiles.where(F.col("grp") != "*").join(rows.groupBy("grp").agg(*_sums()), "grp")
+    first = saved(first.select("*", *[F.lit(every[name]).cast("double").alias(name) for name in FLOORS]) if every
+                  else first.select("*", *[F.lit(1.0).alias(name) for name in FLOORS]))
+    out = None
+    for k in range(STARTS):
+        one = first.select("grp", F.lit(k).alias("start"), *[F.expr(sql).alias(name) for name, sql in start_columns(k)], *FLOORS)
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def _concentrated(rows: DataFrame, state: DataFrame, few: bool) -> DataFrame:
-    """One concentration step: the estimate from the nearest rows of each group."""
-    binned = _measured(rows, state, few).select("grp", *[f"v{i}" for i in range(N)], F.expr(BIN_SQL).alias("bin"))
-    sums = [F.count("*").alias("n")] + [F.sum(f"v{i}").alias(f"s{i}") for i in range(N)] \
-        + [F.sum(F.col(f"v{i}") * F.col(f"v{j}")).alias(f"p{i}{j}") for i in range(N) for j in range(i + 1)]
-    bins = binned.groupBy("grp", "bin").agg(*sums)  # sums per bin: the rows are read once per step
-    before = F.sum("n").over(W.partitionBy("grp").orderBy("bin")) - F.col("n")
-    near = bins.withColumn("before", before).withColumn("all", F.sum("n").over(W.partitionBy("grp"))) \
+    """One concentration step: for each group and start, sums over its nearest rows and the
+    estimate from them."""
+    keys = ["grp", "start"]
+    binned = _measured(rows, state.select(*keys, *STATE), few).select(*keys, *[f"v{i}" for i in range(N)], F.expr(BIN_SQL).alias("bin"))
+    bins = binned.groupBy(*keys, "bin").agg(*_sums())  # sums per bin: the rows are read once per step
+    before = F.sum("n").over(W.partitionBy(*keys).orderBy("bin")) - F.col("n")
+    near = bins.withColumn("before", before).withColumn("all", F.sum("n").over(W.partitionBy(*keys))) \
         .where(F.col("before") < F.lit(SHARE) * F.col("all"))
-    total = near.groupBy("grp").agg(*[F.sum(c).alias(c) for c in bins.columns if c not in ("grp", "bin")])
-    moments = total.select("grp", *[F.expr(sql).alias(name) for name, sql in moment_columns()])
-    return _with(moments, cholesky_steps()).select("grp", *STATE)
+    total = near.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n", *SUMS)]).join(state.select(*keys, *FLOORS), keys)
+    moments = total.select(*keys, "n", *SUMS, *FLOORS, *[F.expr(sql).alias(name) for name, sql in moment_columns()])
+    return _with(moments, cholesky_steps()).select(*keys, "n", *SUMS, *FLOORS, *STATE)
+
+
+def estimates(rows: DataFrame, few: bool) -> DataFrame:
+    """``grp`` and its estimate, from ``rows`` (``grp`` and the statistic vector; a row may be in
+    several groups, and is once in group ``*``)."""
+    state = saved(_starts(rows))
+    rows = rows.where(F.col("grp") != "*")
+    compared = ["grp", "start", "n", *SUMS]
+    for step in range(MOST_STEPS):
+        new = saved(_concentrated(rows, state, few))
+        stable = step > 0 and new.select(*compared).exceptAll(state.select(*compared)).isEmpty()
+        state = new
+        if stable:
+            break
+    best = F.min(F.struct(F.expr(SPREAD_SQL).alias("spread"), "start", *STATE)).alias("b")
+    return saved(state.groupBy("grp").agg(best).select("grp", "b.*").drop("spread", "start"))
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -236,10 +295,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     passed = base.where(~F.col("base_failed"))
     vectors, few = group_of(passed.select("*", *[F.expr(sql).alias(f"v{i}") for i, sql in enumerate(statistic_sql())]))
     vectors = saved(vectors)
-    slim = vectors.select("grp", *[f"v{i}" for i in range(N)])
-    state = saved(_start(slim))
-    for _ in range(STEPS):
-        state = saved(_concentrated(slim, state, few))
+    slim = vectors.select(F.explode(F.array_append("grps", F.lit("*"))).alias("grp"), *[f"v{i}" for i in range(N)])
+    state = estimates(slim, few)
     stats = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_echoes", "base_failed"]
     judged = _measured(vectors, state, few).select(*stats, F.col("d2").alias("distance2"), F.expr(f"d2 <= {_num(CUTOFF)}").alias("kept"))
     failed = base.where("base_failed").select(*stats, F.lit(None).cast("double").alias("distance2"), F.lit(False).alias("kept"))
@@ -278,23 +335,28 @@ def oracle_sql() -> str:
             f"""vec AS (SELECT *, {', '.join(f'{sql} AS v{i}' for i, sql in enumerate(statistic_sql()))},
          coalesce('=' || lang, '-') AS by_lang, coalesce('=' || lang, '-') || {sep} || coalesce('=' || source, '-') AS by_source
   FROM flagged WHERE NOT base_failed)""",
-            f"""rows_ AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY by_source) >= {MIN_ROWS} THEN by_source
-         WHEN count(*) OVER (PARTITION BY by_lang) >= {MIN_ROWS} THEN by_lang ELSE '' END AS grp FROM vec)"""]
+            f"""judged AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY by_source) >= {MIN_ROWS} THEN by_source
+         WHEN count(*) OVER (PARTITION BY by_lang) >= {MIN_ROWS} THEN by_lang ELSE '' END AS grp FROM vec)""",
+            f"""est AS (SELECT g.grp, {', '.join(f'v{i}' for i in range(N))} FROM judged j
+         JOIN (SELECT DISTINCT grp FROM judged) g ON g.grp IN (j.by_source, j.by_lang, ''))"""]
     quartiles = ", ".join(f"list_sort(list(v{i}))[CAST(ceil(count(*) * {q} / 4.0) AS BIGINT)] AS {a}{i}"
                           for i in range(N) for q, a in ((1, "lo"), (2, "mid"), (3, "hi")))
-    ctes.append(f"quart AS (SELECT grp, {quartiles} FROM rows_ GROUP BY grp)")
-    ctes.append(f"e0 AS (SELECT grp, {', '.join(f'{sql} AS {name}' for name, sql in start_columns())} FROM quart)")
+    ctes.append(f"floors AS (SELECT {', '.join(f'{sql} AS {name}' for name, sql in floor_columns())} FROM (SELECT {quartiles} FROM vec))")
     sums = ", ".join([f"sum(v{i}) AS s{i}" for i in range(N)] + [f"sum(v{i} * v{j}) AS p{i}{j}" for i in range(N) for j in range(i + 1)])
     state = ", ".join(STATE)
-    for k in range(STEPS):
-        measured = chained(f"(SELECT rows_.*, {state} FROM rows_ JOIN e{k} USING (grp))", distance_steps())
+    ctes.append(f"quart AS (SELECT grp, count(*) AS n, {quartiles}, {sums} FROM est GROUP BY grp)")
+    ctes.append("e0 AS MATERIALIZED (" + " UNION ALL ".join(
+        f"SELECT grp, {k} AS start, {', '.join(f'{sql} AS {name}' for name, sql in start_columns(k))} FROM quart, floors" for k in range(STARTS)) + ")")
+    for k in range(MOST_STEPS):
+        measured = chained(f"(SELECT est.*, start, {state} FROM est JOIN e{k} USING (grp))", distance_steps())
         ctes.append(f"b{k} AS (SELECT *, {BIN_SQL} AS bin FROM {measured})")
-        ctes.append(f"r{k} AS (SELECT *, count(*) OVER (PARTITION BY grp) AS whole, count(*) OVER (PARTITION BY grp ORDER BY bin) "
-                    f"- count(*) OVER (PARTITION BY grp, bin) AS before_ FROM b{k})")
-        ctes.append(f"s{k} AS (SELECT grp, count(*) AS n, {sums} FROM r{k} WHERE before_ < {_num(SHARE)} * whole GROUP BY grp)")
-        moments = f"(SELECT grp, {', '.join(f'{sql} AS {name}' for name, sql in moment_columns())} FROM s{k})"
-        ctes.append(f"e{k + 1} AS (SELECT grp, {state} FROM {chained(moments, cholesky_steps())})")
+        ctes.append(f"r{k} AS (SELECT *, count(*) OVER (PARTITION BY grp, start) AS whole, count(*) OVER (PARTITION BY grp, start ORDER BY bin) "
+                    f"- count(*) OVER (PARTITION BY grp, start, bin) AS before_ FROM b{k})")
+        ctes.append(f"s{k} AS (SELECT grp, start, count(*) AS n, {sums} FROM r{k} WHERE before_ < {_num(SHARE)} * whole GROUP BY grp, start)")
+        moments = f"(SELECT grp, start, {', '.join(f'{sql} AS {name}' for name, sql in moment_columns())} FROM s{k}, floors)"
+        ctes.append(f"e{k + 1} AS MATERIALIZED (SELECT grp, start, {state} FROM {chained(moments, cholesky_steps())})")
+    ctes.append(f"best AS (SELECT * FROM e{MOST_STEPS} QUALIFY row_number() OVER (PARTITION BY grp ORDER BY {SPREAD_SQL}, start) = 1)")
     out = "doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_echoes, base_failed"
-    last = chained(f"(SELECT rows_.*, {state} FROM rows_ JOIN e{STEPS} USING (grp))", distance_steps())
+    last = chained(f"(SELECT judged.*, {state} FROM judged JOIN best USING (grp))", distance_steps())
     return (f"WITH {', '.join(ctes)}\nSELECT {out}, d2 AS distance2, d2 <= {_num(CUTOFF)} AS kept FROM {last}\n"
             f"UNION ALL SELECT {out}, CAST(NULL AS DOUBLE), false FROM flagged WHERE base_failed")

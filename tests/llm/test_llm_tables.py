@@ -347,7 +347,8 @@ def quality_rows():
             text = " ".join(w + "###" for w in words)
         if i % 20 == 1:
             text += "\n" + "\n".join([" ".join(words[:12])] * 3)
-        rows.append(doc(i, text, ["en", "de", None][i % 7 % 3], ["hot", "s1", None][i % 5 % 3]))
+        rows.append(doc(i, text, ["en", "de", None][i % 7 % 3], ["hot", "s1", None][i % 5 % 3] if i % 9 else f"small{i % 4}"))
+    rows += [doc(1000 + i, rows[20 * i + 2][1], "xx", "alone") for i in range(3)]
     return rows + [doc(900, None), doc(901, ""), doc(902, "a b c " * 500), doc(903, "x\x0by\x0cz\t" * 30), doc(904, "tiny text"), doc(3, rows[3][1])]
 
 
@@ -359,20 +360,38 @@ def test_base_statistics_equal_brute_force(spark):
     assert got == {r[0]: brute_statistics(r[1]) for r in rows}
 
 
-def brute_mcd(vectors):
-    v, floor = np.array(vectors, float), np.diag(np.array(quality.FLOOR) ** 2)
-    n = len(v)
-    ordered = np.sort(v, axis=0)
+def brute_floors(vectors):
+    ordered = np.sort(np.array(vectors, float), axis=0)
+    lo, mid, hi = (ordered[-(-len(vectors) * q // 4) - 1] / quality.UNIT for q in (1, 2, 3))
+    word = np.exp(-mid[0] / 2)
+    return np.array([*np.maximum((hi - lo)[:2] / 1.349 / 4, 1 / quality.UNIT), np.exp(-(mid[0] + mid[1]) / 2), word, word, word])
+
+
+def brute_mcd(vectors, floor):
+    """Mean and covariance of least determinant over the starts, each until nothing changes."""
+    v = np.array(vectors, float)
+    n, x = len(v), v / quality.UNIT
+    ordered = np.sort(x, axis=0)
     lo, mid, hi = (ordered[-(-n * q // 4) - 1] for q in (1, 2, 3))
-    mean, cov = mid / quality.UNIT, np.diag(((hi - lo) / (quality.UNIT * 1.349)) ** 2) + floor
-    x = v / quality.UNIT
-    dist = lambda: np.einsum("ni,ij,nj->n", x - mean, np.linalg.inv(cov), x - mean)
-    for _ in range(quality.STEPS):
-        bins = np.minimum(np.floor(dist() * quality.BIN), quality.LAST_BIN)
-        near = x[np.array([(bins < b).sum() < quality.SHARE * n for b in bins])]
-        mean = near.mean(0)
-        cov = np.cov(near.T, bias=True) * quality.CONSISTENCY + floor
-    return dist()
+    floored = lambda c: c + np.diag(np.maximum(floor ** 2 - np.diag(c), 0))
+    ends = []
+    for mean, scale in ((mid, (hi - lo) / 1.349), (mid, 0 * mid), (x.mean(0), x.std(0))):
+        cov, last = floored(np.diag(scale ** 2)), None
+        for _ in range(quality.MOST_STEPS):
+            d = np.einsum("ni,ij,nj->n", x - mean, np.linalg.inv(cov), x - mean)
+            bins = np.minimum(np.floor(d * quality.BIN), quality.LAST_BIN)
+            near = np.array([(bins < b).sum() < quality.SHARE * n for b in bins])
+            if last is not None and (near == last).all():
+                break
+            last, mean = near, x[near].mean(0)
+            cov = floored(np.cov(x[near].T, bias=True) * quality.CONSISTENCY)
+        ends.append((np.linalg.slogdet(cov)[1], mean, cov))
+    return min(ends, key=lambda e: e[0])[1:]
+
+
+def distance2(vector, mean, cov):
+    x = np.array(vector, float) / quality.UNIT - mean
+    return x @ np.linalg.inv(cov) @ x
 
 
 def test_distances_equal_brute_force(spark):
@@ -386,18 +405,16 @@ def test_distances_equal_brute_force(spark):
         raw = (np.log(n), np.log(chars / n), np.sqrt(symbols / chars), np.sqrt(dup / n), np.sqrt(rep / n), np.sqrt(echo / n))
         return [int(np.floor(x * quality.UNIT + 0.5)) for x in raw]
 
-    by_source, by_lang = {}, {}
-    for r in passing:
-        by_source.setdefault((r[2], r[3]), []).append(r)
-        by_lang.setdefault(r[2], []).append(r)
-    group = lambda r: (r[2], r[3]) if len(by_source[r[2], r[3]]) >= quality.MIN_ROWS else (r[2],) if len(by_lang[r[2]]) >= quality.MIN_ROWS else ()
+    floor = brute_floors([vector(r) for r in passing])
     members = {}
     for r in passing:
-        members.setdefault(group(r), []).append(r)
-    assert len(members) > 3
-    want = {}
-    for rs in members.values():
-        want |= {r[0]: d for r, d in zip(rs, brute_mcd([vector(r) for r in rs]))}
+        for g in ((r[2], r[3]), (r[2],), ()):
+            members.setdefault(g, []).append(vector(r))
+    group = lambda r: next(g for g in ((r[2], r[3]), (r[2],), ()) if len(members[g]) >= quality.MIN_ROWS or not g)
+    judged_by = {group(r) for r in passing}
+    assert len(judged_by) > 3 and {len(g) for g in judged_by} == {0, 1, 2}
+    models = {g: brute_mcd(members[g], floor) for g in judged_by}
+    want = {r[0]: distance2(vector(r), *models[group(r)]) for r in passing}
     got = {r.doc_id: r for r in out}
     for i, r in got.items():
         if r.base_failed:
@@ -410,6 +427,40 @@ def test_distances_equal_brute_force(spark):
     assert quality.quality_rules(docs(spark, [])).count() == 0
 
 
+def ordinary(rng, n=None):
+    words = [f"{w}{k}" for w, k in zip(rng.choice(["alpha", "be", "gammas", "delta", "epsi"], n or int(rng.integers(120, 500))), itertools.count())]
+    return "\n".join(" ".join(words[k:k + 10]) for k in range(0, len(words), 10))
+
+
+def test_small_groups_are_judged_by_the_enclosing_one(spark):
+    rng = np.random.default_rng(21)
+    rows = [doc(i, ordinary(rng), "en", "A") for i in range(301)]
+    garbage = " ".join(["x" + "#" * 210] * 30)
+    garbage = " ".join(f"{w}{k}" for k, w in enumerate(garbage.split()))
+    rows += [doc(500, garbage, "en", "A"), doc(501, garbage, "en", "B"), doc(502, garbage, "xx", "C"), doc(503, ordinary(rng), "xx", "C")]
+    got = {r.doc_id: r.kept for r in quality.quality_rules(docs(spark, rows)).collect()}
+    assert not got[500] and not got[501] and not got[502] and got[503]
+    assert np.mean([got[i] for i in range(301)]) > 0.98
+
+
+def test_every_statistic_can_reject(spark):
+    rng = np.random.default_rng(22)
+    rows = [doc(i, ordinary(rng), "en", "A") for i in range(300)]
+    lines = ordinary(rng, 300).split("\n")
+    words = ordinary(rng, 300).split()
+    odd = {"ln_words": ordinary(rng, 40_000), "ln_length": " ".join(w * 12 for w in words),
+           "symbols": " ".join(w + "&" * (k % 3) for k, w in enumerate(words)),
+           "lines": "\n".join(x for k, w in enumerate(words) for x in (w, "one")[:1 + (k % 2)]),
+           "repeats": "\n".join(lines + [" ".join([*lines[k].split(), f"new{k}"]) for k in range(4)]),
+           "echoes": " ".join(x for k, w in enumerate(words) for x in [w] * (1 + (k % 5 == 0)))}
+    assert list(odd) == list(quality.STATS)
+    rows += [doc(900 + k, t, "en", "A") for k, t in enumerate(odd.values())]
+    got = {r.doc_id: r for r in quality.quality_rules(docs(spark, rows)).collect()}
+    assert not any(got[900 + k].base_failed for k in range(len(odd)))
+    assert [name for k, name in enumerate(odd) if got[900 + k].kept] == []
+    assert np.mean([got[i].kept for i in range(300)]) > 0.98
+
+
 def test_normal_model_constants():
     # Table values of the chi-square distribution.
     assert quality.chi2_quantile(0.95, 5) == pytest.approx(11.0705, abs=1e-3)
