@@ -2,7 +2,8 @@
 
 Candidates are found by one pattern, validated, and replaced by a keyed permutation of the
 values of their own format, so equal values keep an equal (and valid) pseudonym in every
-document, different values stay different, and the length and punctuation stay. Whatever
+document, different values stay different, and the length and punctuation stay (but for
+e-mail addresses, which are hashed letter by letter: different short ones can meet). Whatever
 fails validation is left as it is.
 
   kind    validated by                            permuted
@@ -12,7 +13,7 @@ fails validation is left as it is.
   ip      four octets up to 255                   the 32-bit address
   ssn     area, group and serial in range         (area, group and serial)
   date    a day of 1900 to 2099; yyyy-mm-dd,      the day, within 1900 to 2099
-          dd.mm.yyyy, dd/mm/yyyy or mm/dd/yyyy
+          dd.mm.yyyy, dd/mm/yyyy or mm/dd/yyyy    (mm/dd only among those that aren't dd/mm)
   phone   + and 8 to 15 digits in any grouping;   the digits after the country code
           or 3-3-4 digits, plain, after 1 or with
           a bracketed area code
@@ -21,8 +22,9 @@ fails validation is left as it is.
                                                   names have no small domain to permute)
 
 A Feistel round adds to one half a keyed hash of the other, modulo the half's size; halves
-may have any two sizes a and b, so the permutation of 0 .. a*b-1 needs no cycle walking. The
-hash is SHA-256 over key, kind, round and half.
+may have any two sizes a and b, so the permutation of 0 .. a*b-1 needs no cycle walking (only
+days, whose number has no two like factors, walk on to the next day). The hash is SHA-256 over
+key, kind, round and half.
 """
 
 from __future__ import annotations
@@ -62,7 +64,6 @@ PHONE = (r"\+[0-9]{1,3}[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\([0-9]{
 PATTERN = (rf"(?<![\p{{L}}0-9_@])(?:{EMAIL}(?![A-Za-z0-9_@-])|(?:(?<![0-9][.-]){IP}(?!\.[0-9])|{IBAN}|(?<![0-9][.-]){DATE}"
            rf"|(?<![0-9]-){SSN}(?!-[0-9])|{PHONE}|{CARD})(?![\p{{L}}0-9_@]))")
 LETTER = r"\p{L}"
-# The days from 1900-01-01 to 2099-12-31 are 229 * 319.
 
 
 def _lit(s: str) -> str:
@@ -157,11 +158,21 @@ def _ssn(m: str, key: str) -> str:
     return f"CASE WHEN {area} BETWEEN 1 AND 899 AND {area} <> 666 AND {group} > 0 AND {serial} > 0 THEN {fresh} END"
 
 
+DAYS = 73_049  # from 1900-01-01 to 2099-12-31; 229 * 319 is the next number with two like factors
+# Steps along the permutation's cycle to a day of the form (at least three of five days are).
+CYCLE = 64
+
+
 def _date(m: str, key: str) -> str:
     parts = []
     for shape, form in ((r"^....-", "yyyy-MM-dd"), (r"^..\\.", "dd.MM.yyyy"), (r"^../", "dd/MM/yyyy"), (r"^../", "MM/dd/yyyy")):
         day = f"date_diff(CAST(try_to_timestamp({m}, '{form}') AS DATE), DATE'1900-01-01')"
-        fresh = f"date_format(date_add(DATE'1900-01-01', CAST({feistel(day, 229, 319, 'date', key)} AS INT)), '{form}')"
+        # A day that can only be mm/dd must not become one that reads as dd/mm.
+        only = " AND day(date_add(DATE'1900-01-01', CAST(z AS INT))) > 12" if form == "MM/dd/yyyy" else ""
+        later = _let(feistel("w.n", 229, 319, "date", key), "z", f"named_struct('n', z, 'ok', z < {DAYS}{only})")
+        walk = (f"aggregate(sequence(1, {CYCLE}), named_struct('n', CAST({day} AS BIGINT), 'ok', false), "
+                f"(w, j) -> CASE WHEN w.ok THEN w ELSE {later} END, w -> CASE WHEN w.ok THEN w.n END)")
+        fresh = f"date_format(date_add(DATE'1900-01-01', CAST({walk} AS INT)), '{form}')"
         parts.append(f"CASE WHEN {m} RLIKE '{shape}' AND try_to_timestamp({m}, '{form}') IS NOT NULL THEN {fresh} END")
     return f"coalesce({', '.join(parts)})"
 

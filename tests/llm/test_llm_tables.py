@@ -427,6 +427,36 @@ def test_distances_equal_brute_force(spark):
     assert quality.quality_rules(docs(spark, [])).count() == 0
 
 
+def brute_feistel(n, a, b, kind, key):
+    left, right = divmod(n, b)
+    for i in range(1, pii.ROUNDS + 1):
+        half = right if i % 2 else left
+        h = int(hashlib.sha256(f"{key}|{kind}|{i}|{a}|{b}|{half}".encode()).hexdigest()[:15], 16)
+        left, right = ((left + h % a) % a, right) if i % 2 else (left, (right + h % b) % b)
+    return left * b + right
+
+
+def test_all_dates_stay_different(spark):
+    import datetime
+    start = datetime.date(1900, 1, 1)
+    days = [start + datetime.timedelta(k) for k in range((datetime.date(2100, 1, 1) - start).days)]
+    new = [brute_feistel(k, 229, 319, "date", "k") for k in range(229 * 319)]
+    assert sorted(new) == list(range(229 * 319)) and len(days) == pii.DAYS
+    want = {}
+    for form in ("%Y-%m-%d", "%d.%m.%Y", "%d/%m/%Y", "%m/%d/%Y"):
+        for k, day in enumerate(days):
+            if form == "%m/%d/%Y" and day.day < 13:
+                continue  # reads as dd/mm
+            j = new[k]
+            while j >= len(days) or (form == "%m/%d/%Y" and days[j].day < 13):
+                j = new[j]
+            want[day.strftime(form)] = days[j].strftime(form)
+    assert len(set(want.values())) == len(want) == 3 * 73_049 + 44_249
+    rows = spark.createDataFrame(list(enumerate(want)), "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r.text for r in pii.pseudonymise(rows, key="k").collect()}
+    assert [got[k] for k in range(len(want))] == list(want.values())
+
+
 def ordinary(rng, n=None):
     words = [f"{w}{k}" for w, k in zip(rng.choice(["alpha", "be", "gammas", "delta", "epsi"], n or int(rng.integers(120, 500))), itertools.count())]
     return "\n".join(" ".join(words[k:k + 10]) for k in range(0, len(words), 10))
