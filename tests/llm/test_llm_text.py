@@ -1,6 +1,7 @@
 """Operators that treat every text alone: encoding, languages, toxicity, pages, licenses, chunks."""
 
 import hashlib
+import textwrap
 
 import numpy as np
 import pytest
@@ -280,37 +281,64 @@ def test_pages_query_rows(spark):
 # ---- licenses ----
 
 def brute_matches(text):
-    import re
-    t = re.sub("[^a-z0-9\n]+", " ", (text or "").lower())
-    units = t.split("\n") + [u for u in re.split("\n(?: ?\n)+", t) if "\n" in u] + ([t] if re.search("\n ?\n", t) else [])
-    out = []
-    for u in units:
-        w = u.split()
-        a = {f"{x} {y}" for x, y in zip(w, w[1:])}
-        for name, template in licenses.TEMPLATES:
-            b = set(licenses.template_bigrams(template))
-            dice = 2 * len(a & b) / (len(a) + len(b))
-            if dice >= licenses.THRESHOLD:
-                out.append((name, dice))
-    return out
+    """Every window of every template that begins with one of its bigrams; no pruning."""
+    w = licenses.words_of(text or "")
+    g, found = [f"{x} {y}" for x, y in zip(w, w[1:])], []
+    for k, (name, template) in enumerate(licenses.TEMPLATES):
+        b, size = set(licenses.template_bigrams(template)), len(licenses.words_of(template))
+        windows = [(-2 * len(a & b) / (len(a) + len(b)), i) for i in range(len(g)) if g[i] in b for a in [set(g[i:i + size - 1])]]
+        if windows and -min(windows)[0] >= licenses.THRESHOLD:
+            dice, at = min(windows)
+            found.append((name, -dice, at, size, k))
+    def worse(m, o):
+        return o[2] < m[2] + m[3] and m[2] < o[2] + o[3] and (o[1], o[3], -o[4]) > (m[1], m[3], -m[4])
+    return [(m[0], pytest.approx(m[1]), m[2], m[3]) for m in found if not any(worse(m, o) for o in found)]
 
 
 def test_license_matches_equal_brute_force(spark):
-    mit = licenses.TEMPLATES[4][1]
+    mit = licenses.TEMPLATES[6][1]
     wrapped = "\n".join(mit[k:k + 70] for k in range(0, len(mit), 70))
     texts = [None, "", "one", "Licensed under the Apache License, Version 2.0.", "prose here\nreleased UNDER the mit license\nmore prose",
              f"intro\n\n{wrapped}\n\nend", wrapped, "Licensed under CC BY-NC 4.0! " * 3, "Licensed under the Apache Licence, Version 2.0",
-             "\n".join(t for _, t in licenses.TEMPLATES), "word " * 20_000]
+             "\n".join(t for _, t in licenses.TEMPLATES), "word " * 20_000,
+             "of the License " * 60, "the software is provided as is " * 9, licenses.TEMPLATES[9][1].replace("software", "program").replace("copies", "all")]
     df = docs(spark, [doc(i, t) for i, t in enumerate(texts)]).withColumn("matches", F.lit(0)).withColumn("units", F.lit(1))
     out = licenses.license_matches(df)
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "units", "matches"]
     for r in out.collect():
-        assert [(m.license, pytest.approx(m.dice)) for m in r.matches] == brute_matches(texts[r.doc_id]), texts[r.doc_id]
+        assert [(m.license, m.dice, m.at, m.len) for m in r.matches] == brute_matches(texts[r.doc_id]), texts[r.doc_id]
     summary = {r.doc_id: r for r in licenses.license_scan(df).collect()}
     assert summary[4].license == "MIT" and summary[5].license == "MIT" and summary[0].license is None and summary[0].dice == 0
     assert licenses.license_scan(df.limit(0)).count() == 0
 
 
+def test_notices_inside_other_text(spark):
+    def free(kind, name, version):
+        return (f"This {kind} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by the "
+                f"Free Software Foundation, either version {version} of the License, or (at your option) any later version.")
+    warranty = licenses._AS_IS_MIT
+    texts = {
+        "Copyright 2020 Foo Inc. Licensed under the Apache License, Version 2.0. See the LICENSE file in the project root for details.": "Apache-2.0",
+        "This project is licensed under the MIT License - see the LICENSE file for details": "MIT",
+        "Some prose ahead.\n" + textwrap.fill(warranty, 60) + " and after": "MIT",
+        "Some article text before the notice. Released under the MIT License.": "MIT",
+        free("library", "Lesser General Public License", "2.1"): "LGPL",
+        free("program", "Affero General Public License", "3"): "AGPL-3.0",
+        free("program", "General Public License", "3"): "GPL",
+        "A licence for software is a permission with conditions, as is known; the above copyright notice is one of many conditions.": None,
+    }
+    rows = docs(spark, [doc(k, t) for k, t in enumerate(texts)])
+    got = {r.doc_id: (r.license, r.licenses) for r in licenses.license_scan(rows).collect()}
+    assert [got[k] for k in range(len(texts))] == [(n, n or "") for n in texts.values()]
+
+
+def test_anchors_lose_no_match():
+    for _, text in licenses.TEMPLATES:
+        grams, first = licenses.template_bigrams(text), licenses.anchors(text, licenses.THRESHOLD)
+        without = [g for g in grams if not set(g.split()) & set(first)]
+        assert len(without) < licenses.needed(len(grams), licenses.THRESHOLD)
+
+
 # ---- chunks ----
 
 def slow_boundaries(data):
