@@ -35,20 +35,26 @@ BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "d
          "fieldset", "figcaption", "figure", "footer", "form", "frameset", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header",
          "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table",
          "tbody", "tfoot", "thead", "tr", "caption", "ul"}
-NEVER = {"head", "script", "style", "noscript", "template", "iframe", "object", "embed", "svg", "math", "canvas", "audio",
+NEVER = {"head", "script", "style", "noscript", "template", "iframe", "object", "embed", "svg", "canvas", "audio", "annotation", "annotation-xml",
          "video", "map", "select", "option", "datalist", "textarea", "button", "input", "title", "noframes", "noembed", "dialog"}
 USUALLY_NOT = {"nav", "aside", "footer", "form", "menu", "header"}
 #: Words that mark an element as something else than the article.
 MARKERS = ("ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promoted "
            "nav navbar navigation menu submenu breadcrumb breadcrumbs pagination pager toolbar topbar masthead sitemap "
            "header footer copyright colophon sidebar aside widget widgets related recommended recommendations trending popular "
-           "comment comments commentlist respond replies discussion disqus feedback "
+           "comment comments commentlist respond replies discussion disqus feedback reviews testimonials guestbook "
            "cookie cookies consent gdpr notice notices notification alert disclaimer popup modal overlay paywall "
            "share sharing social newsletter subscribe subscription signup login search form")
 MARKED = frozenset(MARKERS.split())
 #: Those of them that name parts of articles as well.
 WEAK = frozenset("alert notice notices disclaimer search form related recommended recommendations trending popular widget widgets "
                  "discussion feedback header social menu banner promotion aside".split())
+#: And those that are matters an article may be about.
+TOPICS = WEAK | frozenset("copyright cookie cookies consent gdpr login signup subscribe subscription sharing modal popup overlay "
+                          "navigation pagination paywall notification sponsor sponsored reviews testimonials".split())
+#: Words of a class or id that mark the article itself, and the words of text that bear it out.
+POSITIVE = frozenset("content article post entry story main body text".split())
+BORNE_OUT = 10
 #: Weakly marked elements outside the article are dropped below this share of the page's text, taken together by marks.
 SMALL = 0.1
 #: The page's densest subtree stays if it has more than so many times the text that is left without it.
@@ -76,10 +82,10 @@ PARTS = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 
 class Node:
     __slots__ = ("tag", "parent", "kids", "doubtful", "chars", "tags", "link_chars", "link_tags", "density", "sum", "own", "core", "titled",
-                 "inside", "marks")
+                 "inside", "marks", "positive")
 
-    def __init__(self, tag: str, parent, doubtful: frozenset = frozenset()):
-        self.tag, self.parent, self.doubtful, self.own = tag, parent, doubtful, -1
+    def __init__(self, tag: str, parent, doubtful: frozenset = frozenset(), positive: bool = False):
+        self.tag, self.parent, self.doubtful, self.positive, self.own = tag, parent, doubtful, positive, -1
         self.kids: list = []  # nodes and strings, in order
 
 
@@ -105,6 +111,12 @@ def doubtful(tag: str, attributes: str) -> frozenset:
     return frozenset(marks)
 
 
+def positive(tag: str, attributes: str) -> bool:
+    """Whether tag, class or id say that an element is the article."""
+    return tag in ("article", "main") or "=" in attributes and any(
+        {x.lower() for x in PARTS.findall(a or b or c)} & POSITIVE for name, a, b, c in ATTRIBUTE.findall(attributes) if name.lower() != "role")
+
+
 def parse(page: str) -> Node:
     """A tree of the page: unclosed paragraphs, items and cells end where HTML ends them, stray
     end tags are ignored, unknown or cut-off markup is dropped."""
@@ -146,7 +158,8 @@ def parse(page: str) -> Node:
             here = _closed(here, {"p"}, {"table", "td", "th", "button", "object"})
         if tag in CLOSES:
             here = _closed(here, *CLOSES[tag])
-        node = Node(tag, here, doubtful(tag, attributes))
+        marks = doubtful(tag, attributes)
+        node = Node(tag, here, marks, not marks and positive(tag, attributes))
         here.kids.append(node)
         if tag in RAW:
             skip = tag
@@ -181,8 +194,10 @@ def _prune(root: Node) -> None:
 
     A doubtful element stays if it wraps the article or is its header, or if it isn't mostly
     links and: it is weakly marked, and lies in the article or the densest subtree, has the
-    title or a share of the text that isn't small; or it holds the subtree of largest density
-    sum and most of the page's text (then others with its marks stay too).
+    title or a share of the text that isn't small; or its marks can be matters of the article
+    it lies in, and its density reaches the body-path threshold; or it holds the subtree of
+    largest density sum and most of the page's text (then others with its marks stay too),
+    and no other element is marked as the article and bears it out.
     """
     nodes = _order(root)
     for n in reversed(nodes):
@@ -198,6 +213,9 @@ def _prune(root: Node) -> None:
     for n in nodes:
         # 2: inside an article, 1: inside the densest subtree.
         n.inside = 2 if n.tag in ("article", "main") else max(n.parent.inside if n.parent else 0, n is densest)
+    threshold, n = math.inf, densest
+    while n is not None:
+        threshold, n = min(threshold, n.density), n.parent
     small, shares = SMALL * root.chars, {}
     for n in nodes:  # a text counts for the nearest marks around it
         n.marks = n.doubtful or (n.parent.marks if n.parent else n.doubtful)
@@ -211,7 +229,11 @@ def _prune(root: Node) -> None:
             return around == 2 or 0 < x.titled == root.titled and 2 * x.link_chars <= x.chars
         if x.tag == "form" and x.titled:  # a page in a form
             return True
-        if 2 * x.link_chars > x.chars or not x.doubtful <= WEAK:
+        if 2 * x.link_chars > x.chars:
+            return False
+        if around == 2 and x.doubtful <= TOPICS and x.density >= threshold:
+            return True
+        if not x.doubtful <= WEAK:
             return False
         return around > 0 or x.titled > 0 or x.chars >= small or shares[x.doubtful] >= small
 
@@ -226,13 +248,29 @@ def _prune(root: Node) -> None:
             out = n
             refuted.add(n.doubtful)
         n = n.parent
-    if out is None or 2 * densest.link_chars > densest.chars or out.chars <= MOST * left:
+    if out is None or 2 * densest.link_chars > densest.chars or out.chars <= MOST * left or _borne_out(root, stays):
         refuted.clear()
     for n in nodes:
         n.kids = [x for x in n.kids if isinstance(x, str) or stays(x)
                   or (x.doubtful in refuted and 2 * x.link_chars <= x.chars and (x.chars >= small or x.tag not in USUALLY_NOT))]
 
 
+def _borne_out(root: Node, stays) -> bool:
+    """Whether an element marked as the article, outside of what doesn't stay, has some text."""
+    stack = [(root, False)]
+    words = 0
+    while stack:
+        n, inside = stack.pop()
+        inside = inside or n.positive
+        for x in n.kids:
+            if isinstance(x, Node):
+                if stays(x) and x.tag != "a":
+                    stack.append((x, inside))
+            elif inside:
+                words += len(x.split())
+    return words >= BORNE_OUT
+
+
 def _measure(root: Node) -> list[Node]:
     nodes = _order(root)
     for n in reversed(nodes):

@@ -251,12 +251,83 @@ MARKED_PAGES = [
     (f"<div><h1>T</h1><p>{LONG}</p><p>{LONG}</p></div><div class='widget'>Weather: rain.</div><div class='alert'>We use cookies.</div>", ["T", LONG, LONG]),
 ]
 
+MARKED_PAGES += [
+    (f"<article><h1>T</h1><p>{LONG}</p><section id='copyright'><h2>Copyright</h2><p>{LONG}</p></section></article>", ["T", LONG, "Copyright", LONG]),
+    (f"<article><h1>T</h1><p>{LONG}</p><div class='login-flow'><p>{LONG}</p></div></article>", ["T", LONG, LONG]),
+    ("<div class='content'><p>The first short paragraph of it.</p><p>And the second short paragraph.</p></div>"
+     f"<div class='sidebar'><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div>", ["The first short paragraph of it.", "And the second short paragraph."]),
+    (f"<div class='story'><h1>T</h1><p>{LONG}</p><p>{LONG}</p></div><div class='user-reviews'><p>Very good, I say.</p><p>Not for me.</p></div>", ["T", LONG, LONG]),
+    (f"<article><p>{LONG} Area is <math><mi>A</mi><mo>=</mo><mn>4</mn><annotation>A=4</annotation></math>.</p></article>", [f"{LONG} Area is A=4."]),
+]
+
 
 @pytest.mark.parametrize("page,text", MARKED_PAGES)
 def test_marks_are_only_evidence(page, text):
     assert mainhtml.main_text(page) == "\n\n".join(text)
 
 
+def slow_choice(root):
+    """Chosen subtrees by the definition, everything counted anew for every node."""
+    import html
+    import math
+    every = lambda n: [n] + [y for x in n.kids if not isinstance(x, str) for y in every(x)]
+    own = lambda n: sum(len(" ".join(html.unescape(x).split())) for x in n.kids if isinstance(x, str))
+    chars = lambda n: sum(own(x) for x in every(n))
+
+    def links(n):  # outermost links
+        return [n] if n.tag == "a" else [y for x in n.kids if not isinstance(x, str) for y in links(x)]
+
+    def density(n):
+        c, lc = chars(n), sum(chars(x) for x in links(n))
+        t, lt = max(len(every(n)) - 1, 1), max(sum(x.tag == "a" for x in every(n)[1:]), 1)
+        if not c:
+            return 0.0
+        inner = math.log(c / max(c - lc, 1) * lc + sum(chars(x) for x in links(root)) / max(chars(root), 1) * c + math.e)
+        return c / t * math.log(max(c / max(lc, 1) * t / lt, 1.0)) / max(math.log(inner), 1e-3) if inner > 1 else 0.0
+
+    total = lambda n: own(n) + sum(density(x) for x in n.kids if not isinstance(x, str))
+
+    def best(top):
+        found = top
+        level = [top]
+        while level:
+            for n in level:
+                if total(n) > total(found) and n.tag not in mainhtml.PARTS_OF:
+                    found = n
+            level = [x for n in level for x in n.kids if not isinstance(x, str)]
+        return found
+    main = best(root)
+    path, n = [], main
+    while n is not None:
+        path.append(density(n))
+        n = n.parent
+    chosen = {id(main)} | {id(best(n)) for n in every(root) if density(n) >= min(path) and n.tag not in mainhtml.PARTS_OF}
+    out = []
+
+    def collect(n):
+        if id(n) in chosen:
+            out.append(n)
+        else:
+            for x in n.kids:
+                if not isinstance(x, str):
+                    collect(x)
+    collect(root)
+    return out if chars(root) else []
+
+
+def test_choice_equals_the_definition():
+    rng = np.random.default_rng(41)
+
+    def element(depth):
+        tag = str(rng.choice(["div", "p", "a", "section", "span", "ul"]))
+        inner = "".join(element(depth + 1) if depth < 4 and rng.random() < 0.55 else " ".join(["word"] * int(rng.integers(0, 30))) for _ in range(int(rng.integers(1, 4))))
+        return f"<{tag}>{inner}</{tag}>"
+    for _ in range(60):
+        page = "".join(element(0) for _ in range(3))
+        root = mainhtml.parse(page)
+        assert [id(n) for n in mainhtml.main_nodes(root)] == [id(n) for n in slow_choice(root)], page
+
+
 def test_density_by_hand():
     root = mainhtml.parse("<div><p>abcdefghij</p><a>xy</a></div>")
     mainhtml._prune(root)
