@@ -32,6 +32,8 @@ from pinwheel.llm.subwords import Numbers
 CACHE_PIECES = 200_000
 # Pieces that go through the trees together: bounds the memory of one pass.
 TREE_CELLS = 1 << 21
+# So few rows are merged one by one on plain lists: a step of one row is a few list accesses.
+FEW_ROWS = 16
 
 
 def byte_symbols() -> list[str]:
@@ -80,6 +82,7 @@ class Encoder:
         self.pieces = regex.compile(vocabulary["pattern"].replace(r"[^\s", r"[^\p{White_Space}"))
         names = sorted(vocabulary["special"], key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
+        self.pairs: dict[int, int] = {}
         self.forget()
 
     def forget(self) -> None:
@@ -169,6 +172,52 @@ class Encoder:
         keep = alive & (symbol[:, :width] >= 0)
         return symbol[:, :width][keep], keep.sum(1)
 
+    def merge_row(self, symbols: np.ndarray) -> np.ndarray:
+        """``merge`` for a single row, with the same tree on plain lists."""
+        n = len(symbols)
+        width, none = 1 << max(1, (n - 1).bit_length()), 1 << 60
+        tree = np.full(2 * width, none, np.int64)
+        rank = self.rank(symbols[:-1], symbols[1:])
+        tree[width:width + n - 1] = np.where(rank >= 0, rank * width + np.arange(n - 1), none)
+        level = width // 2
+        while level >= 1:
+            tree[level:2 * level] = np.minimum(tree[2 * level:4 * level:2], tree[2 * level + 1:4 * level:2])
+            level //= 2
+        if not self.pairs:
+            self.pairs = dict(zip(self.v["keys"].tolist(), self.v["ranks"].tolist()))
+        pairs, made, size = self.pairs, self.v["made"], self.v["size"]
+        tree, symbol, after, before = tree.tolist(), symbols.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+
+        def put(spot: int, left: int, right: int) -> None:
+            """The pair at a spot, given its symbols; up the tree until a minimum stays."""
+            found = pairs.get(left * size + right) if left >= 0 and right >= 0 else None
+            node, value = width + spot, none if found is None else found * width + spot
+            tree[node] = value
+            while node > 1:
+                other = tree[node ^ 1]
+                if other < value:
+                    value = other
+                node >>= 1
+                if tree[node] == value:
+                    return
+                tree[node] = value
+
+        while tree[1] < none:
+            best, at = divmod(tree[1], width)
+            gone, ahead = after[at], before[at]
+            behind = after[gone]
+            symbol[at] = int(made[best])
+            symbol[gone] = -1
+            after[at] = behind
+            if behind < n:
+                before[behind] = at
+            put(at, symbol[at], symbol[behind] if behind < n else -1)
+            put(gone, -1, -1)
+            if ahead >= 0:
+                put(ahead, symbol[ahead], symbol[at])
+        left = np.array(symbol, np.int64)
+        return left[left >= 0]
+
     def encode_pieces(self, pieces: list) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of the pieces and how many each has."""
         raw = [b"" if isinstance(p, tuple) else p.encode() for p in pieces]
@@ -182,6 +231,11 @@ class Encoder:
         done: list[tuple] = [(np.array([i]), np.array(p), np.array([1])) for i, p in enumerate(pieces) if isinstance(p, tuple)]
         for width in np.unique(widths[widths > 0]):
             members = np.flatnonzero(widths == width)
+            if len(members) <= FEW_ROWS:
+                for k in members.tolist():
+                    ids = self.merge_row(symbols[ends[k] - lengths[k]:ends[k]])
+                    done.append((np.array([k]), ids, np.array([len(ids)])))
+                continue
             step = max(1, TREE_CELLS // int(width))
             for k in range(0, len(members), step):
                 part = members[k:k + step]

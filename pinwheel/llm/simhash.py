@@ -308,13 +308,16 @@ def simhash_components(df: DataFrame) -> DataFrame:
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component: that of the lowest id (nulls last), then of the
-    lowest md5 of the text; of equal such rows the lowest in the other columns. Columns unchanged.
+    lowest md5 of the text; of equal such rows the lowest by the other columns as JSON. Columns
+    unchanged; they may have any type. An empty table gives no rows.
     """
     linked = near_duplicates(docs, id_col, text_col)
     order = F.struct(F.col("doc").isNull().alias("no_id"), "doc", "text_md5")
     winners = linked.groupBy("root").agg(F.min(order).alias("w")).select(F.col("w.doc").alias("w_doc"), F.col("w.text_md5").alias("w_md5"))
     names = docs.columns
+    others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names) if c not in (id_col, text_col)]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(id_col).alias("doc"),
-                       F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")).alias("text_md5"))
+                       F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")).alias("text_md5"),
+                       (F.to_json(F.struct(*others)) if others else F.lit("")).alias("tie"))
     kept = rows.join(winners, rows.doc.eqNullSafe(winners.w_doc) & (rows.text_md5 == winners.w_md5), "left_semi")
-    return kept.groupBy("doc", "text_md5").agg(F.min("row").alias("row")).select(*[F.col(f"row.`{c}`") for c in names])
+    return kept.groupBy("doc", "text_md5").agg(F.min_by("row", "tie").alias("row")).select(*[F.col(f"row.`{c}`") for c in names])

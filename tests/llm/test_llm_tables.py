@@ -135,6 +135,13 @@ def test_components_of_documents(spark):
     assert simhash.simhash_components(df.limit(0)).count() == 0 and simhash.one_per_group(df.limit(0)).count() == 0
 
 
+def test_groups_with_columns_that_have_no_order(spark):
+    df = docs(spark, [doc(1, "one two three four"), doc(1, "one two three four"), doc(2, "One two three four")])
+    df = df.withColumn("m", F.create_map(F.lit("k"), F.col("doc_id"))).withColumn("a b", F.lit(1))
+    got = simhash.one_per_group(df)
+    assert got.columns == df.columns and [(r.doc_id, r.m) for r in got.collect()] == [(1, {"k": 1})]
+
+
 def test_group_without_ids_keeps_one(spark):
     df = docs(spark, [(None, "same text here", "en", s, 1) for s in "abca"])
     assert [r.source for r in simhash.one_per_group(df).collect()] == ["a"]

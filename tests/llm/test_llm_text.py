@@ -58,6 +58,28 @@ def test_segment_tree_takes_leftmost_lowest_rank():
     assert ids.tolist() == [2, 3, 3] and n.tolist() == [2, 1]
 
 
+def test_bpe_rows_and_lists_agree(library, monkeypatch):
+    rng = np.random.default_rng(19)
+    texts = ["".join(rng.choice(list("etaoinshr"), int(n))) for n in (1, 2, 3, 700, 5000)] + ["x\u00e9" * 50, "aaaa " * 9, "\x00\x00"]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for few in (0, 10 ** 9):
+        monkeypatch.setattr(bpe, "FEW_ROWS", few)
+        ids, n, _ = bpe.Encoder(bpe.load_vocabulary(tokenizer_path("word_bpe_49k.json"))).encode(texts)
+        ends = np.cumsum(n)
+        assert [ids[e - k:e].tolist() for e, k in zip(ends, n)] == want
+
+
+def test_bpe_very_long_piece(library):
+    import time
+    rng = np.random.default_rng(20)
+    text = "".join(rng.choice(list("etaoinshrdlucmfwyp"), 100_000))
+    encoder = bpe.Encoder(bpe.load_vocabulary(tokenizer_path("word_bpe_49k.json")))
+    start = time.perf_counter()
+    ids, _, _ = encoder.encode([text])
+    assert time.perf_counter() - start < 10
+    assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_bpe_empty_table(spark):
     out = bpe.bpe_digest(docs(spark, []), tokenizer_path("word_bpe_49k.json"))
     assert out.count() == 0 and out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
