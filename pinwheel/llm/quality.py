@@ -14,9 +14,9 @@ deviations), concentration steps keep the ``SHARE`` of the rows that lie nearest
 Mahalanobis distance) and take mean and covariance of those, until no group's nearest rows
 change any more (``MOST_STEPS`` at most); the start that ends with the least determinant counts.
 The covariance is made consistent for normal data. Scales have floors, from quartiles of all
-texts: for logarithms a quarter of the scale of all texts; for the other statistics, which are
-zero for most texts, what a single symbol, line or word makes in a text of median length. A
-text is kept if its squared distance is at most the chi-square quantile ``QUANTILE``.
+texts: for logarithms the scale of all texts; for the other statistics, which are zero for
+most texts, what ``FEW`` symbols, lines or words make in a text of median length. A text is
+kept if its squared distance is at most the chi-square quantile ``QUANTILE``.
 
 Quantiles come from counts per value (medians) or per distance bin (the nearest rows), which
 tasks pre-aggregate; a group's rows never meet in one task. Group estimates are joined back
@@ -36,8 +36,9 @@ from pinwheel.llm.common import saved
 STATS = ("ln_words", "ln_length", "symbols", "lines", "repeats", "echoes")
 MIN_ROWS, SHARE, MOST_STEPS, QUANTILE = 50, 0.75, 20, 0.9999
 UNIT = 1024
-# Squared distances are cut into bins of 1/64; beyond the last bin no row is among the nearest.
-BIN, LAST_BIN = 64, 1 << 20
+FEW = 2
+# Distances are cut into bins of 1/128; beyond the last bin no row is among the nearest.
+BIN, LAST_BIN = 128, 1 << 17
 BROADCAST_GROUPS = 20_000
 N = len(STATS)
 
@@ -131,9 +132,9 @@ def _num(v: float) -> str:
 
 def floor_columns() -> list[tuple[str, str]]:
     """Least scales f_i from the quartiles lo_i, mid_i, hi_i of all passing texts."""
-    words = f"exp(CAST(mid0 AS DOUBLE) / {_num(-2.0 * UNIT)})"
-    chars = f"exp(CAST(mid0 + mid1 AS DOUBLE) / {_num(-2.0 * UNIT)})"
-    logs = [f"greatest((hi{i} - lo{i}) / {_num(1.349 * 4)}, {_num(1.0)}) / {_num(UNIT)}" for i in range(2)]
+    words = f"{_num(math.sqrt(FEW))} * exp(CAST(mid0 AS DOUBLE) / {_num(-2.0 * UNIT)})"
+    chars = f"{_num(math.sqrt(FEW))} * exp(CAST(mid0 + mid1 AS DOUBLE) / {_num(-2.0 * UNIT)})"
+    logs = [f"greatest((hi{i} - lo{i}) / {_num(1.349)}, {_num(1.0)}) / {_num(UNIT)}" for i in range(2)]
     return [(f"f{i}", sql) for i, sql in enumerate([*logs, chars, words, words, words])]
 
 
@@ -185,7 +186,7 @@ def distance_steps() -> list[tuple[str, str]]:
     return [*steps, ("d2", " + ".join(f"y{i} * y{i}" for i in range(N)))]
 
 
-BIN_SQL = f"CAST(least(floor(d2 * {BIN}), {LAST_BIN}) AS BIGINT)"
+BIN_SQL = f"CAST(least(floor(sqrt(d2) * {BIN}), {LAST_BIN}) AS BIGINT)"
 STATE = [f"m{i}" for i in range(N)] + [f"l{i}{j}" for i in range(N) for j in range(i + 1)]
 FLOORS = [f"f{i}" for i in range(N)]
 SUMS = [f"s{i}" for i in range(N)] + [f"p{i}{j}" for i in range(N) for j in range(i + 1)]
@@ -255,14 +256,16 @@ def _starts(rows: DataFrame) -> DataFrame:
 
 def _concentrated(rows: DataFrame, state: DataFrame, few: bool) -> DataFrame:
     """One concentration step: for each group and start, sums over its nearest rows and the
-    estimate from them."""
+    estimate from them. Two passes over the vectors, and next to nothing to shuffle."""
     keys = ["grp", "start"]
     binned = _measured(rows, state.select(*keys, *STATE), few).select(*keys, *[f"v{i}" for i in range(N)], F.expr(BIN_SQL).alias("bin"))
-    bins = binned.groupBy(*keys, "bin").agg(*_sums())  # sums per bin: the rows are read once per step
+    # Narrow counts first: where the nearest rows end. Then one row of sums per group and task.
+    counts = binned.groupBy(*keys, "bin").agg(F.count("*").alias("n"))
     before = F.sum("n").over(W.partitionBy(*keys).orderBy("bin")) - F.col("n")
-    near = bins.withColumn("before", before).withColumn("all", F.sum("n").over(W.partitionBy(*keys))) \
-        .where(F.col("before") < F.lit(SHARE) * F.col("all"))
-    total = near.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n", *SUMS)]).join(state.select(*keys, *FLOORS), keys)
+    last = saved(counts.withColumn("before", before).withColumn("all", F.sum("n").over(W.partitionBy(*keys)))
+                 .where(F.col("before") < F.lit(SHARE) * F.col("all")).groupBy(*keys).agg(F.max("bin").alias("last")))
+    near = binned.join(F.broadcast(last) if few else last, keys).where(F.col("bin") <= F.col("last"))
+    total = near.groupBy(*keys).agg(*_sums()).join(state.select(*keys, *FLOORS), keys)
     moments = total.select(*keys, "n", *SUMS, *FLOORS, *[F.expr(sql).alias(name) for name, sql in moment_columns()])
     return _with(moments, cholesky_steps()).select(*keys, "n", *SUMS, *FLOORS, *STATE)
 

@@ -370,8 +370,8 @@ def test_base_statistics_equal_brute_force(spark):
 def brute_floors(vectors):
     ordered = np.sort(np.array(vectors, float), axis=0)
     lo, mid, hi = (ordered[-(-len(vectors) * q // 4) - 1] / quality.UNIT for q in (1, 2, 3))
-    word = np.exp(-mid[0] / 2)
-    return np.array([*np.maximum((hi - lo)[:2] / 1.349 / 4, 1 / quality.UNIT), np.exp(-(mid[0] + mid[1]) / 2), word, word, word])
+    word = np.sqrt(quality.FEW) * np.exp(-mid[0] / 2)
+    return np.array([*np.maximum((hi - lo)[:2] / 1.349, 1 / quality.UNIT), np.sqrt(quality.FEW) * np.exp(-(mid[0] + mid[1]) / 2), word, word, word])
 
 
 def brute_mcd(vectors, floor):
@@ -386,7 +386,7 @@ def brute_mcd(vectors, floor):
         cov, last = floored(np.diag(scale ** 2)), None
         for _ in range(quality.MOST_STEPS):
             d = np.einsum("ni,ij,nj->n", x - mean, np.linalg.inv(cov), x - mean)
-            bins = np.minimum(np.floor(d * quality.BIN), quality.LAST_BIN)
+            bins = np.minimum(np.floor(np.sqrt(d) * quality.BIN), quality.LAST_BIN)
             near = np.array([(bins < b).sum() < quality.SHARE * n for b in bins])
             if last is not None and (near == last).all():
                 break
@@ -489,7 +489,7 @@ def test_every_statistic_can_reject(spark):
            "symbols": " ".join(w + "&" * (k % 3) for k, w in enumerate(words)),
            "lines": "\n".join(x for k, w in enumerate(words) for x in (w, "one")[:1 + (k % 2)]),
            "repeats": "\n".join(lines + [" ".join([*lines[k].split(), f"new{k}"]) for k in range(4)]),
-           "echoes": " ".join(x for k, w in enumerate(words) for x in [w] * (1 + (k % 5 == 0)))}
+           "echoes": " ".join(x for k, w in enumerate(words) for x in [w] * (1 + (k % 3 == 0)))}
     assert list(odd) == list(quality.STATS)
     rows += [doc(900 + k, t, "en", "A") for k, t in enumerate(odd.values())]
     got = {r.doc_id: r for r in quality.quality_rules(docs(spark, rows)).collect()}
