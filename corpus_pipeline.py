@@ -55,7 +55,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the ``documents`` of ``sf_dir``; stage results lie in the shared checkpoint folder."""
+    """All stages over the ``documents`` of ``sf_dir``.
+
+    Stage results lie in a folder ``pipeline-<uuid>`` of the shared checkpoint folder. The
+    returned rows are read from there, so it stays; delete it when they have been used.
+    """
     folder = f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4()}"
     docs = load(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:

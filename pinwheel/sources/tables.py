@@ -127,9 +127,10 @@ def points_supplier_line(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def written_lines(lines: DataFrame, order: str | None = None) -> str:
     """Write a ``value`` column as text files into the shared checkpoint folder, sorted by
-    ``order`` if given (then files in path order hold the lines in that order); their path."""
+    ``order`` if given (then files in path order hold the lines in that order; the session says
+    how many); their path. The folder stays until its reader deletes it."""
     path = f"{checkpoint_dir(lines.sparkSession)}/lines-{uuid.uuid4()}"
-    sorted_lines = lines.repartitionByRange(4, order).sortWithinPartitions(order) if order else lines
+    sorted_lines = lines.repartitionByRange(order).sortWithinPartitions(order) if order else lines
     sorted_lines.select("value").write.text(path)
     return path
 
