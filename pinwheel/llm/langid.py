@@ -17,19 +17,20 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from pinwheel.llm.common import column, held_out, lowest_ids, map_text, ragged, texts_of
-from pinwheel.llm.subwords import gram_buckets, numbered_words
+from pinwheel.llm.common import column, held_out, lowest_ids, map_text, ragged, saved, texts_of
+from pinwheel.llm.subwords import WORDS, gram_buckets, numbered_words
 
 SAMPLE_PER_LANGUAGE = 400
 GRAMS = (2, 3, 4)
 BUCKETS = 1 << 16
 DIM = 16
 EPOCHS = 6
-EXCERPTS = 4
+EXCERPTS, EXCERPT_WORDS, EXCERPT_CHARS = 4, 60, 2000
 PRECISION = 0.995
 UNDETERMINED = "und"
 
@@ -49,32 +50,35 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def _excerpts(texts: list[str], labels: np.ndarray, rng) -> tuple[list[np.ndarray], np.ndarray]:
-    """Bucket lists of ``EXCERPTS`` excerpts of 1 to 60 words from anywhere in each text, and
-    their labels; a text without words gives none."""
+def excerpts(text: str, rng) -> list[str]:
+    """``EXCERPTS`` excerpts of 1 to ``EXCERPT_WORDS`` words from anywhere in a text, words beyond
+    ``EXCERPT_CHARS`` characters cut off; none without words."""
+    words = WORDS.findall(text.lower())
+    out = []
+    for _ in range(EXCERPTS if words else 0):
+        size = min(len(words), int(np.exp(rng.uniform(0, np.log(EXCERPT_WORDS)))) + 1)
+        place = int(rng.integers(0, len(words) - size + 1))
+        out.append(" ".join(words[place:place + size])[:EXCERPT_CHARS])
+    return out
+
+
+def _bucket_lists(texts: list[str]) -> list[np.ndarray]:
     words, at, per_text = numbered_words(texts)
     buckets, counts = gram_buckets(words, GRAMS, BUCKETS)
-    first = np.cumsum(counts) - counts
-    out, y = [], []
-    for end, n, label in zip(np.cumsum(per_text).tolist(), per_text.tolist(), labels.tolist()):
-        for _ in range(EXCERPTS if n else 0):
-            size = min(n, int(np.exp(rng.uniform(0, np.log(60)))) + 1)
-            place = end - n + int(rng.integers(0, n - size + 1))
-            part = at[place:place + size]
-            out.append(buckets[ragged(first[part], counts[part])])
-            y.append(label)
-    return out, np.array(y, np.int64)
-
-
-def train(texts: list[str], labels: list[str], seed: int = 7) -> Model:
-    """Fit on texts with labels (code point order of the labels breaks all ties)."""
-    languages = sorted(set(labels))
+    first, ends = np.cumsum(counts) - counts, np.cumsum(per_text)
+    return [buckets[ragged(first[at[e - n:e]], counts[at[e - n:e]])] for e, n in zip(ends.tolist(), per_text.tolist())]
+
+
+def train(texts: list[str], labels: list[str], check: list[bool], languages: list[str], seed: int = 7) -> Model:
+    """Fit on excerpts with labels out of ``languages`` (in order); those marked by ``check`` only
+    calibrate."""
     if not languages:
         return Model(np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32), [], 1.0, 0.0)
     rng = np.random.default_rng(seed)
-    y_doc = np.array([languages.index(x) for x in labels])
-    check = np.arange(len(texts)) % 5 == 4
-    fit_x, fit_y = _excerpts([t for t, c in zip(texts, check) if not c], y_doc[~check], rng)
+    y = np.array([languages.index(x) for x in labels], np.int64)
+    held = np.array(check, bool)
+    x = _bucket_lists(texts)
+    fit_x, fit_y = [b for b, c in zip(x, held) if not c], y[~held]
     embed = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
     layer, bias = np.zeros((DIM, len(languages)), np.float32), np.zeros(len(languages), np.float32)
     sizes = np.array([len(x) for x in fit_x])
@@ -95,7 +99,7 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Model:
             bias -= rate * error.sum(0)
             np.subtract.at(embed, flat, (rate * len(part) * back[owner]).astype(np.float32))
     model = Model((embed @ layer).astype(np.float32), bias.astype(np.float32), languages, 1.0, 0.0)
-    return _calibrated(model, *_excerpts([t for t, c in zip(texts, check) if c], y_doc[check], rng))
+    return _calibrated(model, [b for b, c in zip(x, held) if c], y[held])
 
 
 def _calibrated(model: Model, x: list[np.ndarray], y: np.ndarray) -> Model:
@@ -143,9 +147,43 @@ def training_sample(df: DataFrame, id_col: str, text_col: str, lang_col: str) ->
 
 
 def fit_language_id(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Learn from the texts and non-null languages of the rows that aren't held out."""
-    rows = training_sample(df, id_col, text_col, lang_col).orderBy("rank", "doc", "text").select("text", "lang").collect()
-    return train([r.text for r in rows], [r.lang for r in rows])
+    """Learn from the texts and non-null languages of the rows that aren't held out.
+
+    Tasks cut the sample's texts into excerpts, chosen by the md5 of the id; one task trains on
+    these bounded strings, sorted so that reruns agree. The driver only passes the model on.
+    """
+    sample = training_sample(df, id_col, text_col, lang_col).select("rank", "text", "lang")
+
+    def cut(batches):
+        for batch in batches:
+            out = []
+            for rank, text, lang in zip(*(column(batch, c).to_pylist() for c in ("rank", "text", "lang"))):
+                check = int(rank[-4:], 16) % 5 == 4
+                out += [(rank, k, lang, part, check) for k, part in enumerate(excerpts(text, np.random.default_rng(int(rank[:15], 16))))]
+            if out:
+                yield pa.RecordBatch.from_pydict(dict(zip(("rank", "k", "lang", "excerpt", "held"), (
+                    pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int32(), pa.string(), pa.string(), pa.bool_()))))))
+
+    def fit(batches):
+        texts, labels, check = [], [], []
+        for batch in batches:
+            texts += column(batch, "excerpt").to_pylist()
+            labels += column(batch, "lang").to_pylist()
+            check += column(batch, "held").to_pylist()
+        m = train(texts, labels, check, sorted(set(labels)))
+        yield pa.RecordBatch.from_pydict({
+            "logits": pa.array([m.table.tobytes()], pa.binary()), "bias": pa.array([m.bias.tolist()], pa.list_(pa.float32())),
+            "languages": pa.array([m.languages], pa.list_(pa.string())), "temperature": pa.array([m.temperature], pa.float64()),
+            "reject_below": pa.array([m.reject_below], pa.float64())})
+
+    parts = sample.mapInArrow(cut, "rank string, k int, lang string, excerpt string, held boolean")
+    found = saved(parts.repartition(1).sortWithinPartitions("rank", "lang", "k", "excerpt").mapInArrow(
+        fit, "logits binary, bias array<float>, languages array<string>, temperature double, reject_below double")).collect()
+    if not found or not found[0].languages:
+        return train([], [], [], [])
+    r = found[0]
+    table = np.frombuffer(r.logits, np.float32).reshape(BUCKETS, len(r.languages))
+    return Model(table, np.array(r.bias, np.float32), list(r.languages), r.temperature, r.reject_below)
 
 
 def identify_language(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -106,6 +106,26 @@ def language_rows(n=60):
             for i, lang in enumerate(["aa", "bb"] * n)]
 
 
+def test_language_scores_equal_slow_ones(spark):
+    """Average of the logits of all character n-grams of all words, one by one."""
+    rows = language_rows()
+    model = langid.fit_language_id(docs(spark, rows))
+    texts = ["kakiko lulelo", "Ka", "lu " * 300, "é x", " \n", "12"]
+    got = langid.scores(model, texts)
+    for text, p in zip(texts, got):
+        grams = [subwords.gram_buckets([w], langid.GRAMS, langid.BUCKETS)[0] for w in subwords.WORDS.findall(text.lower())]
+        every = [model.table[b].astype(float) for g in grams for b in g]
+        z = (np.mean(every, axis=0) if every else 0) + model.bias
+        assert p == pytest.approx(langid.softmax(z / model.temperature), rel=1e-5)
+
+
+def test_language_excerpts_are_bounded():
+    rng = np.random.default_rng(3)
+    assert langid.excerpts("", rng) == [] and langid.excerpts("one", rng) == ["one"] * langid.EXCERPTS
+    long = langid.excerpts("w" * 50_000 + " " + "two words " * 5000, rng)
+    assert all(len(x) <= langid.EXCERPT_CHARS and len(x.split()) <= langid.EXCERPT_WORDS for x in long)
+
+
 def test_language_learned_and_undetermined(spark):
     rows = language_rows() + [doc(1000, None), doc(1001, ""), doc(1002, "12 34 --"), doc(1003, "kakiko " * 3000, None), (None, "lulelo", None, None, None)]
     df = docs(spark, rows).withColumn("score", F.lit("x")).withColumn("held_out", F.lit(1))
