@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from pinwheel.functions.distance import euclidean
 from pinwheel.operators.geometry import PointStats, validate_points
 from pinwheel.operators.kcenter import KCenterResult, kcenter_outliers
-from pinwheel.operators.objective import objective_partitioned, objective_value
+from pinwheel.operators.objective import objective_value, partitioned_in_one_pass
 from pinwheel.session import checkpoint_dir
 
 # Largest per-group center table (rows x dimensions) broadcast to every task.
@@ -295,6 +295,6 @@ def mr_kcenter(points: DataFrame, k: int, z: int, parts: int, alpha: float = 2.0
     checkpoint_dir(points.sparkSession)
     core = partition_coreset(pts, k, z, parts, stats=stats).checkpoint()
     solution = kcenter_outliers(core.select("id", "ord", "coords", "w"), k, z, alpha, guard_n=stats.n)
-    obj = objective_value(objective_partitioned(pts, solution.centers, z, stats=stats)) if stats.n else 0.0
+    obj = objective_value(partitioned_in_one_pass(pts, solution.centers, z, stats=stats)) if stats.n else 0.0
     solution.extra = {"parts": parts}
     return TwoRoundResult(solution, core, obj, parts)

@@ -7,10 +7,16 @@ All three take a (z+1)-th largest distance d(x, S):
   ranked together;
 - ``objective_points``: over all points, duplicates included (drop the z farthest points).
 
-The distances are computed once. For points, every task keeps its z+1 largest (a limit after a
-sort). For distinct values a task keeps a state of at most z+1 distinct entries, updated batch
-by batch; entries of all tasks are merged and the z+1 largest ranked. A task's state holds
-whatever of the answer its rows contribute, so nothing is lost however z and the values are.
+Few values move: the entries are hashed into 4(z+1) buckets and each task sends one maximum
+per bucket. Maxima of different buckets belong to different entries, so the (z+1)-th largest
+of them can't exceed the answer; the second pass only ranks what reaches that bound, usually
+little more than z+1 entries. Nothing depends on the size of z otherwise.
+
+``distinct_in_one_pass``, ``partitioned_in_one_pass`` and ``points_in_one_pass`` give the same
+values and compute the distances once. For points, every task keeps its z+1 largest (a limit
+after a sort). For distinct values a task keeps a state of at most z+1 distinct entries,
+updated batch by batch; the states of all tasks are merged and ranked. They also check the
+points on the way, without a pass of their own. The solvers use them.
 """
 
 from __future__ import annotations
@@ -20,7 +26,61 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pinwheel.operators.geometry import PointStats, dist_to_centers
+from pinwheel.operators.geometry import PointStats, dist_to_centers, validate_points
+
+BUCKETS_PER_RANK = 4
+
+
+def _kth_largest(values: DataFrame, z: int, entry: list[str], distinct: bool) -> DataFrame:
+    """The (z+1)-th largest ``dist``. Rows that agree in ``entry`` are one entry if ``distinct``;
+    otherwise ``entry`` tells the rows apart."""
+    bucket = F.pmod(F.xxhash64(*entry), F.lit(BUCKETS_PER_RANK * (z + 1)))
+    maxima = values.groupBy(bucket.alias("b")).agg(F.max("dist").alias("m")).orderBy(F.desc("m")).limit(z + 1)
+    row = maxima.agg(F.count(F.lit(1)).alias("c"), F.min("m").alias("m")).collect()[0]
+    reach = values.where(F.col("dist") >= F.lit(float(row["m"]))) if row["c"] > z else values
+    if distinct:
+        reach = reach.select(*entry).distinct()
+    top = reach.orderBy(F.desc("dist")).limit(z + 1)
+    return top.agg(F.count(F.lit(1)).alias("c"), F.min("dist").alias("m")).select(
+        F.when(F.col("c") >= z + 1, F.col("m"))
+         .otherwise(F.raise_error(F.lit(f"fewer than {z + 1} distance values")).cast("double"))
+         .alias("objective"))
+
+
+def _zero(points: DataFrame) -> DataFrame:
+    return points.sparkSession.range(1).select(F.lit(0.0).alias("objective"))
+
+
+def objective_distinct(points: DataFrame, centers: DataFrame, z: int,
+                       stats: PointStats | None = None) -> DataFrame:
+    """(z+1)-th largest distinct value of d(x, S); 0 when |P| = |S| or S is empty (O1).
+
+    ``stats`` (from ``validate_points``) saves a pass when the caller already has it."""
+    stats = stats or validate_points(points)
+    if centers.count() in (0, stats.n):
+        return _zero(points)
+    return _kth_largest(dist_to_centers(points, centers, stats.d), z, ["dist"], distinct=True)
+
+
+def objective_partitioned(points: DataFrame, centers: DataFrame, z: int, parts: int | None = None,
+                          stats: PointStats | None = None) -> DataFrame:
+    """(z+1)-th largest of the distinct d(x, S) of every group ``part`` (``pmod(id, parts)``
+    when given), equal values of different groups counted each (O2). 0 when S is empty."""
+    stats = stats or validate_points(points)
+    if centers.isEmpty():
+        return _zero(points)
+    pts = points if parts is None else points.withColumn("part", F.pmod(F.col("id"), F.lit(parts)))
+    return _kth_largest(dist_to_centers(pts, centers, stats.d), z, ["part", "dist"], distinct=True)
+
+
+def objective_points(points: DataFrame, centers: DataFrame, z: int,
+                     stats: PointStats | None = None) -> DataFrame:
+    """(z+1)-th largest d(x, S) over all points, duplicates kept (O3). 0 when S is empty."""
+    stats = stats or validate_points(points)
+    if centers.isEmpty():
+        return _zero(points)
+    return _kth_largest(dist_to_centers(points, centers, stats.d), z, ["id", "ord"], distinct=False)
+
 
 # Entries that a task gathers before it cuts its state down to z+1 again.
 GATHERED = 1 << 16
@@ -83,11 +143,7 @@ def _kth_distinct(values: DataFrame, z: int, zero: Column | None = None) -> Data
     return _objective(merged.orderBy(F.desc_nulls_first("dist")).limit(z + 2), z, zero)
 
 
-def _zero(points: DataFrame) -> DataFrame:
-    return points.sparkSession.range(1).select(F.lit(0.0).alias("objective"))
-
-
-def objective_distinct(points: DataFrame, centers: DataFrame, z: int,
+def distinct_in_one_pass(points: DataFrame, centers: DataFrame, z: int,
                        stats: PointStats | None = None) -> DataFrame:
     """(z+1)-th largest distinct value of d(x, S); 0 when |P| = |S| or S is empty (O1).
 
@@ -100,7 +156,7 @@ def objective_distinct(points: DataFrame, centers: DataFrame, z: int,
     return _kth_distinct(near.withColumn("part", F.lit(0)), z, zero=F.col("n") == k)
 
 
-def objective_partitioned(points: DataFrame, centers: DataFrame, z: int, parts: int | None = None,
+def partitioned_in_one_pass(points: DataFrame, centers: DataFrame, z: int, parts: int | None = None,
                           stats: PointStats | None = None) -> DataFrame:
     """(z+1)-th largest of the distinct d(x, S) of every group ``part`` (``pmod(id, parts)``
     when given), equal values of different groups counted each (O2). 0 when S is empty."""
@@ -110,7 +166,7 @@ def objective_partitioned(points: DataFrame, centers: DataFrame, z: int, parts:
     return _kth_distinct(_distances(pts.select("id", "part", "coords"), centers, stats), z)
 
 
-def objective_points(points: DataFrame, centers: DataFrame, z: int,
+def points_in_one_pass(points: DataFrame, centers: DataFrame, z: int,
                      stats: PointStats | None = None) -> DataFrame:
     """(z+1)-th largest d(x, S) over all points, duplicates kept (O3). 0 when S is empty."""
     if centers.isEmpty():

@@ -140,7 +140,7 @@ def q_kcenter_outliers(spark, sf_dir):
 def q_kcenter_metrics(spark, sf_dir):
     pts = tables.points_customer(spark, sf_dir)
     res = kcenter.kcenter_outliers(pts, K, Z, 0.0)
-    obj = objective.objective_value(objective.objective_distinct(pts, res.centers, Z, stats=res.stats))
+    obj = objective.objective_value(objective.distinct_in_one_pass(pts, res.centers, Z, stats=res.stats))
     return res.metrics(spark, obj).select("n", "k", "z", "initial_guess", "final_guess", "guesses",
                                           "left_weight", "objective")
 
@@ -327,6 +327,19 @@ def q_objective_points_many(spark, sf_dir):
     return objective.objective_points(*_many_input(spark, sf_dir), MANY_Z)
 
 
+def q_objective_distinct_once(spark, sf_dir):
+    """The same values as the ``_many`` queries, distances computed once."""
+    return objective.distinct_in_one_pass(*_many_input(spark, sf_dir), MANY_Z)
+
+
+def q_objective_partitioned_once(spark, sf_dir):
+    return objective.partitioned_in_one_pass(*_many_input(spark, sf_dir), MANY_Z, PARTS)
+
+
+def q_objective_points_once(spark, sf_dir):
+    return objective.points_in_one_pass(*_many_input(spark, sf_dir), MANY_Z)
+
+
 QUERIES = {
     "points_file": q_points_file,
     "points_file_joined": q_points_file_joined,
@@ -343,6 +356,9 @@ QUERIES = {
     "objective_distinct_many": q_objective_distinct_many,
     "objective_partitioned_many": q_objective_partitioned_many,
     "objective_points_many": q_objective_points_many,
+    "objective_distinct_once": q_objective_distinct_once,
+    "objective_partitioned_once": q_objective_partitioned_once,
+    "objective_points_once": q_objective_points_once,
     "points_parse": q_points_parse,
     "euclidean_pairs": q_euclidean_pairs,
     "nearest_center": q_nearest_center,
@@ -513,3 +529,5 @@ ORACLES.update({
     "objective_points_many": _MANY + f"SELECT min(dist) AS objective FROM (SELECT dist FROM d ORDER BY dist DESC LIMIT {MANY_Z + 1})",
 })
 ORACLES["points_file_joined"] = ORACLES["points_file"]
+for _form in ("distinct", "partitioned", "points"):
+    ORACLES[f"objective_{_form}_once"] = ORACLES[f"objective_{_form}_many"]

@@ -169,3 +169,36 @@ def test_objectives_match_bruteforce(spark, z):
     got = (objective.objective_distinct(pts_df, centers, z), objective.objective_partitioned(pts_df, centers, z, 4),
            objective.objective_points(pts_df, centers, z))
     assert tuple(objective.objective_value(g) for g in got) == want
+
+
+@pytest.mark.parametrize("z", [0, 6, 300])
+def test_one_pass_equals_two(spark, z, monkeypatch):
+    monkeypatch.setattr(objective, "GATHERED", 50)
+    pts = tables.points_customer(spark, SF_CHECK)
+    centers = pts.where(F.col("id") % 400 == 3)
+    value = objective.objective_value
+    assert value(objective.distinct_in_one_pass(pts, centers, z)) == value(objective.objective_distinct(pts, centers, z))
+    assert value(objective.partitioned_in_one_pass(pts, centers, z, 4)) == value(objective.objective_partitioned(pts, centers, z, 4))
+    assert value(objective.points_in_one_pass(pts, centers, z)) == value(objective.objective_points(pts, centers, z))
+
+
+def test_one_pass_guards(spark):
+    pts = points_df(spark, [[0.0], [3.0]])
+    empty = pts.filter(F.col("id") < 0)
+    value = objective.objective_value
+    assert value(objective.distinct_in_one_pass(pts, empty, 0)) == value(objective.partitioned_in_one_pass(pts, empty, 0, 2)) == 0.0
+    assert value(objective.distinct_in_one_pass(pts, pts, 0)) == 0.0
+    for bad in ([[0.0], [None]], [[0.0], [float("nan")]], [[0.0], [1.0, 2.0]]):
+        rows = spark.createDataFrame([(i, i, c) for i, c in enumerate(bad)], "id long, ord long, coords array<double>")
+        with pytest.raises(Exception):
+            value(objective.points_in_one_pass(rows, pts.limit(1), 0))
+    with pytest.raises(Exception, match="fewer than 6"):
+        value(objective.points_in_one_pass(pts, pts.limit(1), 5))
+
+
+def test_one_pass_scans_once(spark):
+    pts = tables.points_customer(spark, SF_CHECK)
+    centers = pts.where(F.col("id") % 400 == 3).limit(2)
+    for df in (objective.distinct_in_one_pass(pts, centers, 5), objective.points_in_one_pass(pts, centers, 5)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Scan parquet") == 1 and "Window" not in plan
