@@ -5,8 +5,9 @@ lowest), ``coords array<double>`` and optionally ``w bigint`` (weight, default 1
 
 Scale notes
 - A small center set is inlined as literals, so distance-to-centers is a plain projection
-  compiled by whole-stage codegen: no join and no shuffle. One of bounded size is a single
-  broadcast row that every point folds. Beyond that bound both sides are dealt out by space
+  compiled by whole-stage codegen: no join and no shuffle. For one of bounded size the space is
+  cut into cells, and a point folds the centers that can be nearest within its cell (in more than
+  ``GRID_DIMS`` dimensions all of them). Beyond that bound both sides are dealt out by space
   (``neighbours.nearest_by_cells``), and no center passes the driver.
 - Balls (all y within r of x) are a theta join. It runs as an equi-join on grid cells of side
   >= r plus the exact distance test, never as a cross join. Ball weights go further where
@@ -100,10 +101,66 @@ def nearest_literal(dists: Column, centers: list[tuple]) -> tuple[Column, Column
 
 # Center sets up to this many coordinates are inlined as literals (compiled code).
 LITERAL_CENTER_VALUES = 1024
+# Beyond this many centers the generated code gets too long to be compiled, and points fold
+# the few candidates of their cell instead where there are cells (``_with_candidates``).
+LITERAL_CENTERS = 32
 # Up to this many they are one broadcast row; beyond it both sides are joined by space.
 BLOCK_VALUES = 200_000
 
 
+# Cells per center, at most so many cells, and so many pairs of a cell and a center.
+CELLS_PER_CENTER, MOST_CELLS, CELL_TESTS = 8, 16_384, 100_000_000
+# Lists of candidates up to this many coordinates in all are broadcast, longer ones shuffled.
+CANDIDATE_VALUES = 2_000_000
+# Up to this many candidates are compared by compiled code, more by a lambda.
+UNROLLED_CANDIDATES = 16
+
+
+def _with_candidates(points: DataFrame, block: DataFrame, n: int, d: int) -> DataFrame:
+    """``points`` with ``_cs``: those of the ``n`` centers of ``block`` (one row, ``_cs``) that can be
+    nearest to the point. All do in more than ``GRID_DIMS`` dimensions.
+
+    A center whose smallest distance from a cell exceeds another's largest one is nearest to no
+    point of the cell. Points with a coordinate that isn't finite have a cell of their own.
+    """
+    spark = points.sparkSession
+    x = [F.when(F.abs(F.col("coords").getItem(i)) < float("inf"), F.col("coords").getItem(i)) for i in range(d)]
+    row = points.agg(*[f(x[i]).alias(f"{e}{i}") for i in range(d) for f, e in ((F.min, "lo"), (F.max, "hi"))]).first() \
+        if 0 < d <= GRID_DIMS else None
+    if row is None or any(v is None for v in row):
+        return points.withColumn("_k", F.lit(0)).join(F.broadcast(block), "_k").drop("_k")
+    lo, extent = [row[f"lo{i}"] for i in range(d)], [row[f"hi{i}"] - row[f"lo{i}"] for i in range(d)]
+    most = max(1, min(CELLS_PER_CENTER * n, MOST_CELLS, CELL_TESTS // n))
+    width = max(max(extent), 1e-300)
+    while math.isfinite(width) and math.prod(math.floor(e / (width / 1.1)) + 1 for e in extent) <= most and width > max(extent) / most:
+        width /= 1.1
+    res = [math.floor(e / width) + 1 if math.isfinite(width) else 1 for e in extent]
+    strides = [math.prod(res[:i]) for i in range(d)]
+    at = [F.least(F.greatest(F.floor((x[i] - F.lit(lo[i])) / F.lit(width)), F.lit(0)), F.lit(res[i] - 1)) * F.lit(strides[i]) for i in range(d)]
+    finite = math.prod([F.when(v.isNotNull(), 1).otherwise(0) for v in x[1:]], start=F.when(x[0].isNotNull(), 1).otherwise(0))
+    cell = F.when(finite == 1, sum(at[1:], at[0])).otherwise(F.lit(-1)).cast("long")
+
+    # A point may lie a rounding error outside its computed cell.
+    slack = [width * 1e-6 + max(abs(row[f"lo{i}"]), abs(row[f"hi{i}"])) * 1e-14 for i in range(d)]
+    place = [F.pmod(F.floor(F.col("id") / F.lit(strides[i])), F.lit(res[i])) for i in range(d)]
+    cells = spark.range(-1, math.prod(res)).select(
+        F.col("id").alias("_cell"), F.lit(0).alias("_k"),
+        *[(F.lit(lo[i]) + place[i] * F.lit(width) - F.lit(slack[i])).alias(f"_lo{i}") for i in range(d)],
+        *[(F.lit(lo[i]) + (place[i] + 1) * F.lit(width) + F.lit(slack[i])).alias(f"_hi{i}") for i in range(d)])
+
+    c = F.col("_c.c")
+    ends = [(F.col(f"_lo{i}") - c.getItem(i), c.getItem(i) - F.col(f"_hi{i}")) for i in range(d)]
+    near, far = [F.greatest(a, b, F.lit(0.0)) for a, b in ends], [F.greatest(-a, -b) for a, b in ends]
+    met = cells.join(F.broadcast(block), "_k").withColumn("_c", F.explode("_cs"))
+    bound = met.groupBy("_cell").agg((F.min(F.sqrt(sum((v * v for v in far[1:]), far[0] * far[0]))) * F.lit(1 + 1e-9)).alias("_most"))
+    found = met.join(bound, "_cell").where((F.col("_cell") < 0) | (F.sqrt(sum((v * v for v in near[1:]), near[0] * near[0])) <= F.col("_most"))) \
+        .groupBy("_cell").agg(F.sort_array(F.collect_list("_c")).alias("_cs"))
+    checkpoint_dir(spark)
+    found = found.checkpoint()
+    few = found.agg(F.sum(F.size("_cs"))).first()[0] * d <= CANDIDATE_VALUES
+    return points.withColumn("_cell", cell).join(F.broadcast(found) if few else found, "_cell").drop("_cell")
+
+
 def _with_nearest(points: DataFrame, centers: DataFrame, d: int, literal_values: int = LITERAL_CENTER_VALUES,
                   block_values: int = BLOCK_VALUES, leaf: int = LEAF) -> DataFrame:
     """Add ``dist`` and ``center_id`` of the nearest center (ties: lowest center ord); null
@@ -116,7 +173,7 @@ def _with_nearest(points: DataFrame, centers: DataFrame, d: int, literal_values:
     values = n * max(d, 1)
     if not n:
         return points.withColumn("dist", F.lit(None).cast("double")).withColumn("center_id", F.lit(None).cast("long"))
-    if values <= literal_values:
+    if values <= literal_values and (n <= LITERAL_CENTERS or d > GRID_DIMS):
         rows = [(r["i"], r["o"], [float(v) for v in r["c"]]) for r in cs.orderBy("o", "i").collect()]
         with_d = points.withColumn("_dists", literal_distances("coords", rows, d))
         best, choice = nearest_literal(F.col("_dists"), rows)
@@ -130,9 +187,18 @@ def _with_nearest(points: DataFrame, centers: DataFrame, d: int, literal_values:
         return F.when((dist < acc["d"]) | ((dist == acc["d"]) & (c["o"] < acc["o"])),
                       F.struct(dist.alias("d"), c["o"].alias("o"), c["i"].alias("i"))).otherwise(acc)
 
-    block = cs.agg(F.collect_list(F.struct("o", "i", "c")).alias("_cs")).withColumn("_k", F.lit(0))
-    near = points.withColumn("_k", F.lit(0)).join(F.broadcast(block), "_k").select(
-        F.struct(*points.columns).alias("_p"), F.aggregate("_cs", unset, closer).alias("_best"))
+    block = cs.agg(F.sort_array(F.collect_list(F.struct("o", "i", "c"))).alias("_cs")).withColumn("_k", F.lit(0))
+    near = _with_candidates(points, block, n, d)
+    folded = F.aggregate("_cs", unset, closer)
+    if d > GRID_DIMS:
+        best = folded
+    else:
+        near = near.withColumn("_dists", F.array(*[euclidean(F.col("coords"), F.get("_cs", F.lit(j))["c"], d) for j in range(UNROLLED_CANDIDATES)]))
+        least = F.array_min("_dists")
+        choice = F.get("_cs", (F.array_position("_dists", least) - 1).cast("int"))
+        best = F.when(F.size("_cs") > UNROLLED_CANDIDATES, folded).when(F.isnan(least) | least.isNull(), unset) \
+            .otherwise(F.struct(least.alias("d"), choice["o"].alias("o"), choice["i"].alias("i")))
+    near = near.select(F.struct(*points.columns).alias("_p"), best.alias("_best"))
     return near.select("_p.*", F.col("_best.d").alias("dist"), F.col("_best.i").alias("center_id"))
 
 

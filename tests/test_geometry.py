@@ -134,6 +134,23 @@ def test_join_by_space_equals_all_pairs(spark, leaf):
     assert len(one) == len(pts) and all(r["center_id"] is not None for r in one)
 
 
+@pytest.mark.parametrize("d", [1, 2, 3])
+def test_candidates_of_cells_equal_all_pairs(spark, d):
+    """A point meets few of many centers, and still its nearest one (ties: the lowest ord)."""
+    rng = np.random.default_rng(d)
+    cs = np.vstack([rng.integers(-20, 20, (150, d)), rng.normal(0, 0.01, (150, d)), rng.uniform(-1e3, 1e3, (50, d))]).astype(float)
+    pts = np.vstack([cs[::9], rng.integers(-20, 20, (100, d)), rng.uniform(-1e4, 1e4, (100, d)), [[np.inf] * d]]).astype(float)
+    df, cdf = points_df(spark, pts), points_df(spark, cs, ids=list(range(1000, 1000 + len(cs))))
+    rows = geometry.nearest_center(df, cdf, d).orderBy("id").collect()
+    arg, best = bf.nearest(pts, list(cs))
+    assert np.array_equal(np.array([r["dist"] for r in rows]), best)
+    assert [r["center_id"] for r in rows] == [1000 + int(a) for a in arg]
+    spread = points_df(spark, rng.uniform(-1e4, 1e4, (350, d)))
+    block = spread.agg(F.collect_list(F.struct(F.col("ord").alias("o"), F.col("id").alias("i"), F.col("coords").alias("c"))).alias("_cs")).withColumn("_k", F.lit(0))
+    met = geometry._with_candidates(spread, block, 350, d).agg(F.avg(F.size("_cs"))).first()[0]
+    assert met < 350 / 5
+
+
 def test_join_by_space_needs_no_driver(spark):
     """No center is broadcast or gathered: neither collect_list nor a broadcast of more than one row."""
     pts = tables.points_customer(spark, SF_CHECK)
