@@ -24,8 +24,12 @@ import math
 from dataclasses import dataclass
 from itertools import product as iproduct
 
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from pinwheel.functions.distance import euclidean, euclidean_sql
@@ -315,73 +319,136 @@ def ball_pairs(left: DataFrame, right: DataFrame, d: int, keys: list[str]) -> Da
         .filter(F.col("dist") <= F.col("radius"))
 
 
-# Slack, in fine cells, for the position of two points given their computed cells, and the
-# relative margin kept from the radius when a whole cell pair is decided without a test.
-_SLACK = 2.0 ** -21
-_MARGIN = 1e-9
+# Blocks of points that crowded balls are counted by: this many at 100,000 points, growing with
+# the root of their number (a block's tasks and what is sent to it then grow alike).
+BLOCKS, BLOCK_POINTS, MOST_BLOCKS = 64, 100_000, 2048
+# Points of a tree's leaf, children of a node, points that descend it together.
+TREE_LEAF, TREE_FAN, TREE_AT_ONCE = 8, 4, 512
+
+
+def _tree_sums(xs: list, radius: float, ys: list, w: np.ndarray) -> np.ndarray:
+    """Summed ``w`` of the ys within ``radius`` of every x (coordinates by dimension).
+
+    The ys are sorted along a space-filling curve, and boxes of neighbours are nested. A box's
+    smallest and largest distance are the same left fold as distances, over its real ends;
+    rounding is monotone, so a box inside or outside of a ball is decided exactly."""
+    total = np.zeros(len(xs[0]), np.int64)
+    if not len(w):
+        return total
+    extent = [float(y.max() - y.min()) for y in ys]
+    wide = sorted(range(len(ys)), key=lambda i: -extent[i])[:4]
+    bits, code = 60 // len(wide) if len(wide) > 2 else 20, np.zeros(len(w), np.int64)
+    scale = (2 ** bits - 1) / max(extent) if max(extent) > 0 and np.isfinite(max(extent)) else 0.0
+    at = [((ys[i] - ys[i].min()) * scale).astype(np.int64) for i in wide] if scale and np.isfinite(scale) else []
+    for bit in range(bits - 1, -1, -1):
+        for v in at:
+            code = code << 1 | v >> bit & 1
+    order = np.argsort(code, kind="stable")
+    ys, w = [y[order] for y in ys], w[order]
+    lo, hi, ws, size, levels = ys, ys, w, TREE_LEAF, []
+    while not levels or len(ws) > 1:
+        start = np.arange(0, len(ws), size)
+        lo, hi = [np.minimum.reduceat(v, start) for v in lo], [np.maximum.reduceat(v, start) for v in hi]
+        ws, size = np.add.reduceat(ws, start), TREE_FAN
+        levels.append((lo, hi, ws))
+
+    def split(i, node, fan, count):
+        i, node = np.repeat(i, fan), (node[:, None] * fan + np.arange(fan)).ravel()
+        real = node < count
+        return i[real], node[real]
+
+    for first in range(0, len(total), TREE_AT_ONCE):
+        part = [x[first:first + TREE_AT_ONCE] for x in xs]
+        i = np.arange(len(part[0]))
+        node = np.zeros(len(i), np.int64)
+        for level in range(len(levels) - 1, -1, -1):
+            lo, hi, ws = levels[level]
+            near, far = np.zeros(len(i)), np.zeros(len(i))
+            for x, a, b in zip(part, lo, hi):
+                v = x[i]
+                below, above = a[node] - v, v - b[node]
+                near += np.maximum(np.maximum(below, above), 0.0) ** 2
+                far += np.minimum(below, above) ** 2
+            full = np.sqrt(far) <= radius
+            np.add.at(total, first + i[full], ws[node[full]])
+            cut = ~full & (np.sqrt(near) <= radius)
+            i, node = split(i[cut], node[cut], TREE_FAN if level else TREE_LEAF, len(levels[level - 1][2]) if level else len(w))
+        dist = np.zeros(len(i))
+        for x, y in zip(part, ys):
+            v = x[i] - y[node]
+            dist += v * v
+        inside = np.sqrt(dist) <= radius
+        np.add.at(total, first + i[inside], w[node[inside]])
+    return total
 
 
 def ball_weight_sums(left: DataFrame, right: DataFrame, d: int, keys: list[str],
                      aggregate: bool = True) -> DataFrame:
     """Ball weight of every x in ``left``: summed ``w`` of the ``right`` rows within ``radius``.
 
-    Same inputs as ``ball_pairs`` (``side`` from ``cell_side(r, span, fine_steps(d))``).
-    Output: keys, id, ord, coords, ball_weight (points with an empty ball are omitted).
+    Same inputs as ``ball_pairs``. Output: keys, id, ord, coords, ball_weight (without
+    ``aggregate``, points with an empty ball are omitted).
 
-    Both sides are summed per fine cell first. For a pair of fine cells, the largest and
-    smallest possible distance of their points (with the rounding slack) decide whether all
-    of the y cell is inside every x's ball (its summed weight is added once per x cell), all
-    outside (skipped), or undecided; only undecided cell pairs, those that the ball's border
-    may cross, are tested point by point. A dense spot therefore costs one row per cell, not
-    one row per pair of its points.
+    With ``aggregate`` both sides are cut into the same blocks, along quantiles of their widest
+    dimensions. The boxes of two blocks decide whether all y of one are inside every ball of the
+    other (their summed weight counts), outside of all (skipped), or undecided; only the y
+    of undecided pairs of blocks are sent to the block of the x, where a tree of boxes counts
+    them (``_tree_sums``). No ball's points are ever listed as pairs.
     """
-    g = min(d, GRID_DIMS)
-    m = fine_steps(d) if g == d else 1
-    if m == 1 or not aggregate:
+    if not aggregate or not d:
         pairs = ball_pairs(left, right, d, keys)
         return pairs.groupBy(*keys, "id", "ord").agg(
             F.sum("y_w").cast("long").alias("ball_weight"), F.any_value("coords").alias("coords"))
-    f = [f"_f{i}" for i in range(g)]
-    c = [f"_c{i}" for i in range(g)]
-    yf = [f"_yf{i}" for i in range(g)]
-    fine = F.col("side") / F.lit(float(m))
-
-    def with_cells(df, names):
-        df = df.select("*", *[x.alias(names[i]) for i, x in enumerate(_cells(F.col("coords"), fine, g))])
-        return df.select("*", *[F.floor(F.col(names[i]) / F.lit(float(m))).cast("long").alias(c[i])
-                                for i in range(g)])
-
-    xs = with_cells(left.select(*keys, "radius", "side", "id", "ord", "coords"), f)
-    zs = with_cells(right.select(*keys, "side", "id", "coords", "w"), yf)
-    zc = zs.groupBy(*keys, *yf, *c).agg(F.sum("w").cast("long").alias("cw"))
-    xc = xs.select(*keys, "radius", "side", *f, *c).distinct()
-    xo = xc.select("*", _offsets(g).alias("_off")).select(
-        *keys, "radius", "side", *f, *[(F.col(c[i]) + F.col("_off").getItem(i)).alias(c[i]) for i in range(g)])
-    cp = xo.join(zc, list(keys) + c)
-    hi = None
-    lo = None
-    for i in range(g):
-        delta = F.abs(F.col(yf[i]) - F.col(f[i])).cast("double")
-        a = delta + F.lit(1.0 + _SLACK)
-        b = F.greatest(delta - F.lit(1.0 + _SLACK), F.lit(0.0))
-        hi = a * a if hi is None else hi + a * a
-        lo = b * b if lo is None else lo + b * b
-    u = F.col("radius") / fine
-    u2 = u * u
-    full = hi <= u2 * F.lit(1.0 - _MARGIN)
-    skip = lo > u2 * F.lit(1.0 + _MARGIN)
-    cp = cp.select(*keys, *f, *yf, "cw", full.alias("_full"), skip.alias("_skip"))
-    full_w = cp.filter("_full").groupBy(*keys, *f).agg(F.sum("cw").cast("long").alias("bw"))
-    shell = cp.filter(~F.col("_full") & ~F.col("_skip")).select(*keys, *f, *yf)
-    full_rows = xs.join(full_w, list(keys) + f).select(*keys, "id", "ord", "coords", "bw")
-    xp = xs.join(shell, list(keys) + f)
-    ys = zs.select(*keys, *yf, F.col("coords").alias("y_coords"), F.col("w").alias("y_w"))
-    tested = xp.join(ys, list(keys) + yf).filter(
-        euclidean(F.col("coords"), F.col("y_coords"), d) <= F.col("radius"))
-    shell_rows = tested.select(*keys, "id", "ord", "coords", F.col("y_w").alias("bw"))
-    both = full_rows.unionByName(shell_rows)
-    return both.groupBy(*keys, "id", "ord").agg(
-        F.sum("bw").cast("long").alias("ball_weight"), F.any_value("coords").alias("coords"))
+    names = [f"_v{i}" for i in range(d)]
+    values = [F.col("coords").getItem(i).alias(v) for i, v in enumerate(names)]
+    xs, ys = left.select(*keys, "radius", "id", "ord", *values), right.select(*keys, "w", *values)
+    row = xs.agg(F.count(F.lit(1)).alias("n"), *[f(v).alias(f"{e}{v}") for v in names for f, e in ((F.min, "lo"), (F.max, "hi"))]).first()
+    extent = {v: row[f"hi{v}"] - row[f"lo{v}"] if row["n"] else 0.0 for v in names}
+    wide = [v for v in sorted(names, key=lambda v: -extent[v])[:GRID_DIMS] if 0 < extent[v] < float("inf")]
+    most = min(MOST_BLOCKS, int(BLOCKS * max(1.0, row["n"] / BLOCK_POINTS) ** 0.5))
+    width = extent[wide[0]] if wide else 1.0
+    while wide and math.prod(math.ceil(extent[v] * 1.1 / width) for v in wide) <= most:
+        width /= 1.1
+    cuts = {v: math.ceil(extent[v] / width) for v in wide}
+    found = xs.agg(*[F.percentile_approx(v, [j / n for j in range(1, n)]).alias(v) for v, n in cuts.items() if n > 1]).first().asDict() \
+        if any(n > 1 for n in cuts.values()) else {}
+
+    def with_block(df):
+        block, stride = F.lit(0), 1
+        for v, at in found.items():
+            ends = [-float("inf"), *sorted({e + 0.0 for e in at}), float("inf")]
+            df = Bucketizer(splits=ends, inputCol=v, outputCol=f"_b{v}").transform(df)
+            block, stride = block + F.col(f"_b{v}") * stride, stride * (len(ends) - 1)
+        return df.withColumn("_block", block.cast("long")).drop(*[f"_b{v}" for v in found])
+
+    checkpoint_dir(left.sparkSession)
+    xs, ys = with_block(xs), with_block(ys)
+    box = [f(v).alias(f"{e}{v}") for v in names for f, e in ((F.min, "lo"), (F.max, "hi"))]
+    xb = xs.groupBy(*keys, "_block").agg(F.any_value("radius").alias("radius"), *box)
+    yb = ys.groupBy(*keys, F.col("_block").alias("_from")).agg(F.sum("w").cast("long").alias("cw"), *[b for b in box])
+    yb = yb.select(*keys, "_from", "cw", *[F.col(f"{e}{v}").alias(f"y{e}{v}") for v in names for e in ("lo", "hi")])
+    near = far = None
+    for v in names:
+        below, above = F.col(f"ylo{v}") - F.col(f"hi{v}"), F.col(f"lo{v}") - F.col(f"yhi{v}")
+        gap, reach = F.greatest(below, above, F.lit(0.0)), F.greatest(F.col(f"yhi{v}") - F.col(f"lo{v}"), F.col(f"hi{v}") - F.col(f"ylo{v}"))
+        near, far = (gap * gap, reach * reach) if near is None else (near + gap * gap, far + reach * reach)
+    met = xb.join(F.broadcast(yb), keys).where(F.sqrt(near) <= F.col("radius")) \
+        .select(*keys, "_block", "_from", "cw", (F.sqrt(far) <= F.col("radius")).alias("_full")).checkpoint()
+    whole = met.where("_full").groupBy(*keys, "_block").agg(F.sum("cw").cast("long").alias("_whole"))
+    to = met.where(~F.col("_full")).groupBy(*keys, F.col("_from").alias("_block")).agg(F.collect_list("_block").alias("_to"))
+    sent = ys.join(F.broadcast(to), [*keys, "_block"]).select(*keys, F.explode("_to").alias("_block"), "w", *names)
+    mine = xs.join(F.broadcast(whole), [*keys, "_block"], "left").withColumn("_whole", F.coalesce("_whole", F.lit(0).cast("long")))
+
+    def count(x, y):
+        if not x.num_rows:
+            return x.select([*keys, "id", "ord", *names]).append_column("bw", pa.array([], pa.int64()))
+        one, two = ([t.column(v).to_numpy() for v in names] for t in (x, y))
+        sums = _tree_sums(one, x.column("radius")[0].as_py(), two, y.column("w").to_numpy().astype(np.int64))
+        return x.select([*keys, "id", "ord", *names]).append_column("bw", pa.array(sums + x.column("_whole").to_numpy(), pa.int64()))
+
+    schema = T.StructType([*[xs.schema[k] for k in [*keys, "id", "ord"]], *[T.StructField(v, T.DoubleType()) for v in names], T.StructField("bw", T.LongType())])
+    counted = mine.groupBy(*keys, "_block").cogroup(sent.groupBy(*keys, "_block")).applyInArrow(count, schema)
+    return counted.groupBy(*keys, "id", "ord").agg(F.sum("bw").cast("long").alias("ball_weight"), F.any_value(F.array(*names)).alias("coords"))
 
 
 # Right sides of at most this many rows per key are broadcast as one row per key.
