@@ -44,7 +44,9 @@ def parse_transactions(lines: DataFrame, value: str = "value") -> DataFrame:
 
     One malformed line fails the job, whichever of its columns a query goes on to use and
     whichever rows it filters: every column is a CASE on the validity of the whole line, so
-    neither column pruning nor a filter pushed below another column can skip the test.
+    neither column pruning nor a filter pushed below another column can skip the test. The
+    columns come out of a generator of one row: a filter pushed below it would split the line
+    anew for each of its mentions of a token.
     """
     tokens = F.col("_t")
     quantity = F.get(tokens, QUANTITY_FIELD).try_cast("double")
@@ -56,12 +58,12 @@ def parse_transactions(lines: DataFrame, value: str = "value") -> DataFrame:
     def checked(column, name, kind):
         return F.when(valid, column).otherwise(F.raise_error(message).cast(kind)).alias(name)
 
-    return lines.select(split_fields(value).alias("_t")).select(
+    return lines.select(split_fields(value).alias("_t")).select(F.inline(F.array(F.struct(
         checked(F.get(tokens, PRODUCT_FIELD), "product", "string"),
         checked(quantity, "quantity", "double"),
         checked(customer.try_cast("int"), "customer_id", "int"),
         checked(F.get(tokens, COUNTRY_FIELD), "country", "string"),
-    )
+    ))))
 
 
 def read_transactions(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:

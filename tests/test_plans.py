@@ -40,6 +40,14 @@ def test_objectives_filter_before_the_shuffle(spark, name):
     assert "Filter" in head and head.index("Exchange") < head.rindex("Filter") and "Window" not in head
 
 
+def test_filters_do_not_parse_lines_again(spark):
+    """A filter reads the parsed columns; pushed below the parser it would split the line per mention."""
+    df = entry_mod.queries()["tx_filter_country"](spark, SF_CHECK)
+    filters = [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in line]
+    assert any("NATION_2" in line for line in filters)
+    assert not any("try_cast" in line or "split(" in line or "RLIKE" in line or "_t#" in line for line in filters)
+
+
 def test_initial_guess_has_no_nested_loop(spark):
     plan = _plan(entry_mod.queries()["initial_guess_many"](spark, SF_CHECK))
     assert "NestedLoop" not in plan and "Cartesian" not in plan
