@@ -11,10 +11,8 @@ Scale notes
   (``neighbours.nearest_by_cells``), and no center passes the driver.
 - Balls (all y within r of x) are a theta join. It runs as an equi-join on grid cells of side
   >= r plus the exact distance test, never as a cross join. Ball weights go further where
-  cells are crowded: weights are summed per fine cell, and cell pairs that certainly lie
-  inside (or outside) a ball are decided at once, so only the cells that the ball's border
-  may cross are tested point by point (``ball_weight_sums``): 6 % of the cells near a ball in
-  one dimension (32 fine cells per radius), 28 % in two (16), but 91 % in three (4). Identical points are merged before any of this, and AQE's skew-join
+  cells are crowded: blocks of points that certainly lie inside (or outside) of a ball are
+  decided at once, the others are counted by a tree of boxes (``ball_weight_sums``). Identical points are merged before any of this, and AQE's skew-join
   split spreads a crowded cell over several tasks.
 """
 

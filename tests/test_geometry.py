@@ -30,6 +30,18 @@ def test_ball_weights_match_bruteforce(spark, d, hot):
         assert (got == want).all(), (d, radius)
 
 
+def test_crowded_balls_list_no_pairs(spark):
+    """Crowded balls are counted by blocks and trees: no join on cells lists their points."""
+    rng = np.random.default_rng(12)
+    pts = np.vstack([rng.normal(0, 1, (3000, 2)), rng.uniform(-50, 50, (300, 2)), np.zeros((40, 2))])
+    df = points_df(spark, pts)
+    out = geometry.ball_weights(df, df, 1.5)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "CoGroup" in plan
+    want = [int((np.sqrt((p[0] - pts[:, 0]) ** 2 + (p[1] - pts[:, 1]) ** 2) <= 1.5).sum()) for p in pts]
+    assert [r["ball_weight"] for r in out.orderBy("id").collect()] == want
+
+
 @pytest.mark.parametrize("hot", [0, 10 ** 9])
 def test_ball_weights_active_subset(spark, hot):
     rng = np.random.default_rng(3)
