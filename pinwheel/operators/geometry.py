@@ -434,7 +434,8 @@ def ball_weight_sums(left: DataFrame, right: DataFrame, d: int, keys: list[str],
         .select(*keys, "_block", "_from", "cw", (F.sqrt(far) <= F.col("radius")).alias("_full")).checkpoint()
     whole = met.where("_full").groupBy(*keys, "_block").agg(F.sum("cw").cast("long").alias("_whole"))
     to = met.where(~F.col("_full")).groupBy(*keys, F.col("_from").alias("_block")).agg(F.collect_list("_block").alias("_to"))
-    sent = ys.join(F.broadcast(to), [*keys, "_block"]).select(*keys, F.explode("_to").alias("_block"), "w", *names)
+    # Both sides may come from one table: other names keep their keys apart.
+    sent = ys.join(F.broadcast(to), [*keys, "_block"]).select(*[F.col(k).alias(f"_y{k}") for k in keys], F.explode("_to").alias("_at"), "w", *names)
     mine = xs.join(F.broadcast(whole), [*keys, "_block"], "left").withColumn("_whole", F.coalesce("_whole", F.lit(0).cast("long")))
 
     def count(x, y):
@@ -445,7 +446,7 @@ def ball_weight_sums(left: DataFrame, right: DataFrame, d: int, keys: list[str],
         return x.select([*keys, "id", "ord", *names]).append_column("bw", pa.array(sums + x.column("_whole").to_numpy(), pa.int64()))
 
     schema = T.StructType([*[xs.schema[k] for k in [*keys, "id", "ord"]], *[T.StructField(v, T.DoubleType()) for v in names], T.StructField("bw", T.LongType())])
-    counted = mine.groupBy(*keys, "_block").cogroup(sent.groupBy(*keys, "_block")).applyInArrow(count, schema)
+    counted = mine.groupBy(*keys, "_block").cogroup(sent.groupBy(*[f"_y{k}" for k in keys], "_at")).applyInArrow(count, schema)
     return counted.groupBy(*keys, "id", "ord").agg(F.sum("bw").cast("long").alias("ball_weight"), F.any_value(F.array(*names)).alias("coords"))
 
 
