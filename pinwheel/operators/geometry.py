@@ -5,9 +5,9 @@ lowest), ``coords array<double>`` and optionally ``w bigint`` (weight, default 1
 
 Scale notes
 - A small center set is inlined as literals, so distance-to-centers is a plain projection
-  compiled by whole-stage codegen: no join and no shuffle. For one of bounded size the space is
-  cut into cells, and a point folds the centers that can be nearest within its cell (in more than
-  ``GRID_DIMS`` dimensions all of them). Beyond that bound both sides are dealt out by space
+  compiled by whole-stage codegen: no join and no shuffle. For one of bounded size every task
+  gets a tree of boxes over the different centers, which Arrow batches of points descend
+  (``_NearestTree``). Beyond that bound both sides are dealt out by space
   (``neighbours.nearest_by_cells``), and no center passes the driver.
 - Balls (all y within r of x) are a theta join. It runs as an equi-join on grid cells of side
   >= r plus the exact distance test, never as a cross join. Ball weights go further where
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from pinwheel.functions.distance import euclidean, euclidean_sql
+from pinwheel.functions.distance import UNROLL_LIMIT, euclidean, euclidean_sql
 from pinwheel.operators.neighbours import LEAF, nearest_by_cells
 from pinwheel.session import checkpoint_dir
 
@@ -103,10 +103,10 @@ def nearest_literal(dists: Column, centers: list[tuple]) -> tuple[Column, Column
 
 # Center sets up to this many coordinates are inlined as literals (compiled code).
 LITERAL_CENTER_VALUES = 1024
-# Beyond this many centers the generated code gets too long to be compiled, and points fold
-# the few candidates of their cell instead where there are cells (``_with_candidates``).
+# Beyond this many centers the generated code gets too long to be compiled, and points descend
+# a tree of boxes instead.
 LITERAL_CENTERS = 32
-# Up to this many they are one broadcast row; beyond it both sides are joined by space.
+# Up to this many every task gets them; beyond it both sides are joined by space.
 BLOCK_VALUES = 200_000
 
 
@@ -114,8 +114,11 @@ BLOCK_VALUES = 200_000
 CELLS_PER_CENTER, MOST_CELLS, CELL_TESTS = 8, 16_384, 100_000_000
 # Lists of candidates up to this many coordinates in all are broadcast, longer ones shuffled.
 CANDIDATE_VALUES = 2_000_000
-# Up to this many candidates are compared by compiled code, more by a lambda.
-UNROLLED_CANDIDATES = 16
+
+
+# Neighbouring points that descend the tree of centers together, and the pairs of a block and a
+# box (or a point and a center) that are held at once.
+TOGETHER, BLOCK_PAIRS = 32, 4_000_000
 
 
 def _with_candidates(points: DataFrame, block: DataFrame, n: int, d: int) -> DataFrame:
@@ -163,6 +166,130 @@ def _with_candidates(points: DataFrame, block: DataFrame, n: int, d: int) -> Dat
     return points.withColumn("_cell", cell).join(F.broadcast(found) if few else found, "_cell").drop("_cell")
 
 
+def _curve_order(ys: list) -> np.ndarray:
+    """Order of the points (coordinates by dimension) along a space-filling curve."""
+    extent = [float(y.max() - y.min()) for y in ys]
+    wide = sorted(range(len(ys)), key=lambda i: -extent[i])[:4]
+    bits, code = 60 // len(wide) if len(wide) > 2 else 20, np.zeros(len(ys[0]), np.int64)
+    scale = (2 ** bits - 1) / max(extent) if max(extent) > 0 and np.isfinite(max(extent)) else 0.0
+    at = [((ys[i] - ys[i].min()) * scale).astype(np.int64) for i in wide] if scale and np.isfinite(scale) else []
+    for bit in range(bits - 1, -1, -1):
+        for v in at:
+            code = code << 1 | v >> bit & 1
+    return np.argsort(code, kind="stable")
+
+
+class _NearestTree:
+    """Nearest of some different centers (d x n, in the order that decides ties) by nested boxes.
+
+    A box's smallest and largest distance are the same left fold as distances; rounding is
+    monotone, so a box beyond the smallest largest distance holds no nearest center, not even a
+    tied one."""
+
+    def __init__(self, ys: np.ndarray):
+        self.all, finite = ys, np.flatnonzero(np.isfinite(ys).all(0))
+        self.rank = finite[_curve_order(list(ys[:, finite]))] if len(finite) else finite
+        lo = hi = self.ys = ys[:, self.rank]
+        self.levels = [(lo, hi)] if len(finite) else []
+        while lo.shape[1] > 1:
+            start = np.arange(0, lo.shape[1], TREE_FAN)
+            lo, hi = np.minimum.reduceat(lo, start, axis=1), np.maximum.reduceat(hi, start, axis=1)
+            self.levels.append((lo, hi))
+
+    def nearest(self, xs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(distance, place of the center) of every point (d x n); infinity and -1 without any."""
+        best, place = np.full(xs.shape[1], np.inf), np.full(xs.shape[1], -1, np.int64)
+        finite = np.isfinite(xs).all(0) & bool(self.levels)
+        with np.errstate(all="ignore"):
+            todo = np.flatnonzero(finite)
+            if len(todo):
+                todo = todo[_curve_order(list(xs[:, todo]))]
+                blocks = np.append(todo, np.repeat(todo[-1], -len(todo) % TOGETHER)).reshape(-1, TOGETHER)
+                step = max(1, BLOCK_PAIRS // len(self.rank))
+                for first in range(0, len(blocks), step):
+                    at = blocks[first:first + step]
+                    best[at], place[at] = self._descend(xs[:, at])
+            # Where every distance overflows or the point isn't finite, all centers are met.
+            for first in np.flatnonzero(~(finite & np.isfinite(best)) & ~np.isnan(xs).any(0)):
+                total = np.zeros(self.all.shape[1])
+                for y, x in zip(self.all, xs[:, first]):
+                    total += (x - y) * (x - y)
+                dist = np.where(np.isnan(total), np.nan, np.sqrt(total))
+                if not np.isnan(dist).all():
+                    place[first] = np.nanargmin(dist)
+                    best[first] = dist[place[first]]
+        return best, place
+
+    def _descend(self, xs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``nearest``, of blocks of neighbours (d x blocks x points): a block meets the centers
+        that can be nearest to a point of its box."""
+        n = xs.shape[1]
+        low, high = xs.min(2), xs.max(2)
+        i, node, bound = np.arange(n), np.zeros(n, np.int64), np.full(n, np.inf)
+        for level in range(len(self.levels) - 1, -1, -1):
+            lo, hi = self.levels[level]
+            near, far = np.zeros(len(i)), np.zeros(len(i))
+            for v, w, a, b in zip(low, high, lo, hi):
+                v, w, a, b = v[i], w[i], a[node], b[node]
+                gap, reach = np.maximum(np.maximum(a - w, v - b), 0.0), np.maximum(b - v, w - a)
+                near += gap * gap
+                far += reach * reach
+            # ``i`` ascends: every block has one run of boxes.
+            bound = np.minimum(bound, np.minimum.reduceat(np.sqrt(far), _runs(i)))
+            keep = np.sqrt(near) <= bound[i]
+            i, node = i[keep], node[keep]
+            if level:
+                i, node = np.repeat(i, TREE_FAN), (node[:, None] * TREE_FAN + np.arange(TREE_FAN)).ravel()
+                real = node < self.levels[level - 1][0].shape[1]
+                i, node = i[real], node[real]
+        best, place = np.empty(xs.shape[1:]), np.empty(xs.shape[1:], np.int64)
+        ends = np.append(_runs(i), len(i))
+        first = 0
+        while first < n:  # so many blocks that their distances stay within bounds
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + BLOCK_PAIRS // TOGETHER, "right")) - 1)
+            at, c = i[ends[first]:ends[last]], node[ends[first]:ends[last]]
+            total = np.zeros((len(at), xs.shape[2]))
+            for x, y in zip(xs, self.ys):
+                v = x[at] - y[c][:, None]
+                total += v * v
+            dist, starts = np.sqrt(total), ends[first:last] - ends[first]
+            best[first:last] = np.minimum.reduceat(dist, starts, axis=0)
+            ranks = np.where(dist == best[at], self.rank[c][:, None], self.all.shape[1])
+            place[first:last] = np.minimum.reduceat(ranks, starts, axis=0)
+            first = last
+        return best, place
+
+
+def _runs(keys: np.ndarray) -> np.ndarray:
+    """Where the runs of equal ``keys`` start."""
+    return np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+
+
+def _with_nearest_by_tree(points: DataFrame, centers: DataFrame, d: int) -> DataFrame:
+    """``points`` with ``dist`` and ``center_id`` by a tree of boxes over the centers (at most
+    ``BLOCK_VALUES`` coordinates), which every task gets. Equal centers are one, that of the
+    lowest order; a null or NaN coordinate is at no distance (infinity, no center)."""
+    rows = centers.select(F.col("o"), F.col("i"), *[F.col("c").getItem(i).alias(f"v{i}") for i in range(d)]) \
+        .orderBy("o", "i", *[f"v{i}" for i in range(d)]).toArrow()
+    ys = np.array([rows.column(f"v{i}").to_numpy() for i in range(d)], dtype=float).reshape(d, -1)
+    first = np.sort(np.unique(ys, axis=1, return_index=True)[1])
+    ys, ids = ys[:, first], rows.column("i").to_pylist()
+    ids = [ids[j] for j in first]
+    names = [f"_v{i}" for i in range(d)]
+    own = len(points.columns)
+
+    def run(batches):
+        tree = _NearestTree(ys)
+        for batch in batches:
+            xs = np.array([batch.column(own + i).to_numpy(zero_copy_only=False) for i in range(d)], dtype=float).reshape(d, -1)
+            best, place = tree.nearest(xs)
+            found = pa.array(ids, pa.int64()).take(pa.array(place, mask=place < 0))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:own], pa.array(best), found], names=[*batch.schema.names[:own], "dist", "center_id"])
+
+    schema = T.StructType([*points.schema.fields, T.StructField("dist", T.DoubleType()), T.StructField("center_id", T.LongType())])
+    return points.select("*", *[F.col("coords").getItem(i).alias(v) for i, v in enumerate(names)]).mapInArrow(run, schema)
+
+
 def _with_nearest(points: DataFrame, centers: DataFrame, d: int, literal_values: int = LITERAL_CENTER_VALUES,
                   block_values: int = BLOCK_VALUES, leaf: int = LEAF) -> DataFrame:
     """Add ``dist`` and ``center_id`` of the nearest center (ties: lowest center ord); null
@@ -182,6 +309,8 @@ def _with_nearest(points: DataFrame, centers: DataFrame, d: int, literal_values:
         return with_d.withColumn("dist", best).withColumn("center_id", choice).drop("_dists")
     if values > block_values:
         return points.join(nearest_by_cells(points, cs, d, leaf), "id", "left")
+    if 0 < d <= UNROLL_LIMIT:
+        return _with_nearest_by_tree(points, cs, d)
     unset = F.struct(F.lit(float("inf")).alias("d"), F.lit(2 ** 63 - 1).alias("o"), F.lit(None).cast("long").alias("i"))
 
     def closer(acc, c):
@@ -190,17 +319,8 @@ def _with_nearest(points: DataFrame, centers: DataFrame, d: int, literal_values:
                       F.struct(dist.alias("d"), c["o"].alias("o"), c["i"].alias("i"))).otherwise(acc)
 
     block = cs.agg(F.sort_array(F.collect_list(F.struct("o", "i", "c"))).alias("_cs")).withColumn("_k", F.lit(0))
-    near = _with_candidates(points, block, n, d)
-    folded = F.aggregate("_cs", unset, closer)
-    if d > GRID_DIMS:
-        best = folded
-    else:
-        near = near.withColumn("_dists", F.array(*[euclidean(F.col("coords"), F.get("_cs", F.lit(j))["c"], d) for j in range(UNROLLED_CANDIDATES)]))
-        least = F.array_min("_dists")
-        choice = F.get("_cs", (F.array_position("_dists", least) - 1).cast("int"))
-        best = F.when(F.size("_cs") > UNROLLED_CANDIDATES, folded).when(F.isnan(least) | least.isNull(), unset) \
-            .otherwise(F.struct(least.alias("d"), choice["o"].alias("o"), choice["i"].alias("i")))
-    near = near.select(F.struct(*points.columns).alias("_p"), best.alias("_best"))
+    near = points.withColumn("_k", F.lit(0)).join(F.broadcast(block), "_k") \
+        .select(F.struct(*points.columns).alias("_p"), F.aggregate("_cs", unset, closer).alias("_best"))
     return near.select("_p.*", F.col("_best.d").alias("dist"), F.col("_best.i").alias("center_id"))
 
 
@@ -333,15 +453,7 @@ def _tree_sums(xs: list, radius: float, ys: list, w: np.ndarray) -> np.ndarray:
     total = np.zeros(len(xs[0]), np.int64)
     if not len(w):
         return total
-    extent = [float(y.max() - y.min()) for y in ys]
-    wide = sorted(range(len(ys)), key=lambda i: -extent[i])[:4]
-    bits, code = 60 // len(wide) if len(wide) > 2 else 20, np.zeros(len(w), np.int64)
-    scale = (2 ** bits - 1) / max(extent) if max(extent) > 0 and np.isfinite(max(extent)) else 0.0
-    at = [((ys[i] - ys[i].min()) * scale).astype(np.int64) for i in wide] if scale and np.isfinite(scale) else []
-    for bit in range(bits - 1, -1, -1):
-        for v in at:
-            code = code << 1 | v >> bit & 1
-    order = np.argsort(code, kind="stable")
+    order = _curve_order(ys)
     ys, w = [y[order] for y in ys], w[order]
     lo, hi, ws, size, levels = ys, ys, w, TREE_LEAF, []
     while not levels or len(ws) > 1:

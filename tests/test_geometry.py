@@ -188,3 +188,29 @@ def test_initial_guess_equals_all_pairs(spark):
         assert geometry.initial_guess(points_df(spark, pts), 500, d).collect()[0]["r0"] == pytest.approx(want)
     assert geometry.initial_guess(points_df(spark, [[1.0]]), 5, 1).collect()[0]["r0"] is None
     assert geometry.initial_guess(points_df(spark, [[1.0], [2.0], [1.0]]), 3, 1).collect()[0]["r0"] == 0.0
+
+
+@pytest.mark.parametrize("d", [1, 2, 3, 6])
+def test_tree_of_centers_equals_all_pairs(spark, d):
+    """Equal and crowded centers, ties, and points that no box bounds."""
+    rng = np.random.default_rng(40 + d)
+    cs = np.vstack([np.repeat(rng.integers(-5, 5, (30, d)), 20, axis=0), rng.normal(0, 0.01, (150, d)), rng.uniform(-1e6, 1e6, (20, d)),
+                    [[1e200] * d]]).astype(float)
+    pts = np.vstack([cs[::9], rng.integers(-5, 5, (100, d)), rng.uniform(-1e6, 1e6, (200, d)), [[np.inf] * d, [-1e300] * d]]).astype(float)
+    df, cdf = points_df(spark, pts), points_df(spark, cs, ids=list(range(1000, 1000 + len(cs))))
+    near = geometry.nearest_center(df, cdf, d, literal_values=0)
+    rows = near.orderBy("id").collect()
+    arg, best = bf.nearest(pts, list(cs))
+    assert np.array_equal(np.array([r["dist"] for r in rows]), best)
+    assert [r["center_id"] for r in rows] == [1000 + int(a) for a in arg]
+    # No fold over lists of centers per point, however many equal centers there are.
+    plan = near._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" not in plan and "_cs" not in plan
+
+
+def test_tree_of_centers_skips_missing_coordinates(spark):
+    rows = [(0, 0, [0.0, 1.0]), (1, 1, [None, 1.0]), (2, 2, [float("nan"), 1.0]), (3, 3, None)]
+    df = spark.createDataFrame(rows, "id long, ord long, coords array<double>")
+    cdf = spark.createDataFrame([(7, 7, [None, 0.0]), (8, 8, [float("nan"), 0.0]), (9, 9, [0.0, 0.0])], "id long, ord long, coords array<double>")
+    got = geometry.nearest_center(df, cdf, 2, literal_values=0).orderBy("id").collect()
+    assert [(r["dist"], r["center_id"]) for r in got] == [(1.0, 9)] + [(float("inf"), None)] * 3
