@@ -15,6 +15,8 @@ Execution
   balls around them, and leaves all other weights alone. Guesses, radii, grid sizes and new
   centers travel in one small broadcast table (at most ``MAX_BATCH`` rows), not in the plan, so
   all steps have the same plan text and reuse its compiled code.
+- Guesses that certainly fail are not run: grid cells bound what a ball can hold (``_BallBound``),
+  and if k times that leaves more than z of the weight, no choice of centers succeeds.
 - Ball weights are the grid equi-join of ``geometry.ball_weight_sums`` over
   identical-point-merged data, with per-guess cells; crowded cells are summed first. Inputs of
   at most ``SMALL_BALLS`` points (a coreset) are one broadcast row instead.
@@ -24,7 +26,9 @@ Execution
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 from pyspark import StorageLevel
@@ -38,7 +42,7 @@ from pinwheel.operators.geometry import (HOT_CELL, SMALL_BALLS, PointStats, ball
                                          initial_guess, merge_duplicates, small_ball_weights, validate_points, with_weight)
 from pinwheel.session import checkpoint_dir
 
-GUESS_BATCH = 2
+GUESS_BATCH = 1
 # Guesses per batch grow up to this when the input is small (point-guess rows per batch).
 BATCH_ROWS = 8_000
 MAX_BATCH = 16
@@ -359,6 +363,50 @@ def _guess_sequence(r0: float, r_pos: float | None):
         r = 2 * r
 
 
+# Cells per input that bound what a ball can hold; so many pairs of them are compared at once.
+BOUND_CELLS, BOUND_PAIRS = 4096, 1_000_000
+
+
+class _BallBound:
+    """How much weight a ball of any radius around any point can hold at most, from the weights
+    and real boxes of at most ``BOUND_CELLS`` grid cells (one aggregate)."""
+
+    def __init__(self, merged: DataFrame, stats: PointStats):
+        g = len(stats.lo)
+        lo, extent = stats.lo, [b - a for a, b in zip(stats.lo, stats.hi)]
+        widest = max(extent)
+        width = max(widest, 1e-300)
+        while width > widest / BOUND_CELLS > 0 and math.isfinite(width) \
+                and math.prod(math.floor(e / (width / 1.1)) + 1 for e in extent) <= BOUND_CELLS:
+            width /= 1.1
+        x = [F.col("coords").getItem(i) for i in range(g)]
+        cell = [F.least(F.greatest(F.floor((x[i] - F.lit(lo[i])) / F.lit(width)), F.lit(0)),
+                        F.lit(math.floor(extent[i] / width) if math.isfinite(width) else 0)).alias(f"_q{i}") for i in range(g)]
+        ends = [f(x[i]).alias(f"{e}{i}") for i in range(g) for f, e in ((F.min, "lo"), (F.max, "hi"))]
+        rows = merged.groupBy(*cell).agg(F.sum("w").cast("double").alias("w"), F.min("w").alias("least"), *ends).collect()
+        self.weight = np.array([r["w"] or 0.0 for r in rows])
+        self.sound = all((r["least"] or 0) >= 0 for r in rows)
+        self.lo, self.hi = (np.array([[r[f"{e}{i}"] for r in rows] for i in range(g)]).reshape(g, len(rows)) for e in ("lo", "hi"))
+
+    def most(self, radius: float) -> float:
+        """Upper bound of the weight within ``radius`` of a point: a point's cell with all cells
+        whose box is that near (over some dimensions, which never exceeds the distance)."""
+        best, step = 0.0, max(1, BOUND_PAIRS // max(len(self.weight), 1))
+        with np.errstate(over="ignore"):
+            for first in range(0, len(self.weight), step):
+                near = 0.0
+                for a, b in zip(self.lo, self.hi):
+                    low, high = a[first:first + step, None], b[first:first + step, None]
+                    near = near + np.maximum(np.maximum(a - high, low - b), 0.0) ** 2
+                inside = np.sqrt(near) <= radius * (1 + _CERT_MARGIN)
+                best = max(best, float((np.broadcast_to(inside, (len(low), len(self.weight))) @ self.weight).max()))
+        return best
+
+    def fails(self, outer: float, k: int, z: int) -> bool:
+        """Whether ``k`` balls of the ``outer`` radius certainly leave more than ``z``."""
+        return self.sound and k * self.most(outer) * (1 + _CERT_MARGIN) + z < self.weight.sum() * (1 - _CERT_MARGIN)
+
+
 def kcenter_outliers(points: DataFrame, k: int, z: int, alpha: float = 0.0, guard_n: int | None = None,
                      batch: int | None = None, stats: PointStats | None = None) -> KCenterResult:
     """Weighted k-center with z outliers (K3-K7). ``points`` may carry a weight column ``w``."""
@@ -398,7 +446,13 @@ def kcenter_outliers(points: DataFrame, k: int, z: int, alpha: float = 0.0, guar
             # ball join of a large radius is the expensive part.
             batch = max(GUESS_BATCH, min(MAX_BATCH, BATCH_ROWS // max(distinct_n, 1)))
         batch = max(1, min(batch, BATCH_VALUES // (k * max(stats.d, 1))))
-        g0 = 0
+        g0, r = 0, next(seq)
+        if distinct_n > SMALL_BALLS and stats.lo:
+            # Guesses whose k outer balls can't hold enough fail whatever centers they choose.
+            bound = _BallBound(merged, stats)
+            while g0 < MAX_GUESSES and bound.fails(radii(alpha, r)[1], k, z):
+                g0, r = g0 + 1, next(seq)
+        seq = chain([r], seq)
         while g0 < MAX_GUESSES:
             rs = [next(seq) for _ in range(batch)]
             specs = [(g0 + i, *radii(alpha, r)) for i, r in enumerate(rs)]

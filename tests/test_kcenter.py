@@ -178,3 +178,39 @@ def test_larger_guesses_are_dropped(spark):
     res = kcenter.greedy_batch(merged, stats, [(g, 4000.0 * 2 ** g, 12000.0 * 2 ** g) for g in range(6)], 4, enough=6)
     merged.unpersist()
     assert res.left[0] <= 6 and min(g for g, lw in res.left.items() if lw <= 6) == 0
+
+
+@pytest.mark.parametrize("d", [1, 2, 3, 4])
+def test_guesses_that_certainly_fail_are_not_run(spark, monkeypatch, d):
+    rng = np.random.default_rng(d)
+    coords = rng.uniform(0, 1000, (1200, d)).round(2)
+    weights = [int(v) for v in rng.integers(0, 4, len(coords))]
+    df = points_df(spark, coords.tolist(), weights)
+    pts, w, o, ids = _arrays(df)
+    cs, r0, rf, g = bf.kcenter(pts, w, o, ids, 3, 40, 0.0)
+    run, batch = [], kcenter.greedy_batch
+
+    def recorded(merged, stats, guesses, *args, **kwargs):
+        run.extend(guess[0] for guess in guesses)
+        return batch(merged, stats, guesses, *args, **kwargs)
+
+    monkeypatch.setattr(kcenter, "greedy_batch", recorded)
+    res = kcenter.kcenter_outliers(df, 3, 40, 0.0)
+    assert [r["id"] for r in res.centers.orderBy("step").collect()] == cs
+    assert (res.initial_guess, res.final_guess, res.guesses) == (r0, rf, g)
+    assert g > 2 and 0 not in run
+
+
+def test_ball_bound(spark):
+    rng = np.random.default_rng(1)
+    coords = np.concatenate([rng.normal(0, 5, (300, 3)), rng.uniform(-100, 100, (300, 3)), np.full((1, 3), 7.0)])
+    weights = [int(v) for v in rng.integers(0, 5, len(coords))]
+    df = points_df(spark, coords.tolist(), weights)
+    bound = kcenter._BallBound(df, geometry.validate_points(df))
+    dist = np.sqrt(((coords[:, None] - coords) ** 2).sum(2))
+    for radius in (0.0, 0.5, 5.0, 60.0, 1000.0):
+        assert bound.most(radius) >= ((dist <= radius) @ np.array(weights)).max()
+    assert bound.most(0.5) < sum(weights) / 2 and bound.most(1000.0) == sum(weights)
+    # A negative weight proves nothing; equal points have one cell.
+    one = points_df(spark, [[1.0, 2.0]] * 3, [5, -1, 2])
+    assert not kcenter._BallBound(one, geometry.validate_points(one)).fails(0.0, 1, 0)
