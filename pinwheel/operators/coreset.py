@@ -11,6 +11,7 @@ Execution
   Catalyst aggregates partially in every task: no group is ever gathered into one task, and
   a group holding a third of all rows costs the same as any other. New centers travel as one
   row per group, broadcast if their size allows and joined by shuffle otherwise.
+- The cached state of an input that few tasks read is spread over the parallelism at hand.
 - The driver holds the centers themselves ((k+z+1) * L rows, the result of the operator) and
   per pass one row per cell of the certificate grid.
 - The coreset is written to the shared checkpoint folder for round two.
@@ -30,7 +31,7 @@ from pyspark.sql import types as T
 
 from pinwheel.functions.distance import euclidean
 from pinwheel.operators.geometry import PointStats, validate_points
-from pinwheel.operators.kcenter import KCenterResult, kcenter_outliers
+from pinwheel.operators.kcenter import KCenterResult, kcenter_outliers, spread_over
 from pinwheel.operators.objective import objective_value, partitioned_in_one_pass
 from pinwheel.session import checkpoint_dir
 
@@ -148,8 +149,9 @@ def traverse(points: DataFrame, m: int, parts: int | None = None, stats: PointSt
     stats = stats or validate_points(pts)
     d, g = stats.d, min(stats.d, _CERT_DIMS)
     pts = pts.select("part", "id", "ord", "coords")
-    # One pass: every group's first point and bounding box (partial aggregates).
-    first = pts.groupBy("part").agg(
+    # One pass: every group's first point and bounding box (partial aggregates), and the input's tasks.
+    first = pts.withColumn("_at", F.spark_partition_id()).groupBy("part").agg(
+        F.max("_at").alias("at"),
         F.min(F.struct("ord", "id", "coords")).alias("c"),
         *[F.min(F.col("coords").getItem(i)).alias(f"lo{i}") for i in range(g)],
         *[F.max(F.col("coords").getItem(i)).alias(f"hi{i}") for i in range(g)]).collect()
@@ -177,6 +179,10 @@ def traverse(points: DataFrame, m: int, parts: int | None = None, stats: PointSt
         "part", "id", "ord", "coords", F.lit(float("inf")).alias("m"), F.lit(None).cast("int").alias("near"),
         *[F.least(F.greatest(F.floor((F.col("coords").getItem(i) - F.col(f"_lo{i}")) / F.col(f"_w{i}")),
                              F.lit(0)), F.lit(res - 1)).cast("int").alias(keys[i]) for i in range(g)])
+    # A small file is read by few tasks, but every pass compares its points with many centers.
+    wide = spread_over(spark, stats.n)
+    if max((r["at"] + 1 for r in first), default=wide) < wide:
+        state = state.repartition(wide)
     state = state.persist(StorageLevel.MEMORY_AND_DISK)
 
     def current() -> DataFrame:

@@ -321,13 +321,16 @@ LEAST_ROWS = 500
 ROWS_PER_PARTITION = 250_000
 
 
+def spread_over(spark: SparkSession, n: int) -> int:
+    """Partitions for ``n`` cached points."""
+    return max(1, min(spark.sparkContext.defaultParallelism, n // LEAST_ROWS), -(-n // ROWS_PER_PARTITION))
+
+
 def _cached_merge(points: DataFrame) -> tuple[DataFrame, int]:
     """Duplicate-merged points, cached, and their count."""
     merged = merge_duplicates(points).persist(StorageLevel.MEMORY_AND_DISK)
     n = merged.count()
-    wide = points.sparkSession.sparkContext.defaultParallelism
-    target = max(1, min(wide, n // LEAST_ROWS), -(-n // ROWS_PER_PARTITION))
-    spread = merged.repartition(target).persist(StorageLevel.MEMORY_AND_DISK)
+    spread = merged.repartition(spread_over(points.sparkSession, n)).persist(StorageLevel.MEMORY_AND_DISK)
     spread.count()
     merged.unpersist()
     return spread, n

@@ -202,3 +202,14 @@ def test_one_pass_scans_once(spark):
     for df in (objective.distinct_in_one_pass(pts, centers, 5), objective.points_in_one_pass(pts, centers, 5)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Scan parquet") == 1 and "Window" not in plan
+
+
+def test_traversal_state_is_spread(spark):
+    coords = np.random.default_rng(5).uniform(0, 100, (3000, 2)).tolist()
+    one = points_df(spark, coords).coalesce(1)
+    found = coreset.traverse(one, 3, parts=2)
+    few = coreset.traverse(points_df(spark, coords).repartition(4), 3, parts=2)
+    assert found.cached.rdd.getNumPartitions() == 4
+    assert sorted(map(tuple, found.centers.select("part", "step", "id").collect())) == sorted(map(tuple, few.centers.select("part", "step", "id").collect()))
+    for t in (found, few):
+        t.cached.unpersist()
