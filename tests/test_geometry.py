@@ -130,6 +130,30 @@ def test_center_sets_of_any_size(spark, limits):
     assert len(none) == 200 and all(r["dist"] is None and r["center_id"] is None for r in none)
 
 
+def test_join_by_space_saves_cells_not_centers(spark, monkeypatch):
+    """Few points against many centers: what is written between jobs is cells, not a row per center;
+    crowded blocks are cut on both sides; a center with a null coordinate is nearest to nothing."""
+    from pinwheel.operators.neighbours import nearest_by_cells
+    rng = np.random.default_rng(5)
+    ys, xs = rng.random((3000, 2)) * [1000, 50], rng.random((12, 2)) * [1000, 50]
+    rows = [(k, k, [float(v) for v in y]) for k, y in enumerate(ys)] + [(5000, 7, [None, 1.0]), (5001, 8, [float("nan"), 1.0])]
+    centers = spark.createDataFrame(rows, "o long, i long, c array<double>")
+    pts = spark.createDataFrame([(k, [float(v) for v in x]) for k, x in enumerate(xs)], "id long, coords array<double>")
+    saved, plain = [], type(pts).checkpoint
+    def noted(df, *args, **kwargs):
+        out = plain(df, *args, **kwargs)
+        saved.append(out.count())
+        return out
+    monkeypatch.setattr(type(pts), "checkpoint", noted)
+    want = [(k, int(d.argmin()), float(d.min())) for k, d in enumerate(np.sqrt(((xs[:, None] - ys[None]) ** 2).sum(2)))]
+    for split in (1 << 17, 100, 2):
+        saved.clear()
+        got = sorted((r["id"], r["center_id"], r["dist"]) for r in nearest_by_cells(pts, centers, 2, split=split).collect())
+        assert [g[:2] for g in got] == [w[:2] for w in want]
+        assert np.allclose([g[2] for g in got], [w[2] for w in want], rtol=1e-14)
+        assert sum(saved) < len(ys) / 10
+
+
 @pytest.mark.parametrize("leaf", [1, 4, 1000])
 def test_join_by_space_equals_all_pairs(spark, leaf):
     rng = np.random.default_rng(31)
