@@ -275,8 +275,10 @@ def _with_nearest_by_tree(points: DataFrame, centers: DataFrame, d: int) -> Data
     first = np.sort(np.unique(ys, axis=1, return_index=True)[1])
     ys, ids = ys[:, first], rows.column("i").to_pylist()
     ids = [ids[j] for j in first]
+    # Coordinates travel as plain columns; arrays are dear to convert and are rebuilt if asked for.
     names = [f"_v{i}" for i in range(d)]
-    own = len(points.columns)
+    kept = [c for c in points.columns if c != "coords"]
+    own = len(kept)
 
     def run(batches):
         tree = _NearestTree(ys)
@@ -284,10 +286,12 @@ def _with_nearest_by_tree(points: DataFrame, centers: DataFrame, d: int) -> Data
             xs = np.array([batch.column(own + i).to_numpy(zero_copy_only=False) for i in range(d)], dtype=float).reshape(d, -1)
             best, place = tree.nearest(xs)
             found = pa.array(ids, pa.int64()).take(pa.array(place, mask=place < 0))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:own], pa.array(best), found], names=[*batch.schema.names[:own], "dist", "center_id"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best), found], names=[*batch.schema.names, "dist", "center_id"])
 
-    schema = T.StructType([*points.schema.fields, T.StructField("dist", T.DoubleType()), T.StructField("center_id", T.LongType())])
-    return points.select("*", *[F.col("coords").getItem(i).alias(v) for i, v in enumerate(names)]).mapInArrow(run, schema)
+    schema = T.StructType([*[points.schema[c] for c in kept], *[T.StructField(v, T.DoubleType()) for v in names],
+                           T.StructField("dist", T.DoubleType()), T.StructField("center_id", T.LongType())])
+    near = points.select(*kept, *[F.col("coords").getItem(i).alias(v) for i, v in enumerate(names)]).mapInArrow(run, schema)
+    return near.select(*[F.array(*names).alias(c) if c == "coords" else c for c in points.columns], "dist", "center_id")
 
 
 def _with_nearest(points: DataFrame, centers: DataFrame, d: int, literal_values: int = LITERAL_CENTER_VALUES,

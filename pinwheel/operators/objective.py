@@ -133,8 +133,9 @@ def _distances(points: DataFrame, centers: DataFrame, stats: PointStats | None)
     if stats is not None:
         return dist_to_centers(points, centers, stats.d)
     d = len(centers.first()["coords"])
-    bad = F.col("dist").isNull() | F.isnan("dist") | (F.size("coords") != d)
-    return dist_to_centers(points, centers, d).withColumn("dist", F.when(bad, F.raise_error(F.lit("points have null, NaN, missing or further coordinates")).cast("double")).otherwise(F.col("dist")))
+    bad = F.col("dist").isNull() | F.isnan("dist") | ~F.col("_fits")
+    fits = F.coalesce(F.size("coords") == d, F.lit(False))
+    return dist_to_centers(points.withColumn("_fits", fits), centers, d).withColumn("dist", F.when(bad, F.raise_error(F.lit("points have null, NaN, missing or further coordinates")).cast("double")).otherwise(F.col("dist")))
 
 
 def _kth_distinct(values: DataFrame, z: int, zero: Column | None = None) -> DataFrame:
