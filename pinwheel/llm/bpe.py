@@ -31,7 +31,7 @@ from pinwheel.llm.subwords import Numbers
 
 CACHE_PIECES = 200_000
 # Pieces that go through the trees together: bounds the memory of one pass.
-TREE_CELLS = 1 << 21
+TREE_CELLS = 1 << 19
 # So few rows are merged one by one on plain lists: a step of one row is a few list accesses.
 FEW_ROWS = 16
 

@@ -37,11 +37,20 @@ from pinwheel.llm.common import column, map_text, saved, texts_of
 SHINGLE, SEED, MAX_BITS, BITS = 3, 42, 2, 64
 PARTITION_COUNTS = (2, 3, 4)
 CROWDED = 512
+# Characters whose shingles are hashed together (one text at least): bounds the memory of one pass.
+HASHED_CHARS = 1 << 19
 _LOWER = bytes(range(256)).lower()
 
 
 def fingerprints(texts: list[str], shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
-    """Signed 64-bit fingerprints of whole texts."""
+    """Signed 64-bit fingerprints of whole texts, some texts at a time."""
+    ends = np.cumsum([len(t) for t in texts])
+    cuts = np.flatnonzero(np.diff(ends // HASHED_CHARS)) + 1
+    parts = np.split(np.arange(len(texts)), cuts) if texts else []
+    return np.concatenate([np.zeros(0, np.int64), *[_fingerprints([texts[i] for i in p], shingle, seed) for p in parts]])
+
+
+def _fingerprints(texts: list[str], shingle: int, seed: int) -> np.ndarray:
     import xxhash
     digest = xxhash.xxh64_digest
     hashes, counts = [], []

@@ -93,5 +93,6 @@ def numbered_words(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]
     turn, and the words per text."""
     index = Numbers()
     number = index.__getitem__
-    docs = [list(map(number, WORDS.findall(t.lower()))) for t in texts]
-    return list(index), np.array([i for d in docs for i in d], np.int64), np.array([len(d) for d in docs], np.int64)
+    docs = [np.fromiter(map(number, WORDS.findall(t.lower())), np.int32) for t in texts]
+    at = np.concatenate(docs).astype(np.int64) if docs else np.zeros(0, np.int64)
+    return list(index), at, np.array([len(d) for d in docs], np.int64)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from pinwheel.llm.common import column, free_name, held_out, lowest_ids, map_text, ragged, saved, texts_of
+from pinwheel.llm.common import column, free_name, give_back, held_out, lowest_ids, map_text, ragged, saved, texts_of
 from pinwheel.llm.subwords import WORDS_AT_ONCE, gram_buckets, numbered_words, word_buckets
 
 SAMPLE_PER_LABEL = 1_500
@@ -403,7 +403,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         for batch in batches:
             texts += column(batch, "text").to_pylist()
             marks += column(batch, "label").to_pylist()
-        yield pa.RecordBatch.from_pydict({"model": pa.array([packed(train(texts, marks))], pa.binary())})
+        model = packed(train(texts, marks))
+        texts = marks = None
+        give_back()
+        yield pa.RecordBatch.from_pydict({"model": pa.array([model], pa.binary())})
 
     fitted = saved(sample.repartition(1).sortWithinPartitions("rank", "doc", "text").mapInArrow(fit, "model binary"))
     found = fitted.collect()

@@ -68,6 +68,20 @@ def clustered_prints(seed=3):
     return sorted(out)
 
 
+def test_fingerprints_hash_some_texts_at_a_time():
+    """Memory follows the texts that are hashed together, not the slice; results don't."""
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    texts = ["", *[" ".join(map(str, rng.integers(0, 10_000, 10_000))) for _ in range(40)], "a"]
+    one_by_one = np.concatenate([simhash.fingerprints([t]) for t in texts])
+    tracemalloc.start()
+    got = simhash.fingerprints(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got == one_by_one).all() and not len(simhash.fingerprints([]))
+    assert peak < 60e6
+
+
 @pytest.mark.parametrize("crowded", [512, 2])
 def test_links_are_all_close_pairs(spark, crowded):
     prints = clustered_prints()
